@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import bpe, lang_id, token_counts
+from quizloom.llm import bpe, bsi_topk, lang_id, mixing, quality, quotes, token_counts
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,11 +31,41 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocabulary_path()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return bsi_topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.thread(table(spark, sf_dir, "conversations")).drop("text")
+
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op6_token_counts)
+    f.__name__: f for f in (op1_language_id, op2_bpe, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_topk": TOPK_SQL,
+    "op7_mixing": mixing.MIX_SQL,
+    "op8_quotes": quotes.QUOTES_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
