@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import bpe, bsi_topk, lang_id, mixing, quality, quotes, token_counts
+from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, mixing, quality, quotes, token_counts
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,6 +31,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocabulary_path()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,7 +66,7 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes)
+    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": TOPK_SQL,
