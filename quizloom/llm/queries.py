@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, mixing, quality, quotes, token_counts
+from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, minhash, mixing, quality, quotes, token_counts
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -56,6 +56,10 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.thread(table(spark, sf_dir, "conversations")).drop("text")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 TOPK_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -66,7 +70,7 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes)
+    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op10_near_duplicates)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": TOPK_SQL,
