@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, minhash, mixing, quality, quotes, token_counts
+from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, minhash, mixing, quality, quotes, substring_dedup, token_counts
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -56,6 +56,11 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.thread(table(spark, sf_dir, "conversations")).drop("text")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.drop_repeats(docs, rewrite=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,7 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op10_near_duplicates)
+    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op9_substrings, op10_near_duplicates)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": TOPK_SQL,
