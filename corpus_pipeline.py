@@ -1,15 +1,75 @@
-"""A training corpus from ``documents``, in stages."""
+"""A training corpus from ``documents``, in five stages, each a Spark job over all rows that the one before has kept.
+
+Every stage but the last returns the columns of ``documents``; the last returns the token ids. Between stages the rows
+are written as Parquet and read again, so a lost executor costs tasks of one stage only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quizloom.llm import bpe, lang_id, minhash, mixing, substring_dedup
+from quizloom.llm.common import Scratch
+from quizloom.llm.queries import vocabulary_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter (null texts too) and those whose language is less likely than all others together.
+
+    The model learns from the rows that name a language; those without get the predicted one. Without any such row nothing but und can be said: then
+    only documents without a letter go.
+    """
+    model = lang_id.train(docs.select("doc_id", "text", "lang"))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = lang_id.predict(docs, model).where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= 0.5))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group (five-word shingles, similarity 0.8 or more) the document with the smallest id.
+
+    Documents without id stay; rows with equal ids share their fate.
+    """
+    found = minhash.near_duplicates(docs, size=5, percent=80)
+    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 25 words or more that a document with a smaller id has too. Every document stays, if with less text; n_chars follows the text."""
+    found = substring_dedup.drop_repeats(docs, window=25)
+    return found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents so that in the mean a source weighs the square root of its characters, in a global random order."""
+    return mixing.mix(docs).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256, ids of each row."""
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), ids=True)
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", drop_repeated_passages),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+#: Language identification has no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
+    scratch = Scratch(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

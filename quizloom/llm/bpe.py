@@ -221,49 +221,41 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Add n_tokens, ids_sha256, decoded_sha256 (and with ``keep_ids`` ids and decoded) to each row of ``docs``.
+def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, decoded: bool = False) -> DataFrame:
+    """Add n_tokens, ids_sha256, decoded_sha256 (and on demand ids, array<int>, and decoded, string) to each row of ``docs``; its text column goes.
 
     There is no shuffle: each task encodes its rows. A null text counts as empty: no tokens, the digests of nothing.
     Repeated rows stay repeated. Columns of ``docs`` with the names of added ones are replaced.
     """
     small_batches(docs.sparkSession, 256)
-    added = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    added += [("ids", pa.list_(pa.int64())), ("decoded", pa.string())] if keep_ids else []
-    docs = docs.drop(*[n for n, _ in added if n != text])
-    kept = [c for c in docs.columns if keep_ids or c != text]
-    kinds = {"n_tokens": "long", "ids": "array<long>"}
+    added = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
+    added += [("ids", "array<int>", pa.list_(pa.int32()))] * ids + [("decoded", "string", pa.string())] * decoded
+    kept = [c for c in docs.columns if c != text and c not in [a[0] for a in added]]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
 
     def run(batches):
         bpe = vocabulary(path)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            rows = [bpe_row(bpe, t or "", keep_ids) for t in texts]
-            cols = [batch.column(c) for c in kept]
-            cols += [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), added, strict=True)] if rows else [pa.array([], kind) for _, kind in added]
-            yield pa.RecordBatch.from_arrays(cols, [*kept, *(n for n, _ in added)])
-
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    fields += [f"{n} {kinds.get(n, 'string')}" for n, _ in added]
+            rows = [round_trip(bpe, t or "") for t in batch.column("__text").to_pylist()]
+            got = {"n_tokens": [len(r[0]) // 4 for r in rows], "ids_sha256": [hashlib.sha256(r[0]).hexdigest() for r in rows], "decoded_sha256": [hashlib.sha256(r[1]).hexdigest() for r in rows]}
+            got |= {"ids": [np.frombuffer(r[0], "<i4") for r in rows]} if ids else {}
+            got |= {"decoded": [r[1].decode() for r in rows]} if decoded else {}
+            cols = [batch.column(c) for c in kept] + [pa.array(got[n], kind) for n, _, kind in added]
+            yield pa.RecordBatch.from_arrays(cols, [*kept, *(n for n, _, _ in added)])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{n} {kind}" for n, kind, _ in added]
     return source.mapInArrow(run, ", ".join(fields))
 
 
-def bpe_row(bpe: WordBpe, text: str, keep: bool) -> tuple:
-    ids_hash, text_hash, n, all_ids, all_text = hashlib.sha256(), hashlib.sha256(), 0, [], []
+def round_trip(bpe: WordBpe, text: str) -> tuple[bytes, bytes]:
+    """The packed ids of a text and, decoded from them, the text they stand for (UTF-8)."""
+    ids, shown = [], []
     for part in bpe.chunks(text):
         words = bpe.words(part)
         bpe.learn(set(words))
-        ids = b"".join(map(bpe.known.__getitem__, words))
-        shown = bpe.decode_spaced(ids)
-        ids_hash.update(ids)
-        text_hash.update(shown[not n :])  # no space before the first token
-        if keep:
-            all_ids.append(np.frombuffer(ids, "<u4").astype(np.int64))
-            all_text.append(shown[not n :])
-        n += len(ids) // 4
-    out = (n, ids_hash.hexdigest(), text_hash.hexdigest())
-    return (*out, np.concatenate(all_ids).tolist(), b"".join(all_text).decode()) if keep else out
+        ids.append(b"".join(map(bpe.known.__getitem__, words)))
+        shown.append(bpe.decode_spaced(ids[-1]))
+    return b"".join(ids), b"".join(shown)[1:]  # no space before the first token
 
 
 def piece_counts(bpe: WordBpe, words: list[str]) -> list[int]:
