@@ -74,6 +74,30 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
+REPEATS_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+win AS (SELECT r, doc_id, i, md5(array_to_string(words[i:i+12], ' ')) AS h
+        FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+first AS (SELECT h, min(doc_id) AS d FROM win GROUP BY h),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS i FROM win JOIN first USING (h) WHERE d < doc_id),
+word AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)
+"""
+NEAR_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+             ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i+3], ' ')) END) AS shingles FROM w),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS h FROM s),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS shared FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common WHERE 100 * shared >= 80 * (nx + ny - shared)),
+side AS (SELECT x AS a, y AS b FROM link UNION SELECT y, x FROM link),
+reach AS (WITH RECURSIVE walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT walk.a, side.b FROM walk JOIN side ON walk.b = side.a)
+          SELECT a AS doc_id, min(b) AS component_id FROM walk GROUP BY a)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN reach USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op9_substrings, op10_near_duplicates)
 }
@@ -81,4 +105,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": TOPK_SQL,
     "op7_mixing": mixing.MIX_SQL,
     "op8_quotes": quotes.QUOTES_SQL,
+    "op9_substrings": REPEATS_SQL,
+    "op10_near_duplicates": NEAR_SQL,
 }
