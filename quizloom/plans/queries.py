@@ -1,0 +1,702 @@
+"""One query for each operator on the driver's tables, with the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quizloom.functions import choices, jsonfix, prompts, text
+from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
+from quizloom.sources import providers
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+BATCH_TIME = "2024-01-02 03:04:05"
+SHUFFLE_SEED = "choices-1"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# --- lookups -----------------------------------------------------------------------------------------------------
+
+ASKED = [7, 3, 3, 10**9, 11, 1]
+
+
+@query(f"""
+WITH asked AS (SELECT unnest({list(range(len(ASKED)))}) AS pos, unnest({ASKED}) AS c_custkey),
+task AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1)
+SELECT pos, c.c_custkey, c_name AS skill_name, o_orderkey FROM asked JOIN customer c USING (c_custkey) LEFT JOIN task ON o_custkey = c_custkey""")
+def skill_lookup_by_ids(spark, d):
+    tasks = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    out = lookup.lookup_ids(spark, ASKED, read(spark, d, "customer").select("c_custkey", "c_name"), tasks, "c_custkey", "o_orderkey")
+    return out.select("pos", "c_custkey", F.col("c_name").alias("skill_name"), "o_orderkey")
+
+
+@query("""SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = (SELECT min(n_name) FROM nation)""")
+def skills_by_task_name(spark, d):
+    nation = read(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    name = nation.agg(F.min("n_name")).first()[0]
+    return lookup.by_task(read(spark, d, "customer"), nation, "c_nationkey", F.col("n_name") == name).select("c_custkey", "c_name", "n_name")
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE lang = 'de' ORDER BY doc_id LIMIT 25")
+def find_by_field_limit(spark, d):
+    return lookup.find(read(spark, d, "documents").select("doc_id", "lang", "source"), [("source", None), ("lang", "de")], 25, ["doc_id"])
+
+
+@query("""SELECT 'src1' AS asked, doc_id, source FROM documents WHERE source = 'src1' UNION ALL SELECT 'all', doc_id, source FROM documents""")
+def scan_optional_subject(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "source")
+    one = lookup.find(docs, [("source", "src1")]).select(F.lit("src1").alias("asked"), "*")
+    return one.unionByName(lookup.find(docs, [("source", None)]).select(F.lit("all").alias("asked"), "*"))
+
+
+@query("SELECT r_regionkey, r_name FROM region WHERE r_name LIKE '%A%' ORDER BY r_regionkey LIMIT 1")
+def framework_first_match(spark, d):
+    return lookup.first_match(read(spark, d, "region"), F.contains("r_name", F.lit("A")), "r_regionkey").select("r_regionkey", "r_name")
+
+
+@query("SELECT DISTINCT source FROM documents")
+def distinct_subjects(spark, d):
+    return read(spark, d, "documents").select("source").distinct()
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT source) AS n_subjects, min(source) AS first_subject FROM documents")
+def collection_stats(spark, d):
+    return framework.collection_stats(read(spark, d, "documents"), "source")
+
+
+@query("""SELECT doc_id, lower(md5(CAST(doc_id AS VARCHAR)))[1:24] AS _id FROM documents WHERE lower(md5(CAST(doc_id AS VARCHAR)))[1:24] = md5('17')[1:24]""")
+def lookup_by_object_id(spark, d):
+    import hashlib
+
+    rows = read(spark, d, "documents").select("doc_id", F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 24).alias("_id"))
+    return lookup.by_object_id(rows, hashlib.md5(b"17").hexdigest()[:24])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def fetch_many(spark, d):
+    keys = read(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return lookup.fetch(read(spark, d, "orders").select("o_orderkey", "o_custkey"), keys, "o_custkey")
+
+
+# --- frameworks --------------------------------------------------------------------------------------------------
+
+
+def course_frameworks(spark, d, objectives=None):
+    """Region, nation, segment, customer as subject, unit, topic, objective."""
+    customer = read(spark, d, "customer").select("c_nationkey", "c_mktsegment", "c_custkey", (F.to_json(F.struct(F.col("c_name").alias("description"))) if objectives is None else objectives).alias("o"))
+    topic = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "o"))).alias("os"))
+    topic = topic.select("c_nationkey", F.struct(F.col("c_mktsegment").alias("topic"), F.transform("os", lambda s: F.parse_json(s["o"])).alias("objectives")).alias("t"))
+    unit = topic.groupBy("c_nationkey").agg(F.collect_list("t").alias("ts"))
+    order = lambda a, b: F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)
+    unit = unit.withColumn("ts", F.array_sort("ts", order)).join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    unit = unit.select("n_regionkey", F.struct(F.col("n_name").alias("unit"), F.col("ts").alias("topics")).alias("u"))
+    frame = unit.groupBy("n_regionkey").agg(F.collect_list("u").alias("units")).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return frame.select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("subject"), "units")
+
+
+@query("""
+SELECT coalesce(string_agg(c_name, '|' ORDER BY c_mktsegment, c_custkey), '') AS objectives
+FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+WHERE n_name = (SELECT min(n_name) FROM nation)""")
+def unwind_unit_objectives(spark, d):
+    nation = read(spark, d, "nation")
+    unit = nation.orderBy("n_name").limit(1).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).first()
+    return framework.unit_objectives(course_frameworks(spark, d), unit.r_name, unit.n_name).select(F.array_join("objectives", "|").alias("objectives"))
+
+
+@query("""
+SELECT n_name AS unit, coalesce(string_agg(CASE WHEN c_custkey % 3 <> 2 THEN c_name END, '|' ORDER BY c_mktsegment, c_custkey), '') AS objectives
+FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name""")
+def polymorphic_objectives(spark, d):
+    kind = F.col("c_custkey") % 3
+    objective = F.when(kind == 0, F.to_json(F.struct(F.col("c_name").alias("description")))).when(kind == 1, F.concat(F.lit('"'), "c_name", F.lit('"'))).otherwise(F.lit('{"description":""}'))
+    units = course_frameworks(spark, d, objective).select(F.explode("units").alias("u"))
+    return units.select("u.unit", F.array_join(framework.flat_objectives(F.col("u.topics")), "|").alias("objectives"))
+
+
+@query("""
+WITH w AS (SELECT c_nationkey, count(*) AS weight FROM customer GROUP BY 1)
+SELECT c_nationkey AS unit, weight, CAST(ceil(weight * 44 / 100.0) AS BIGINT) AS n_questions FROM w WHERE weight > 0""")
+def weighted_allocation(spark, d):
+    weights = read(spark, d, "customer").groupBy(F.col("c_nationkey").alias("unit")).agg(F.count("*").alias("weight"))
+    return framework.allocate(weights, 44)
+
+
+@query("SELECT r_name AS subject, n_name AS unit FROM region JOIN nation ON n_regionkey = r_regionkey WHERE lower(n_name) = lower((SELECT max(n_name) FROM nation))")
+def unit_filter_ci(spark, d):
+    nation = read(spark, d, "nation")
+    name = nation.agg(F.max("n_name")).first()[0].swapcase()
+    units = nation.groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("unit"))).alias("units"))
+    found = units.select("n_regionkey", F.explode(framework.find_unit(F.col("units"), name)).alias("u"))
+    return found.join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("subject"), F.col("u.unit").alias("unit"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 4 <> 0 AND n_nationkey % 5 <> 0")
+def topics_non_empty(spark, d):
+    name = F.when(F.col("n_nationkey") % 4 == 0, F.lit("")).when(F.col("n_nationkey") % 5 != 0, F.col("n_name"))
+    rows = read(spark, d, "nation").select("n_nationkey", name.alias("n_name"))
+    return rows.where("n_name IS NOT NULL AND n_name <> ''")
+
+
+@query("""
+SELECT r_name AS subject, n_name AS unit, c_mktsegment AS topic, c_name AS objective FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+WHERE r_regionkey = (SELECT min(r_regionkey) FROM region) ORDER BY n_name, c_mktsegment, c_custkey LIMIT 1""")
+def sample_document(spark, d):
+    frames = course_frameworks(spark, d)
+    order = lambda a, b: F.when(a["unit"] < b["unit"], -1).when(a["unit"] > b["unit"], 1).otherwise(0)
+    return framework.sample_path(frames.withColumn("units", F.array_sort("units", order)))
+
+
+# --- de-duplication ----------------------------------------------------------------------------------------------
+
+
+def hashed_documents(spark, d):
+    return read(spark, d, "documents").select("doc_id", "lang", text.dedup_hash(text.canonical_text(F.col("text"))).alias("hash"))
+
+
+HASHED = r"(SELECT doc_id, lang, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS hash FROM documents WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> '')"
+
+
+@query(f"SELECT doc_id, hash FROM {HASHED}")
+def canonical_hash(spark, d):
+    return hashed_documents(spark, d).where("hash IS NOT NULL").select("doc_id", "hash")
+
+
+@query(f"SELECT hash, min(doc_id) AS doc_id FROM {HASHED} GROUP BY hash")
+def dedup_in_batch(spark, d):
+    return dedup.first_seen(hashed_documents(spark, d).select("doc_id", "hash"), "hash", "doc_id")
+
+
+@query(f"""
+WITH new AS (SELECT hash, min(doc_id) AS doc_id FROM {HASHED} WHERE doc_id % 2 = 1 GROUP BY hash)
+SELECT doc_id, hash FROM new WHERE hash NOT IN (SELECT hash FROM {HASHED} WHERE doc_id % 2 = 0)""")
+def dedup_cross_run(spark, d):
+    rows = hashed_documents(spark, d).select("doc_id", "hash")
+    return dedup.unseen(dedup.first_seen(rows.where("doc_id % 2 = 1"), "hash", "doc_id"), rows.where("doc_id % 2 = 0"), "hash").select("doc_id", "hash")
+
+
+@query(f"SELECT DISTINCT hash FROM {HASHED}")
+def seen_state(spark, d):
+    rows = hashed_documents(spark, d)
+    return dedup.seen_after(rows.where("doc_id % 2 = 0").select("hash"), rows.where("doc_id % 2 = 1"), "hash")
+
+
+@query(f"""
+WITH u AS (SELECT lang, count(DISTINCT hash) AS have FROM {HASHED} GROUP BY lang), w AS (SELECT lang, count(*) AS want FROM documents GROUP BY lang)
+SELECT lang, want, coalesce(have, 0) AS have, greatest(0, want - coalesce(have, 0)) AS deficit FROM w LEFT JOIN u USING (lang)""")
+def retry_deficit(spark, d):
+    rows = hashed_documents(spark, d)
+    wanted = rows.groupBy("lang").agg(F.count("*").alias("want"))
+    return dedup.deficits(wanted, rows.where("hash IS NOT NULL").select("lang", "hash").distinct(), "lang")
+
+
+@query(f"""
+WITH u AS (SELECT hash, min({{'d': doc_id, 'l': lang}}) AS m FROM {HASHED} GROUP BY hash)
+SELECT m.d AS doc_id, m.l AS lang, hash FROM u QUALIFY row_number() OVER (PARTITION BY m.l ORDER BY m.d) <= 10""")
+def trim_to_wanted(spark, d):
+    unique = dedup.first_seen(hashed_documents(spark, d), "hash", "doc_id", "lang").withColumn("want", F.lit(10))
+    return dedup.trim(unique, ["lang"], "want", "doc_id").drop("want")
+
+
+@query("SELECT conv_id, turn, CAST(turn + 1 AS BIGINT) AS question_index, conv_id AS set_index, 'batch_20240102_030405' AS batch_id, 'tests' AS question_type FROM conversations")
+def enrich_metadata(spark, d):
+    rows = read(spark, d, "conversations").select("conv_id", "turn")
+    return bank.enrich(rows, "turn", "conv_id", F.lit(BATCH_TIME).cast("timestamp")).drop("created_at")
+
+
+# --- pages -------------------------------------------------------------------------------------------------------
+
+PAGE_TEXT_SQL = """CASE l_linenumber % 5 WHEN 0 THEN '' WHEN 1 THEN 'Question ' || l_orderkey || ' see Figure ' || l_partkey WHEN 2 THEN 'FAQ ' || l_suppkey || ' in fig ' || l_partkey
+ WHEN 3 THEN 'the Answer Key ' || l_orderkey ELSE 'config GRAPH  ' || l_partkey END"""
+
+
+def page_rows(spark, d):
+    n, key, part, supp = (F.col(c).cast("string") for c in ("l_linenumber", "l_orderkey", "l_partkey", "l_suppkey"))
+    kind = F.col("l_linenumber") % 5
+    body = F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("Question "), key, F.lit(" see Figure "), part)).when(kind == 2, F.concat(F.lit("FAQ "), supp, F.lit(" in fig "), part))
+    body = body.when(kind == 3, F.concat(F.lit("the Answer Key "), key)).otherwise(F.concat(F.lit("config GRAPH  "), part))
+    return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("page"), "l_partkey", "l_suppkey", body.alias("text"), n.alias("n"))
+
+
+@query(f"""
+WITH p AS (SELECT l_orderkey AS doc, l_linenumber AS page, l_partkey, l_suppkey, {PAGE_TEXT_SQL} AS text FROM lineitem)
+SELECT doc, page, l_partkey, l_suppkey, regexp_matches(text, '(?i)(?:figure|fig\\.|diagram|chart|graph|image)\\s+\\d+') AS diagram_required,
+ TRY_CAST(nullif(regexp_extract(text, '(?i)(?:Question|Q)\\s*(\\d+)', 1), '') AS INT) AS question_number
+FROM p WHERE NOT (contains(text, 'Answer Key') OR contains(text, 'Question Alignment'))""")
+def page_flags(spark, d):
+    return pages.page_flags(page_rows(spark, d)).drop("text", "n")
+
+
+def key_rows(spark, d):
+    cells = F.split(F.concat_ws(",", F.concat(F.lit(" "), (F.col("o_orderkey") % 97).cast("string"), F.lit(" ")), F.substring("o_orderpriority", 1, 1), "o_orderstatus", F.lit("lo"), F.when(F.col("o_orderkey") % 7 == 0, "3.7").otherwise((F.col("o_orderkey") % 9).cast("string"))), ",")
+    cells = F.when(F.col("o_orderkey") % 11 == 0, F.slice(cells, 1, 4)).otherwise(cells)
+    return read(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("row_ord"), cells.alias("cells"))
+
+
+KEY_SQL = """(SELECT o_custkey AS doc, CAST(o_orderkey % 97 AS INT) AS question_num, max_by({'a': substr(o_orderpriority, 1, 1), 's': o_orderstatus, 'u': CAST(o_orderkey % 9 AS INT)}, o_orderkey) AS m
+ FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 GROUP BY 1, 2)"""
+
+
+@query(f"SELECT doc, question_num, m.a AS answer, m.s AS skill, 'lo' AS learning_objective, m.u AS unit FROM {KEY_SQL}")
+def answer_key_last_wins(spark, d):
+    return pages.answer_key(key_rows(spark, d))
+
+
+@query(f"""
+SELECT o_custkey AS doc, o_orderkey AS page, CAST(o_orderkey % 50 AS INT) AS question_number, coalesce(m.a, '') AS answer, coalesce(m.s, '') AS skill,
+ CASE WHEN m IS NULL THEN '' ELSE 'lo' END AS learning_objective, m.u AS unit
+FROM orders LEFT JOIN {KEY_SQL} k ON k.doc = o_custkey AND k.question_num = o_orderkey % 50 AND o_orderkey % 50 <> 0""")
+def page_alignment_join(spark, d):
+    rows = read(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("page"), (F.col("o_orderkey") % 50).cast("int").alias("question_number"))
+    return pages.align(rows, pages.answer_key(key_rows(spark, d)))
+
+
+@query(f"""
+WITH p AS (SELECT l_orderkey AS doc, l_linenumber AS page, l_partkey, l_suppkey, {PAGE_TEXT_SQL} AS text FROM lineitem),
+f AS (SELECT *, TRY_CAST(nullif(regexp_extract(text, '(?i)(?:Question|Q)\\s*(\\d+)', 1), '') AS INT) AS q FROM p WHERE NOT contains(text, 'Answer Key')),
+c AS (SELECT *, last_value(CASE WHEN text <> '' THEN {{'q': q}} END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY page, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS s FROM f)
+SELECT doc, page, l_partkey, l_suppkey, s.q AS question_number FROM c WHERE s IS NOT NULL""")
+def page_carry_forward(spark, d):
+    rows = pages.page_flags(page_rows(spark, d))
+    out = pages.carry_forward(rows, ["question_number"], F.col("text") != "", "doc", "page", "l_partkey", "l_suppkey")
+    return out.select("doc", "page", "l_partkey", "l_suppkey", "question_number")
+
+
+@query("SELECT conv_id, nullif(trim(coalesce(string_agg(CASE WHEN turn % 3 <> 1 THEN text END, chr(10) ORDER BY turn), '')), '') AS full_text FROM conversations GROUP BY conv_id")
+def fulltext_concat(spark, d):
+    rows = read(spark, d, "conversations").withColumn("text", F.when(F.col("turn") % 3 == 1, "  ").otherwise(F.col("text")))
+    return pages.full_text(rows, "conv_id", "turn", "text")
+
+
+@query(r"""
+SELECT p_partkey, 1 AS rec, 'What is ' || p_name || '?' AS question, p_brand AS answer, p_type || '|' || p_brand AS options FROM part
+UNION ALL SELECT p_partkey, 2, 'Size?', CAST(p_size AS VARCHAR), NULL FROM part WHERE p_partkey % 2 = 0""")
+def labelled_text_parse(spark, d):
+    size = F.concat(F.lit("\nquestion of size\nq: Size?\nAnswer: 0\nA: "), F.col("p_size").cast("string"))
+    body = F.concat(F.lit("A: lost\nQuestion: What is "), "p_name", F.lit("?\nA: "), "p_brand", F.lit("\nOptions: "), "p_type", F.lit(" , "), "p_brand", F.when(F.col("p_partkey") % 2 == 0, size).otherwise(""))
+    out = pages.labelled_text(read(spark, d, "part").select("p_partkey", body.alias("t")), "p_partkey", "t")
+    return out.select("p_partkey", F.col("rec").cast("int").alias("rec"), "question", "answer", F.array_join("options", "|").alias("options"))
+
+
+# --- JSON repair -------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""")
+def fence_strip_parse(spark, d):
+    cut = F.when(F.col("event_id") % 4 == 3, F.substring("props", 1, 3)).otherwise(F.col("props"))
+    raw = F.concat(F.lit(" ```json"), cut, F.lit("```\n"))
+    v = jsonfix.parse(jsonfix.strip_fences(raw))
+    return read(spark, d, "events").select("event_id", jsonfix.field(v, "k", "bigint").alias("k"))
+
+
+# RE2 has no look-behind; two passes give the same for these inputs
+LATEX_SQL = r"""'{"q":"' || CASE p_partkey % 4 WHEN 0 THEN '\alpha ' WHEN 1 THEN '\frac{1}{2} ' WHEN 2 THEN '\\theta ' ELSE '\u2019\sum ' END || p_name || '"}'"""
+
+
+def latex_rows(spark, d):
+    kind = F.col("p_partkey") % 4
+    part = F.when(kind == 0, "\\alpha ").when(kind == 1, "\\frac{1}{2} ").when(kind == 2, "\\\\theta ").otherwise("\\u2019\\sum ")
+    return read(spark, d, "part").select("p_partkey", F.concat(F.lit('{"q":"'), part, "p_name", F.lit('"}')).alias("body"))
+
+
+def doubled_sql(kept: str) -> str:
+    once = rf"""regexp_replace(%s, '(^|[^\\])\\([^{kept}]|$)', '\1\\\\\2', 'g')"""
+    return once % (once % f"({LATEX_SQL})")
+
+
+@query("SELECT p_partkey, " + doubled_sql(r'\\/"bfnrtu') + " AS fixed FROM part")
+def sanitize_exam(spark, d):
+    return latex_rows(spark, d).select("p_partkey", jsonfix.sanitize_exam(F.concat(F.lit(" ```JSON\n"), "body", F.lit("\n``` "))).alias("f")).select("p_partkey", F.trim(F.regexp_replace("f", r"\n", "")).alias("fixed"))
+
+
+@query("SELECT p_partkey, " + doubled_sql(r'\\ntr"/') + " AS fixed FROM part")
+def sanitize_bank(spark, d):
+    return latex_rows(spark, d).select("p_partkey", jsonfix.sanitize_bank(F.concat(F.lit("```json\n"), "body", F.lit("```"))).alias("fixed"))
+
+
+@query("""
+SELECT event_id, CAST(i AS INT) AS pos, CAST(json_extract(props, '$.k') AS BIGINT) + i AS k FROM events, LATERAL (SELECT unnest(range(0, CASE event_type WHEN 'click' THEN 2 ELSE 1 END)) AS i) WHERE event_id % 6 <> 5""")
+def root_shape_normalise(spark, d):
+    one, k = F.col("props"), F.get_json_object("props", "$.k").cast("bigint")
+    two = F.concat(F.lit('{"k": '), (k + 1).cast("string"), F.lit("}"))
+    listed = F.concat(F.lit("["), one, F.lit(", "), two, F.lit(", 7]"))
+    raw = F.when(F.col("event_id") % 6 == 5, F.lit("7")).when(F.col("event_type") == "click", listed)
+    raw = raw.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"questions": ['), one, F.lit("]}"))).otherwise(one)
+    rows = read(spark, d, "events").select("event_id", raw.alias("raw"))
+    found = bank.questions_of(rows, "raw")
+    return found.select("event_id", "pos", jsonfix.field(F.col("q"), "k", "bigint").alias("k"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN '{"raw_content":"no json"}' ELSE '{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' END AS body FROM events""")
+def cheat_sheet_unwrap(spark, d):
+    kind = F.col("event_id") % 3
+    raw = F.when(kind == 0, F.concat(F.lit('{"cheat_sheet": '), "props", F.lit("}"))).when(kind == 1, F.col("props")).otherwise("no json")
+    return read(spark, d, "events").select("event_id", jsonfix.unwrap(raw).alias("body"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'not JSON' ELSE 'no question' END AS reason FROM events WHERE event_id % 3 <> 2""")
+def quarantine_responses(spark, d):
+    kind = F.col("event_id") % 3
+    raw = F.when(kind == 0, "{broken").when(kind == 1, "7").otherwise(F.col("props"))
+    return bank.quarantine(read(spark, d, "events").select("event_id", raw.alias("raw")), "raw").select("event_id", "reason")
+
+
+# --- prompts -----------------------------------------------------------------------------------------------------
+
+
+def conversation_lists(spark, d):
+    rows = read(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("s"))
+    return rows.select("conv_id", F.when(F.col("conv_id") % 4 == 0, F.array().cast("array<string>")).otherwise(F.transform("s", lambda x: x["role"])).alias("roles"))
+
+
+LISTS_SQL = "(SELECT conv_id, CASE WHEN conv_id % 4 = 0 THEN [] ELSE list(role ORDER BY turn) END AS roles FROM conversations GROUP BY conv_id)"
+
+
+@query(f"""
+SELECT conv_id,
+ CASE WHEN len(roles) > 0 THEN '### Learning Objectives:' || chr(10) || array_to_string(list_transform(roles, lambda x, i: i || '. ' || x), chr(10)) ELSE '{prompts.NO_OBJECTIVES}' END AS numbered,
+ CASE WHEN len(roles) > 0 THEN array_to_string(list_transform(roles, lambda x: '- ' || x), chr(10)) ELSE '{prompts.NO_OBJECTIVES}' END AS bulleted,
+ CASE WHEN len(roles) > 0 THEN chr(10) || '### Learning Objectives:' || chr(10) || array_to_string(list_transform(roles, lambda x: '- ' || x), chr(10)) ELSE '' END AS system_part,
+ CASE WHEN len(roles) > 0 THEN chr(10) || '### Sample Questions:' || chr(10) || array_to_string(list_transform(roles, lambda x, i: 'Question ' || i || ': ' || x), chr(10)) ELSE '' END AS samples
+FROM {LISTS_SQL}""")
+def prompt_sections(spark, d):
+    roles = F.col("roles")
+    return conversation_lists(spark, d).select("conv_id", prompts.objectives_section(roles).alias("numbered"), prompts.user_objectives(roles).alias("bulleted"), prompts.system_objectives(roles).alias("system_part"), prompts.sample_section(roles).alias("samples"))
+
+
+@query(r"""
+SELECT n_nationkey, 'Unit ' || n_name || ' of {' || r_name || '}: {x}' || chr(10) || chr(10) || 'Constraints:' || chr(10) || '- Ask nothing twice, not in other words either.' || chr(10) || '- Spread over topics, skills and difficulty.' || chr(10) || '- Take another angle for run_seed=seed_1.' || chr(10) AS prompt,
+ CASE WHEN n_nationkey % 2 = 0 THEN 'You are m1. ' ELSE '' END || 'Be brief.' AS system_prompt
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def render_prompt(spark, d):
+    rows = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    body = prompts.render("Unit {unit} of {{{subject}}}: {{x}}", {"unit": F.col("n_name"), "subject": F.col("r_name"), "unused": F.lit(1)})
+    provider = F.when(F.col("n_nationkey") % 2 == 0, "gemini").otherwise("openai")
+    return rows.select("n_nationkey", prompts.with_constraints(body, F.lit("seed_1")).alias("prompt"), prompts.for_provider(F.lit("Be brief."), provider, F.lit("m1")).alias("system_prompt"))
+
+
+@query("""SELECT n_nationkey, level, level_num, 'system-' || level_num AS template FROM nation, (VALUES ('Remembering', 1), ('Understanding', 2), ('Applying', 3), ('Analyzing', 4), ('Evaluating', 5)) l(level, level_num)""")
+def skill_bloom_cross(spark, d):
+    rows = lookup.with_levels(read(spark, d, "nation").select("n_nationkey"), text.LEVELS)
+    templates = spark.createDataFrame([(k, f"system-{v}") for k, v in text.LEVELS.items()], "level string, template string")
+    return lookup.with_template(rows, templates).select("n_nationkey", "level", "level_num", "template")
+
+
+@query(f"""
+SELECT p_partkey, 'Question: ' || p_name || CASE WHEN p_partkey % 3 <> 0 THEN chr(10) || chr(10) || 'Diagram Instructions: ' || CASE WHEN p_partkey % 3 = 1 THEN p_brand || ' ' || p_type ELSE p_type END ELSE '' END
+ || chr(10) || chr(10) || '{prompts.NO_SOLUTION}' AS prompt FROM part""")
+def diagram_prompt(spark, d):
+    kind = F.col("p_partkey") % 3
+    steps = F.when(kind == 0, F.lit('""')).when(kind == 1, F.to_json(F.array("p_brand", "p_type"))).otherwise(F.concat(F.lit('"'), "p_type", F.lit('"')))
+    question = text.first_truthy(F.when(kind == 0, "").otherwise(F.col("p_name")), F.col("p_name"))
+    return read(spark, d, "part").select("p_partkey", prompts.diagram_prompt(question, jsonfix.text_or_list(F.parse_json(steps))).alias("prompt"))
+
+
+# --- choices -----------------------------------------------------------------------------------------------------
+
+
+def choice_rows(spark, d):
+    """Options from the parts of a line item's neighbours; every seventh row has a text twice, every eleventh no labels."""
+    o, key = [F.concat(F.lit("t"), ((F.col("o_orderkey") * (i + 3) + (F.lit(0) if i == 2 else F.lit(i))) % (10**6)).cast("string")) for i in range(4)], F.col("o_orderkey")
+    o[2] = F.when(key % 7 == 0, o[1]).otherwise(o[2])
+    labelled = F.when(key % 11 == 0, F.array(*o)).otherwise(F.array(*[F.concat(F.lit("ABCD"[i] + (". " if i % 2 == 0 else ") ")), o[i]) for i in range(4)]))
+    return read(spark, d, "orders").select("o_orderkey", labelled.alias("choices"), choices.letter((key % 4).cast("int")).alias("answer"))
+
+
+SHUFFLE_SQL = f"""(
+WITH t AS (SELECT o_orderkey, ['t' || ((o_orderkey * 3) % 1000000), 't' || ((o_orderkey * 4 + 1) % 1000000), CASE WHEN o_orderkey % 7 = 0 THEN 't' || ((o_orderkey * 4 + 1) % 1000000) ELSE 't' || ((o_orderkey * 5) % 1000000) END, 't' || ((o_orderkey * 6 + 3) % 1000000)] AS ts FROM orders WHERE o_orderkey % 11 <> 0),
+s AS (SELECT o_orderkey, ts[1 + o_orderkey % 4] AS good, list_transform(list_sort(list_transform([0, 1, 2, 3], lambda i: {{'h': sha256('{SHUFFLE_SEED}|' || o_orderkey || '|' || i), 't': ts[i + 1]}})), lambda x: x.t) AS new FROM t)
+SELECT o_orderkey, array_to_string(list_transform(new, lambda x, i: chr(64 + CAST(i AS INT)) || '. ' || x), '|') AS options, chr(64 + CAST(list_position(new, good) AS INT)) AS answer, chr(65 + CAST(o_orderkey % 4 AS INT)) AS old FROM s)"""
+
+
+def shuffled_rows(spark, d):
+    moved = choices.shuffled(F.col("choices"), F.col("answer"), F.col("o_orderkey"), SHUFFLE_SEED)
+    rows = choice_rows(spark, d).withColumn("m", moved).where("m IS NOT NULL")
+    return rows.select("o_orderkey", F.array_join("m.choices", "|").alias("options"), F.col("m.answer").alias("answer"), F.col("answer").alias("old"))
+
+
+@query(f"SELECT o_orderkey, options, answer FROM {SHUFFLE_SQL}")
+def shuffle_choices(spark, d):
+    return shuffled_rows(spark, d).drop("old")
+
+
+@query(f"SELECT o_orderkey, options, answer FROM {SHUFFLE_SQL} WHERE answer <> old")
+def shuffle_changed_only(spark, d):
+    return shuffled_rows(spark, d).where("answer <> old").drop("old")
+
+
+@query(f"SELECT count(*) AS processed, count_if(answer <> old) AS changed FROM {SHUFFLE_SQL}")
+def shuffle_counters(spark, d):
+    return shuffled_rows(spark, d).agg(F.count("*").alias("processed"), F.count_if(F.col("answer") != F.col("old")).alias("changed"))
+
+
+@query("SELECT o_orderkey, 'no label' AS reason FROM orders WHERE o_orderkey % 11 = 0")
+def choices_quarantine(spark, d):
+    rows = choice_rows(spark, d)
+    moved = choices.shuffled(F.col("choices"), F.col("answer"), F.col("o_orderkey"), SHUFFLE_SEED)
+    return rows.where(moved.isNull()).select("o_orderkey", F.lit("no label").alias("reason"))
+
+
+@query(f"SELECT o.o_orderkey, coalesce(s.answer, chr(65 + CAST(o.o_orderkey % 4 AS INT))) AS answer FROM orders o LEFT JOIN {SHUFFLE_SQL} s ON s.o_orderkey = o.o_orderkey AND s.answer <> s.old")
+def conditional_update(spark, d):
+    moved = shuffled_rows(spark, d)
+    rows = choice_rows(spark, d).select("o_orderkey", "answer")
+    return delta.merge_changes(rows, moved.where("answer <> old"), "o_orderkey", ["answer"])
+
+
+# --- diagrams ----------------------------------------------------------------------------------------------------
+
+
+def diagram_rows(spark, d):
+    line = read(spark, d, "lineitem")
+    steps = F.when(F.col("l_quantity") > 25, F.array(F.lit("draw"))).otherwise(F.array().cast("array<string>"))
+    return line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_returnflag").alias("subject"), F.col("l_linestatus").alias("question_type"), (F.col("l_discount") > 0.05).alias("needs"), steps.alias("steps"))
+
+
+@query("""
+SELECT 'R' AS asked, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_discount > 0.05 AND l_returnflag = 'R' AND l_linestatus = 'F' AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT '*', l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_discount > 0.05 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
+def diagram_candidates(spark, d):
+    rows, out = diagram_rows(spark, d), []
+    done = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    for asked in ("R", "*"):
+        found = lookup.diagram_candidates(rows, F.col("needs"), asked, "F")
+        out.append(lookup.pending(found, done, "l_orderkey").select(F.lit(asked).alias("asked"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return out[0].unionByName(out[1])
+
+
+@query("""SELECT CASE WHEN l_discount > 0.05 AND l_quantity > 25 THEN 'draw' WHEN l_discount > 0.05 THEN 'plain' ELSE 'none' END AS action, count(*) AS n FROM lineitem GROUP BY 1""")
+def diagram_actions(spark, d):
+    return diagram_rows(spark, d).groupBy(lookup.diagram_action(F.col("needs"), F.col("steps")).alias("action")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id FROM events WHERE event_type = 'click' AND event_id % 2 = 0 AND user_id % 5 = 1")
+def test_candidates(spark, d):
+    rows = read(spark, d, "events").select("event_id", F.when(F.col("event_type") == "click", "tests").alias("question_type"), (F.col("event_id") % 2 == 0).alias("needs"), F.lit("s").alias("subject"), (F.col("user_id") % 5).cast("string").alias("skill"))
+    return lookup.test_candidates(rows, F.col("needs"), "no", "1").select("event_id")
+
+
+# --- vectors -----------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT CAST(d.doc_id AS VARCHAR) AS question_id, lang AS document, lang || ',' || source AS keywords, '' AS prerequisites, coalesce(CAST(quality AS VARCHAR), 'unknown') AS difficulty,
+ lang || ' ' || ' ' || lang || ',' || source || ' ' AS semantic_context FROM documents d LEFT JOIN labels USING (doc_id)""")
+def vector_metadata(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", "lang", "source").join(read(spark, d, "labels"), "doc_id", "left")
+    words, none = F.array("lang", "source"), F.lit(None).cast("array<string>")
+    context = text.semantic_context(F.col("lang"), F.lit(None), words, none)
+    return bank.vector_record(rows, F.col("doc_id").cast("string"), F.col("lang"), {"keywords": words, "prerequisites": none}, {"difficulty": (F.col("quality").cast("string"), "unknown"), "semantic_context": (context, "")})
+
+
+@query("""SELECT doc_id, coalesce(toxic = 1, false) AS diagram_required, 'offline' AS model_used, source AS meta_source, coalesce(toxic = 1, false) AS has_diagram, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 5 AS INT) END AS question_number FROM documents LEFT JOIN labels USING (doc_id)""")
+def structured_metadata(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", "source").join(read(spark, d, "labels"), "doc_id", "left")
+    out = bank.stamp_metadata(rows, F.coalesce(F.col("toxic") == 1, F.lit(False)), F.lit("offline"), F.col("source"))
+    merged = bank.merge_alignment(F.struct(F.lit("").alias("answer")), {"answer": F.lit("A")}, (F.col("doc_id") % 5).cast("int"))
+    return out.withColumn("alignment", merged).select("doc_id", "diagram_required", "model_used", F.col("metadata.source").alias("meta_source"), "metadata.has_diagram", "alignment.question_number")
+
+
+# --- deltas ------------------------------------------------------------------------------------------------------
+
+
+def two_banks(spark, d):
+    """Source: documents but each ninth; target: all but each seventh, each fifth of them with another language."""
+    docs = read(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    source = docs.where("doc_id % 9 <> 0")
+    target = docs.where("doc_id % 7 <> 0").withColumn("lang", F.when(F.col("doc_id") % 5 == 0, F.lit("xx")).otherwise(F.col("lang")))
+    return source, target
+
+
+CLASSES_SQL = """(SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'added' WHEN doc_id % 9 = 0 THEN 'deleted' WHEN doc_id % 5 = 0 THEN 'changed' ELSE 'same' END AS status FROM documents WHERE doc_id % 9 <> 0 OR doc_id % 7 <> 0)"""
+
+
+def bank_classes(spark, d):
+    def hashed(rows):
+        return rows.select("doc_id", text.document_hash(rows.columns).alias("hash"))
+
+    source, target = two_banks(spark, d)
+    return delta.classify(hashed(source), hashed(target), "doc_id", "hash")
+
+
+def delta_of(status: str) -> Query:
+    return lambda spark, d: bank_classes(spark, d).where(F.col("status") == status).select("doc_id")
+
+
+for _status in ("added", "deleted", "changed"):
+    QUERIES[f"delta_{_status}"] = delta_of(_status)
+    ORACLE_SQL[f"delta_{_status}"] = f"SELECT doc_id FROM {CLASSES_SQL} WHERE status = '{_status}'"
+
+
+@query(f"SELECT count_if(status = 'added') AS added_count, count_if(status = 'deleted') AS deleted_count, count_if(status = 'changed') AS changed_count FROM {CLASSES_SQL}")
+def delta_stats(spark, d):
+    return delta.stats(bank_classes(spark, d))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE lang END AS lang, source, n_chars FROM documents WHERE doc_id % 7 <> 0
+UNION ALL SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id % 7 = 0 AND doc_id % 9 <> 0""")
+def delta_apply(spark, d):
+    return delta.apply_added(*two_banks(spark, d), "doc_id")
+
+
+@query("""SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS batch FROM orders""")
+def batches(spark, d):
+    return lookup.batches(read(spark, d, "orders").select("o_orderkey"), 500, "o_orderkey")
+
+
+@query("SELECT doc_id, source FROM documents INTERSECT SELECT doc_id, source FROM documents WHERE doc_id % 3 = 0 EXCEPT SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0")
+def set_operations(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "source")
+    return docs.intersect(docs.where("doc_id % 3 = 0")).subtract(docs.where("doc_id % 2 = 0"))
+
+
+# --- summaries and configuration ---------------------------------------------------------------------------------
+
+
+def step_log(spark, d):
+    rows = read(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    return summary.chain(rows, [("prepare", F.col("o_totalprice") > 1000), ("generate", F.col("o_orderstatus") == "F"), ("store", F.col("o_orderkey") % 10 != 0)])
+
+
+@query("""
+WITH s AS (SELECT o_orderpriority, o_totalprice > 1000 AND o_orderstatus = 'F' AND o_orderkey % 10 <> 0 AS ok FROM orders)
+SELECT o_orderpriority, count(*) AS total_processed, count_if(ok) AS successful, count(*) - count_if(ok) AS failed, printf('%.1f%%', count_if(ok) / count(*) * 100) AS success_rate, count_if(ok) > 0 AS success FROM s GROUP BY 1""")
+def workflow_summary(spark, d):
+    return summary.summarise(step_log(spark, d), "o_orderpriority")
+
+
+@query("""SELECT CASE WHEN NOT o_totalprice > 1000 THEN 'prepare' WHEN o_orderstatus <> 'F' THEN 'generate' WHEN o_orderkey % 10 = 0 THEN 'store' END AS error, count(*) AS n FROM orders GROUP BY 1""")
+def step_errors(spark, d):
+    return step_log(spark, d).groupBy("error").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, (o_orderkey % 2 = 0 AND o_orderkey % 3 = 0) OR (o_orderkey % 5 = 0 AND o_orderkey % 7 = 0) AS success FROM orders""")
+def sinks_outcome(spark, d):
+    key = F.col("o_orderkey")
+    return read(spark, d, "orders").select("o_orderkey", summary.sinks_outcome([(key % 2 == 0, key % 3 == 0), (key % 5 == 0, key % 7 == 0)]).alias("success"))
+
+
+CONFIG = """[database]
+name = bank
+size = 5
+[task]
+skill_ids = 272, 273,x,
+levels = Applying , Evaluating
+size = 7
+path = ${database:name}/out
+"""
+
+
+@query("SELECT * FROM (VALUES ('name', 'bank'), ('size', '7'), ('skill_ids', '272, 273,x,'), ('levels', 'Applying , Evaluating'), ('path', 'bank/out')) t(key, value)")
+def config_flatten(spark, d):
+    from quizloom.sources.config import properties
+
+    return summary.flatten_config(properties(spark, CONFIG))
+
+
+@query("SELECT '272|273' AS ids, 'Applying|Evaluating' AS levels, 3 AS first_level, 'none' AS missing")
+def skill_ids_parse(spark, d):
+    from quizloom.sources.config import properties
+
+    kv = summary.flatten_config(properties(spark, CONFIG)).groupBy().agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
+    levels = text.string_list(F.col("m.levels"))
+    return kv.select(F.array_join(text.int_list(F.col("m.skill_ids")).cast("array<string>"), "|").alias("ids"), F.array_join(levels, "|").alias("levels"), text.level_number(F.get(levels, F.lit(0))).alias("first_level"), summary.with_default(F.try_element_at("m", F.lit("nothing")), "none").alias("missing"))
+
+
+@query("""
+SELECT p_partkey, replace(replace(p_name || '/' || p_brand, ' ', '_'), '/', '_') AS safe, replace(p_name, ' ', '_') AS molecule,
+ CASE p_partkey % 4 WHEN 0 THEN 'pdf' WHEN 1 THEN 'image' WHEN 2 THEN 'text' END AS kind, 'batch_20240102_030405' AS batch, 1234 AS seed, p_name AS question, CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE '' END AS details,
+ 'mongodb://' || CASE WHEN p_partkey % 2 = 0 THEN 'u:p@' ELSE '' END || 'localhost:27017' AS uri, nullif(lower(split_part(p_type, ' ', 2)), '') AS subject FROM part""")
+def names_and_formats(spark, d):
+    even, kind = F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 4
+    path = F.concat("p_name", F.when(kind == 0, ".pdf").when(kind == 1, ".JPG").when(kind == 2, ".txt").otherwise(".PDF"))
+    shown = F.concat(F.lit("**Extracted Question:** "), "p_name", F.when(even, F.concat(F.lit("\n---\n**Image Details:** "), "p_type")).otherwise(""))
+    return read(spark, d, "part").select(
+        "p_partkey", text.file_safe(F.concat("p_name", F.lit("/"), "p_brand")).alias("safe"), text.molecule_file(F.col("p_name")).alias("molecule"), text.file_kind(path).alias("kind"),
+        text.batch_id(F.lit(BATCH_TIME).cast("timestamp")).alias("batch"), text.seed_suffix(F.lit("20240102_1234")).alias("seed"), jsonfix.image_text(shown).alias("i"), text.subject_of_task(F.col("p_type")).alias("subject"),
+        text.server_uri(F.lit(""), F.lit(None).cast("string"), F.when(even, "u"), F.lit("p")).alias("uri")).select("*", "i.question", "i.details").drop("i")
+
+
+# --- contracts ---------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT answer, count(*) AS n, count(*) / (SELECT count(*) FROM {SHUFFLE_SQL}) AS share FROM {SHUFFLE_SQL} GROUP BY answer")
+def contract_answer_spread(spark, d):
+    return contracts.answer_spread(shuffled_rows(spark, d), "answer")
+
+
+@query("""SELECT o_orderkey, o_orderkey % 11 <> 0 AS four_options, true AS letter_ok FROM orders""")
+def contract_options(spark, d):
+    return choice_rows(spark, d).select("o_orderkey", contracts.four_options(F.col("choices")).alias("four_options"), contracts.answer_letter(F.col("answer")).alias("letter_ok"))
+
+
+@query("SELECT l_returnflag, count_if(l_discount > 0.05) / count(*) AS ratio, count_if(l_discount > 0.05) / count(*) BETWEEN 0.3 AND 0.4 AS ok FROM lineitem GROUP BY 1")
+def contract_diagram_ratio(spark, d):
+    return contracts.diagram_ratio(read(spark, d, "lineitem").withColumn("needs", F.col("l_discount") > 0.05), "needs", 0.3, 0.4, "l_returnflag")
+
+
+@query("""SELECT p_partkey, p_size % 6 + 1 BETWEEN 3 AND 5 AND p_size % 5 = p_size % 6 AS level_ok, p_partkey % 2 = 0 AS prefix_ok, p_size % 2 = p_partkey % 2 AS steps_ok, p_partkey % 3 <> 0 AS stem_ok, p_size % 4 <> 3 AS difficulty_ok, p_partkey % 5 = 0 AS verified FROM part""")
+def contract_rows(spark, d):
+    part, size, key = read(spark, d, "part"), F.col("p_size"), F.col("p_partkey")
+    names = F.array(*[F.lit(k) for k in text.LEVELS])
+    level = F.get(names, (size % 5).cast("int"))
+    hints = F.when(key % 5 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a")))
+    return part.select(
+        "p_partkey", contracts.level_agrees(level, (size % 6 + 1).cast("int"), 3).alias("level_ok"), contracts.skill_prefixed(F.concat(F.when(key % 2 == 0, level).otherwise("None"), F.lit("-1")), level).alias("prefix_ok"),
+        contracts.steps_iff_diagram(F.when(size % 2 == 0, F.array(F.lit("s"))).otherwise(F.array().cast("array<string>")), key % 2 == 0).alias("steps_ok"), contracts.plain_stem(F.when(key % 3 == 0, "see Step 1").otherwise("x")).alias("stem_ok"),
+        contracts.difficulty_known(F.get(F.array(*[F.lit(x) for x in contracts.DIFFICULTIES]), (size % 4).cast("int"))).alias("difficulty_ok"), contracts.verified(hints, F.lit("A"), F.lit("B"), F.lit(False)).alias("verified"))
+
+
+@query("""SELECT n_nationkey AS unit, 60 AS want, coalesce(n, 0) AS n, coalesce(n, 0) = 60 AS ok FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) ON c_nationkey = n_nationkey""")
+def contract_question_counts(spark, d):
+    wanted = read(spark, d, "nation").select(F.col("n_nationkey").alias("unit"), F.lit(60).alias("want"))
+    return contracts.count_matches(read(spark, d, "customer").withColumnRenamed("c_nationkey", "unit"), wanted, "unit")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def contract_objectives_covered(spark, d):
+    return contracts.uncovered(read(spark, d, "customer").select("c_custkey", "c_name"), read(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+
+
+# --- workflows with the offline provider -------------------------------------------------------------------------
+
+
+@query()
+def exam_workflow(spark, d):
+    from quizloom.plans.workflows import exam
+
+    units = read(spark, d, "nation").join(read(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey")).groupBy("n_nationkey", "n_name").agg(F.count("*").alias("weight"))
+    units = units.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit"), "weight", F.array("n_name").alias("objectives"))
+    return exam(spark, units, "Science", 44, BATCH_TIME).select("unit_id", "question", "correct_answer", "hash", "question_index", "set_index", "batch_id")
+
+
+@query()
+def llm_stub_roundtrip(spark, d):
+    rows = read(spark, d, "nation").select("n_nationkey", F.lit("Be brief.").alias("system_prompt"), F.concat(F.lit("On "), "n_name").alias("user_prompt"))
+    asked = providers.requests(rows, "offline")
+    answers = providers.respond(asked)
+    found = bank.questions_of(asked.join(answers, "request_id").select("n_nationkey", "response"), "response", jsonfix.sanitize_bank)
+    return found.select("n_nationkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"))
+
+
+@query()
+def embed_stub(spark, d):
+    return providers.embed(read(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")

@@ -1 +1,31 @@
+"""Streaming forms of cross-run de-duplication and of the delta sync."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quizloom.functions.text import canonical_text, dedup_hash
+
+
+def unique_questions(stream: DataFrame, text: str, event_time: str, keep: str = "1 day") -> DataFrame:
+    """The first question of each hash; a hash is forgotten once the watermark has passed it by ``keep``."""
+    hashed = stream.withColumn("hash", dedup_hash(canonical_text(F.col(text)))).where("hash IS NOT NULL")
+    return hashed.withWatermark(event_time, keep).dropDuplicatesWithinWatermark(["hash"])
+
+
+def windowed_counts(stream: DataFrame, event_time: str, by: str, window: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """Questions in each event-time window; rows later than ``late`` do not count."""
+    return stream.withWatermark(event_time, late).groupBy(F.window(event_time, window), by).agg(F.count("*").alias("n"))
+
+
+def sync_batches(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: appends the rows of a batch whose key the table lacks, so a replayed batch adds nothing."""
+    from quizloom.sources.bank import append_new
+
+    def write(batch: DataFrame, _: int) -> None:
+        append_new(batch, path, key)
+
+    return write
