@@ -31,7 +31,7 @@ NO_DOC = np.int64(2**63 - 1)
 
 def squeeze(a: np.ndarray) -> bytes:
     """Integers by byte planes, compressed."""
-    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes())
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes())
 
 
 def unsqueeze(data: bytes, kind) -> np.ndarray:
