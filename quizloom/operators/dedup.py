@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quizloom.operators.lookup import first_by
 
+SALTS = 32
+
 
 def first_seen(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """The first row of each key in this order; rows with a null key go."""
@@ -26,9 +28,15 @@ def seen_after(seen: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def trim(rows: DataFrame, group: Sequence[str], want: str, *order: str) -> DataFrame:
-    """At most ``want`` rows of each group, the first in this order."""
-    n = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return rows.withColumn("__n", n).where(F.col("__n") <= F.col(want)).drop("__n")
+    """At most ``want`` rows of each group, the first in this order.
+
+    A hot group is cut down in salted parts first, so that no task sorts more of it than ``SALTS`` times what is wanted.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    for keys in ([*group, "__salt"], [*group]):
+        n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        salted = salted.withColumn("__n", n).where(F.col("__n") <= F.col(want)).drop("__n")
+    return salted.drop("__salt")
 
 
 def deficits(wanted: DataFrame, have: DataFrame, unit: str) -> DataFrame:

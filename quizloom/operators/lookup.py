@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quizloom.tables import Tables
+
 WILDCARDS = ("*", "no", "all")
 
 
@@ -106,9 +108,11 @@ def with_template(rows: DataFrame, templates: DataFrame, key: str = "level") ->
 def batches(rows: DataFrame, size: int, *order: str, ranges: int = 256) -> DataFrame:
     """Adds batch, from 0, of ``size`` rows each in this order.
 
-    Numbers rows without one task seeing them all: a count for each range of the order, then places within ranges.
+    Numbers rows without one task seeing them all: a count for each range of the order, then places within ranges. The
+    ranges are written first, as range bounds come from a sample and must not change between the two.
     """
     spread = rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
+    spread = Tables(rows.sparkSession, "batches").save(spread, "ranges")
     counts = spread.groupBy("__range").count()
     before = counts.withColumn("__before", F.sum("count").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)))  # one row a range
     within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.operators import bank, dedup, delta, framework, lookup, pages, summary
-from quizloom.plans.tables import Tables
 from quizloom.sources import providers
+from quizloom.tables import Tables
 
 EXAM_SYSTEM = "You write exam questions for {subject}."
 EXAM_USER = "Write {n_questions} questions on the unit {unit} of {subject}.\n{objectives}"
