@@ -68,7 +68,7 @@ def skill_levels(spark: SparkSession, skills: DataFrame, levels: dict[str, int],
 def enhance(spark: SparkSession, questions: DataFrame, skills: DataFrame, provider: str = "offline", call: providers.Call = providers.offline) -> DataFrame:
     """Each question of a known skill with the model's answer to it as JSON; questions without skill drop out."""
     tables = Tables(spark, "enhance")
-    rows = questions.join(skills.select("skill_id", "skill"), "skill_id")
+    rows = questions.drop("skill").join(skills.select("skill_id", "skill"), "skill_id")
     params = {"skill": F.col("skill"), "level": F.col("level"), "question": F.col("question"), "choices": F.to_json("multiple_choices"), "answer": F.col("correct_answer")}
     rows = rows.withColumn("system_prompt", F.lit("You review questions.")).withColumn("user_prompt", prompts.render(ENHANCE_USER, params))
     got = answered(tables, rows, "call", provider, call)
