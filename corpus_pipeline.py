@@ -17,7 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter (null texts too) and those whose language is less likely than all others together.
+    """Rejects documents without a letter (null texts too) and those whose likeliest language is hardly likelier than chance.
 
     The model learns from the rows that name a language; those without get the predicted one. Without any such row nothing but und can be said: then
     only documents without a letter go.
@@ -25,7 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = lang_id.train(docs.select("doc_id", "text", "lang"))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = lang_id.predict(docs, model).where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= 0.5))
+    found = lang_id.predict(docs, model).where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= min(1.0, 1.2 / len(model.langs))))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
