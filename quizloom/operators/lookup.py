@@ -40,6 +40,23 @@ def by_task(rows: DataFrame, tasks: DataFrame, key: str, name: Column) -> DataFr
     return rows.join(tasks.where(name), key)
 
 
+def resolve_skills(spark: SparkSession, rows: DataFrame, tasks: DataFrame, ids: Sequence[int] = (), task: str | None = None, key: str = "skill_id") -> DataFrame:
+    """Skills by id if there are ids, else by the name of a task, else an error before anything runs."""
+    if ids:
+        return lookup_ids(spark, ids, rows, tasks, key, "task_name").drop("pos")
+    if task:
+        return by_task(rows, tasks, key, F.col("task_name") == task)
+    raise ValueError("neither skill ids nor a task name")
+
+
+def skill_params(skills: DataFrame, objectives: Column, n_questions: int, levels: Sequence[str]) -> DataFrame:
+    """The parameters of a prompt for each skill; what a prompt does not name is dropped. subject_id holds the skill's id."""
+    default = F.lit("")
+    return skills.select(
+        F.col("skill_id").alias("subject_id"), F.coalesce("subject", default).alias("subject"), F.coalesce("subject_area", default).alias("subject_area"), "skill_id", F.col("skill_name").alias("skill"),
+        F.coalesce(objectives, F.array().cast("array<string>")).alias("learning_objectives"), F.lit(n_questions).alias("num_questions"), F.array(*[F.lit(x) for x in levels]).alias("bloom_levels"))
+
+
 def find(rows: DataFrame, equals: Sequence[tuple[str, object | None]] = (), limit: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Rows where the first filter with a value holds (all rows if none has one), then a limit in a fixed order."""
     for name, value in equals:

@@ -635,6 +635,22 @@ def names_and_formats(spark, d):
         text.server_uri(F.lit(""), F.lit(None).cast("string"), F.when(even, "u"), F.lit("p")).alias("uri")).select("*", "i.question", "i.details").drop("i")
 
 
+@query("SELECT lang, count(*) AS n, min(length(text)) AS shortest, max(length(text)) AS longest, sum(length(text)) AS characters FROM documents GROUP BY lang")
+def length_statistics(spark, d):
+    size = F.length("text")
+    return read(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.min(size).alias("shortest"), F.max(size).alias("longest"), F.sum(size).alias("characters"))
+
+
+@query("""
+SELECT c_custkey AS subject_id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS subject, n_name AS subject_area, c_custkey AS skill_id, c_name AS skill, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS objectives, 15 AS num_questions, 'Applying|Evaluating' AS levels
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def skill_parameters(spark, d):
+    rows = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    skills = rows.select(F.col("c_custkey").alias("skill_id"), F.col("c_name").alias("skill_name"), F.col("n_name").alias("subject_area"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("subject"), F.when(F.col("c_custkey") % 2 == 0, F.array("c_mktsegment")).alias("o"))
+    out = lookup.skill_params(skills, F.col("o"), 15, ["Applying", "Evaluating"])
+    return out.withColumn("objectives", F.array_join("learning_objectives", "|")).withColumn("levels", F.array_join("bloom_levels", "|")).drop("learning_objectives", "bloom_levels")
+
+
 # --- contracts ---------------------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions import jsonfix
-from quizloom.functions.text import file_kind
+from quizloom.functions.text import ANSWER_KEY_MARKS, file_kind
 
 
 def templates(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
@@ -52,6 +52,36 @@ def binary_pages(spark: SparkSession, path: str, reader: Callable[[bytes], list[
     return files.mapInArrow(run, "doc string, page_number int, text string")
 
 
+def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list[tuple[str, list[list[str | None]]]]] | None = None) -> DataFrame:
+    """doc, row_ord, cells of the tables on answer-key pages of the PDF files at ``path``, each table without its first row.
+
+    ``reader`` gives the text and the table rows of each page.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), "content")
+
+    def run(batches):
+        read = reader or pdf_tables
+        for batch in batches:
+            rows = []
+            for doc, content in zip(batch.column("doc").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                try:
+                    found = [r for text, table in read(content) if any(m in (text or "") for m in ANSWER_KEY_MARKS) for r in table[1:]]
+                except (ValueError, OSError):
+                    continue
+                rows += [(doc, i, cells) for i, cells in enumerate(found)]
+            cols = list(zip(*rows, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.list_(pa.string())), strict=True)], ["doc", "row_ord", "cells"])
+
+    return files.mapInArrow(run, "doc string, row_ord int, cells array<string>")
+
+
+def pdf_tables(content: bytes) -> list[tuple[str, list[list[str | None]]]]:
+    import pdfplumber
+
+    with pdfplumber.open(io.BytesIO(content)) as pdf:
+        return [(p.extract_text() or "", rows) for p in pdf.pages for rows in p.extract_tables()]
+
+
 def pdf_pages(content: bytes) -> list[str]:
     import pdfplumber
 

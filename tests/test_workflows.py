@@ -172,3 +172,34 @@ def test_streams(spark, tmp_path):
     write(df, 0)
     write(df, 0)
     assert spark.read.parquet(f"{tmp_path}/synced").count() == 9
+
+
+def test_jobs(spark, tmp_path):
+    from quizloom.__main__ import arguments, run
+
+    rows = spark.createDataFrame([(str(i), f"Q{i % 3}", [f"{c}. {c}" for c in "ABCD"], "A") for i in range(6)], "_id string, question string, multiple_choices array<string>, correct_answer string")
+    rows.write.parquet(f"{tmp_path}/src")
+    rows.where("_id < '2'").write.parquet(f"{tmp_path}/dst")
+    call = lambda *a: run(spark, arguments([str(x) for x in a]))
+    side = ("--source", f"{tmp_path}/src", "--target", f"{tmp_path}/dst", "--id-field", "_id")
+    assert call("sync", *side, "--dry-run") == {"added_count": 4, "deleted_count": 0, "changed_count": 0, "synced_count": 0}
+    assert call("sync", *side)["synced_count"] == 4 and call("sync", *side)["synced_count"] == 0
+    assert call("shuffle", "--bank", f"{tmp_path}/src", "--out", f"{tmp_path}/new", "--seed", "s") == {"rows": 6}
+    assert call("dedup", "--bank", f"{tmp_path}/src", "--out", f"{tmp_path}/u1", "--seen", f"{tmp_path}/seen", "--version", 1) == {"rows": 3}
+    assert call("dedup", "--bank", f"{tmp_path}/src", "--out", f"{tmp_path}/u2", "--seen", f"{tmp_path}/seen", "--version", 2) == {"rows": 0}
+
+
+def test_answer_key_tables(spark, tmp_path):
+    (tmp_path / "k.pdf").write_bytes(b"x")
+    reader = lambda content: [("Answer Key", [["no", "a", "s", "l", "u"], ["1", "B", "s", "l", "2"]]), ("other", [["h"], ["9"]])]
+    assert [r.cells for r in files.binary_tables(spark, f"{tmp_path}/k.pdf", reader).collect()] == [["1", "B", "s", "l", "2"]]
+
+
+def test_skill_resolution(spark):
+    from quizloom.operators.lookup import resolve_skills
+
+    skills, tasks = spark.createDataFrame([(1, "L"), (2, "S")], "skill_id long, skill_name string"), spark.createDataFrame([(1, "T1"), (2, "T1")], "skill_id long, task_name string")
+    assert [r.skill_id for r in resolve_skills(spark, skills, tasks, [2], "T1").collect()] == [2]
+    assert resolve_skills(spark, skills, tasks, [], "T1").count() == 2
+    with pytest.raises(ValueError):
+        resolve_skills(spark, skills, tasks)
