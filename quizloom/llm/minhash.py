@@ -1,11 +1,12 @@
 """Near-duplicate removal by MinHash with sequential Bayesian verification.
 
 Documents with equal shingle sets form a class, and all else concerns classes. Signatures are cut into bands; classes
-with an equal band meet in a bucket. A bucket's members are compared with a few centres, not with each other: first
-with the smallest, then, as long as a bucket holds classes of different components, with ever more. Only pairs of
-the same component are left out, so no component misses a link that any pair of a bucket could give. A comparison
-reads the signatures in batches and gives up once the posterior probability of a similarity at or over the threshold
-falls below the chosen miss probability; what survives is verified exactly on the full shingle sets.
+with an equal band meet in a bucket. A bucket's members are first compared with its smallest class. Where the others
+are then still of different components, they are compared in blocks of bounded size, each block returning no more links than it
+has members; pairs of one component are left out. So no component misses a link that any pair of a bucket could
+give, and no pairs of a group are written out. A comparison reads the signatures in batches and gives up once the
+posterior probability of a similarity at or over the threshold falls below the chosen miss probability; what
+survives is verified exactly on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,16 +28,19 @@ from quizloom.llm.words import WordHashes, mixed, shingle_set
 BANDS, ROWS, BATCH = 32, 5, 32
 #: Bits of the filter that keeps texts outside any surviving pair from being sent; 4 MB whatever the corpus.
 FILTER_BITS = 1 << 25
+#: Members of a block, about: of a bucket's largest component, and of its other ones.
+LARGE, SMALL = 512, 256
 
 
 def signer(seed: int = 5):
-    """set of hashes -> signature, the least of each of BANDS * ROWS multiply-add hashes (32 bits)."""
+    """set of hashes -> signature, 16 bits of the least of each of BANDS * ROWS multiply-add hashes."""
     a, b = np.random.default_rng(seed).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
     a = a * np.uint64(2) + np.uint64(1)
 
     def sign(x: np.ndarray) -> np.ndarray:
         least = [(a[:, None] * x[k : k + 4096] + b[:, None]).min(1) for k in range(0, len(x), 4096)]
-        return (reduce(np.minimum, least) >> np.uint64(32)).astype(np.uint32)
+        least = reduce(np.minimum, least)
+        return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
     return sign
 
@@ -78,7 +82,7 @@ def buckets(classes: DataFrame) -> DataFrame:
         places = np.arange(BANDS, dtype=np.uint64)[None, :]
         for batch in batches:
             m = batch.num_rows
-            sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(m, BANDS, ROWS).astype(np.uint64)
+            sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(m, BANDS, ROWS).astype(np.uint64)
             h = np.repeat(places, m, 0) + np.uint64(1)
             for k in range(ROWS):
                 h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
@@ -99,7 +103,7 @@ class Verifier:
 
         def run(batches):
             for batch in batches:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1, BATCH) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1, BATCH) for c in ("sa", "sb"))
                 alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
                 for k, need in enumerate(least):
                     matches[alive] += (x[alive, k] == y[alive, k]).sum(1)
@@ -110,12 +114,11 @@ class Verifier:
         both = pairs.join(sig.toDF("b", "sb"), "b").join(sig.toDF("a", "sa"), "a")
         return both.mapInArrow(run, "a long, b long")
 
-    def texts(self, pairs: DataFrame, tag: str) -> DataFrame:
-        """cls, packed: the compressed text of one document of each class in ``pairs``."""
+    def texts(self, needed: DataFrame, tag: str) -> DataFrame:
+        """cls, packed: the compressed text of one document of each class in ``needed``."""
         size = self.size
-        spark = pairs.sparkSession
-        needed = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-        needed = self.scratch.save(needed.join(self.classes.select("cls", "id", "digest"), "cls"), f"needed-{tag}")
+        spark = needed.sparkSession
+        needed = self.scratch.save(needed.select("cls").distinct().join(self.classes.select("cls", "id", "digest"), "cls"), f"needed-{tag}")
         slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
         maps = needed.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
         wanted = np.zeros(FILTER_BITS, bool)
@@ -142,7 +145,7 @@ class Verifier:
     def linked(self, pairs: DataFrame, tag: str) -> DataFrame:
         """The pairs (a, b) whose similarity reaches the threshold; written to the scratch folder."""
         left = self.scratch.save(self.survivors(pairs), f"survivors-{tag}")
-        texts = self.texts(left, tag)
+        texts = self.texts(left.select(F.col("a").alias("cls")).union(left.select(F.col("b").alias("cls"))), tag)
         size, percent = self.size, self.percent
 
         def run(batches):
@@ -164,6 +167,81 @@ class Verifier:
         self.scratch.drop(f"survivors-{tag}", f"needed-{tag}", f"texts-{tag}")
         return out
 
+    def links_in_blocks(self, mixed_: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
+        """Links (a, b) between members of different roots in the same bucket, as many as join them; written to the scratch folder.
+
+        ``mixed_``: bucket, cls, n, root. The members of a bucket's largest component meet all others, these also each other.
+        """
+        counts = mixed_.groupBy("bucket", "root").agg(F.count("*").alias("k"))
+        per = counts.groupBy("bucket").agg(F.sum("k").alias("size"), F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+        small = F.ceil((F.col("size") - F.col("top.k")) / SMALL).cast("int")
+        per = per.select("bucket", F.col("top.root").alias("top"), small.alias("ns"), F.ceil(F.col("top.k") / LARGE).cast("int").alias("nl"))
+        rows = mixed_.join(per, "bucket").withColumn("large", F.col("root") == F.col("top"))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.when(F.col("large"), F.col("nl")).otherwise(F.col("ns"))).cast("int"))
+        each = F.sequence(F.lit(0), F.col("ns") - 1)
+        with_small = F.transform(each, lambda j: F.struct(F.lit("s").alias("kind"), F.least("own", j).alias("x"), F.greatest("own", j).alias("y")))
+        with_large = F.transform(F.sequence(F.lit(0), F.col("nl") - 1), lambda j: F.struct(F.lit("l").alias("kind"), F.col("own").alias("x"), j.alias("y")))
+        as_large = F.transform(each, lambda i: F.struct(F.lit("l").alias("kind"), i.alias("x"), F.col("own").alias("y")))
+        rows = rows.select("bucket", "cls", "root", F.explode(F.when(F.col("large"), as_large).otherwise(F.concat(with_small, with_large))).alias("at"))
+        rows = rows.join(self.classes.select("cls", "signature"), "cls").join(texts, "cls")
+        least, size, percent = self.least, self.size, self.percent
+
+        def compare(key, group):
+            cls, root = group["cls"].to_numpy(), group["root"].to_numpy()
+            unpack = zstandard.ZstdDecompressor().decompress
+            sets = [shingle_set(unpack(t).decode("utf-8", "surrogatepass"), size, WORDS) for t in group["packed"].to_pylist()]
+            sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(cls), -1, BATCH)
+            tree = spanning_links(sets, sig, root, least, percent)
+            return pa.table({"a": pa.array([min(cls[i], cls[j]) for i, j in tree], pa.int64()), "b": pa.array([max(cls[i], cls[j]) for i, j in tree], pa.int64())})
+
+        found = rows.select("bucket", "at.kind", "at.x", "at.y", "cls", "root", "signature", "packed").groupBy("bucket", "kind", "x", "y").applyInArrow(compare, "a long, b long")
+        return self.scratch.save(found, f"linked-{tag}")
+
+
+#: Of the block tasks of a worker.
+WORDS = WordHashes()
+
+
+def spanning_links(sets: list[np.ndarray], sig: np.ndarray, root: np.ndarray, least: list[int], percent: int) -> list[tuple[int, int]]:
+    """Enough links between sets of different roots to join all that links join."""
+    n = np.array([len(s) for s in sets], np.int64)
+    x, y = np.nonzero(np.triu(root[:, None] != root[None, :]) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])))
+    matches = np.zeros(len(x), np.int64)
+    for k, need in enumerate(least):
+        for at in range(0, len(x), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            matches[part] += (sig[x[part], k] == sig[y[part], k]).sum(1)
+        alive = matches >= need
+        x, y, matches = x[alive], y[alive], matches[alive]
+    if not len(x):
+        return []
+    # exact: the shingles that two sets or more have, as bitmaps
+    every = np.concatenate(sets)
+    values, place, count = np.unique(every, return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    bits = np.zeros((len(sets), -(-int((count > 1).sum() + 1) // 64) * 64), bool)
+    owner, common = np.repeat(np.arange(len(sets)), n), count[place] > 1
+    bits[owner[common], shared[place[common]]] = True
+    words = np.packbits(bits, 1).view(np.uint64)
+    linked = np.zeros((len(sets), len(sets)), bool)
+    step = max(1, (1 << 22) // words.shape[1])
+    for at in range(0, len(x), step):
+        i, j = x[at : at + step], y[at : at + step]
+        both = np.bitwise_count(words[i] & words[j]).sum(1, dtype=np.int64)
+        good = 100 * both >= percent * (n[i] + n[j] - both)
+        linked[i[good], j[good]] = linked[j[good], i[good]] = True
+    tree, todo = [], np.ones(len(sets), bool)
+    for start in range(len(sets)):
+        edge = [start] if todo[start] else []
+        todo[start] = False
+        while edge:
+            i = edge.pop()
+            new = np.flatnonzero(linked[i] & todo)
+            todo[new] = False
+            tree += [(i, int(j)) for j in new]
+            edge += new.tolist()
+    return tree
+
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, miss: float = 1e-6, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id, kept for each row of ``docs``.
@@ -185,42 +263,34 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, miss: flo
     full = every.groupBy("bucket").agg(F.min(F.struct("cls", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1")
     full = scratch.save(full, "buckets")
     members = scratch.save(every.join(full.select("bucket"), "bucket", "left_semi"), "members")
-    verifier = Verifier(docs, classes, scratch, size, percent, miss)
+    # most classes share no bucket; the others' signatures are a small table of their own
+    met = scratch.save(classes.join(members.select("cls").distinct(), "cls", "left_semi"), "met")
+    verifier = Verifier(docs, met, scratch, size, percent, miss)
     near = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     pairs = members.join(full, "bucket").select(F.col("centre.cls").alias("a"), F.col("centre.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
-    tested = scratch.save(pairs.where(f"a <> b AND {near}").select("a", "b").distinct(), "tested-0")
-    links = verifier.linked(tested, "0")
+    links = verifier.linked(scratch.save(pairs.where(f"a <> b AND {near}").select("a", "b").distinct(), "pairs"), "0")
     roots = components(links, scratch, "cc-0")
-    step = 1
-    while True:
-        # centres of this round: about 4 ** step members of each bucket that still holds two components
-        rooted = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        mixed_ = rooted.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        draw = F.pmod(F.xxhash64("bucket", "cls"), F.lit(1 << 30)) / float(1 << 30) * F.col("size")
-        left = rooted.join(mixed_.select("bucket", "size"), "bucket").withColumn("draw", draw)
-        left = scratch.save(left, f"mixed-{step}")
-        if not left.where(F.col("draw") >= (4.0 ** (step - 1) if step > 1 else 0.0)).limit(1).count():
-            break
-        now = F.col("draw") < 4.0**step
-        before = F.col("draw") >= (4.0 ** (step - 1) if step > 1 else 0.0)
-        centre = left.where(now & before).select("bucket", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        other = left.select("bucket", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-        met = centre.join(other, "bucket").where(f"rx <> ry AND 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-        met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = scratch.save(met, f"tested-{step}")
-        scratch.drop(f"mixed-{step}")
-        if fresh.limit(1).count():
-            tested = tested.union(fresh)
-            new = verifier.linked(fresh, str(step))
-            links = links.union(new)
-            if new.limit(1).count():
-                roots = components(links, scratch, f"cc-{step}")
-        step += 1
+    # the smallest class of a bucket has met all others; these have not met each other
+    others = members.join(full.select("bucket", "size", F.col("centre.cls").alias("centre")), "bucket").where("size > 2 AND cls <> centre").select("bucket", "cls", "n", "size")
+
+    def still_mixed(tag: str) -> DataFrame:
+        rooted = others.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+        return scratch.save(rooted.join(several, "bucket"), tag)
+
+    mixed_ = still_mixed("mixed-1")
+    texts = verifier.texts(mixed_, "blocks")
+    # first each class in its largest bucket only, which joins most of a group of near copies, then what is left everywhere
+    largest = mixed_.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("m")).select("cls", F.col("m.bucket").alias("bucket"))
+    links = links.union(verifier.links_in_blocks(mixed_.join(largest, ["cls", "bucket"]), texts, "1"))
+    roots = components(links, scratch, "cc-1")
+    links = links.union(verifier.links_in_blocks(still_mixed("mixed-2"), texts, "2"))
+    roots = components(links, scratch, "cc-2")
     found = classes.select("cls", "id", "digest").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     found = scratch.save(found.select("id", "digest", "root"), "found")
     least = found.groupBy("root").agg(F.min("id").alias("component_id"))
     named = scratch.save(found.join(least, "root").select("digest", "component_id"), "named")
-    scratch.drop("classes", "buckets", "members", "found")
+    scratch.drop("classes", "met", "buckets", "members", "pairs", "mixed-1", "mixed-2", "needed-blocks", "texts-blocks", "found")
     out = rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
