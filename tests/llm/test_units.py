@@ -1,0 +1,117 @@
+"""Parts that need no session: merging, bit slices, block links, hashes."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from quizloom.llm import bpe, bsi_topk, lang_id, minhash, substring_dedup
+from quizloom.llm.queries import vocabulary_path
+
+PATH = vocabulary_path()
+LIBRARY = Tokenizer.from_file(PATH)
+PIECES = ["a", "th", "ing", "'s", "'LL", "1", "½", "é", "É", "ß", "İ", "Σ", "ΑΣ", " ", "\n", " ", "中", "<|endoftext|>", "<|startoftext|", "é", "ﬁ", "_", "!!", "…", "\x1c", "\x85", "​", "🙂", "Hello", "tionar"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=30))
+def test_bpe_equals_library(parts):
+    ids, shown = bpe.round_trip(bpe.vocabulary(PATH), "".join(parts))
+    want = LIBRARY.encode("".join(parts), add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == want and shown.decode() == LIBRARY.decode(want, skip_special_tokens=False)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=60))
+def test_bpe_any_text(text):
+    ids, _ = bpe.round_trip(bpe.vocabulary(PATH), text)
+    assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_letters_and_chunks(monkeypatch):
+    rng = np.random.default_rng(0)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(1, 25))) for _ in range(3000)] + ["a" * 700, "ab" * 900]
+    text = " ".join(words)
+    want = LIBRARY.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(bpe, "CHUNK", 500)
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    assert np.frombuffer(bpe.round_trip(bpe.WordBpe(PATH), text)[0], "<u4").tolist() == want
+
+
+def test_verification_is_exact():
+    """A proposal passes exactly if merging gives it too."""
+    own, rng = bpe.vocabulary(PATH), np.random.default_rng(1)
+    words = ["".join(rng.choice(list("aeinorst"), rng.integers(2, 9))) for _ in range(4000)]
+    for w in words:
+        p, m = own.propose(w), own.merge(w)
+        ok = bool(own.compatible(np.array(p[:-1]), np.array(p[1:])).all())
+        assert ok == (p == m)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(1, 70), st.integers(1, 6), st.integers(1, 8), st.integers(0, 10**6))
+def test_bit_sliced_scores(n, dim, k, seed):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    v = rng.integers(-9, 10, (n, dim))
+    ids = rng.permutation(n).astype(np.int64)
+    row = bsi_topk.pack_rows((pa.scalar(0), pa.scalar(dim)), pa.table({"id": ids, "q": pa.array(v.tolist(), pa.list_(pa.int64()))})).to_pylist()[0]
+    slices = np.frombuffer(row["slices"], np.uint64).reshape(dim, row["bits"], -1)
+    for q, found, scores in bsi_topk.search_block(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["low"], np.int64), slices, ids, v, k):
+        want = sorted((-int(v[q] @ x), int(i)) for i, x in zip(ids, v, strict=True) if i != ids[q])[:k]
+        assert sorted(zip((-scores).tolist(), found.tolist(), strict=True)) == want
+
+
+def test_least_matches():
+    for n, m in zip(range(32, 161, 32), minhash.least_matches(0.8, 1e-6), strict=True):
+        tail = lambda k: sum(math.comb(n + 1, i) * 0.8**i * 0.2 ** (n + 1 - i) for i in range(k + 1))
+        assert tail(m) >= 1e-6 > tail(m - 1)
+
+
+def test_block_links_join_what_links_join():
+    rng = np.random.default_rng(2)
+    sign = minhash.signer()
+    base = [np.sort(rng.integers(0, 1 << 62, 40).astype(np.uint64)) for _ in range(5)]
+    sets = [np.unique(np.concatenate([np.delete(b, rng.integers(0, len(b), 4)), rng.integers(0, 1 << 62, 2).astype(np.uint64)])) for b in base for _ in range(12)]
+    sig = np.stack([sign(s) for s in sets]).reshape(len(sets), -1, minhash.BATCH)
+    root = np.arange(len(sets)) // 2
+    tree = minhash.spanning_links(sets, sig, root, minhash.least_matches(0.8, 1e-6), 80)
+
+    def components(links):
+        own = list(range(len(sets)))
+        for a, b in links:
+            own = [own[b] if x == own[a] else x for x in own]
+        return {frozenset(i for i, x in enumerate(own) if x == y) for y in own}
+
+    every = [(i, j) for i in range(len(sets)) for j in range(i) if root[i] != root[j] and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    assert components(tree) == components(every) and len(tree) < len(sets) and set(map(frozenset, tree)) <= set(map(frozenset, every))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50))
+def test_squeeze(values):
+    a = np.sort(np.array(values, np.uint64))
+    assert substring_dedup.unsqueeze_sorted(substring_dedup.squeeze_sorted(a), np.uint64).tolist() == a.tolist()
+    b = a.view(np.int64)
+    assert substring_dedup.unsqueeze(substring_dedup.squeeze(b), np.int64).tolist() == b.tolist()
+
+
+def test_grams_do_not_depend_on_chunks(monkeypatch):
+    grams, text = lang_id.Grams(12), "Über den Wolken, ça va 12 mal!! " * 40
+    whole = grams(text)
+    assert grams("12 !? \n") is None and grams(None) is None and grams("") is None
+    monkeypatch.setattr(lang_id, "CHUNK", 100)
+    assert abs(int(grams(text).sum()) - int(whole.sum())) < 0.1 * whole.sum()
+
+
+def test_temperature():
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 3, 4000)
+    logits = rng.normal(size=(4000, 3)) + 1.5 * np.eye(3)[y]
+    one = lang_id.best_temperature(logits, y)
+    assert abs(lang_id.best_temperature(5 * logits, y) / one - 5) < 0.05
