@@ -122,12 +122,13 @@ def with_template(rows: DataFrame, templates: DataFrame, key: str = "level") ->
     return joined.where(F.when(F.col("__known").isNotNull(), True).otherwise(F.raise_error(F.concat(F.lit("no template for "), F.col(key))).cast("boolean"))).drop("__known")
 
 
-def batches(rows: DataFrame, size: int, *order: str, ranges: int = 256) -> DataFrame:
+def batches(rows: DataFrame, size: int, *order: str, ranges: int | None = None) -> DataFrame:
     """Adds batch, from 0, of ``size`` rows each in this order.
 
     Numbers rows without one task seeing them all: a count for each range of the order, then places within ranges. The
     ranges are written first, as range bounds come from a sample and must not change between the two.
     """
+    ranges = ranges or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
     spread = Tables(rows.sparkSession, "batches").save(spread, "ranges")
     counts = spread.groupBy("__range").count()
