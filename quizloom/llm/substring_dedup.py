@@ -85,12 +85,21 @@ class Pack:
         return starts, h[starts]
 
 
-def smallest(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values in ascending order and the smallest document of each."""
-    order = np.lexsort((docs, values))
-    v, d = values[order], docs[order]
-    first = np.append(True, v[1:] != v[:-1]) if len(v) else np.zeros(0, bool)
-    return v[first], d[first]
+def groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order that sorts the values, where each distinct value begins in it)."""
+    order = np.argsort(values)
+    v = values[order]
+    return order, np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
+
+
+def smallest(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in ascending order, the smallest document of each, and whether it has others."""
+    order, first = groups(values)
+    if not len(first):
+        return values, docs, np.zeros(0, bool)
+    d = docs[order]
+    low = np.minimum.reduceat(d, first)
+    return values[order[first]], low, np.maximum.reduceat(d, first) > low
 
 
 def within(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -109,23 +118,23 @@ def matched(rows: list[dict]) -> list[np.ndarray]:
     hit = np.zeros(len(v), bool)
     if len(bv):
         # of each block hash the smallest document, its pack, and the smallest one of other packs
-        order = np.lexsort((bd, bv))
+        order, first = groups(bv)
         sv, sp, sd = bv[order], bp[order], bd[order]
-        first = np.flatnonzero(np.append(True, sv[1:] != sv[:-1]))
-        uv, d1, p1 = sv[first], sd[first], sp[first]
-        group = np.cumsum(np.append(False, sv[1:] != sv[:-1]))
-        d2 = np.full(len(uv), NO_DOC)
-        other = np.flatnonzero(sp != p1[group])
-        np.minimum.at(d2, group[other], sd[other])
+        size = np.diff(np.append(first, len(sv)))
+        uv, d1 = sv[first], np.minimum.reduceat(sd, first)
+        p1 = np.maximum.reduceat(np.where(sd == np.repeat(d1, size), sp, -1), first)
+        d2 = np.minimum.reduceat(np.where(sp == np.repeat(p1, size), NO_DOC, sd), first)
         i = np.minimum(np.searchsorted(uv, v), len(uv) - 1)
         hit = (uv[i] == v) & (np.where(p1[i] == pack, d2[i], d1[i]) < most[pack])
         # of each probe hash the pack with the largest document, and the next such pack
-        order = np.lexsort((-most[pack], v))
-        sv, sp = v[order], pack[order]
-        new = np.append(True, sv[1:] != sv[:-1])
-        first = np.flatnonzero(new)
+        by_most = np.argsort(-most, kind="stable")
+        rank = np.empty(len(most), np.uint64)
+        rank[by_most] = np.arange(len(most), dtype=np.uint64)
+        both = np.sort((v.astype(np.uint64) << np.uint64(32)) | rank[pack])
+        sv, sp = (both >> np.uint64(32)).astype(np.uint32), by_most[(both & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+        first = np.flatnonzero(np.append(True, sv[1:] != sv[:-1]))
         nxt = np.minimum(first + 1, len(sv) - 1)
-        x2 = np.where((nxt > first) & ~new[nxt], most[sp[nxt]], -(2**63))
+        x2 = np.where((nxt > first) & (sv[nxt] == sv[first]), most[sp[nxt]], -(2**63))
         j = np.searchsorted(sv[first], bv)
         hit[block] |= np.where(sp[first][j] == bp, x2[j], most[sp[first]][j]) > bd
     return np.split(hit, np.cumsum([len(x) for x in values])[:-1])
@@ -190,7 +199,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 p = Pack(blob, key, text, known)
                 starts, h = p.windows(size, window)
                 aligned = p.at[starts] % size == 0
-                bv, bd = smallest(h[aligned], p.doc[starts[aligned]])
+                bv, bd, _ = smallest(h[aligned], p.doc[starts[aligned]])
                 values = np.unique(h)
                 block = member(bv, values)
                 bounds, cut = part_bounds(values, parts), np.searchsorted(bv, values)
@@ -218,42 +227,43 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
             for number, blob, found in zip(*(batch.column(c).to_pylist() for c in ("pack", "blob", "hits")), strict=True):
                 p = Pack(blob, key, text, known)
                 starts, h = p.windows(size, window)
-                order = np.argsort(h, kind="stable")
-                sh, sd = h[order], p.doc[starts[order]]
-                new = np.append(True, sh[1:] != sh[:-1]) if len(sh) else np.zeros(0, bool)
-                values = sh[new]
-                hot = np.zeros(len(values), bool)
-                group = np.cumsum(new) - 1
-                hot[group[1:][~new[1:] & (sd[1:] != sd[:-1])]] = True  # shared within the pack
+                order, first = groups(h)
+                values = h[order[first]]
+                d = p.doc[starts[order]]
+                hot = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first) if len(first) else np.zeros(0, bool)  # shared within the pack
                 bounds = part_bounds(values, parts)
                 for f in found or ():
                     a, b = bounds[f["part"]], bounds[f["part"] + 1]
                     hot[a:b] |= np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(f["mask"]), np.uint8), count=b - a).view(bool)
                 at = np.zeros(len(p.doc) + window, np.int64)
-                at[starts[order][hot[group]] + 1] = 1
+                at[starts[order[np.repeat(hot, np.diff(np.append(first, len(h))))]] + 1] = 1
                 so_far = np.cumsum(at)
                 wide, g = p.windows(window, window)
                 near = so_far[wide + size] > so_far[wide]  # a hit begins among the first ``size`` words
-                gv, gd = smallest(g[near], p.doc[wide[near]])
+                gv, gd, several = smallest(g[near], p.doc[wide[near]])
                 bounds, rows = part_bounds(gv, parts), []
                 for k in np.flatnonzero(np.diff(bounds)):
                     a, b = bounds[k], bounds[k + 1]
-                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gd[a:b])))
+                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gd[a:b]), np.packbits(several[a:b]).tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 2, strict=True)], ["part", "pack", "windows", "docs"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 3, strict=True)], ["part", "pack", "windows", "docs", "several"])
 
     def judge(key_, group):
         rows = group.to_pylist()
         values = [unsqueeze_sorted(r["windows"], np.uint64) for r in rows]
         docs_of = [unsqueeze(r["docs"], np.int64) for r in rows]
-        uv, d = smallest(np.concatenate(values), np.concatenate(docs_of))
-        lost = [v[d[np.searchsorted(uv, v)] < own] for v, own in zip(values, docs_of, strict=True)]
-        out = [(r["pack"], squeeze_sorted(x)) for r, x in zip(rows, lost, strict=True) if len(x)]
-        return pa.table({"pack": pa.array([o[0] for o in out], pa.int64()), "lost": pa.array([o[1] for o in out], pa.binary())})
-
-    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(candidates, "part long, pack long, windows binary, docs binary")
-    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary")
-    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list("lost").alias("lost")), "lost")
+        uv, d, _ = smallest(np.concatenate(values), np.concatenate(docs_of))
+        out = []
+        for r, v, own in zip(rows, values, docs_of, strict=True):
+            low = d[np.searchsorted(uv, v)]
+            lost = (low < own) | np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).view(bool)
+            if lost.any():
+                out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(low[lost])))
+        return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("to", pa.binary())))})
+
+    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(candidates, "part long, pack long, windows binary, docs binary, several binary")
+    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, to binary")
+    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "to")).alias("lost")), "lost")
 
     kept = [c for c in docs.columns if rewrite or c != text]
 
@@ -263,9 +273,15 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
             for blob, found in zip(batch.column("blob").to_pylist(), batch.column("lost").to_pylist(), strict=True):
                 p = Pack(blob, key, text, known)
                 starts, g = p.windows(window, window)
-                gone = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unsqueeze_sorted(x, np.uint64) for x in found or ())]))
-                uv, ud = smallest(g, p.doc[starts])
-                bad = member(gone, g) | (ud[np.searchsorted(uv, g)] < p.doc[starts])
+                # windows that some document of the pack loses, and the document that keeps each
+                gone = np.concatenate([np.zeros(0, np.uint64), *(unsqueeze_sorted(x["lost"], np.uint64) for x in found or ())])
+                keeper = np.concatenate([np.zeros(0, np.int64), *(unsqueeze(x["to"], np.int64) for x in found or ())])
+                order = np.argsort(gone)
+                gone, keeper = gone[order], keeper[order]
+                bad = np.zeros(len(g), bool)
+                if len(gone):
+                    at = np.minimum(np.searchsorted(gone, g), len(gone) - 1)
+                    bad = (gone[at] == g) & (keeper[at] < p.doc[starts])
                 edge = np.zeros(len(p.doc) + 1, np.int64)
                 np.add.at(edge, starts[bad], 1)
                 np.add.at(edge, starts[bad] + window, -1)
