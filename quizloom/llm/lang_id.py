@@ -125,11 +125,11 @@ def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
-def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int = 15, per_lang: int = 1500, seed: int = 11) -> LangModel | None:
+def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int = 15, sample_rows: int = 6000, seed: int = 11) -> LangModel | None:
     """A model from the rows of ``learning`` with text, letters and a language; None if there is no such row.
 
-    ``per_lang`` bounds the rows that the weights are fitted on to about so many a language, drawn by a hash of the
-    whole row, which may hold an id for that; document frequencies take every row.
+    ``sample_rows`` bounds the rows that the weights are fitted on to about so many, in equal parts for each language as
+    far as it has them, drawn by a hash of the whole row, which may hold an id for that; document frequencies take every row.
     A tenth of the sample goes to the calibration alone.
     """
     small_batches(learning.sparkSession)
@@ -154,7 +154,8 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
     df[list(found)] = list(found.values())
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    share = {r.lang: min(1.0, per_lang / r["count"]) for r in rows.groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    share = {k: min(1.0, sample_rows / len(sizes) / v) for k, v in sizes.items()}
     langs = sorted(share)
     draw = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
     part = F.element_at(F.create_map(*[F.lit(v) for pair in share.items() for v in pair]), F.col("lang"))

@@ -42,10 +42,10 @@ def model(texts: DataFrame, buckets: int) -> list[float]:
     return [math.log(x) - total for x in n]
 
 
-def kth_boundary(df: DataFrame, column: str, k: int) -> tuple[float | None, int]:
-    """(a value b, rows above b that count) such that the k highest of ``column`` are the rows above b and ties or near rows at b.
+def kth_boundary(df: DataFrame, column: str, k: int) -> tuple[float | None, float | None]:
+    """A range above lo and up to hi that holds the k-th highest value of ``column``; (None, None) is all of them.
 
-    Narrows the range that holds the k-th value by quantiles, with counts over all rows, until it is short enough to sort or holds one value.
+    Narrowed by quantiles, with counts over all rows, until it is short enough to sort or holds one value.
     """
     lo, hi = None, None
     while True:
