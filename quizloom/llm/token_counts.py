@@ -15,7 +15,7 @@ from quizloom.llm.bpe import piece_counts, vocabulary, word_counts
 from quizloom.llm.common import Scratch, small_batches
 
 #: Pre-tokens that are broadcast, whatever the size of the corpus: some MB.
-HEAD = 200_000
+HEAD = 250_000
 #: Pre-tokens a task holds before it passes them on.
 HELD = 200_000
 
@@ -50,7 +50,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
 
     distinct = texts.mapInArrow(frequencies, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     distinct = scratch.save(distinct.mapInArrow(pieces, "word string, n long, pieces long"), "pieces")
-    top = distinct.orderBy(F.desc("n"), "word").limit(head).select("word", "pieces").toArrow()
+    # the largest frequencies down to a step of a quarter octave, as many as ``head`` has room for
+    step = F.floor(F.log2("n") * 4)
+    room, least = head, None
+    for r in sorted(distinct.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
+        if (room := room - r["count"]) < 0:
+            break
+        least = r.step
+    top = distinct.where(step >= least if least is not None else F.lit(False)).select("word", "pieces").toArrow()
     common = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     def sums(batches):
