@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch
+from quizloom.llm.common import Scratch, shuffle_partitions
 
 #: Rows of an index block and queries of a chunk, on average.
 BLOCK, CHUNK = 32_768, 512
@@ -154,6 +154,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_
 
     left = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>")))
     right = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
+    # an explicit number of partitions, as adaptive execution would put the few rows into one task
+    tasks = min(blocks * chunks, 64 * shuffle_partitions(spark))
+    left, right = (side.repartition(tasks, "block", "chunk", "dim") for side in (left, right))
     found = left.join(right, ["block", "chunk", "dim"]).mapInArrow(run, "chunk long, n long, query_id long, vec_id long, score long")
     best = Window.partitionBy("chunk", "query_id", "n").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
