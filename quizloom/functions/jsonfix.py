@@ -11,6 +11,8 @@ LONE_BACKSLASH_EXAM = r'(?<!\\)\\(?![\\/"bfnrtu])'
 LONE_BACKSLASH_BANK = r'(?<!\\)\\(?![\\ntr"/])'
 TWO_BACKSLASHES = r"\\\\"
 TICKS = r"\A`+|`+\z"
+# What parts an answer about an image
+IMAGE_SEPARATOR, QUESTION_MARK, DETAILS_MARK = "---", "**Extracted Question:**", "**Image Details:**"
 
 
 def strip_space(text: Column) -> Column:
@@ -80,7 +82,7 @@ def text_or_list(v: Column) -> Column:
 
 def image_text(text: Column) -> Column:
     """struct<question, details> of an answer that a line of dashes may part; markers go."""
-    parts = F.split(text, "---")
-    question = strip_space(F.replace(F.get(parts, F.lit(0)), F.lit("**Extracted Question:**"), F.lit("")))
-    details = strip_space(F.replace(F.get(parts, F.lit(1)), F.lit("**Image Details:**"), F.lit("")))
+    parts = F.split(text, IMAGE_SEPARATOR)
+    question = strip_space(F.replace(F.get(parts, F.lit(0)), F.lit(QUESTION_MARK), F.lit("")))
+    details = strip_space(F.replace(F.get(parts, F.lit(1)), F.lit(DETAILS_MARK), F.lit("")))
     return F.struct(question.alias("question"), F.coalesce(details, F.lit("")).alias("details"))

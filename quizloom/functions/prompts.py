@@ -8,6 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Headings and prefixes of prompts
+OBJECTIVES_HEADING = "### Learning Objectives:\n"
+SAMPLES_HEADING = "### Sample Questions:\n"
+SAMPLE_LABEL, STEPS_LABEL, QUESTION_LABEL = "Question ", "Diagram Instructions: ", "Question: "
+MODEL_PREFIX = "You are "
+
 NO_OBJECTIVES = "No specific learning objectives are given."
 NO_SOLUTION = "Draw the figure only; do not solve the question."
 
@@ -37,11 +43,11 @@ def bullets(values: Column) -> Column:
 
 
 def objectives_section(values: Column) -> Column:
-    return F.when(F.size(values) > 0, F.concat(F.lit("### Learning Objectives:\n"), numbered(values))).otherwise(NO_OBJECTIVES)
+    return F.when(F.size(values) > 0, F.concat(F.lit(OBJECTIVES_HEADING), numbered(values))).otherwise(NO_OBJECTIVES)
 
 
 def system_objectives(values: Column) -> Column:
-    return F.when(F.size(values) > 0, F.concat(F.lit("\n### Learning Objectives:\n"), bullets(values))).otherwise("")
+    return F.when(F.size(values) > 0, F.concat(F.lit(f"\n{OBJECTIVES_HEADING}"), bullets(values))).otherwise("")
 
 
 def user_objectives(values: Column) -> Column:
@@ -50,8 +56,8 @@ def user_objectives(values: Column) -> Column:
 
 def sample_section(questions: Column) -> Column:
     """Numbered from 1; empty without questions."""
-    listed = F.array_join(F.transform(questions, lambda q, i: F.concat(F.lit("Question "), (i + 1).cast("string"), F.lit(": "), q)), "\n")
-    return F.when(F.size(questions) > 0, F.concat(F.lit("\n### Sample Questions:\n"), listed)).otherwise("")
+    listed = F.array_join(F.transform(questions, lambda q, i: F.concat(F.lit(SAMPLE_LABEL), (i + 1).cast("string"), F.lit(": "), q)), "\n")
+    return F.when(F.size(questions) > 0, F.concat(F.lit(f"\n{SAMPLES_HEADING}"), listed)).otherwise("")
 
 
 def with_constraints(prompt: Column, run_seed: Column) -> Column:
@@ -60,10 +66,10 @@ def with_constraints(prompt: Column, run_seed: Column) -> Column:
 
 
 def diagram_prompt(question: Column, steps: Column) -> Column:
-    drawn = F.when(F.length(steps) > 0, F.concat(F.lit("\n\nDiagram Instructions: "), steps)).otherwise("")
-    return F.concat(F.lit("Question: "), question, drawn, F.lit(f"\n\n{NO_SOLUTION}"))
+    drawn = F.when(F.length(steps) > 0, F.concat(F.lit(f"\n\n{STEPS_LABEL}"), steps)).otherwise("")
+    return F.concat(F.lit(QUESTION_LABEL), question, drawn, F.lit(f"\n\n{NO_SOLUTION}"))
 
 
 def for_provider(system_prompt: Column, provider: Column, model: Column, named: tuple[str, ...] = ("gemini", "anthropic")) -> Column:
     """Some providers are told the model's name first."""
-    return F.when(provider.isin(*named), F.concat(F.lit("You are "), model, F.lit(". "), system_prompt)).otherwise(system_prompt)
+    return F.when(provider.isin(*named), F.concat(F.lit(MODEL_PREFIX), model, F.lit(". "), system_prompt)).otherwise(system_prompt)
