@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quizloom.functions import text
 from quizloom.operators import dedup
 from quizloom.plans import workflows
-from quizloom.sources.bank import append_new, save_state, table_or_empty
+from quizloom.sources.bank import save_state, table_or_empty
+from quizloom.tables import Tables
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -41,8 +42,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "sync":
         source, target = spark.read.parquet(args.source), spark.read.parquet(args.target)
         counts = workflows.sync(source, target, args.id_field)[1].first().asDict()
-        fresh = source.where(F.col(args.id_field).isNotNull())
-        return counts | {"synced_count": 0 if args.dry_run else append_new(fresh.select(target.columns), args.target, args.id_field)}
+        if args.dry_run:
+            return counts | {"synced_count": 0}
+        # every source row of an added id, repeats too; written first, as the target is read for it
+        added = source.where(F.col(args.id_field).isNotNull()).join(target.select(args.id_field), args.id_field, "left_anti")
+        fresh = Tables(spark, "sync").save(added.select(target.columns), "added")
+        fresh.write.mode("append").parquet(args.target)
+        return counts | {"synced_count": fresh.count()}
     if args.job == "shuffle":
         workflows.shuffle_bank(spark.read.parquet(args.bank), args.id_field, args.seed).write.parquet(args.out)
         return {"rows": spark.read.parquet(args.out).count()}
