@@ -16,4 +16,6 @@ class Tables:
 
     def save(self, df: DataFrame, tag: str) -> DataFrame:
         df.write.parquet(f"{self.path}/{tag}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(folder)  # when the session ends
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{tag}")
