@@ -25,7 +25,7 @@ class Scratch:
     """Tables written to the folder that all executors share, to cut lineage.
 
     A lost executor costs the tasks it ran since the last table, not the whole job. The folder is the session's
-    ``spark.checkpoint.dir``; where it is unset, as in tests, a fixed local one.
+    ``spark.checkpoint.dir``; where it is unset, as in tests, a fixed local one. What is left there goes when the session ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -36,10 +36,16 @@ class Scratch:
     def save(self, df: DataFrame, tag: str) -> DataFrame:
         path = f"{self.path}/{tag}"
         df.write.option("compression", "zstd").parquet(path)
+        folder, system = self._at(self.path)
+        system.deleteOnExit(folder)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tags: str) -> None:
         """Delete tables that nothing lazy still reads."""
         for tag in tags:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{tag}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, system = self._at(f"{self.path}/{tag}")
+            system.delete(path, True)
+
+    def _at(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -1,4 +1,4 @@
-"""Connected components of a link table, by hooking to the smallest neighbour and pointer jumping."""
+"""Connected components of a link table: every node hooks to its smallest neighbour, jumps twice, and the edges shrink to those between different ends."""
 
 from __future__ import annotations
 
@@ -14,26 +14,19 @@ def components(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     roots, step = None, 0
     while edges.limit(1).count():
         ends = edges.select(F.col("b").alias("node"), F.col("a").alias("up")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("up")))
-        up = scratch.save(ends.groupBy("node").agg(F.min("up").alias("up")), f"{tag}-up-{step}-0")
-        jump, moved = 0, 1
-        while moved:
-            over = up.select(F.col("node").alias("up"), F.col("up").alias("over"))
-            up2 = scratch.save(up.join(over, "up").select("node", F.col("over").alias("up"), (F.col("over") != F.col("up")).alias("moved")), f"{tag}-up-{step}-{jump + 1}")
-            moved = up2.where("moved").limit(1).count()
-            scratch.drop(f"{tag}-up-{step}-{jump}")
-            up, jump = up2.select("node", "up"), jump + 1
-        side = up.select(F.col("node").alias("b"), F.col("up").alias("ub"))
-        left = up.select(F.col("node").alias("a"), F.col("up").alias("ua"))
-        again = edges.join(left, "a").join(side, "b").where("ua <> ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
+        near = scratch.save(ends.groupBy("node").agg(F.min("up").alias("up")), f"{tag}-near-{step}")
+        over = near.select(F.col("node").alias("up"), F.col("up").alias("over"))
+        up = near.join(over, "up").select("node", F.col("over").alias("up"))
+        up = scratch.save(up.join(over, "up").select("node", F.col("over").alias("up")), f"{tag}-up-{step}")
+        # any map into the own component keeps what hangs together; these edges are all that is left to do
+        left, right = up.select(F.col("node").alias("a"), F.col("up").alias("ua")), up.select(F.col("node").alias("b"), F.col("up").alias("ub"))
+        again = edges.join(left, "a").join(right, "b").where("ua <> ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
         again = scratch.save(again, f"{tag}-edges-{step + 1}")
         if roots is None:
-            roots2 = up.select("node", F.col("up").alias("root"))
+            lifted = up.select("node", F.col("up").alias("root"))
         else:
-            lifted = up.select(F.col("node").alias("root"), F.col("up").alias("new"))
-            roots2 = roots.join(lifted, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
-        roots = scratch.save(roots2, f"{tag}-roots-{step}")
-        scratch.drop(f"{tag}-edges-{step}", f"{tag}-up-{step}-{jump}", f"{tag}-roots-{step - 1}")
+            lifted = roots.join(up.select(F.col("node").alias("root"), F.col("up").alias("new")), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+        roots = scratch.save(lifted, f"{tag}-roots-{step}")
+        scratch.drop(f"{tag}-edges-{step}", f"{tag}-near-{step}", f"{tag}-up-{step}", f"{tag}-roots-{step - 1}")
         edges, step = again, step + 1
-    if roots is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if roots is None else roots

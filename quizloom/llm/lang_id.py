@@ -125,7 +125,7 @@ def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
-def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int = 15, sample_rows: int = 6000, seed: int = 11) -> LangModel | None:
+def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int = 15, sample_rows: int = 4000, seed: int = 11) -> LangModel | None:
     """A model from the rows of ``learning`` with text, letters and a language; None if there is no such row.
 
     ``sample_rows`` bounds the rows that the weights are fitted on to about so many, in equal parts for each language as

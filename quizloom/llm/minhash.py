@@ -121,17 +121,17 @@ class Verifier:
         needed = self.scratch.save(needed.select("cls").distinct().join(self.classes.select("cls", "id", "digest"), "cls"), f"needed-{tag}")
         slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
         maps = needed.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-        wanted = np.zeros(FILTER_BITS, bool)
+        wanted = np.zeros(FILTER_BITS // 8, np.uint8)
         for r in maps.toLocalIterator():  # at most FILTER_BITS / 32768 rows of 4 KB
-            at = (r.k - 1) * 32768
-            got = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-            wanted[at : at + len(got)] = got[: FILTER_BITS - at]
-        shared = spark.sparkContext.broadcast(np.packbits(wanted))
+            part = wanted[(r.k - 1) * 4096 : r.k * 4096]
+            part |= np.frombuffer(bytes(r.bits), np.uint8)[: len(part)]
+        shared = spark.sparkContext.broadcast(wanted)
 
         def run(batches):
-            known, bits, pack = WordHashes(), np.unpackbits(shared.value).view(bool), zstandard.ZstdCompressor(3).compress
+            known, bits, pack = WordHashes(), shared.value, zstandard.ZstdCompressor(3).compress
             for batch in batches:
-                at = np.flatnonzero(bits[batch.column("slot").to_numpy()])
+                slots = batch.column("slot").to_numpy()
+                at = np.flatnonzero((bits[slots >> 3] >> (slots & 7)) & 1)
                 part = batch.take(pa.array(at))
                 texts = part.column("text").to_pylist()
                 digests = [hashlib.blake2b(shingle_set(t, size, known).tobytes(), digest_size=16).digest() for t in texts]
@@ -224,7 +224,7 @@ def spanning_links(sets: list[np.ndarray], sig: np.ndarray, root: np.ndarray, le
     bits[owner[common], shared[place[common]]] = True
     words = np.packbits(bits, 1).view(np.uint64)
     linked = np.zeros((len(sets), len(sets)), bool)
-    step = max(1, (1 << 22) // words.shape[1])
+    step = max(1, (1 << 20) // words.shape[1])
     for at in range(0, len(x), step):
         i, j = x[at : at + step], y[at : at + step]
         both = np.bitwise_count(words[i] & words[j]).sum(1, dtype=np.int64)

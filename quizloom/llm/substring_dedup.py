@@ -25,7 +25,7 @@ from quizloom.llm.common import SPACES, Scratch, shuffle_partitions, small_batch
 from quizloom.llm.words import WordHashes, window_hashes
 
 #: UTF-8 bytes of a pack, about, and words whose hashes a part of the hash range gets on average.
-PACK_BYTES, PART_WORDS = 4_000_000, 2_000_000
+PACK_BYTES, PART_WORDS = 3_000_000, 2_000_000
 NO_DOC = np.int64(2**63 - 1)
 
 

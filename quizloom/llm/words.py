@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words a worker remembers the hash of.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 MULTIPLIER, MIX = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 

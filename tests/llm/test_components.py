@@ -1,0 +1,30 @@
+"""Components of chains, stars, cycles and random links."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from quizloom.llm.common import Scratch
+from quizloom.llm.components import components
+
+
+def test_components(spark):
+    rng = np.random.default_rng(6)
+    order = rng.permutation(400)
+    links = [(int(order[i]), int(order[i + 1])) for i in range(60)]  # a chain in random order
+    links += [(int(order[100]), int(order[i])) for i in range(101, 140)] + [(int(order[200 + i]), int(order[200 + (i + 1) % 30])) for i in range(30)]
+    links += [tuple(map(int, order[rng.integers(240, 400, 2)])) for _ in range(90)] + [(5, 5)] + links[:3]
+    root = {n: n for ab in links for n in ab if ab[0] != ab[1]}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"), "cc").collect()
+    assert sorted(map(tuple, got)) == sorted((n, find(n)) for n in root)
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test"), "none").collect() == []
