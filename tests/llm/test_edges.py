@@ -281,3 +281,21 @@ def test_quality_weights(spark, docs):
     got = sorted((str(r.doc_id), r.log_weight, r.gumbel_key) for r in got)
     for (i, w, g), (j, x, y) in zip(got, sorted(want), strict=True):
         assert i == j and abs(w - x) < 1e-6 * (1 + abs(x)) and abs(g - y) < 1e-6 * (1 + abs(y))
+
+
+def test_quotes_sql(spark):
+    """The query's SQL gives the same on conversations that do quote."""
+    import duckdb
+
+    rows = [
+        (1, 0, "u", "Hello there\nGeneral question?"), (1, 1, "a", "> general  QUESTION?\nYes, sure."), (1, 2, "u", ">> General question?\n> Yes, sure.\nThanks"), (1, 3, "u", "Unrelated"),
+        (1, 4, "a", "> Unrelated\n> \nok"), (2, 0, "u", "> General question?\nno original here"), (1, 5, "u", None), (2, 1, "u", ""), (3, 0, "u", "> later\nfirst"), (3, 1, "u", "later"), (3, 2, "u", "> > later\n>first"), (3, 3, "a", "> first\n> later\nx"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    found = con.execute(quotes.QUOTES_SQL)
+    names = [c[0] for c in found.description]
+    got = [tuple(r[n] for n in names) for r in quotes.thread(df).drop("text").collect()]
+    assert sorted(got) == sorted(found.fetchall(), key=lambda r: r[:2]) and {r[names.index("reply_to")] for r in got} == {None, 0, 1, 3}
