@@ -88,9 +88,9 @@ rate AS (SELECT source, 1.0::DOUBLE * (sqrt(mass) / weights) * total / mass AS r
 part AS (SELECT *, greatest(CAST(ceil(rate / 16) AS INT), 1) AS parts, rate / greatest(CAST(ceil(rate / 16) AS INT), 1) AS mean FROM rate),
 cdf AS (SELECT source, parts, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
         FROM part, (SELECT unnest(range(0, 81)) AS k)),
-draw AS (SELECT rowid_, j, (CAST('0x' || substr(sha256('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || j), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE) AS u, source
-         FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d JOIN part USING (source), LATERAL (SELECT unnest(range(1, parts + 1)) AS j)),
-copies AS (SELECT rowid_, count(*) AS n FROM draw JOIN cdf ON draw.source = cdf.source AND cdf.cdf <= draw.u GROUP BY rowid_)
+draw AS (SELECT rowid_, j, (CAST('0x' || substr(sha256('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || j), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE) AS u, d.source
+         FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d JOIN part p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(range(1, parts + 1)) AS j)),
+copies AS (SELECT rowid_, count(*) AS n FROM draw JOIN cdf ON draw.source IS NOT DISTINCT FROM cdf.source AND cdf.cdf <= draw.u GROUP BY rowid_)
 SELECT doc_id, text, lang, d.source, n_chars, CAST(copy_no AS INT) AS copy_no,
        substr(sha256('mix-1-order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy_no), 1, 16) AS shuffle_key
 FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d JOIN copies USING (rowid_), LATERAL (SELECT unnest(range(1, n + 1)) AS copy_no)

@@ -299,3 +299,17 @@ def test_quotes_sql(spark):
     names = [c[0] for c in found.description]
     got = [tuple(r[n] for n in names) for r in quotes.thread(df).drop("text").collect()]
     assert sorted(got) == sorted(found.fetchall(), key=lambda r: r[:2]) and {r[names.index("reply_to")] for r in got} == {None, 0, 1, 3}
+
+
+def test_mixing_sql(spark, docs):
+    """The query's SQL gives the same rows with nulls, repeats and empty texts too."""
+    import duckdb
+
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    documents = docs.select(names).toArrow()
+    con = duckdb.connect()
+    con.register("documents", documents)
+    found = con.execute(mixing.MIX_SQL)
+    cols = [c[0] for c in found.description]
+    got = [tuple(r[c] for c in cols) for r in mixing.mix(docs.select(names)).collect()]
+    assert sorted(got, key=str) == sorted(found.fetchall(), key=str) and len(got) > 5
