@@ -219,7 +219,8 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
 
     sent = packs.select("pack", "blob").mapInArrow(probe, "part long, pack long, max_doc long, probes binary, blocks binary, docs binary")
     hits = sent.groupBy("part").applyInArrow(match, "pack long, part long, mask binary")
-    hits = hits.groupBy("pack").agg(F.collect_list(F.struct("part", "mask")).alias("hits"))
+    hits = scratch.save(hits.groupBy("pack").agg(F.collect_list(F.struct("part", "mask")).alias("hits")), "hits")
+    scratch.release()
 
     def candidates(batches):
         known = WordHashes()
@@ -264,6 +265,8 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(candidates, "part long, pack long, windows binary, docs binary, several binary")
     lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, to binary")
     lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "to")).alias("lost")), "lost")
+    scratch.drop("hits")
+    scratch.release()
 
     kept = [c for c in docs.columns if rewrite or c != text]
 
