@@ -5,6 +5,9 @@ A text is the set of its paragraphs, here lines cut further at sentence ends. Ea
 digests. The difference of two tables is peeled: a cell with one valid digest gives it away, removing it from its other
 cells uncovers more. If cells are left over, the digests are split over many tables, sized so that even texts
 without a common paragraph can be peeled; a table that fails again is built once more four times as large.
+
+Texts with few line and sentence ends have too few paragraphs to be compared by. A second, finer set cuts long paragraphs further, at
+places that depend on the words there and after a number of words at the latest, and tells repeated pieces apart by their number.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ LOAD = 5
 ROUNDS = 12
 SENTENCE = r"\r?\n+|(?<=[.!?])[ \t]+"
 CHECK = 1 << 16
+#: What a paragraph is cut into where it is long: words, parts of very long ones, and single letters of scripts without case, which may have no spaces.
+TOKEN = r"\p{Lo}|[^\s\p{Lo}]{1,16}"
+#: Tokens that a paragraph may have uncut, and tokens of a piece at most; a piece ends at a token whose hash is a multiple of ENDS.
+LONG, PIECE, ENDS = 24, 16, 8
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -33,11 +40,41 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
 def digests(text: Column) -> Column:
     """Sorted distinct digests of the paragraphs of a text; those that hold but white space, and null texts, have none."""
 
-    def digest(p: Column) -> Column:
-        return let(F.xxhash64(p), lambda h: let(h - F.pmod(h, F.lit(CHECK)), lambda top: top + F.pmod(F.xxhash64(top), F.lit(CHECK))))
+    return F.sort_array(F.array_distinct(F.transform(paragraphs(text), lambda p: digest(F.xxhash64(p)))))
+
+
+def paragraphs(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SENTENCE), lambda p: F.trim(p) != "")
+
+
+def digest(hashed: Column) -> Column:
+    """The hash with its last 16 bits replaced by a check of the others."""
+    return let(hashed, lambda h: let(h - F.pmod(h, F.lit(CHECK)), lambda top: top + F.pmod(F.xxhash64(top), F.lit(CHECK))))
+
+
+def pieces(paragraph: Column) -> Column:
+    """The paragraph itself if it has at most LONG tokens, else its tokens in pieces of at most PIECE."""
+
+    def cut(w: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == F.size(w)) | (F.pmod(F.xxhash64(F.get(w, i - 1)), F.lit(ENDS)) == 0))
+        return let(ends, lambda e: F.flatten(F.zip_with(F.concat(F.array(F.lit(0)), F.slice(e, 1, F.size(e) - 1)), e, lambda a, b: F.transform(
+            F.sequence(a, b - 1, F.lit(PIECE)), lambda at: F.array_join(F.slice(w, at + 1, F.least(F.lit(PIECE), b - at)), " ")))))
+
+    tokens = F.regexp_extract_all(paragraph, F.lit(TOKEN), F.lit(0))
+    return F.when(F.length(paragraph) <= LONG, F.array(paragraph)).otherwise(let(tokens, lambda w: F.when(F.size(w) <= LONG, F.array(paragraph)).otherwise(cut(w))))
+
+
+def fine_digests(text: Column) -> Column:
+    """Sorted digests of the pieces of all paragraphs; where a piece occurs again, its number is hashed in. Equal to ``digests`` if nothing is long or repeated."""
+
+    def numbered(h: Column) -> Column:
+        """Of each run of equal hashes the first as it is, the others with their number."""
+        starts = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
+        return let(starts, lambda s: F.flatten(F.zip_with(s, F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(h))), lambda a, b: F.transform(
+            F.sequence(a, b - 1), lambda i: digest(F.when(i == a, F.get(h, i)).otherwise(F.xxhash64(F.get(h, i), i - a)))))))
 
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), SENTENCE), lambda p: F.trim(p) != "")
-    return F.sort_array(F.array_distinct(F.transform(parts, digest)))
+    hashes = F.sort_array(F.transform(F.flatten(F.transform(paragraphs(text), pieces)), lambda p: F.xxhash64(p)))
+    return let(hashes, lambda h: F.when(F.size(h) == 0, h).otherwise(F.sort_array(F.array_distinct(numbered(h)))))
 
 
 def valid(e: Column) -> Column:
@@ -147,7 +184,7 @@ def next_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row.
+    """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and the last four by finer pieces (fine_...) for each row.
 
     The edited text has its last third (whole code points, rounded down) replaced by as much of the beginning of the next row's text, or all of it. A null text counts as empty; empty
     texts are like each other. Repeated rows are each other's next. One row alone is its own next. Other columns of ``docs`` are not read.
@@ -158,10 +195,19 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("after", F.lit(1), cut))
     rows = rows.withColumn("edited", edited)
     names = {"a": "text", "b": "edited", "c": "after"}
-    sets = rows.select(key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[digests(F.col(v)).alias(k) for k, v in names.items()])
-    tables = sets.select("*", *[sketch(F.col(k)).alias(f"t{k}") for k in names])
     col = F.col
-    return tables.select(
-        key, "n_chars", "edited_sha256", written(col("ta"), F.size("a")).alias("fingerprint"), written(col("tb"), F.size("b")).alias("edited_fingerprint"),
-        likeness(col("a"), col("b"), col("ta"), col("tb")).alias("near_edited"), likeness(col("a"), col("c"), col("ta"), col("tc")).alias("near_next"),
+    sets = rows.select(key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[f(col(v)).alias(n + k) for k, v in names.items() for n, f in (("", digests), ("f", fine_digests))])
+    tables = sets.select("*", *[sketch(col(k)).alias(f"t{k}") for k in names])
+    tables = tables.select("*", *[F.when(col(f"f{k}") == col(k), col(f"t{k}")).otherwise(sketch(col(f"f{k}"))).alias(f"tf{k}") for k in names])
+    pairs = {"near_edited": "b", "near_next": "c"}
+    near = tables.select("*", *[likeness(col("a"), col(k), col("ta"), col(f"t{k}")).alias(n) for n, k in pairs.items()])
+
+    def fine(name: str, k: str) -> Column:
+        same = (col("fa") == col("a")) & (col(f"f{k}") == col(k))
+        return F.when(same, col(name)).otherwise(likeness(col("fa"), col(f"f{k}"), col("tfa"), col(f"tf{k}")))
+
+    return near.select(
+        key, "n_chars", "edited_sha256", written(col("ta"), F.size("a")).alias("fingerprint"), written(col("tb"), F.size("b")).alias("edited_fingerprint"), *pairs,
+        written(col("tfa"), F.size("fa")).alias("fine_fingerprint"), written(col("tfb"), F.size("fb")).alias("fine_edited_fingerprint"),
+        *[fine(n, k).alias(n.replace("near", "fine")) for n, k in pairs.items()],
     )
