@@ -53,14 +53,12 @@ def kth_boundary(df: DataFrame, column: str, k: int) -> tuple[float | None, floa
         n, low, high, cuts = part.agg(F.count("*"), F.min(column), F.max(column), F.percentile_approx(column, [x / 64 for x in range(1, 64)], 2000)).first()
         if n <= SORTED or low == high:
             return lo, hi
-        cuts = sorted({*cuts, high})
+        cuts = sorted({*cuts, math.nextafter(high, -math.inf), high})  # so that a top value most rows share is told from those below
         above = df.agg(*[F.count_if(F.col(column) > F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)]).first()
         i = next(i for i, c in enumerate(above) if c < k)
         new = (cuts[i - 1] if i else lo, cuts[i])
         if new[0] is None:
             new = (math.nextafter(low, -math.inf), cuts[i])
-        if new == (lo, hi):
-            return lo, hi
         lo, hi = new
 
 

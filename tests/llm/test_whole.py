@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from quizloom.llm import fingerprint
+from quizloom.llm import fingerprint, quality
 
 SIGNED = lambda h: h - (1 << 64) if h >> 63 else h
 
@@ -41,3 +43,13 @@ def test_fingerprints_without_punctuation(spark):
         assert got[i].fine_edited == like(pieces(t), pieces(t[: len(t) - k] + after[:k])) and got[i].fine_next == like(pieces(t), pieces(after))
         if i < len(texts):
             assert got[i].fine_edited > got[i].fine_next and (len(t) < 300 or got[i].fine_edited > 0.2)
+
+
+@pytest.mark.parametrize("k", [40, 9_950, 9_960, 10_000])
+def test_top_k_below_a_value_of_nearly_all_rows(spark, monkeypatch, k):
+    """A boundary range whose quantiles all are its top value, which the k-th is or is below."""
+    monkeypatch.setattr(quality, "SORTED", 20)
+    score = lambda i: i / 10_000 if i % 200 == 0 else 1.5
+    rows = spark.range(10_000).select(F.col("id").alias("__row"), F.when(F.col("id") % 200 == 0, F.col("id") / 10_000).otherwise(1.5).alias("s"))
+    got = {r["__row"] for r in quality.flag_top_k(rows, k, "s", "__row").where("kept").collect()}
+    assert got == set(sorted(range(10_000), key=lambda i: (-score(i), i))[:k])
