@@ -7,11 +7,13 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, minhash, mixing, quality, quotes, substring_dedup, token_counts
 from quizloom.llm.queries import vocabulary_path
+from tests.llm.brute import edited_and_next, likeness, pieces, signed
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, n_tokens int, copy_no string, digest string, fingerprint int, n_removed string, kept string"
 PASSAGE = " ".join(f"word{i}" for i in range(60))
@@ -72,16 +74,7 @@ def test_bpe_and_counts(docs, none):
 
 
 def test_fingerprints(docs, none):
-    split = re.compile(fingerprint.SENTENCE)
-    order = sorted(TEXTS, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
-    sets = lambda t: {p for p in split.split(t) if p.strip(" ")}
-    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    want = []
-    for n, (i, t) in enumerate(order):
-        t, after = t or "", order[(n + 1) % len(order)][1] or ""
-        k = len(t) // 3
-        edited = t[: len(t) - k] + after[:k]
-        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), like(sets(t), sets(edited)), like(sets(t), sets(after))))
+    want = [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), likeness(pieces(t), pieces(e)), likeness(pieces(t), pieces(after))) for i, t, e, after in edited_and_next(TEXTS)]
     got = fingerprint.fingerprints(docs).collect()
     assert sorted([(r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got], key=str) == sorted(want, key=str)
     same = {r.fingerprint for r in got if r.doc_id in (1, 3)}
@@ -89,17 +82,34 @@ def test_fingerprints(docs, none):
     assert fingerprint.fingerprints(none).collect() == []
 
 
-def test_fingerprint_retries(spark):
-    """Many differing paragraphs in one pair, so that all sizes of tables are used."""
+def test_fingerprint_retries(spark, monkeypatch):
+    """Pairs with few and many differing pieces, and tables so small that they have to be tried again; the recovered digests are the differing ones."""
+    monkeypatch.setattr(fingerprint, "table_size", lambda a, b, tries: (a + b) * 0 + 3 * 5 ** (tries - 1))
     rng = np.random.default_rng(3)
-    rows, want = [], []
-    for n in (0, 1, 5, 12, 40, 200, 1500):
-        a, b = {f"p{x}." for x in rng.integers(0, 3 * n + 1, n)}, {f"p{x}." for x in rng.integers(0, 3 * n + 1, n)}
-        rows.append((n, " ".join(sorted(a)), " ".join(sorted(b))))
-        want.append((n, len(a ^ b)))
-    df = spark.createDataFrame(rows, "n int, a string, b string").select("n", fingerprint.digests(F.col("a")).alias("a"), fingerprint.digests(F.col("b")).alias("b"))
-    df = df.select("n", fingerprint.difference(F.col("a"), F.col("b"), fingerprint.sketch(F.col("a")), fingerprint.sketch(F.col("b"))).alias("d"))
-    assert sorted(map(tuple, df.collect())) == want
+    rows = [(n, "\n".join(f"p{x}." for x in rng.integers(0, 3 * n + 1, n))) for n in (0, 1, 5, 12, 40, 200, 1500)]
+    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), digests=True).collect()}
+    for i, t, e, after in edited_and_next(rows):
+        own, edit = pieces(t), pieces(e)
+        r = got[i]
+        assert r.near_edited == likeness(own, edit) and r.near_next == likeness(own, pieces(after))
+        assert len(set(r.removed)) == len(r.removed) == sum((own - edit).values()) and len(set(r.added)) == len(r.added) == sum((edit - own).values())
+        once = {p for p in own if own[p] == 1 and p not in edit}
+        assert {digest(p) for p in once} <= set(r.removed)
+
+
+def digest(piece):
+    h = signed(xxhash.xxh64(piece.encode(), seed=42).intdigest())
+    top = h - h % fingerprint.CHECK
+    return top + signed(xxhash.xxh64((top % (1 << 64)).to_bytes(8, "little"), seed=42).intdigest()) % fingerprint.CHECK
+
+
+def test_fingerprint_order_of_hot_keys(spark):
+    """A key of most rows and null keys are dealt by the beginnings of their texts and keep the order."""
+    rng = np.random.default_rng(5)
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"{'abcdefg'[int(rng.integers(7))] * int(rng.integers(1, 9))} text {k}.\nEnd {k % 11}.") for k in range(300)]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = [(i, hashlib.sha256(e.encode()).hexdigest(), likeness(pieces(t), pieces(after))) for i, t, e, after in edited_and_next(rows)]
+    assert sorted([(r.doc_id, r.edited_sha256, r.near_next) for r in got], key=str) == sorted(want, key=str)
 
 
 def test_quality(spark, docs, none):

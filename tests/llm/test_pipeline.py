@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as pipeline
 from quizloom.llm import queries
 from quizloom.llm.queries import vocabulary_path
+from tests.llm.brute import edited_and_next, likeness, pieces
 from tests.llm.test_edges import TEXTS, expected_words, near, repeats
 
 DATA = "/root/testdata/sf0.001"
@@ -92,16 +93,8 @@ def test_near_duplicates_of_the_table(spark):
 @here
 def test_fingerprints_and_passages_of_the_table(spark):
     """Rows of the driver's queries against brute force over the whole table."""
-    from quizloom.llm.fingerprint import SENTENCE
-
-    rows = sorted((tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()), reverse=True)
-    sets = lambda t: {p for p in re.split(SENTENCE, t) if p.strip(" ")}
-    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    want = []
-    for n, (i, t) in enumerate(rows):
-        after, k = rows[(n + 1) % len(rows)][1], len(t) // 3
-        edited = t[: len(t) - k] + after[:k]
-        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), like(sets(t), sets(edited)), like(sets(t), sets(after))))
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    want = [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), likeness(pieces(t), pieces(e)), likeness(pieces(t), pieces(after))) for i, t, e, after in edited_and_next(rows)]
     got = queries.op3_fingerprints(spark, DATA).select("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next").collect()
     assert sorted(map(tuple, got)) == sorted(want)
     got = queries.op9_substrings(spark, DATA).collect()

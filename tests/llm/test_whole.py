@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from quizloom.llm import fingerprint, quality
-
-SIGNED = lambda h: h - (1 << 64) if h >> 63 else h
+from tests.llm.brute import likeness, pieces
 
 
 def test_fingerprints_without_punctuation(spark):
@@ -20,29 +15,13 @@ def test_fingerprints_without_punctuation(spark):
     texts = ["buffalo " * 2320, words("alpha", 263), "x" * 3000, "".join(chr(0x4E00 + i * 7 % 5000) for i in range(300)), words("beta", 40), "Same line.\n" * 50, words("gamma", 3000), "same " * 30]
     docs = spark.createDataFrame(list(enumerate([*texts, "One. Two! Three?\nFour."])), "doc_id long, text string")
 
-    def pieces(t):
-        out = Counter()
-        for p in filter(lambda p: p.strip(" "), re.split(fingerprint.SENTENCE, t)):
-            w = re.findall(r"[一-鿿]|[^\s一-鿿]{1,16}", p)
-            if len(w) <= 24:
-                out[p] += 1
-                continue
-            now = []
-            for i, x in enumerate(w):
-                now.append(x)
-                if i == len(w) - 1 or SIGNED(xxhash.xxh64(x.encode(), seed=42).intdigest()) % 8 == 0 or len(now) == 16:
-                    out[" ".join(now)] += 1
-                    now = []
-        return out
-
-    like = lambda a, b: sum((a & b).values()) / sum((a | b).values())
     got = {r.doc_id: r for r in fingerprint.fingerprints(docs).collect()}
     every = [r[1] for r in docs.collect()]
     for i, t in enumerate(every):
         after, k = every[i - 1], len(t) // 3
-        assert got[i].fine_edited == like(pieces(t), pieces(t[: len(t) - k] + after[:k])) and got[i].fine_next == like(pieces(t), pieces(after))
+        assert got[i].near_edited == likeness(pieces(t), pieces(t[: len(t) - k] + after[:k])) and got[i].near_next == likeness(pieces(t), pieces(after))
         if i < len(texts):
-            assert got[i].fine_edited > got[i].fine_next and (len(t) < 300 or got[i].fine_edited > 0.2)
+            assert got[i].near_edited > got[i].near_next and (len(t) < 300 or got[i].near_edited > 0.2)
 
 
 @pytest.mark.parametrize("k", [40, 9_950, 9_960, 10_000])
