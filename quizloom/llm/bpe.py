@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import small_batches
+from quizloom.llm.common import small_batches, thrifty
 
 #: Pre-tokens a worker remembers; the memory is emptied when full.
 REMEMBERED = 300_000
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
     There is no shuffle: each task encodes its rows. A null text counts as empty: no tokens, the digests of nothing.
     Repeated rows stay repeated. Columns of ``docs`` with the names of added ones are replaced.
     """
-    small_batches(docs.sparkSession, 256)
+    small_batches(docs.sparkSession)
     added = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
     added += [("ids", "array<int>", pa.list_(pa.int32()))] * ids + [("decoded", "string", pa.string())] * decoded
     kept = [c for c in docs.columns if c != text and c not in [a[0] for a in added]]
@@ -244,7 +244,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
             yield pa.RecordBatch.from_arrays(cols, [*kept, *(n for n, _, _ in added)])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{n} {kind}" for n, kind, _ in added]
-    return source.mapInArrow(run, ", ".join(fields))
+    return source.mapInArrow(thrifty(run), ", ".join(fields))
 
 
 def round_trip(bpe: WordBpe, text: str) -> tuple[bytes, bytes]:

@@ -1,10 +1,13 @@
-"""Scratch tables, batch sizes and the word pattern the operators of this package share."""
+"""Scratch tables, batch sizes, workers' memory and the word pattern the operators of this package share."""
 
 from __future__ import annotations
 
-import gc
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: White space of the word-based contracts: space, tab, LF, VT, FF, CR.
@@ -13,9 +16,39 @@ SPACES = " \t\n\x0b\x0c\r"
 DEFAULT_SCRATCH = "/tmp/checkpoints"
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, so that long texts do not add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+#: What an Arrow batch holds at most, but for a single longer row: rows and bytes.
+BATCH_ROWS, BATCH_BYTES = 1024, "2m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python workers, so that neither long texts nor packs add up there.
+
+    All operators set the same bounds, as lazy results read the session's settings when they run.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Return what this Python worker no longer uses to the system: it stays for tasks to come, beside others on its machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
+def thrifty(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of ``mapInArrow``, giving memory back at the end of a task."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -26,11 +59,15 @@ class Scratch:
     """Tables written to the folder that all executors share, to cut lineage.
 
     A lost executor costs the tasks it ran since the last table, not the whole job. The folder is the session's
-    ``spark.checkpoint.dir``; where it is unset, as in tests, a fixed local one. What is left there goes when the session ends.
+    ``spark.checkpoint.dir``; where it is unset, a fixed local one if all runs in one process, as in tests, else an error. What is left
+    there goes when the session ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        root = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = root or DEFAULT_SCRATCH
         self.spark = spark
         self.path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -2,32 +2,32 @@
 
 A text is the multiset of its paragraphs: lines cut at sentence ends, long ones cut further at places that depend on the
 words there, repeated ones told apart by their number. Each has a 64-bit digest that carries a 16-bit check of itself and goes into one
-cell of each of three parts of a table; a cell holds a count and the XOR of its digests. The published sketch has 24 cells.
+cell of each of three parts of a table. The published sketch has 24 cells, each with a count and the XOR of its digests.
 
-Two versions are compared by subtracting tables and peeling: a cell with one valid digest gives it away, and removing it
-from its other two cells uncovers more. Beside the small table, a larger one sized by both texts is peeled at once, and pairs
-that neither gives whole are tried again with larger tables and other hashes until every pair is. All cells of a pair lie in the
-task that holds both texts, so building and peeling are aggregations without a shuffle.
+Two versions are compared by subtracting their sketches and peeling: a cell with one valid digest gives it away, and removing it
+from its other two cells uncovers more. If cells are left over, the digests are dealt to many tables by ranges of their values, as
+many as even texts without a common paragraph need; of these it takes only the XORs. A table that fails is built
+again with more cells and other hashes. Everything of a pair is done in its row: nothing but the texts and their hashes is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch, shuffle_partitions
+from quizloom.llm.common import shuffle_partitions
 
 #: Cells of each of the three parts of the published sketch.
 PART = 8
-#: Passes over the parts of a table; what is not peeled then is tried with a larger one.
-PASSES = 7
+#: Digests of both texts that one of many tables gets on average, its cells a part, and those of the tables that failed ones are built again as.
+LOAD, SMALL, LARGER = 3, 4, (8, 32, 128, 512)
+#: Tables that are dealt to at a time; more of them in two steps.
+DEALT = 512
+ROUNDS = 12
 #: Characters that a range of neighbouring rows holds about, where there are not more ranges than MOST_RANGES.
 RANGE_CHARS, MOST_RANGES = 512_000_000, 20_000
-#: Up to so many pairs (16 bytes each) whose tables failed are broadcast.
-FEW = 100_000
 SENTENCE = r"\r?\n+|(?<=[.!?])[ \t]+"
 CHECK = 1 << 16
 #: What a paragraph is cut into where it is long: words, parts of very long ones, and single letters of scripts without case, which may have no spaces.
@@ -41,6 +41,10 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def nothing() -> Column:
+    return F.array().cast("array<bigint>")
+
+
 def paragraphs(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SENTENCE), lambda p: F.trim(p) != "")
 
@@ -57,8 +61,8 @@ def pieces(paragraph: Column) -> Column:
     return F.when(F.length(paragraph) <= LONG, F.array(paragraph)).otherwise(let(tokens, lambda w: F.when(F.size(w) <= LONG, F.array(paragraph)).otherwise(cut(w))))
 
 
-def hashes(text: Column) -> Column:
-    """Distinct hashes of the pieces of a text; where a piece occurs again, its number is hashed in. Null texts and those of white space have none."""
+def digests(text: Column) -> Column:
+    """Distinct digests of the pieces of a text; where a piece occurs again, its number is hashed in. Null texts and those of white space have none."""
 
     def numbered(h: Column) -> Column:
         """Of each run of equal hashes the first as it is, the others with their number."""
@@ -67,7 +71,8 @@ def hashes(text: Column) -> Column:
             F.sequence(a, b - 1), lambda i: F.when(i == a, F.get(h, i)).otherwise(F.xxhash64(F.get(h, i), i - a))))))
 
     found = F.transform(F.flatten(F.transform(paragraphs(text), pieces)), lambda p: F.xxhash64(p))
-    return let(found, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(F.array_distinct(let(F.sort_array(h), numbered))))
+    found = let(found, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(let(F.sort_array(h), numbered)))
+    return F.array_distinct(F.transform(found, digest))
 
 
 def digest(h: Column) -> Column:
@@ -76,9 +81,117 @@ def digest(h: Column) -> Column:
     return top + F.pmod(F.xxhash64(top), F.lit(CHECK))
 
 
-def place(e: Column, part: int, size: Column, seed: int) -> Column:
-    """The cell of a digest in a part of a table with ``size`` cells a part."""
-    return (F.pmod(F.xxhash64(e, F.lit(8 * seed + part)), size) + part * size).cast("int")
+def valid(e: Column) -> Column:
+    return F.pmod(e, F.lit(CHECK)) == F.pmod(F.xxhash64(e - F.pmod(e, F.lit(CHECK))), F.lit(CHECK))
+
+
+def places(e: Column, part: int, seed: int) -> Column:
+    """The cells of a digest, one in each part."""
+    return let(F.xxhash64(e, F.lit(seed)), lambda r: F.array(*[(F.shiftright(r, 20 * s).bitwiseAND(F.lit(part - 1)) + s * part).cast("int") for s in range(3)]))
+
+
+def sketch(elements: Column) -> Column:
+    """array<struct<c, x>>: the cells of the published table."""
+    placed = F.transform(elements, lambda e: F.struct(e.alias("e"), places(e, PART, 1).alias("at")))
+    empty = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("x"))
+    return let(placed, lambda ps: F.transform(F.sequence(F.lit(0), F.lit(3 * PART - 1)), lambda j: F.aggregate(
+        F.filter(ps, lambda p: F.array_contains(p["at"], j)), empty, lambda a, p: F.struct((a["c"] + 1).alias("c"), a["x"].bitwiseXOR(p["e"]).alias("x")))))
+
+
+def peeled(a: Column, b: Column) -> Column:
+    """The digests that the sketches a and b differ in; null if cells are left over."""
+    cells = F.zip_with(a, b, lambda x, y: F.struct((x["c"] - y["c"]).alias("c"), x["x"].bitwiseXOR(y["x"]).alias("x")))
+
+    def pure(cells: Column) -> Column:
+        found = F.filter(cells, lambda c: (F.abs(c["c"]) == 1) & valid(c["x"]))
+        return F.array_distinct(F.transform(found, lambda p: F.struct(p["x"].alias("e"), p["c"].alias("c"), places(p["x"], PART, 1).alias("at"))))
+
+    def step(s: Column) -> Column:
+        def less(ps: Column) -> Column:
+            after = F.transform(s["cells"], lambda c, j: F.aggregate(F.filter(ps, lambda p: F.array_contains(p["at"], j)), c, lambda m, p: F.struct((m["c"] - p["c"]).alias("c"), m["x"].bitwiseXOR(p["e"]).alias("x"))))
+            got = F.concat(s["got"], F.transform(ps, lambda p: p["e"]))
+            return F.when(F.size(ps) == 0, F.struct(s["cells"].alias("cells"), s["got"].alias("got"), F.lit(False).alias("go"))).otherwise(F.struct(after.alias("cells"), got.alias("got"), F.lit(True).alias("go")))
+
+        return F.when(s["go"], let(pure(s["cells"]), less)).otherwise(s)
+
+    start = F.struct(cells.alias("cells"), nothing().alias("got"), F.lit(True).alias("go"))
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, _: step(s))
+    return let(done, lambda s: F.when(F.forall(s["cells"], lambda c: (c["c"] == 0) & (c["x"] == 0)), s["got"]))
+
+
+def unravelled(elements: Column, part: int, seed: int | None) -> Column:
+    """The digests that occur once in ``elements`` by peeling a table of XORs with ``part`` cells a part; null if cells are left over.
+
+    Digests of both texts cancel each other. Without ``seed``, bits of the digest name its cells. A round takes all valid cells at once.
+    """
+    width = part.bit_length() - 1
+    shifts = [16, 16 + width, 16 + 2 * width] if seed is None else [0, 20, 40]
+    cells = F.lit([v << shift for shift in shifts for v in range(part)])
+    masks = F.lit([(part - 1) << shift for shift in shifts for _ in range(part)])
+
+    def bits(e: Column) -> Column:
+        return e if seed is None else F.xxhash64(e, F.lit(seed))
+
+    def folded(into: Column, these: Column) -> Column:
+        """``into`` with these digests in their cells."""
+        known = F.transform(these, lambda e: F.struct(e.alias("e"), bits(e).alias("r")))
+        fold = lambda x, m, v, es: F.aggregate(es, x, lambda acc, p: F.when(p["r"].bitwiseAND(m) == v, acc.bitwiseXOR(p["e"])).otherwise(acc))
+        both = F.arrays_zip(into.alias("x"), masks.alias("m"), cells.alias("v"))
+        return let(known, lambda es: F.transform(both, lambda z: fold(z["x"], z["m"], z["v"], es)))
+
+    def step(s: Column) -> Column:
+        found = F.array_distinct(F.filter(s["cells"], lambda x: (x != 0) & valid(x)))
+        more = let(found, lambda q: F.when(F.size(q) == 0, F.struct(s["cells"].alias("cells"), s["got"].alias("got"), F.lit(False).alias("go"))).otherwise(
+            let(folded(s["cells"], q), lambda after: F.struct(after.alias("cells"), F.concat(s["got"], q).alias("got"), F.exists(after, lambda x: x != 0).alias("go")))))
+        return F.when(s["go"], more).otherwise(s)
+
+    start = F.struct(folded(F.array_repeat(F.lit(0).cast("long"), 3 * part), elements).alias("cells"), nothing().alias("got"), F.lit(True).alias("go"))
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, _: step(s))
+    return let(done, lambda s: F.when(F.forall(s["cells"], lambda x: x == 0), s["got"]))
+
+
+def dealt(elements: Column, tables: Column) -> Column:
+    """array<array<long>>: sorted digests by equal ranges of their values, one array for each of ``tables`` (and some empty ones)."""
+    lists = F.array().cast("array<array<bigint>>")
+
+    def place(e: Column, n: Column) -> Column:
+        return F.least(F.floor((e.cast("double") / 2.0**64 + 0.5) * n).cast("int"), n.cast("int") - 1)
+
+    def deal(these: Column, n: Column, first: Column, size: Column) -> Column:
+        """The tables from ``first`` on, ``size`` of them, out of ``n``."""
+        start = F.struct(F.lit(0).alias("at"), nothing().alias("now"), lists.alias("out"))
+
+        def step(a: Column, e: Column) -> Column:
+            return let(place(e, n) - first, lambda k: F.when(k == a["at"], F.struct(a["at"].alias("at"), F.concat(a["now"], F.array(e)).alias("now"), a["out"].alias("out"))).otherwise(
+                F.struct(k.alias("at"), F.array(e).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out"))))
+
+        return F.aggregate(these, start, step, lambda a: F.concat(a["out"], F.array(a["now"])))
+
+    few = deal(elements, tables, F.lit(0), tables)
+    groups = F.ceil(tables / DEALT).cast("int")
+    many = F.transform(deal(elements, groups, F.lit(0), groups), lambda part: let(groups * DEALT, lambda n: deal(part, n, F.when(F.size(part) > 0, place(F.get(part, F.lit(0)), groups) * DEALT).otherwise(0), F.lit(DEALT))))
+    return F.when(tables <= DEALT, few).otherwise(F.flatten(many))
+
+
+def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
+    """The digests that only a or only b has: by the two sketches, else by as many tables as it takes."""
+
+    def one(these: Column) -> Column:
+        tries = [unravelled(these, SMALL, None), *[unravelled(these, part, seed + 2) for seed, part in enumerate(LARGER)]]
+        return F.coalesce(*tries, F.raise_error(F.lit("a table of digests could not be peeled")).cast("array<bigint>"))
+
+    tables = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("int")
+    return F.coalesce(peeled(sketch_a, sketch_b), F.flatten(F.transform(dealt(F.sort_array(F.concat(a, b)), tables), one)))
+
+
+def likeness(a: Column, b: Column, d: Column) -> Column:
+    """Common pieces in all pieces of both, of which ``d`` differ; 1 if neither text has any."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
+
+
+def written(cells: Column, n: Column) -> Column:
+    return F.concat_ws(":", F.hex(n), F.array_join(F.transform(cells, lambda c: F.concat_ws("-", F.hex(c["c"]), F.hex(c["x"]))), "."))
 
 
 def below(bounds: list[int], x: Column) -> Column:
@@ -89,7 +202,7 @@ def below(bounds: list[int], x: Column) -> Column:
 
 
 def neighbours(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """r, i, guest, k, t, own, n_before, after, n_after: rows numbered by i within ranges r of the key, the text of the next row and the numbers of hashes of both neighbours.
+    """k, t, a, ta, after, c, tc: each key with its text, the digests and the sketch of that, and the same of the next row.
 
     The order is descending by key (nulls last, equal keys by text); after the last row comes the first. Rows go to ranges of nearly
     equal size; a key that fills a range, or null, is split by the first bytes of its texts. The first row of each range is a guest at the end of the one
@@ -111,150 +224,31 @@ def neighbours(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = rows.withColumn("r", at + F.when(is_hot, 1 + len(inner) - below(inner, F.col("s"))).otherwise(0))
     heads = sorted(map(tuple, rows.groupBy("r").agg(F.max("k"), F.min("s")).collect()), reverse=True)  # a row for each range
     guests = spark.createDataFrame([(k, s, heads[j - 1][0]) for j, (_, k, s) in enumerate(heads)] or [(None, None, None)], "head long, first long, before int")
-    rows = rows.withColumn("own", hashes(F.col("t")))
+    rows = rows.withColumn("a", digests(F.col("t")))
     seen = rows.join(F.broadcast(guests), F.col("k").eqNullSafe(F.col("head")) & (F.col("s") == F.col("first")), "left")
     own, as_guest = F.struct("r", F.lit(False).alias("guest")), F.struct(F.col("before").alias("r"), F.lit(True).alias("guest"))
-    seen = seen.select("k", "t", "own", F.explode(F.when(F.col("before").isNotNull(), F.array(own, as_guest)).otherwise(F.array(own))).alias("at"))
-    order = Window.partitionBy("r").orderBy("guest", F.desc_nulls_last("k"), "t")
-    count = F.size("own")
-    return seen.select("at.r", "at.guest", "k", "t", "own").select(
-        "*", F.row_number().over(order).alias("i"), F.lag(count).over(order).alias("n_before"), F.lead("t").over(order).alias("after"), F.lead(count).over(order).alias("n_after"))
-
-
-def table_size(a: Column, b: Column, tries: int) -> Column:
-    """Cells of each part of a table for the difference of sets of these sizes."""
-    return (a + b + 8) * 2 * 4 ** (tries - 1)
-
-
-def digest_rows(base: DataFrame, tries: int) -> DataFrame:
-    """r, e and a row for each table that a digest goes into: to (i, pair, sign, m). Pair 0 is a text and its edit, pair 1 a text and the next one."""
-    n, i = F.size("own"), F.col("i")
-
-    def to(row: Column, pair: int, sign: int, m: Column) -> Column:
-        return F.struct(row.alias("i"), F.lit(pair).alias("pair"), F.lit(sign).alias("sign"), m.cast("int").alias("m"))
-
-    m0, m1, before = table_size(n, F.size("edit"), tries), table_size(n, F.col("n_after"), tries), to(i - 1, 1, -1, table_size(F.col("n_before"), n, tries))
-    mine = F.array(to(i, 0, 1, m0), to(i, 1, 1, m1))
-    mine = F.when(F.col("guest"), F.array(before)).when(i == 1, mine).otherwise(F.concat(mine, F.array(before)))
-    sets = F.array(F.struct(F.col("own").alias("h"), mine.alias("to")), F.struct(F.col("edit").alias("h"), F.array(to(i, 0, -1, m0)).alias("to")))
-    found = base.select("r", F.explode(sets).alias("s")).select("r", "s.to", F.explode("s.h").alias("h")).select("r", digest(F.col("h")).alias("e"), F.explode("to").alias("to"))
-    return found.select("r", "e", "to.*")
+    seen = seen.select("k", "t", "a", F.explode(F.when(F.col("before").isNotNull(), F.array(own, as_guest)).otherwise(F.array(own))).alias("at"))
+    seen = seen.repartition("at.r").withColumn("ta", sketch(F.col("a")))
+    order = Window.partitionBy("at.r").orderBy("at.guest", F.desc_nulls_last("k"), "t")
+    return seen.select("*", *[F.lead(v).over(order).alias(name) for v, name in (("t", "after"), ("a", "c"), ("ta", "tc"))]).where("NOT at.guest").drop("at")
 
 
-def in_cells(rows: DataFrame, names: list[str], size: Column, seed: int, sign: Column) -> DataFrame:
-    """The cells (c, x) that the digests of ``rows`` make, for each value of ``names``."""
-    spread = rows.select(*names, "e", sign.alias("sign"), F.explode(F.array(*[place(F.col("e"), s, size, seed) for s in range(3)])).alias("cell"))
-    return spread.groupBy(*names, "cell").agg(F.sum("sign").alias("c"), F.bit_xor("e").alias("x"))
-
-
-def peeled(cells: DataFrame, seed: int, keep: bool) -> DataFrame:
-    """r, i, pair, left (cells that could not be peeled), n (recovered digests) and, if ``keep``, added and removed for each pair.
-
-    ``cells`` has r, i, pair, m, cell, c, x. One part of the tables is peeled after the other: a digest has one cell in a part, so none is taken twice.
-    """
-    names = ["r", "i", "pair", "m"]
-    nothing = F.lit(None).cast("long")
-    now = cells.where("c <> 0 OR x <> 0").select(*names, "cell", nothing.alias("e"), "c", "x")
-
-    def entry(cell: Column, e: Column, c: Column, x: Column) -> Column:
-        return F.struct(cell.alias("cell"), e.alias("e"), c.cast("long").alias("c"), x.alias("x"))
-
-    for turn in range(PASSES):
-        part, m, x, c = turn % 3, F.col("m"), F.col("x"), F.col("c")
-        check = F.pmod(x, F.lit(CHECK))
-        pure = (F.abs(c) == 1) & (F.floor(F.col("cell") / m) == part) & (F.pmod(F.xxhash64(x - check), F.lit(CHECK)) == check) & (place(x, part, m, seed) == F.col("cell"))
-        got = entry(F.lit(-1), x if keep else nothing, c if keep else F.lit(1), F.lit(0).cast("long"))
-        others = [entry(place(x, s, m, seed), nothing, -c, x) for s in range(3) if s != part]
-        same = entry(F.col("cell"), F.col("e"), c, x)
-        now = now.select(*names, F.explode(F.when(pure, F.array(got, *others)).otherwise(F.array(same))).alias("z")).select(*names, "z.*")
-        now = now.groupBy(*names, "cell", "e").agg(F.sum("c").alias("c"), F.bit_xor("x").alias("x")).where("cell < 0 OR c <> 0 OR x <> 0")
-    out = [F.count_if(F.col("cell") >= 0).alias("left"), F.sum(F.when(F.col("cell") < 0, F.abs("c"))).alias("n")]
-    if keep:
-        out += [F.sort_array(F.collect_list(F.when((F.col("cell") < 0) & (F.signum(F.col("c")) == sign), F.col("e")))).alias(name) for name, sign in (("removed", 1), ("added", -1))]
-    return now.groupBy("r", "i", "pair").agg(*out)
-
-
-def row_id() -> Column:
-    return F.shiftleft(F.col("r").cast("long"), 32) + F.col("i")
-
-
-def by_row(found: DataFrame, keep: bool, tag: str) -> DataFrame:
-    """id, and of both pairs n (differing digests) and, if ``keep``, removed and added; null where peeling failed. A pair without cells has no difference."""
-    out = []
-    for p in (0, 1):
-        mine = F.col("pair") == p
-        whole = F.coalesce(F.sum(F.when(mine, F.col("left"))), F.lit(0)) == 0
-        out.append(F.when(whole, F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))).alias(f"n{p}{tag}"))
-        out += [F.when(whole, F.coalesce(F.first(F.when(mine, F.col(v)), ignorenulls=True), F.array().cast("array<bigint>"))).alias(f"{v}{tag}") for v in ("removed", "added") if keep and not p]
-    return found.groupBy("r", "i").agg(*out).select(row_id().alias(f"id{tag}"), *[c for c in (f"n0{tag}", f"n1{tag}", f"removed{tag}", f"added{tag}") if keep or c[0] == "n"])
-
-
-def written(cells: Column, n: Column) -> Column:
-    return F.concat_ws(":", F.hex(n), F.array_join(F.transform(cells, lambda c: F.concat_ws("-", F.hex(c["cell"]), F.hex(c["c"]), F.hex(c["x"]))), "."))
-
-
-def likeness(a: Column, b: Column, d: Column) -> Column:
-    """Common pieces in all pieces of both, of which ``d`` differ; 1 if neither text has any."""
-    return F.when(a + b == 0, F.lit(1.0)).otherwise((a + b - d) / (a + b + d))
-
-
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
-    """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row; with ``digests`` also removed and added.
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", recovered: bool = False) -> DataFrame:
+    """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row; with ``recovered`` also removed and added.
 
     The edited text has its last third (whole code points, rounded down) replaced by as much of the beginning of the next row's text, or all of it. Likeness
     is the share of common pieces in all pieces of both texts; a null text counts as empty, and texts without pieces are like each other. Removed and
     added are the recovered digests that only the text and only its edit have. Repeated rows are each other's next. One row alone is its own next. An empty
     table gives none. Other columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "fingerprints")
     rows = neighbours(docs, key, text).withColumn("n_chars", F.length("t").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
-    edited = F.concat(F.substring("t", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("after", F.lit(1), cut))
-    rows = rows.withColumn("edited", F.when(~F.col("guest"), edited))
-    base = rows.select("r", "i", "guest", "k", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", hashes(F.col("edited")).alias("edit"), "n_before", "n_after")
-    base = base.persist(StorageLevel.DISK_ONLY)  # keeps the rows of a range together, unlike a written table
-    lite = scratch.save(base.where("NOT guest").select(row_id().alias("id"), "k", "n_chars", "edited_sha256", F.size("own").alias("a"), F.size("edit").alias("b"), F.col("n_after").alias("d")), "rows")
-
-    # the published sketches, and what the small tables give
-    sets = F.array(F.struct(F.lit(0).alias("s"), F.col("own").alias("h")), F.struct(F.lit(1).alias("s"), F.col("edit").alias("h")))
-    hashed = base.select("r", "i", "guest", F.explode(sets).alias("s")).select("r", "i", "guest", "s.s", F.explode("s.h").alias("h")).withColumn("e", digest(F.col("h")))
-    cells = in_cells(hashed, ["r", "i", "guest", "s"], F.lit(PART), 1, F.lit(1))
-    each = [F.array_sort(F.collect_list(F.when(F.col("s") == s, F.struct("cell", "c", "x")))).alias(f"t{s}") for s in (0, 1)]
-    sketches = scratch.save(cells.where("NOT guest").groupBy("r", "i").agg(*each).select(row_id().alias("id_s"), "t0", "t1"), "sketches")
-
-    def to(row: Column, pair: int, c: Column) -> Column:
-        return F.struct(row.alias("i"), F.lit(pair).alias("pair"), c.alias("c"))
-
-    i, c = F.col("i"), F.col("c")
-    goes = F.when(F.col("s") == 1, F.array(to(i, 0, -c))).when(F.col("guest"), F.array(to(i - 1, 1, -c))).when(i == 1, F.array(to(i, 0, c), to(i, 1, c))).otherwise(F.array(to(i, 0, c), to(i, 1, c), to(i - 1, 1, -c)))
-    small = cells.select("r", "cell", "x", F.explode(goes).alias("z")).select("r", F.lit(PART).alias("m"), "cell", "x", "z.*")
-    small = small.groupBy("r", "i", "pair", "m", "cell").agg(F.sum("c").alias("c"), F.bit_xor("x").alias("x"))
-    found = [scratch.save(by_row(peeled(small, 1, digests), digests, "_0"), "small")]
-
-    def large(rows: DataFrame, tries: int) -> DataFrame:
-        made = in_cells(digest_rows(rows, tries), ["r", "i", "pair", "m"], F.col("m"), tries + 1, F.col("sign"))
-        return by_row(peeled(made, tries + 1, digests), digests, f"_{tries}")
-
-    found.append(scratch.save(large(base, 1), "large-1"))
-    failed = scratch.save(found[0].join(found[1].withColumnRenamed("id_1", "id_0"), "id_0").where("n0_0 IS NULL AND n0_1 IS NULL OR n1_0 IS NULL AND n1_1 IS NULL").select(F.col("id_0").alias("id")), "failed-1")
-    while n := failed.count():
-        t = len(found)
-        wanted = failed.select(F.explode(F.array("id", F.col("id") + 1)).alias("id")).distinct()  # with the next rows
-        rows = base.withColumn("id", row_id()).join(F.broadcast(wanted) if n <= FEW else wanted, "id", "left_semi").drop("id")
-        again = large(rows, t).join(failed.withColumnRenamed("id", f"id_{t}"), f"id_{t}", "left_semi")
-        found.append(scratch.save(again, f"large-{t}"))
-        failed = scratch.save(found[-1].where(f"n0_{t} IS NULL OR n1_{t} IS NULL").select(F.col(f"id_{t}").alias("id")), f"failed-{t}")
-    base.unpersist()
-
-    out = lite.join(sketches, F.col("id") == F.col("id_s"), "left")
-    for t, part in enumerate(found):
-        out = out.join(part, F.col("id") == F.col(f"id_{t}"), "left")
-
-    def first(name: str, if_same: Column) -> Column:
-        return F.coalesce(F.when(F.col("id_1").isNull(), if_same), *[F.col(f"{name}_{t}") for t in range(len(found))])
-
-    zero, nothing, empty = F.lit(0).cast("long"), F.array().cast("array<bigint>"), F.array().cast("array<struct<cell:int,c:bigint,x:bigint>>")
-    cols = [F.col("k").alias(key), F.col("n_chars"), F.col("edited_sha256"), written(F.coalesce("t0", empty), F.col("a")).alias("fingerprint"), written(F.coalesce("t1", empty), F.col("b")).alias("edited_fingerprint")]
-    cols += [likeness(F.col("a"), F.col(v), first(f"n{p}", zero)).alias(name) for p, v, name in ((0, "b", "near_edited"), (1, "d", "near_next"))]
-    return out.select(*cols, *[first(v, nothing).alias(v) for v in ("removed", "added") if digests])
+    rows = rows.withColumn("edited", F.concat(F.substring("t", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("after", F.lit(1), cut)))
+    col = F.col
+    rows = rows.select("k", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "a", "ta", digests(col("edited")).alias("b"), "c", "tc").withColumn("tb", sketch(col("b")))
+    rows = rows.withColumn("d_edited", difference(col("a"), col("b"), col("ta"), col("tb"))).withColumn("d_next", F.size(difference(col("a"), col("c"), col("ta"), col("tc"))))
+    lists = [F.sort_array(F.array_intersect("d_edited", v)).alias(name) for v, name in (("a", "removed"), ("b", "added"))] if recovered else []
+    return rows.select(
+        col("k").alias(key), "n_chars", "edited_sha256", written(col("ta"), F.size("a")).alias("fingerprint"), written(col("tb"), F.size("b")).alias("edited_fingerprint"),
+        likeness(col("a"), col("b"), F.size("d_edited")).alias("near_edited"), likeness(col("a"), col("c"), col("d_next")).alias("near_next"), *lists,
+    )

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import small_batches
+from quizloom.llm.common import small_batches, thrifty
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -145,7 +145,7 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([*at, -1], pa.int64()), pa.array([*total[at], n], pa.int64())], ["bucket", "n"])
 
-    counted = rows.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = rows.select("text").mapInArrow(thrifty(frequencies), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     found = {r.bucket: r.n for r in counted.toLocalIterator()}
     n = found.pop(-1, 0)
     if not n:
@@ -167,7 +167,7 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
             got = [(k, np.flatnonzero(c), c[np.flatnonzero(c)]) for t, k in zip(texts, names, strict=True) if (c := grams(t)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in got], pa.string()), pa.array([a.astype("<i4").tobytes() for _, a, _ in got], pa.binary()), pa.array([c.astype("<i4").tobytes() for _, _, c in got], pa.binary())], ["lang", "at", "n"])
 
-    got = rows.where(draw < part).mapInArrow(features, "lang string, at binary, n binary").toArrow()
+    got = rows.where(draw < part).mapInArrow(thrifty(features), "lang string, at binary, n binary").toArrow()
     data = sorted(zip(got["lang"].to_pylist(), got["at"].to_pylist(), got["n"].to_pylist(), strict=True))
     vectors = []
     for name, at, c in data:
@@ -200,7 +200,7 @@ def predict(docs: DataFrame, model: LangModel | None, bits: int = 15, text: str
             cols = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], [*names, "lang_pred", "score"])
 
-    return source.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields) + ", lang_pred string, score double")
+    return source.mapInArrow(thrifty(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields) + ", lang_pred string, score double")
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch, small_batches
+from quizloom.llm.common import Scratch, small_batches, thrifty
 from quizloom.llm.components import components
 from quizloom.llm.words import WordHashes, mixed, shingle_set
 
@@ -72,7 +72,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             signature = pa.array([sign(s).tobytes() if len(s) else None for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), n, digest, signature], ["id", "n_shingles", "digest", "signature"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, digest binary, signature binary")
+    return docs.mapInArrow(thrifty(run), "id long, n_shingles long, digest binary, signature binary")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def buckets(classes: DataFrame) -> DataFrame:
                 h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
             yield pa.RecordBatch.from_arrays([pa.array(h.reshape(-1).view(np.int64)), *[pa.array(np.repeat(batch.column(c).to_numpy(), BANDS)) for c in ("cls", "n")]], ["bucket", "cls", "n"])
 
-    return classes.select("cls", F.col("n_shingles").alias("n"), "signature").mapInArrow(run, "bucket long, cls long, n long")
+    return classes.select("cls", F.col("n_shingles").alias("n"), "signature").mapInArrow(thrifty(run), "bucket long, cls long, n long")
 
 
 class Verifier:
@@ -112,7 +112,7 @@ class Verifier:
 
         sig = self.classes.select("cls", "signature")
         both = pairs.join(sig.toDF("b", "sb"), "b").join(sig.toDF("a", "sa"), "a")
-        return both.mapInArrow(run, "a long, b long")
+        return both.mapInArrow(thrifty(run), "a long, b long")
 
     def texts(self, needed: DataFrame, tag: str) -> DataFrame:
         """cls, packed: the compressed text of one document of each class in ``needed``."""
@@ -137,7 +137,7 @@ class Verifier:
                 digests = [hashlib.blake2b(shingle_set(t, size, known).tobytes(), digest_size=16).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(digests, pa.binary()), pa.array([pack((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.binary())], ["id", "digest", "packed"])
 
-        found = self.docs.select("id", "text", slot.alias("slot")).mapInArrow(run, "id long, digest binary, packed binary")
+        found = self.docs.select("id", "text", slot.alias("slot")).mapInArrow(thrifty(run), "id long, digest binary, packed binary")
         same = (F.col("n.digest") == F.col("f.digest")) & F.col("n.id").eqNullSafe(F.col("f.id"))
         one = needed.alias("n").join(found.alias("f"), same).select("cls", "packed")
         return self.scratch.save(one.dropDuplicates(["cls"]), f"texts-{tag}")
@@ -163,7 +163,7 @@ class Verifier:
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
         both = left.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
-        out = self.scratch.save(both.mapInArrow(run, "a long, b long"), f"linked-{tag}")
+        out = self.scratch.save(both.mapInArrow(thrifty(run), "a long, b long"), f"linked-{tag}")
         self.scratch.drop(f"survivors-{tag}", f"needed-{tag}", f"texts-{tag}")
         return out
 

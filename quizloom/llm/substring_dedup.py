@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import SPACES, Scratch, shuffle_partitions, small_batches
+from quizloom.llm.common import SPACES, Scratch, shuffle_partitions, small_batches, thrifty
 from quizloom.llm.words import WordHashes, window_hashes
 
 #: UTF-8 bytes of a pack, about, and words whose hashes a part of the hash range gets on average.
@@ -171,7 +171,7 @@ def make_packs(docs: DataFrame, text: str) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(run, "pack long, bytes long, blob binary")
+    return docs.mapInArrow(thrifty(run), "pack long, bytes long, blob binary")
 
 
 def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", rewrite: bool = True) -> DataFrame:
@@ -183,7 +183,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     make others lose any; rows with equal keys do not count against each other. Columns of ``docs`` with the names of added ones are replaced.
     """
     spark = docs.sparkSession
-    small_batches(spark, 64)
+    small_batches(spark)
     scratch = Scratch(spark, "substrings")
     docs = docs.drop("n_words", "n_removed", "kept_sha256")
     docs = docs.withColumn(key, F.col(key).cast("long"))
@@ -217,7 +217,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
         hits = [(r["pack"], r["part"], zstandard.ZstdCompressor(1).compress(np.packbits(m).tobytes())) for r, m in zip(rows, matched(rows), strict=True) if m.any()]
         return pa.table({n: pa.array([h[i] for h in hits], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("part", pa.int64()), ("mask", pa.binary())))})
 
-    sent = packs.select("pack", "blob").mapInArrow(probe, "part long, pack long, max_doc long, probes binary, blocks binary, docs binary")
+    sent = packs.select("pack", "blob").mapInArrow(thrifty(probe), "part long, pack long, max_doc long, probes binary, blocks binary, docs binary")
     hits = sent.groupBy("part").applyInArrow(match, "pack long, part long, mask binary")
     hits = scratch.save(hits.groupBy("pack").agg(F.collect_list(F.struct("part", "mask")).alias("hits")), "hits")
     scratch.release()
@@ -262,7 +262,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(low[lost])))
         return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("to", pa.binary())))})
 
-    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(candidates, "part long, pack long, windows binary, docs binary, several binary")
+    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, docs binary, several binary")
     lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, to binary")
     lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "to")).alias("lost")), "lost")
     scratch.drop("hits")
@@ -303,7 +303,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays(cols, [*kept, "n_words", "n_removed", "kept_sha256"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)
-    return packs.select("pack", "blob").join(lost, "pack", "left").mapInArrow(clean, f"{fields}, n_words long, n_removed long, kept_sha256 string")
+    return packs.select("pack", "blob").join(lost, "pack", "left").mapInArrow(thrifty(clean), f"{fields}, n_words long, n_removed long, kept_sha256 string")
 
 
 PIECE = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")

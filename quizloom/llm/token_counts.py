@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.bpe import piece_counts, vocabulary, word_counts
-from quizloom.llm.common import Scratch, small_batches
+from quizloom.llm.common import Scratch, small_batches, thrifty
 
 #: Pre-tokens that are broadcast, whatever the size of the corpus: some MB.
 HEAD = 250_000
@@ -27,7 +27,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
     of their own. An empty table gives none; other columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark, 256)
+    small_batches(spark)
     scratch = Scratch(spark, "token-counts")
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
@@ -48,8 +48,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
             n = piece_counts(bpe, batch.column("word").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], ["word", "n", "pieces"])
 
-    distinct = texts.mapInArrow(frequencies, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    distinct = scratch.save(distinct.mapInArrow(pieces, "word string, n long, pieces long"), "pieces")
+    distinct = texts.mapInArrow(thrifty(frequencies), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    distinct = scratch.save(distinct.mapInArrow(thrifty(pieces), "word string, n long, pieces long"), "pieces")
     # the largest frequencies down to a step of a quarter octave, as many as ``head`` has room for
     step = F.floor(F.log2("n") * 4)
     room, least = head, None
@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
 
     source = docs.select(*keys, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
-    parts = scratch.save(source.mapInArrow(sums, f"{kinds}__row long, n_bytes long, __n long, __word string"), "parts")
+    parts = scratch.save(source.mapInArrow(thrifty(sums), f"{kinds}__row long, n_bytes long, __n long, __word string"), "parts")
     rare = parts.where("__word IS NOT NULL").select("__row", "__n", F.col("__word").alias("word"))
     rare = rare.join(distinct.select("word", "pieces"), "word").groupBy("__row").agg(F.sum(F.col("__n") * F.col("pieces")).alias("__rare"))
     n_tokens = F.col("__n") + F.coalesce("__rare", F.lit(0))

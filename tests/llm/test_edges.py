@@ -82,12 +82,17 @@ def test_fingerprints(docs, none):
     assert fingerprint.fingerprints(none).collect() == []
 
 
-def test_fingerprint_retries(spark, monkeypatch):
-    """Pairs with few and many differing pieces, and tables so small that they have to be tried again; the recovered digests are the differing ones."""
-    monkeypatch.setattr(fingerprint, "table_size", lambda a, b, tries: (a + b) * 0 + 3 * 5 ** (tries - 1))
+@pytest.mark.parametrize("small", [False, True])
+def test_fingerprint_retries(spark, monkeypatch, small):
+    """Pairs with few and many differing pieces, and tables so small that they have to be built again; the recovered digests are the differing ones."""
+    if small:
+        monkeypatch.setattr(fingerprint, "LOAD", 7)
+        monkeypatch.setattr(fingerprint, "SMALL", 2)
+        monkeypatch.setattr(fingerprint, "LARGER", (4, 8, 64, 512))
+        monkeypatch.setattr(fingerprint, "DEALT", 16)
     rng = np.random.default_rng(3)
     rows = [(n, "\n".join(f"p{x}." for x in rng.integers(0, 3 * n + 1, n))) for n in (0, 1, 5, 12, 40, 200, 1500)]
-    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), digests=True).collect()}
+    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), recovered=True).collect()}
     for i, t, e, after in edited_and_next(rows):
         own, edit = pieces(t), pieces(e)
         r = got[i]
