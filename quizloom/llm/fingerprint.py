@@ -147,7 +147,12 @@ def unravelled(elements: Column, part: int, seed: int | None) -> Column:
 
     start = F.struct(folded(F.array_repeat(F.lit(0).cast("long"), 3 * part), elements).alias("cells"), nothing().alias("got"), F.lit(True).alias("go"))
     done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, _: step(s))
-    return let(done, lambda s: F.when(F.forall(s["cells"], lambda x: x == 0), s["got"]))
+    return let(done, lambda s: F.when(F.forall(s["cells"], lambda x: x == 0) & sound(s["got"], elements), s["got"]))
+
+
+def sound(got: Column, elements: Column) -> Column:
+    """No digest was taken twice, or taken for one by chance: one sum of several in 65,536 passes the check."""
+    return (F.size(F.array_distinct(got)) == F.size(got)) & (F.size(F.array_except(got, elements)) == 0)
 
 
 def dealt(elements: Column, tables: Column) -> Column:
@@ -181,7 +186,8 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
         return F.coalesce(*tries, F.raise_error(F.lit("a table of digests could not be peeled")).cast("array<bigint>"))
 
     tables = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("int")
-    return F.coalesce(peeled(sketch_a, sketch_b), F.flatten(F.transform(dealt(F.sort_array(F.concat(a, b)), tables), one)))
+    whole = let(peeled(sketch_a, sketch_b), lambda got: F.when(sound(got, F.concat(a, b)), got))
+    return F.coalesce(whole, F.flatten(F.transform(dealt(F.sort_array(F.concat(a, b)), tables), one)))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:
