@@ -68,10 +68,9 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: flo
         salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         docs = docs.withColumn("__own", F.pmod(F.xxhash64(key, text), F.lit(SALTS)).cast("int"))
         joined = docs.join(salted, docs[source].eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt"))).drop("__own", "__salt")
-    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda j: F.size(F.filter("__cdf", lambda c: c <= uniform(seed, F.col(key), j))))
-    copies = F.aggregate(draws, F.lit(0), lambda a, n: a + n)
-    out = joined.withColumn("__copies", copies).where("__copies > 0").drop("__source", "__parts", "__cdf")
-    out = out.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies")
+    drawn = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda j: uniform(seed, F.col(key), j))  # one hash for each draw
+    copies = F.aggregate(drawn, F.lit(0), lambda n, u: n + F.size(F.filter("__cdf", lambda c: c <= u)))
+    out = joined.withColumn("copy_no", F.explode(F.sequence(F.lit(0), copies))).where("copy_no > 0").drop("__source", "__parts", "__cdf")
     order = F.substring(F.sha2(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy_no").cast("string")), 256), 1, 16)
     return out.withColumn("shuffle_key", order).orderBy("shuffle_key")
 

@@ -316,6 +316,51 @@ def test_quotes_sql(spark):
     assert sorted(got) == sorted(found.fetchall(), key=lambda r: r[:2]) and {r[names.index("reply_to")] for r in got} == {None, 0, 1, 3}
 
 
+def quoting_conversations():
+    """Conversations that quote: wrapped anew, in part, nested, with a line that others have too, and one of very many messages that answer the first."""
+    rows = [
+        (1, 0, "u", "ok"), (1, 1, "a", "A long answer\nthat wraps\nok"), (1, 2, "u", "> A long answer that wraps\n> ok\nGood."), (1, 3, "a", ">> A long answer\n>> that wraps ok\n> Good.\nFine then."), (1, 4, "u", "> A long answer\nNo."),
+        (2, 0, "u", "one two three four five six seven eight nine ten"), (2, 1, "a", "> three four five six\nyes"), (2, 2, "u", "> one two three four five six [...] eight nine ten eleven twelve\nhm"), (2, 3, "u", "> ten nine eight seven six\nno"),
+        (3, 0, "u", "  > quoted by space\nfirst words of this message here"), (3, 1, None, "> first words of\n>\n> this message\n\n> here\nlast"), (3, 1, "a", "other text of the turn"), (3, None, "u", "> first words of this message"), (None, 0, "u", "> ok"), (3, 4, "u", None), (3, 5, "u", ""),
+        (4, 0, "u", "the start of it all is here"), *[(4, t, "u", f"> the start of it all is here\nanswer number {t} of very many") for t in range(1, 200)], *[(4, t, "a", f"> answer number {t - 200} of very many\nthanks {t}") for t in range(201, 400)],
+    ]
+    rng = np.random.default_rng(6)
+    for c in range(5, 25):
+        said: list[list[str]] = []
+        for t in range(int(rng.integers(2, 12))):
+            own = [f"w{int(x)}" for x in rng.integers(0, 6, int(rng.integers(1, 12)))]
+            text = ""
+            if said and rng.random() < 0.7:
+                of = said[int(rng.integers(len(said)))]
+                at = int(rng.integers(len(of)))
+                text = "\n".join("> " * int(rng.integers(1, 3)) + w for w in " ".join(of[at : at + int(rng.integers(1, 9))]).split(" w3 ")) + "\n"
+            said.append(own)
+            rows.append((c, t, "u", text + "\n".join(" ".join(own[k : k + 5]) for k in range(0, len(own), 5))))
+    return rows
+
+
+def test_quotes_of_conversations(spark):
+    """The query's SQL gives the same, and the links are those a reader would draw."""
+    import duckdb
+    import pyarrow as pa
+
+    rows = quoting_conversations()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    con = duckdb.connect()
+    con.register("conversations", pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate((("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())))}))
+    found = con.execute(quotes.QUOTES_SQL)
+    names = [c[0] for c in found.description]
+    out = quotes.thread(df)
+    got = [tuple(r[n] for n in names) for r in out.drop("text").collect()]
+    assert sorted(got, key=str) == sorted(found.fetchall(), key=str) and len(got) == len(rows)
+    of = {(r.conv_id, r.turn): r for r in out.collect() if r.text is not None}
+    assert [of[1, t].reply_to for t in range(5)] == [None, None, 1, 2, 1] and of[1, 3].reply_path == [1, 2, 3] and of[1, 3].chat == "a: Fine then."
+    assert [of[2, t].reply_to for t in range(4)] == [None, 0, 0, None] and of[3, 1].reply_to == 0
+    assert all(of[4, t].reply_to == 0 and of[4, t + 200].reply_path == [0, t, t + 200] for t in range(1, 200))
+    order = sorted((t for c, t in of if c == 4), key=lambda t: of[4, t].reply_path)
+    assert order[:5] == [0, 1, 201, 2, 202]
+
+
 def test_mixing_sql(spark, docs):
     """The query's SQL gives the same rows with nulls, repeats and empty texts too."""
     import duckdb
