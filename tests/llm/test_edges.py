@@ -320,7 +320,7 @@ def quoting_conversations():
     """Conversations that quote: wrapped anew, in part, nested, with a line that others have too, and one of very many messages that answer the first."""
     rows = [
         (1, 0, "u", "ok"), (1, 1, "a", "A long answer\nthat wraps\nok"), (1, 2, "u", "> A long answer that wraps\n> ok\nGood."), (1, 3, "a", ">> A long answer\n>> that wraps ok\n> Good.\nFine then."), (1, 4, "u", "> A long answer\nNo."),
-        (2, 0, "u", "one two three four five six seven eight nine ten"), (2, 1, "a", "> three four five six\nyes"), (2, 2, "u", "> one two three four five six [...] eight nine ten eleven twelve\nhm"), (2, 3, "u", "> ten nine eight seven six\nno"),
+        (2, 0, "u", "one two three four five six seven eight nine ten"), (2, 1, "a", "> three four five six\nyes"), (2, 2, "u", "> one two three four five six seven [...] nine ten\nhm"), (2, 3, "u", "> ten nine eight seven six\nno"),
         (3, 0, "u", "  > quoted by space\nfirst words of this message here"), (3, 1, None, "> first words of\n>\n> this message\n\n> here\nlast"), (3, 1, "a", "other text of the turn"), (3, None, "u", "> first words of this message"), (None, 0, "u", "> ok"), (3, 4, "u", None), (3, 5, "u", ""),
         (4, 0, "u", "the start of it all is here"), *[(4, t, "u", f"> the start of it all is here\nanswer number {t} of very many") for t in range(1, 200)], *[(4, t, "a", f"> answer number {t - 200} of very many\nthanks {t}") for t in range(201, 400)],
     ]
