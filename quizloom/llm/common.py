@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 

@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is the multiset of its paragraphs: lines cut at sentence ends, long ones cut further at places that depend on the
-words there, repeated ones told apart by their number. Each has a 64-bit digest that carries a 16-bit check of itself and goes into one
+A text is the multiset of its paragraphs: lines, cut into pieces at places that depend on the letters there, as many texts
+are one line; repeated ones are told apart by their number. Each has a 64-bit digest that carries a 16-bit check of itself and goes into one
 cell of each of three parts of a table. The published sketch has 24 cells, each with a count and the XOR of its digests.
 
 Two versions are compared by subtracting their sketches and peeling: a cell with one valid digest gives it away, and removing it
@@ -23,17 +23,15 @@ from quizloom.llm.common import shuffle_partitions
 PART = 8
 #: Digests of both texts that one of many tables gets on average, its cells a part, and those of the tables that failed ones are built again as.
 LOAD, SMALL, LARGER = 3, 4, (8, 32, 128, 512)
-#: Tables that are dealt to at a time; more of them in two steps.
-DEALT = 512
 ROUNDS = 12
 #: Characters that a range of neighbouring rows holds about, where there are not more ranges than MOST_RANGES.
 RANGE_CHARS, MOST_RANGES = 512_000_000, 20_000
-SENTENCE = r"\r?\n+|(?<=[.!?])[ \t]+"
 CHECK = 1 << 16
-#: What a paragraph is cut into where it is long: words, parts of very long ones, and single letters of scripts without case, which may have no spaces.
-TOKEN = r"\p{Lo}|[^\s\p{Lo}]{1,16}"
-#: Tokens that a paragraph may have uncut, and tokens of a piece at most; a piece ends at a token whose hash is a multiple of ENDS.
-LONG, PIECE, ENDS = 24, 16, 8
+#: Letters and digits of odd places. A piece ends at a line's end, and between two words whose last and first two letters are such: one in sixteen of even use.
+ODD = "acegikmoqsuwyACEGIKMOQSUWY13579"
+CUT = rf"[\r\n]+|(?<=[{ODD}][{ODD}])[ \t]+(?=[{ODD}][{ODD}])"
+#: Characters of a piece at most; longer ones are cut from their start on.
+LONGEST = 160
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -45,20 +43,10 @@ def nothing() -> Column:
     return F.array().cast("array<bigint>")
 
 
-def paragraphs(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SENTENCE), lambda p: F.trim(p) != "")
-
-
-def pieces(paragraph: Column) -> Column:
-    """The paragraph itself if it has at most LONG tokens, else its tokens in pieces of at most PIECE."""
-
-    def cut(w: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == F.size(w)) | (F.pmod(F.xxhash64(F.get(w, i - 1)), F.lit(ENDS)) == 0))
-        return let(ends, lambda e: F.flatten(F.zip_with(F.concat(F.array(F.lit(0)), F.slice(e, 1, F.size(e) - 1)), e, lambda a, b: F.transform(
-            F.sequence(a, b - 1, F.lit(PIECE)), lambda at: F.array_join(F.slice(w, at + 1, F.least(F.lit(PIECE), b - at)), " ")))))
-
-    tokens = F.regexp_extract_all(paragraph, F.lit(TOKEN), F.lit(0))
-    return F.when(F.length(paragraph) <= LONG, F.array(paragraph)).otherwise(let(tokens, lambda w: F.when(F.size(w) <= LONG, F.array(paragraph)).otherwise(cut(w))))
+def pieces(text: Column) -> Column:
+    """The pieces of a text but those of blanks."""
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), CUT), lambda p: F.trim(p) != "")
+    return let(parts, lambda ps: F.when(F.exists(ps, lambda p: F.length(p) > LONGEST), F.flatten(F.transform(ps, lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0))))).otherwise(ps))
 
 
 def digests(text: Column) -> Column:
@@ -70,7 +58,7 @@ def digests(text: Column) -> Column:
         return let(starts, lambda s: F.flatten(F.zip_with(s, F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(h))), lambda a, b: F.transform(
             F.sequence(a, b - 1), lambda i: F.when(i == a, F.get(h, i)).otherwise(F.xxhash64(F.get(h, i), i - a))))))
 
-    found = F.transform(F.flatten(F.transform(paragraphs(text), pieces)), lambda p: F.xxhash64(p))
+    found = F.transform(pieces(text), lambda p: F.xxhash64(p))
     found = let(found, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(let(F.sort_array(h), numbered)))
     return F.array_distinct(F.transform(found, digest))
 
@@ -139,15 +127,22 @@ def unravelled(elements: Column, part: int, seed: int | None) -> Column:
         both = F.arrays_zip(into.alias("x"), masks.alias("m"), cells.alias("v"))
         return let(known, lambda es: F.transform(both, lambda z: fold(z["x"], z["m"], z["v"], es)))
 
+    def total(these: Column) -> Column:
+        return F.aggregate(these, F.lit(0).cast("long"), lambda x, e: x.bitwiseXOR(e))
+
     def step(s: Column) -> Column:
+        """If the sum of the valid cells is that of a whole part, nothing else is in the table."""
         found = F.array_distinct(F.filter(s["cells"], lambda x: (x != 0) & valid(x)))
-        more = let(found, lambda q: F.when(F.size(q) == 0, F.struct(s["cells"].alias("cells"), s["got"].alias("got"), F.lit(False).alias("go"))).otherwise(
-            let(folded(s["cells"], q), lambda after: F.struct(after.alias("cells"), F.concat(s["got"], q).alias("got"), F.exists(after, lambda x: x != 0).alias("go")))))
-        return F.when(s["go"], more).otherwise(s)
+        return F.when(s["go"], let(found, lambda q: F.when(total(q) == s["rest"], state(s["cells"], s["got"], q, F.lit(0).cast("long"), F.lit(False))).when(
+            F.size(q) == 0, state(s["cells"], s["got"], q, s["rest"], F.lit(False))).otherwise(
+            state(folded(s["cells"], q), s["got"], q, s["rest"].bitwiseXOR(total(q)), F.lit(True))))).otherwise(s)
+
+    def state(cells: Column, got: Column, more: Column, rest: Column, go: Column) -> Column:
+        return F.struct(cells.alias("cells"), F.concat(got, more).alias("got"), rest.alias("rest"), go.alias("go"))
 
-    start = F.struct(folded(F.array_repeat(F.lit(0).cast("long"), 3 * part), elements).alias("cells"), nothing().alias("got"), F.lit(True).alias("go"))
+    start = state(folded(F.array_repeat(F.lit(0).cast("long"), 3 * part), elements), nothing(), nothing(), total(elements), F.lit(True))
     done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, _: step(s))
-    return let(done, lambda s: F.when(F.forall(s["cells"], lambda x: x == 0) & sound(s["got"], elements), s["got"]))
+    return let(done, lambda s: F.when((s["rest"] == 0) & ~s["go"] & sound(s["got"], elements), s["got"]))
 
 
 def sound(got: Column, elements: Column) -> Column:
@@ -156,26 +151,11 @@ def sound(got: Column, elements: Column) -> Column:
 
 
 def dealt(elements: Column, tables: Column) -> Column:
-    """array<array<long>>: sorted digests by equal ranges of their values, one array for each of ``tables`` (and some empty ones)."""
-    lists = F.array().cast("array<array<bigint>>")
-
-    def place(e: Column, n: Column) -> Column:
-        return F.least(F.floor((e.cast("double") / 2.0**64 + 0.5) * n).cast("int"), n.cast("int") - 1)
-
-    def deal(these: Column, n: Column, first: Column, size: Column) -> Column:
-        """The tables from ``first`` on, ``size`` of them, out of ``n``."""
-        start = F.struct(F.lit(0).alias("at"), nothing().alias("now"), lists.alias("out"))
-
-        def step(a: Column, e: Column) -> Column:
-            return let(place(e, n) - first, lambda k: F.when(k == a["at"], F.struct(a["at"].alias("at"), F.concat(a["now"], F.array(e)).alias("now"), a["out"].alias("out"))).otherwise(
-                F.struct(k.alias("at"), F.array(e).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out"))))
-
-        return F.aggregate(these, start, step, lambda a: F.concat(a["out"], F.array(a["now"])))
-
-    few = deal(elements, tables, F.lit(0), tables)
-    groups = F.ceil(tables / DEALT).cast("int")
-    many = F.transform(deal(elements, groups, F.lit(0), groups), lambda part: let(groups * DEALT, lambda n: deal(part, n, F.when(F.size(part) > 0, place(F.get(part, F.lit(0)), groups) * DEALT).otherwise(0), F.lit(DEALT))))
-    return F.when(tables <= DEALT, few).otherwise(F.flatten(many))
+    """array<array<long>>: sorted digests by ``tables`` equal ranges of their values, those with digests."""
+    places = F.transform(elements, lambda e: F.floor((e.cast("double") / 2.0**64 + 0.5) * tables))
+    starts = let(places, lambda p: F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: (i == 1) | (F.get(p, i - 1) != F.get(p, i - 2))))
+    slices = let(starts, lambda a: F.zip_with(a, F.concat(F.slice(a, 2, F.size(a)), F.array(F.size(elements) + 1)), lambda i, j: F.slice(elements, i, j - i)))
+    return F.when(F.size(elements) == 0, F.array().cast("array<array<bigint>>")).otherwise(slices)
 
 
 def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
@@ -187,7 +167,7 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
 
     tables = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("int")
     whole = let(peeled(sketch_a, sketch_b), lambda got: F.when(sound(got, F.concat(a, b)), got))
-    return F.coalesce(whole, F.flatten(F.transform(dealt(F.sort_array(F.concat(a, b)), tables), one)))
+    return F.coalesce(whole, let(F.sort_array(F.concat(a, b)), lambda e: F.flatten(F.transform(dealt(e, tables), one))))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:

@@ -21,13 +21,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch, small_batches, thrifty
+from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thrifty
 from quizloom.llm.components import components
 from quizloom.llm.words import WordHashes, mixed, shingle_set
 
 BANDS, ROWS, BATCH = 32, 5, 32
-#: Bits of the filter that keeps texts outside any surviving pair from being sent; 4 MB whatever the corpus.
-FILTER_BITS = 1 << 25
+#: The filter that keeps texts outside any surviving pair from being sent has about so many bits for each wanted id, and so many in all at most (4 MB); more ids are joined.
+BITS_AN_ID, FILTER_BITS = 16, 1 << 25
+#: Rows of a bucket that fills a task are dealt to so many.
+SALTS = 16
 #: Members of a block, about: of a bucket's largest component, and of its other ones.
 LARGE, SMALL = 512, 256
 
@@ -119,12 +121,20 @@ class Verifier:
         size = self.size
         spark = needed.sparkSession
         needed = self.scratch.save(needed.select("cls").distinct().join(self.classes.select("cls", "id", "digest"), "cls"), f"needed-{tag}")
-        slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-        maps = needed.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-        wanted = np.zeros(FILTER_BITS // 8, np.uint8)
-        for r in maps.toLocalIterator():  # at most FILTER_BITS / 32768 rows of 4 KB
-            part = wanted[(r.k - 1) * 4096 : r.k * 4096]
-            part |= np.frombuffer(bytes(r.bits), np.uint8)[: len(part)]
+        count = needed.count()
+        size_of = min(FILTER_BITS, max(1 << 16, 1 << (BITS_AN_ID * count).bit_length()))
+        slot = F.pmod(F.xxhash64("id"), F.lit(size_of))
+        docs = self.docs
+        wanted = np.full(size_of // 8, 255, np.uint8)
+        if BITS_AN_ID * count <= FILTER_BITS:
+            wanted[:] = 0
+            maps = needed.select((slot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+            for r in maps.toLocalIterator():  # at most FILTER_BITS / 32768 rows of 4 KB
+                part = wanted[(r.k - 1) * 4096 : r.k * 4096]
+                part |= np.frombuffer(bytes(r.bits), np.uint8)[: len(part)]
+        else:
+            ids = needed.select(F.col("id").alias("wanted")).distinct()
+            docs = docs.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
         shared = spark.sparkContext.broadcast(wanted)
 
         def run(batches):
@@ -137,7 +147,7 @@ class Verifier:
                 digests = [hashlib.blake2b(shingle_set(t, size, known).tobytes(), digest_size=16).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(digests, pa.binary()), pa.array([pack((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.binary())], ["id", "digest", "packed"])
 
-        found = self.docs.select("id", "text", slot.alias("slot")).mapInArrow(thrifty(run), "id long, digest binary, packed binary")
+        found = docs.select("id", "text", slot.alias("slot")).mapInArrow(thrifty(run), "id long, digest binary, packed binary")
         same = (F.col("n.digest") == F.col("f.digest")) & F.col("n.id").eqNullSafe(F.col("f.id"))
         one = needed.alias("n").join(found.alias("f"), same).select("cls", "packed")
         return self.scratch.save(one.dropDuplicates(["cls"]), f"texts-{tag}")
@@ -167,44 +177,62 @@ class Verifier:
         self.scratch.drop(f"survivors-{tag}", f"needed-{tag}", f"texts-{tag}")
         return out
 
-    def links_in_blocks(self, mixed_: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
+    def links_in_blocks(self, mixed_: DataFrame, limit: int, tag: str) -> DataFrame:
         """Links (a, b) between members of different roots in the same bucket, as many as join them; written to the scratch folder.
 
-        ``mixed_``: bucket, cls, n, root. The members of a bucket's largest component meet all others, these also each other.
+        ``mixed_``: bucket, size, cls, n, root. The members of a bucket's largest component meet all others, these also each other. First only
+        signatures meet; the texts of those that are likely to be linked in a block follow.
         """
-        counts = mixed_.groupBy("bucket", "root").agg(F.count("*").alias("k"))
-        per = counts.groupBy("bucket").agg(F.sum("k").alias("size"), F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
-        small = F.ceil((F.col("size") - F.col("top.k")) / SMALL).cast("int")
-        per = per.select("bucket", F.col("top.root").alias("top"), small.alias("ns"), F.ceil(F.col("top.k") / LARGE).cast("int").alias("nl"))
-        rows = mixed_.join(per, "bucket").withColumn("large", F.col("root") == F.col("top"))
+        counts = mixed_.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.max("size").alias("size"))
+        per = counts.groupBy("bucket").agg(F.sum("k").alias("rows"), F.max("size").alias("size"), F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+        small = F.ceil((F.col("rows") - F.col("top.k")) / SMALL).cast("int")
+        per = per.select("bucket", "size", F.col("top.root").alias("top"), small.alias("ns"), F.ceil(F.col("top.k") / LARGE).cast("int").alias("nl"))
+        rows = by_bucket(mixed_, per, limit).withColumn("large", F.col("root") == F.col("top"))
         rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.when(F.col("large"), F.col("nl")).otherwise(F.col("ns"))).cast("int"))
         each = F.sequence(F.lit(0), F.col("ns") - 1)
         with_small = F.transform(each, lambda j: F.struct(F.lit("s").alias("kind"), F.least("own", j).alias("x"), F.greatest("own", j).alias("y")))
         with_large = F.transform(F.sequence(F.lit(0), F.col("nl") - 1), lambda j: F.struct(F.lit("l").alias("kind"), F.col("own").alias("x"), j.alias("y")))
         as_large = F.transform(each, lambda i: F.struct(F.lit("l").alias("kind"), i.alias("x"), F.col("own").alias("y")))
         rows = rows.select("bucket", "cls", "root", F.explode(F.when(F.col("large"), as_large).otherwise(F.concat(with_small, with_large))).alias("at"))
-        rows = rows.join(self.classes.select("cls", "signature"), "cls").join(texts, "cls")
+        rows = rows.join(self.classes.select("cls", F.col("n_shingles").alias("n"), "signature"), "cls").select("bucket", "at.kind", "at.x", "at.y", "cls", "root", "n", "signature")
         least, size, percent = self.least, self.size, self.percent
 
+        def signatures(group) -> np.ndarray:
+            return np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(group.num_rows, -1, BATCH)
+
+        def meet(key, group):
+            x, y = likely_pairs(group["n"].to_numpy(), signatures(group), group["root"].to_numpy(), least, percent)
+            return group.take(pa.array(np.union1d(x, y)))
+
         def compare(key, group):
-            cls, root = group["cls"].to_numpy(), group["root"].to_numpy()
-            unpack = zstandard.ZstdDecompressor().decompress
+            cls, unpack = group["cls"].to_numpy(), zstandard.ZstdDecompressor().decompress
             sets = [shingle_set(unpack(t).decode("utf-8", "surrogatepass"), size, WORDS) for t in group["packed"].to_pylist()]
-            sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(cls), -1, BATCH)
-            tree = spanning_links(sets, sig, root, least, percent)
+            tree = spanning_links(sets, signatures(group), group["root"].to_numpy(), least, percent)
             return pa.table({"a": pa.array([min(cls[i], cls[j]) for i, j in tree], pa.int64()), "b": pa.array([max(cls[i], cls[j]) for i, j in tree], pa.int64())})
 
-        found = rows.select("bucket", "at.kind", "at.x", "at.y", "cls", "root", "signature", "packed").groupBy("bucket", "kind", "x", "y").applyInArrow(compare, "a long, b long")
-        return self.scratch.save(found, f"linked-{tag}")
+        block = ["bucket", "kind", "x", "y"]
+        likely = rows.groupBy(*block).applyInArrow(meet, "bucket long, kind string, x int, y int, cls long, root long, n long, signature binary")
+        likely = self.scratch.save(likely, f"likely-{tag}")
+        texts = self.texts(likely, f"blocks-{tag}")
+        found = likely.join(texts, "cls").groupBy(*block).applyInArrow(compare, "a long, b long")
+        found = self.scratch.save(found, f"linked-{tag}")
+        self.scratch.drop(f"likely-{tag}", f"needed-blocks-{tag}", f"texts-blocks-{tag}")
+        return found
+
+
+def by_bucket(rows: DataFrame, one: DataFrame, limit: int) -> DataFrame:
+    """``rows`` joined to the row of ``one`` with their bucket; both know its size, and a bucket over ``limit`` is dealt to SALTS tasks."""
+    own = F.when(F.col("size") > limit, F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(F.col("size") > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("salt", own).join(one.withColumn("salt", F.explode(every)).drop("size"), ["bucket", "salt"]).drop("salt")
 
 
 #: Of the block tasks of a worker.
 WORDS = WordHashes()
 
 
-def spanning_links(sets: list[np.ndarray], sig: np.ndarray, root: np.ndarray, least: list[int], percent: int) -> list[tuple[int, int]]:
-    """Enough links between sets of different roots to join all that links join."""
-    n = np.array([len(s) for s in sets], np.int64)
+def likely_pairs(n: np.ndarray, sig: np.ndarray, root: np.ndarray, least: list[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different roots that neither their sizes nor batch after batch of their signatures rule out."""
     x, y = np.nonzero(np.triu(root[:, None] != root[None, :]) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])))
     matches = np.zeros(len(x), np.int64)
     for k, need in enumerate(least):
@@ -213,6 +241,13 @@ def spanning_links(sets: list[np.ndarray], sig: np.ndarray, root: np.ndarray, le
             matches[part] += (sig[x[part], k] == sig[y[part], k]).sum(1)
         alive = matches >= need
         x, y, matches = x[alive], y[alive], matches[alive]
+    return x, y
+
+
+def spanning_links(sets: list[np.ndarray], sig: np.ndarray, root: np.ndarray, least: list[int], percent: int) -> list[tuple[int, int]]:
+    """Enough links between sets of different roots to join all that links join."""
+    n = np.array([len(s) for s in sets], np.int64)
+    x, y = likely_pairs(n, sig, root, least, percent)
     if not len(x):
         return []
     # exact: the shingles that two sets or more have, as bitmaps
@@ -262,35 +297,38 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, miss: flo
     every = buckets(classes)
     full = every.groupBy("bucket").agg(F.min(F.struct("cls", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1")
     full = scratch.save(full, "buckets")
-    members = scratch.save(every.join(full.select("bucket"), "bucket", "left_semi"), "members")
+    # a bucket with more rows than a quarter of a task's share is dealt to several tasks; there are at most four for each task
+    limit = max(256, BANDS * classes.count() // (4 * shuffle_partitions(spark)))
+    hot = full.where(F.col("size") > limit).select("bucket", "size")
+    sized = every.join(F.broadcast(hot), "bucket", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+    members = scratch.save(by_bucket(sized, full.withColumn("all", F.col("size")), limit).drop("size").withColumnRenamed("all", "size"), "members")
     # most classes share no bucket; the others' signatures are a small table of their own
     met = scratch.save(classes.join(members.select("cls").distinct(), "cls", "left_semi"), "met")
     verifier = Verifier(docs, met, scratch, size, percent, miss)
     near = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    pairs = members.join(full, "bucket").select(F.col("centre.cls").alias("a"), F.col("centre.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
+    pairs = members.select(F.col("centre.cls").alias("a"), F.col("centre.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
     links = verifier.linked(scratch.save(pairs.where(f"a <> b AND {near}").select("a", "b").distinct(), "pairs"), "0")
     roots = components(links, scratch, "cc-0")
     # the smallest class of a bucket has met all others; these have not met each other
-    others = members.join(full.select("bucket", "size", F.col("centre.cls").alias("centre")), "bucket").where("size > 2 AND cls <> centre").select("bucket", "cls", "n", "size")
+    others = members.where("size > 2 AND cls <> centre.cls").select("bucket", "cls", "n", "size")
 
     def still_mixed(tag: str) -> DataFrame:
         rooted = others.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        return scratch.save(rooted.join(several, "bucket"), tag)
+        several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("size").alias("size")).where("lo <> hi").select("bucket", "size")
+        return scratch.save(by_bucket(rooted, several, limit), tag)
 
     mixed_ = still_mixed("mixed-1")
-    texts = verifier.texts(mixed_, "blocks")
     # first each class in its largest bucket only, which joins most of a group of near copies, then what is left everywhere
     largest = mixed_.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("m")).select("cls", F.col("m.bucket").alias("bucket"))
-    links = links.union(verifier.links_in_blocks(mixed_.join(largest, ["cls", "bucket"]), texts, "1"))
+    links = links.union(verifier.links_in_blocks(mixed_.join(largest, ["cls", "bucket"]), limit, "1"))
     roots = components(links, scratch, "cc-1")
-    links = links.union(verifier.links_in_blocks(still_mixed("mixed-2"), texts, "2"))
+    links = links.union(verifier.links_in_blocks(still_mixed("mixed-2"), limit, "2"))
     roots = components(links, scratch, "cc-2")
     found = classes.select("cls", "id", "digest").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     found = scratch.save(found.select("id", "digest", "root"), "found")
     least = found.groupBy("root").agg(F.min("id").alias("component_id"))
     named = scratch.save(found.join(least, "root").select("digest", "component_id"), "named")
-    scratch.drop("classes", "met", "buckets", "members", "pairs", "mixed-1", "mixed-2", "needed-blocks", "texts-blocks", "found")
+    scratch.drop("classes", "met", "buckets", "members", "pairs", "mixed-1", "mixed-2", "found")
     out = rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

@@ -15,29 +15,13 @@ def signed(h: int) -> int:
 
 
 def pieces(t: str | None) -> Counter:
-    """The paragraphs of a text, long ones cut: how often each occurs."""
+    """The pieces of a text: how often each occurs."""
     out: Counter = Counter()
-    for p in filter(lambda p: p.strip(" "), re.split(fingerprint.SENTENCE, t or "")):
-        w = [x for part in re.findall(r"\S+", p) for x in tokens(part)]
-        if len(w) <= fingerprint.LONG:
-            out[p] += 1
-            continue
-        now: list[str] = []
-        for i, x in enumerate(w):
-            now.append(x)
-            if i == len(w) - 1 or signed(xxhash.xxh64(x.encode(), seed=42).intdigest()) % fingerprint.ENDS == 0 or len(now) == fingerprint.PIECE:
-                out[" ".join(now)] += 1
-                now = []
+    for p in filter(lambda p: p.strip(" "), re.split(fingerprint.CUT, t or "")):
+        out.update(p[k : k + fingerprint.LONGEST] for k in range(0, len(p), fingerprint.LONGEST))
     return out
 
 
-def tokens(word: str) -> list[str]:
-    """Letters without case alone, else runs of at most 16 characters."""
-    import regex
-
-    return regex.findall(r"\p{Lo}|[^\s\p{Lo}]{1,16}", word)
-
-
 def likeness(a: Counter, b: Counter) -> float:
     return sum((a & b).values()) / sum((a | b).values()) if a or b else 1.0
 

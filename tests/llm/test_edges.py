@@ -89,7 +89,6 @@ def test_fingerprint_retries(spark, monkeypatch, small):
         monkeypatch.setattr(fingerprint, "LOAD", 7)
         monkeypatch.setattr(fingerprint, "SMALL", 2)
         monkeypatch.setattr(fingerprint, "LARGER", (4, 8, 64, 512))
-        monkeypatch.setattr(fingerprint, "DEALT", 16)
     rng = np.random.default_rng(3)
     rows = [(n, "\n".join(f"p{x}." for x in rng.integers(0, 3 * n + 1, n))) for n in (0, 1, 5, 12, 40, 200, 1500)]
     got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), recovered=True).collect()}
