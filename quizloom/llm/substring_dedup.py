@@ -3,7 +3,8 @@
 Any window of 2b - 1 words holds a whole block of an arrangement in non-overlapping blocks of b words. So the blocks of
 every document are the index, every rolling window of b words is a probe, and a repeated passage of at least 2b - 1
 words gives a hit. Windows around hits are then compared in full, on both sides of a hit, which extends it to the
-maximal exact repeats; of each window, all documents but the smallest lose its words.
+maximal exact repeats; of each window, all documents but the smallest lose its words. Windows are equal if 96 bits of two
+hashes are: among 10 ** 13 of them less than 0.001 false pairs are to be expected.
 
 Documents travel in packs of some MB. A pack sends each distinct hash once to the part of the hash range it lies in,
 compressed, and gets back which of them matter; texts are never sent for a hash. A passage that a third of all documents share is
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import SPACES, Scratch, shuffle_partitions, small_batches, thrifty
-from quizloom.llm.words import WordHashes, window_hashes
+from quizloom.llm.words import OTHER, WordHashes, window_hashes
 
 #: UTF-8 bytes of a pack, about, and words whose hashes a part of the hash range gets on average.
 PACK_BYTES, PART_WORDS = 3_000_000, 2_000_000
@@ -84,6 +85,10 @@ class Pack:
         starts = np.flatnonzero((self.room >= size)[: len(h)] & long[: len(h)])
         return starts, h[starts]
 
+    def checks(self, size: int, starts: np.ndarray) -> np.ndarray:
+        """32 bits more of the windows at these places."""
+        return (window_hashes(self.hashes, size, OTHER)[starts] >> np.uint64(32)).astype(np.uint32)
+
 
 def groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(an order that sorts the values, where each distinct value begins in it)."""
@@ -102,6 +107,31 @@ def smallest(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[order[first]], low, np.maximum.reduceat(d, first) > low
 
 
+def smallest_of_windows(values: np.ndarray, checks: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts windows by both hashes, where each distinct one begins in it, and the smallest document of each."""
+    order = np.lexsort((checks, values))
+    v, c = values[order], checks[order]
+    first = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (c[1:] != c[:-1]))) if len(v) else np.zeros(0, np.int64)
+    return order, first, np.minimum.reduceat(docs[order], first) if len(v) else docs
+
+
+def find_windows(values: np.ndarray, checks: np.ndarray, wanted: np.ndarray, wanted_checks) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``wanted`` are among windows sorted by both hashes, and their places there); ``wanted_checks`` gives the second hash of those asked for."""
+    at = np.searchsorted(values, wanted)
+    asked = np.flatnonzero(values[np.minimum(at, len(values) - 1)] == wanted) if len(values) else np.zeros(0, np.int64)
+    asked = asked[at[asked] < len(values)]
+    place, check = at[asked], wanted_checks(asked)
+    todo = np.flatnonzero(checks[place] != check)
+    while len(todo):  # windows that share the first hash only
+        place[todo] += 1
+        inside = place[todo] < len(values)
+        inside[inside] = values[place[todo[inside]]] == wanted[asked[todo[inside]]]
+        place[todo[~inside]] = -1
+        todo = todo[inside]
+        todo = todo[checks[place[todo]] != check[todo]]
+    return asked[place >= 0], place[place >= 0]
+
+
 def within(hashes: np.ndarray, parts: int) -> np.ndarray:
     """The top 32 bits of a hash's place in its part, in the order of the hashes."""
     return ((hashes * np.uint64(parts)) >> np.uint64(32)).astype(np.uint32)
@@ -152,7 +182,7 @@ def make_packs(docs: DataFrame, text: str) -> DataFrame:
         def out():
             sink = pa.BufferOutputStream()
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
                 w.write_batch(table)
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["pack", "bytes", "blob"])
 
@@ -174,14 +204,16 @@ def make_packs(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(thrifty(run), "pack long, bytes long, blob binary")
 
 
-def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", rewrite: bool = True) -> DataFrame:
+def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", rewrite: bool = True, bits: int = 64) -> DataFrame:
     """Add n_words, n_removed and kept_sha256 (of the kept words joined by one space) to each row of ``docs``.
 
     Words are runs of anything but ASCII white space. A word goes if a window of ``window`` words (an odd number, 3 at least) that covers it also starts in a row with a smaller key;
     windows are judged on the input. With ``rewrite`` the text column keeps what is left with its white space, else it
     goes. Null texts have no words and stay null, texts without a removed word stay as they are. Rows without key neither lose words nor
-    make others lose any; rows with equal keys do not count against each other. Columns of ``docs`` with the names of added ones are replaced.
+    make others lose any; rows with equal keys do not count against each other. An empty table gives none. Columns of ``docs`` with the names of added ones are replaced.
+    ``bits`` of the first window hash are used; fewer than 64 are for tests, as the second one has to tell windows apart then.
     """
+    dropped = np.uint64(64 - bits)
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "substrings")
@@ -241,30 +273,35 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 so_far = np.cumsum(at)
                 wide, g = p.windows(window, window)
                 near = so_far[wide + size] > so_far[wide]  # a hit begins among the first ``size`` words
-                gv, gd, several = smallest(g[near], p.doc[wide[near]])
+                gv, gc, gd = g[near] >> dropped << dropped, p.checks(window, wide[near]), p.doc[wide[near]]
+                order, first, low = smallest_of_windows(gv, gc, gd)
+                several = np.maximum.reduceat(gd[order], first) > low if len(first) else np.zeros(0, bool)
+                gv, gc, gd = gv[order[first]], gc[order[first]], low
                 bounds, rows = part_bounds(gv, parts), []
                 for k in np.flatnonzero(np.diff(bounds)):
                     a, b = bounds[k], bounds[k + 1]
-                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gd[a:b]), np.packbits(several[a:b]).tobytes()))
+                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gc[a:b]), squeeze(gd[a:b]), np.packbits(several[a:b]).tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 3, strict=True)], ["part", "pack", "windows", "docs", "several"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 4, strict=True)], ["part", "pack", "windows", "checks", "docs", "several"])
 
     def judge(key_, group):
         rows = group.to_pylist()
         values = [unsqueeze_sorted(r["windows"], np.uint64) for r in rows]
+        checks = [unsqueeze(r["checks"], np.uint32) for r in rows]
         docs_of = [unsqueeze(r["docs"], np.int64) for r in rows]
-        uv, d, _ = smallest(np.concatenate(values), np.concatenate(docs_of))
+        order, first, low = smallest_of_windows(np.concatenate(values), np.concatenate(checks), np.concatenate(docs_of))
+        keeper = np.empty(len(order), np.int64)
+        keeper[order] = np.repeat(low, np.diff(np.append(first, len(order))))
         out = []
-        for r, v, own in zip(rows, values, docs_of, strict=True):
-            low = d[np.searchsorted(uv, v)]
-            lost = (low < own) | np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).view(bool)
+        for r, v, c, own, least in zip(rows, values, checks, docs_of, np.split(keeper, np.cumsum([len(v) for v in values])[:-1]), strict=True):
+            lost = (least < own) | np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).view(bool)
             if lost.any():
-                out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(low[lost])))
-        return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("to", pa.binary())))})
+                out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(c[lost]), squeeze(least[lost])))
+        return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("checks", pa.binary()), ("to", pa.binary())))})
 
-    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, docs binary, several binary")
-    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, to binary")
-    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "to")).alias("lost")), "lost")
+    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, checks binary, docs binary, several binary")
+    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, checks binary, to binary")
+    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "checks", "to")).alias("lost")), "lost")
     scratch.drop("hits")
     scratch.release()
 
@@ -278,13 +315,12 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 starts, g = p.windows(window, window)
                 # windows that some document of the pack loses, and the document that keeps each
                 gone = np.concatenate([np.zeros(0, np.uint64), *(unsqueeze_sorted(x["lost"], np.uint64) for x in found or ())])
+                checks = np.concatenate([np.zeros(0, np.uint32), *(unsqueeze(x["checks"], np.uint32) for x in found or ())])
                 keeper = np.concatenate([np.zeros(0, np.int64), *(unsqueeze(x["to"], np.int64) for x in found or ())])
-                order = np.argsort(gone)
-                gone, keeper = gone[order], keeper[order]
+                order = np.lexsort((checks, gone))
                 bad = np.zeros(len(g), bool)
-                if len(gone):
-                    at = np.minimum(np.searchsorted(gone, g), len(gone) - 1)
-                    bad = (gone[at] == g) & (keeper[at] < p.doc[starts])
+                which, at = find_windows(gone[order], checks[order], g >> dropped << dropped, lambda k, p=p, starts=starts: p.checks(window, starts[k]))
+                bad[which] = keeper[order][at] < p.doc[starts[which]]
                 edge = np.zeros(len(p.doc) + 1, np.int64)
                 np.add.at(edge, starts[bad], 1)
                 np.add.at(edge, starts[bad] + window, -1)

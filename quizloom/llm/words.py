@@ -7,7 +7,7 @@ import xxhash
 
 #: Words a worker remembers the hash of.
 REMEMBERED = 1 << 18
-MULTIPLIER, MIX = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
+MULTIPLIER, OTHER, MIX = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F), np.uint64(0xD6E8FEB86659FD93)
 
 
 class WordHashes(dict):
@@ -28,14 +28,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each ``size`` neighbouring word hashes; none if there are fewer."""
+def window_hashes(h: np.ndarray, size: int, multiplier: np.uint64 = MULTIPLIER) -> np.ndarray:
+    """A hash of each ``size`` neighbouring word hashes; none if there are fewer. Another multiplier gives an independent one."""
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = h[:n].copy()
     for k in range(1, size):
-        out *= MULTIPLIER
+        out *= multiplier
         out += h[k : n + k]
     return mixed(out)
 

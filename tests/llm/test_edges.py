@@ -222,6 +222,13 @@ def test_substrings(docs, none, window, monkeypatch):
     assert substring_dedup.drop_repeats(none).collect() == []
 
 
+def test_substrings_that_share_a_hash(docs):
+    """With 6 bits of the first hash nearly all windows share theirs with others."""
+    want = sorted([w[:4] for w in repeats(TEXTS, 13)], key=str)
+    got = substring_dedup.drop_repeats(docs, rewrite=False, bits=6).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
 def near(texts, size):
     def shingles(t):
         w = expected_words("".join(c.lower() if c.isascii() else c for c in t or ""))
