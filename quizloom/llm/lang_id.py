@@ -18,8 +18,10 @@ from quizloom.llm.common import small_batches, thrifty
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
-#: Characters of a text that are taken at a time; the counts of the parts add up.
+#: Starts of n-grams that are hashed at a time; the counts add up.
 CHUNK = 1 << 18
+#: Languages that a model may have; their names and sizes are held by the driver.
+MOST_LANGS = 10_000
 #: Odd multipliers of the n-gram hash, one for each place and one that mixes.
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 MIX = 0xD6E8FEB86659FD93
@@ -54,24 +56,25 @@ class Grams:
 
     def __call__(self, text: str | None) -> np.ndarray | None:
         """None if the text is null or has no letter."""
-        total, any_letter = np.zeros(1 << self.bits, np.int64), False
-        for at in range(0, len(text or ""), CHUNK):
-            part = text[max(0, at - 2) : at + CHUNK].lower()
-            codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-            letters = self.letter[codes]
-            if not letters.any():
-                continue
-            any_letter = True
-            codes = np.where(letters, codes, np.uint64(32))
-            codes = np.concatenate([[np.uint64(32)], codes, [np.uint64(32)]])
-            codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]  # runs of spaces are one
-            for n in ORDERS:
-                h = codes[: len(codes) - n + 1] * np.uint64(PLACES[0])
+        if not text:
+            return None
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        letters = self.letter[codes]
+        if not letters.any():
+            return None
+        codes = np.concatenate([[32], np.where(letters, codes, 32), [32]]).astype(np.uint32)
+        codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]  # runs of spaces are one
+        total = np.zeros(1 << self.bits, np.int64)
+        for n in ORDERS:
+            for at in range(0, len(codes) - n + 1, CHUNK):
+                part = codes[at : at + CHUNK + n - 1].astype(np.uint64)
+                size = len(part) - n + 1
+                h = part[:size] * np.uint64(PLACES[0])
                 for k in range(1, n):
-                    h = (h ^ (h >> np.uint64(29))) * np.uint64(MIX) + codes[k : len(codes) - n + 1 + k] * np.uint64(PLACES[k])
+                    h = (h ^ (h >> np.uint64(29))) * np.uint64(MIX) + part[k : size + k] * np.uint64(PLACES[k])
                 h = ((h ^ (h >> np.uint64(32))) * np.uint64(MIX)) >> np.uint64(64 - self.bits)
                 total += np.bincount(h.astype(np.int64), minlength=1 << self.bits)
-        return total if any_letter else None
+        return total
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -154,7 +157,9 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
     df[list(found)] = list(found.values())
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGS + 1).collect()}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     share = {k: min(1.0, sample_rows / len(sizes) / v) for k, v in sizes.items()}
     langs = sorted(share)
     draw = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
