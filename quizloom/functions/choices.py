@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quizloom.functions.once import let
+
 
 def choice_text(choice: Column) -> Column:
     """What follows the label ``A. `` or ``A) ``; null without one."""
@@ -35,8 +37,19 @@ def shuffled(choices: Column, answer: Column, key: Column, seed: str) -> Column:
 
     Null where an option has no label or the answer names none.
     """
-    texts = F.transform(choices, choice_text)
-    right = F.get(texts, position(answer))
-    new = hash_order(texts, key, seed)
-    moved = F.struct(relabel(new).alias("choices"), letter(F.array_position(new, right).cast("int") - 1).alias("answer"))
-    return F.when(F.forall(texts, lambda t: t.isNotNull()) & right.isNotNull(), moved)
+    def moved(texts: Column) -> Column:
+        right = F.get(texts, position(answer))
+        new = let(hash_order(texts, key, seed), lambda new: F.struct(relabel(new).alias("choices"), letter(F.array_position(new, right).cast("int") - 1).alias("answer")))
+        return F.when(named(texts, answer), new)
+
+    return let(F.transform(choices, choice_text), moved)
+
+
+def named(texts: Column, answer: Column) -> Column:
+    """Whether all options have a text and the answer names one."""
+    return F.forall(texts, lambda t: t.isNotNull()) & F.get(texts, position(answer)).isNotNull()
+
+
+def labelled(choices: Column, answer: Column) -> Column:
+    """Whether ``shuffled`` gives anything; null choices have none."""
+    return F.coalesce(let(F.transform(choices, choice_text), lambda texts: named(texts, answer)), F.lit(False))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quizloom.functions.once import let
+
 # Patterns, in Java's dialect
 DIAGRAM = r"(?i)(?:figure|fig\.|diagram|chart|graph|image)\s+\d+"
 QUESTION_NUMBER = r"(?i)(?:Question|Q)\s*(\d+)"
@@ -31,7 +33,7 @@ def content_hash(text: Column) -> Column:
 
 def dedup_hash(text: Column) -> Column:
     """As content_hash, but null where there is no text, so that such rows drop out."""
-    return F.when(text != "", F.sha2(text, 256))
+    return let(text, lambda t: F.when(t != "", F.sha2(t, 256)))
 
 
 def document_hash(columns: list[str], without: tuple[str, ...] = ("_id",)) -> Column:
@@ -52,7 +54,7 @@ def question_number(text: Column) -> Column:
 
 def lenient_int(text: Column) -> Column:
     """Integers with spaces and a sign; null for anything else, such as 3.7."""
-    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("int"))
+    return let(text, lambda t: F.when(t.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(t).try_cast("int")))
 
 
 def is_answer_key(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.functions.once import let, with_once
 from quizloom.functions.text import has_diagram, is_answer_key, lenient_int, question_number
 from quizloom.operators.lookup import last_by
 
@@ -21,10 +22,17 @@ def answer_key(rows: DataFrame, doc: str = "doc", order: str = "row_ord", cells:
 
     Rows whose number or unit is no integer, or with a null among the five cells, go; of equal numbers the last row counts.
     """
-    cell = [F.get(cells, F.lit(i)) for i in range(5)]
-    good = rows.where(F.size(cells) >= 5).select(
-        doc, order, lenient_int(cell[0]).alias("question_num"), F.trim(cell[1]).alias("answer"), F.trim(cell[2]).alias("skill"), F.trim(cell[3]).alias("learning_objective"), lenient_int(cell[4]).alias("unit"))
-    good = good.dropna(subset=["question_num", "answer", "skill", "learning_objective", "unit"])
+    names = ["question_num", "answer", "skill", "learning_objective", "unit"]
+    kinds = [lenient_int, F.trim, F.trim, F.trim, lenient_int]
+
+    def parsed(c: Column) -> Column:
+        read = F.struct(*[kind(F.get(c, F.lit(i))).alias(n) for i, (n, kind) in enumerate(zip(names, kinds, strict=True))])
+        return F.when(F.size(c) >= len(names), read)
+
+    def whole(r: Column) -> Column:
+        return ~F.exists(F.array(*[r[n].isNull() for n in names]), lambda missing: missing)
+
+    good = with_once(rows.select(doc, order, cells), "__read", let(F.col(cells), parsed), whole).select(doc, order, "__read.*")
     return last_by(good, [doc, "question_num"], order).drop(order)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions import choices, jsonfix, prompts, text
+from quizloom.functions.once import with_once
 from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import providers
 
@@ -168,7 +169,8 @@ def sample_document(spark, d):
 
 
 def hashed_documents(spark, d):
-    return read(spark, d, "documents").select("doc_id", "lang", text.dedup_hash(text.canonical_text(F.col("text"))).alias("hash"))
+    rows = read(spark, d, "documents").select("doc_id", "lang", "text")
+    return with_once(rows, "hash", text.dedup_hash(text.canonical_text(F.col("text")))).drop("text")
 
 
 HASHED = r"(SELECT doc_id, lang, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS hash FROM documents WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> '')"
@@ -246,8 +248,9 @@ def page_flags(spark, d):
 
 def key_rows(spark, d):
     cells = F.split(F.concat_ws(",", F.concat(F.lit(" "), (F.col("o_orderkey") % 97).cast("string"), F.lit(" ")), F.substring("o_orderpriority", 1, 1), "o_orderstatus", F.lit("lo"), F.when(F.col("o_orderkey") % 7 == 0, "3.7").otherwise((F.col("o_orderkey") % 9).cast("string"))), ",")
-    cells = F.when(F.col("o_orderkey") % 11 == 0, F.slice(cells, 1, 4)).otherwise(cells)
-    return read(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("row_ord"), cells.alias("cells"))
+    n = F.when(F.col("o_orderkey") % 11 == 0, 4).otherwise(5)
+    rows = read(spark, d, "orders")
+    return rows.select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("row_ord"), F.slice(cells, F.lit(1), n).alias("cells"))
 
 
 KEY_SQL = """(SELECT o_custkey AS doc, CAST(o_orderkey % 97 AS INT) AS question_num, max_by({'a': substr(o_orderpriority, 1, 1), 's': o_orderstatus, 'u': CAST(o_orderkey % 9 AS INT)}, o_orderkey) AS m
@@ -428,7 +431,7 @@ SELECT o_orderkey, array_to_string(list_transform(new, lambda x, i: chr(64 + CAS
 
 def shuffled_rows(spark, d):
     moved = choices.shuffled(F.col("choices"), F.col("answer"), F.col("o_orderkey"), SHUFFLE_SEED)
-    rows = choice_rows(spark, d).withColumn("m", moved).where("m IS NOT NULL")
+    rows = with_once(choice_rows(spark, d), "m", moved, lambda m: m.isNotNull())
     return rows.select("o_orderkey", F.array_join("m.choices", "|").alias("options"), F.col("m.answer").alias("answer"), F.col("answer").alias("old"))
 
 
@@ -449,9 +452,8 @@ def shuffle_counters(spark, d):
 
 @query("SELECT o_orderkey, 'no label' AS reason FROM orders WHERE o_orderkey % 11 = 0")
 def choices_quarantine(spark, d):
-    rows = choice_rows(spark, d)
-    moved = choices.shuffled(F.col("choices"), F.col("answer"), F.col("o_orderkey"), SHUFFLE_SEED)
-    return rows.where(moved.isNull()).select("o_orderkey", F.lit("no label").alias("reason"))
+    rows = choice_rows(spark, d).where(~choices.labelled(F.col("choices"), F.col("answer")))
+    return rows.select("o_orderkey", F.lit("no label").alias("reason"))
 
 
 @query(f"SELECT o.o_orderkey, coalesce(s.answer, chr(65 + CAST(o.o_orderkey % 4 AS INT))) AS answer FROM orders o LEFT JOIN {SHUFFLE_SQL} s ON s.o_orderkey = o.o_orderkey AND s.answer <> s.old")

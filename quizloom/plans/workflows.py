@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions import choices, jsonfix, prompts, text
+from quizloom.functions.once import with_once
 from quizloom.operators import bank, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import providers
 from quizloom.tables import Tables
@@ -127,5 +128,5 @@ def sync(source: DataFrame, target: DataFrame, key: str, dry_run: bool = False)
 def shuffle_bank(questions: DataFrame, key: str, seed: str) -> DataFrame:
     """The bank with shuffled options where the answer's letter moved; other rows, and those without labels, as they were."""
     moved = choices.shuffled(F.col("multiple_choices"), F.col("correct_answer"), F.col(key), seed)
-    new = questions.select(key, "correct_answer", moved.alias("m")).where("m.answer <> correct_answer")
+    new = with_once(questions, "m", moved, lambda m: m["answer"] != F.col("correct_answer")).select(key, "m")
     return delta.merge_changes(questions, new.select(key, F.col("m.choices").alias("multiple_choices"), F.col("m.answer").alias("correct_answer")), key, ["multiple_choices", "correct_answer"])
