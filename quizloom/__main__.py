@@ -56,8 +56,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     seen = table_or_empty(spark, f"{args.seen}/version={args.version - 1:06d}", "hash string")
     dedup.unseen(dedup.first_seen(rows, "hash", args.id_field), seen, "hash").write.parquet(args.out)
     fresh = spark.read.parquet(args.out)
-    save_state(dedup.seen_after(seen, fresh, "hash"), args.seen, args.version)
-    return {"rows": fresh.count()}
+    n = fresh.count()
+    if n:  # a run without a new question leaves the state as it is
+        save_state(dedup.seen_after(seen, fresh, "hash"), args.seen, args.version)
+    return {"rows": n}
 
 
 if __name__ == "__main__":

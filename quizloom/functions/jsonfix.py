@@ -65,6 +65,11 @@ def unwrap(text: Column, wrapper: str = "cheat_sheet") -> Column:
     return F.coalesce(F.to_json(F.coalesce(inner, v)), F.to_json(F.struct(text.alias("raw_content"))))
 
 
+def whole(text: Column) -> Column:
+    """JSON text with any wrapper kept; ``{"raw_content": text}`` if it is no JSON."""
+    return F.coalesce(F.to_json(parse(text)), F.to_json(F.struct(text.alias("raw_content"))))
+
+
 def field(v: Column, name: str, kind: str = "string") -> Column:
     return F.try_variant_get(v, f"$.{name}", kind)
 

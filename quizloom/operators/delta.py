@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def classify(source: DataFrame, target: DataFrame, key: str, content: str) -> DataFrame:
+def classify(source: DataFrame, target: DataFrame, key: str, content: str, order: str | None = None) -> DataFrame:
     """key, status (added, deleted, changed, same): one pass over a full outer join.
 
-    Rows without key are on neither side. Of repeated keys the greatest content counts for the comparison.
+    Rows without key are on neither side. Of repeated keys the last one by ``order`` is compared, as the last read one; without an order, or among
+    equals, the one with the greatest content.
     """
     def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(content).alias(name))
+        last = F.max(content) if order is None else F.max(F.struct(order, content))[content]
+        return rows.where(F.col(key).isNotNull()).groupBy(key).agg(last.alias(name))
 
     both = side(source, "__s").join(side(target, "__t"), key, "full_outer")
     status = F.when(F.col("__t").isNull(), "added").when(F.col("__s").isNull(), "deleted").when(F.col("__s") != F.col("__t"), "changed").otherwise("same")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from quizloom.tables import Tables
+
 
 def table_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A Parquet table, or no rows if there is none at the path."""
@@ -30,10 +32,21 @@ def append_new(rows: DataFrame, path: str, key: str) -> int:
     """Append the rows whose key the table lacks; how many. A rerun writes nothing twice."""
     spark = rows.sparkSession
     known = table_or_empty(spark, path, rows.schema).select(key)
-    fresh = rows.join(known, key, "left_anti").dropDuplicates([key]).select(rows.columns)
-    before = known.count()
+    fresh = Tables(spark, "append").save(rows.join(known, key, "left_anti").dropDuplicates([key]).select(rows.columns), "fresh")
     fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - before
+    return fresh.count()
+
+
+def upsert(rows: DataFrame, path: str, key: str, version: int) -> str:
+    """A new version of the table in which ``rows`` take the place of those with their keys; the one before stays until its readers end.
+
+    Of repeated keys one row stays; rows without key are left out.
+    """
+    new = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
+    old = table_or_empty(rows.sparkSession, f"{path}/version={version - 1:06d}", rows.schema)
+    out = f"{path}/version={version:06d}"
+    old.join(new.select(key), key, "left_anti").select(rows.columns).unionByName(new).write.mode("overwrite").parquet(out)
+    return out
 
 
 def write_output(rows: DataFrame, mode: str, path: str) -> None:

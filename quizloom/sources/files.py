@@ -8,6 +8,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from quizloom.functions import jsonfix
 from quizloom.functions.text import ANSWER_KEY_MARKS, file_kind
@@ -33,46 +35,51 @@ def output_ids(spark: SparkSession, path: str, prefix: str = "diagram_") -> Data
     return names.select(F.regexp_extract("path", rf"{prefix}([^/]*)\.png$", 1).alias("id"))
 
 
-def binary_pages(spark: SparkSession, path: str, reader: Callable[[bytes], list[str]] | None = None) -> DataFrame:
-    """doc, page_number (from 1), text of each page of the PDF files at ``path``; a file that cannot be read gives none."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), "content")
+#: Bytes of file contents that a Python worker gets at a time, but for a single longer file.
+BATCH_BYTES = "64m"
+
+
+def contents(spark: SparkSession, path: str) -> DataFrame:
+    """doc (the path), content of each file."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), "content")
 
-    def run(batches):
-        read = reader or pdf_pages
-        for batch in batches:
-            rows = []
-            for doc, content in zip(batch.column("doc").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                try:
-                    rows += [(doc, i + 1, t) for i, t in enumerate(read(content))]
-                except (ValueError, OSError):
-                    continue
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string()), strict=True)], ["doc", "page_number", "text"])
 
-    return files.mapInArrow(run, "doc string, page_number int, text string")
+def binary_pages(spark: SparkSession, path: str, reader: Callable[[bytes], list[str]] | None = None, broken: bool = False) -> DataFrame:
+    """doc, page_number (from 1), text of each page of the PDF files at ``path``; with ``broken`` doc and error of the files that cannot be read."""
+    return read_files(contents(spark, path), lambda content: [(i + 1, t) for i, t in enumerate((reader or pdf_pages)(content))], "page_number int, text string", broken)
 
 
-def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list[tuple[str, list[list[str | None]]]]] | None = None) -> DataFrame:
-    """doc, row_ord, cells of the tables on answer-key pages of the PDF files at ``path``, each table without its first row.
+def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list[tuple[str, list[list[str | None]]]]] | None = None, broken: bool = False) -> DataFrame:
+    """doc, row_ord, cells of the tables on answer-key pages of the PDF files at ``path``, each table without its first row; with ``broken`` doc and error of the others.
 
     ``reader`` gives the text and the table rows of each page.
     """
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), "content")
+
+    def rows(content: bytes) -> list[tuple]:
+        found = [r for text, table in (reader or pdf_tables)(content) if any(m in (text or "") for m in ANSWER_KEY_MARKS) for r in table[1:]]
+        return list(enumerate(found))
+
+    return read_files(contents(spark, path), rows, "row_ord int, cells array<string>", broken)
+
+
+def read_files(files: DataFrame, rows: Callable[[bytes], list[tuple]], schema: str, broken: bool) -> DataFrame:
+    """doc and what ``rows`` gives for each file; with ``broken`` doc and error of the files for which it fails instead. One file that fails leaves the others alone."""
+    kinds = to_arrow_schema(StructType.fromDDL(f"doc string, {schema}, error string"))
 
     def run(batches):
-        read = reader or pdf_tables
         for batch in batches:
-            rows = []
+            out = []
             for doc, content in zip(batch.column("doc").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 try:
-                    found = [r for text, table in read(content) if any(m in (text or "") for m in ANSWER_KEY_MARKS) for r in table[1:]]
-                except (ValueError, OSError):
-                    continue
-                rows += [(doc, i, cells) for i, cells in enumerate(found)]
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.list_(pa.string())), strict=True)], ["doc", "row_ord", "cells"])
+                    out += [(doc, *r, None) for r in rows(content)]
+                except Exception as e:  # noqa: BLE001  readers of binary formats raise errors of their own
+                    out.append((doc, *[None] * (len(kinds) - 2), f"{type(e).__name__}: {e}"))
+            cols = list(zip(*out, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds, strict=True)], kinds.names)
 
-    return files.mapInArrow(run, "doc string, row_ord int, cells array<string>")
+    found = files.mapInArrow(run, f"doc string, {schema}, error string")
+    return found.where("error IS NOT NULL").select("doc", "error") if broken else found.where("error IS NULL").drop("error")
 
 
 def pdf_tables(content: bytes) -> list[tuple[str, list[list[str | None]]]]:
@@ -96,15 +103,15 @@ def image_text(content: bytes) -> str:
     return pytesseract.image_to_string(Image.open(io.BytesIO(content)))
 
 
-def question_files(spark: SparkSession, path: str, ocr: Callable[[bytes], str] | None = None, pages: Callable[[bytes], list[str]] | None = None) -> DataFrame:
-    """doc, kind, text: the first page of a PDF, the words of an image, or a text file; another suffix fails the query."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), file_kind(F.col("path")).alias("kind"), "content")
-    known = files.withColumn("kind", F.coalesce("kind", F.raise_error(F.concat(F.lit("no reader for "), F.col("doc"))).cast("string")))
+def question_files(spark: SparkSession, path: str, ocr: Callable[[bytes], str] | None = None, pages: Callable[[bytes], list[str]] | None = None, broken: bool = False) -> DataFrame:
+    """doc, kind, text: the first page of a PDF, the words of an image, or a text file; another suffix fails the query. With ``broken`` doc and error of the files that cannot be read."""
+    files = contents(spark, path).withColumn("kind", file_kind(F.col("doc")))
+    kind = F.coalesce("kind", F.raise_error(F.concat(F.lit("no reader for "), F.col("doc"))).cast("string"))
+    known = files.select("doc", F.concat(kind, F.lit("|")).cast("binary").alias("head"), "content").select("doc", F.concat("head", "content").alias("content"))
 
-    def run(batches):
+    def rows(content: bytes) -> list[tuple]:
+        kind, _, body = content.partition(b"|")
         readers = {"pdf": lambda b: (pages or pdf_pages)(b)[0], "image": ocr or image_text, "text": lambda b: b.decode("utf-8")}
-        for batch in batches:
-            texts = [readers[k](c) for k, c in zip(batch.column("kind").to_pylist(), batch.column("content").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("kind"), pa.array(texts, pa.string())], ["doc", "kind", "text"])
+        return [(kind.decode(), readers[kind.decode()](body))]
 
-    return known.mapInArrow(run, "doc string, kind string, text string")
+    return read_files(known, rows, "kind string, text string", broken)

@@ -1,7 +1,7 @@
 """Calls to models of text, vectors and images, as Arrow batches between two written tables.
 
-Requests are written with an id of their content before any call, responses after; a request with a response is not
-sent again. The default provider answers from a hash, offline. Real ones are given as callables; their keys come
+Requests are written with an id of their content before any call, responses after; with a table of responses that outlives
+the session, a request that has one is not sent again. The default provider answers from a hash, offline. Real ones are given as callables; their keys come
 from the executors' own environment.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions.prompts import for_provider
+from quizloom.sources.bank import table_or_empty
 
 
 @dataclass(frozen=True)
@@ -51,35 +52,54 @@ def offline(provider: str, system_prompt: str, user_prompt: str, settings: dict)
     return "```json\n" + json.dumps({"questions": made}) + "\n```"
 
 
-def requests(rows: DataFrame, provider: str, system: str = "system_prompt", user: str = "user_prompt", model: str = "offline") -> DataFrame:
-    """Adds request_id; an unknown provider is an error before anything runs."""
+def requests(rows: DataFrame, provider: str = "offline", system: str = "system_prompt", user: str = "user_prompt", model: str = "offline", settings: dict | None = None, per_row: tuple[str, ...] = ()) -> DataFrame:
+    """Adds settings (JSON) and request_id, a hash of all that the answer may depend on; an unknown provider is an error before anything runs.
+
+    Columns named in ``per_row`` are settings of their row. Settings that the provider does not honour are left out; the offline one honours all.
+    """
     if provider not in PROVIDERS and provider != "offline":
         raise ValueError(f"no such provider: {provider!r}")
+    known = PROVIDERS.get(provider)
+    wanted = {k: F.lit(v) for k, v in (settings or {}).items()} | {k: F.col(k) for k in per_row}
+    told = {k: v for k, v in wanted.items() if known is None or k in known.knobs} | {k: F.lit(v) for k, v in (known.fixed if known else ())}
     named = tuple(p.name for p in PROVIDERS.values() if p.named)
-    told = for_provider(F.col(system), F.lit(provider), F.lit(model), named)
-    return rows.withColumn(system, told).withColumn("request_id", F.sha2(F.concat_ws("\n", F.lit(provider), F.lit(model), F.col(system), F.col(user)), 256))
+    out = rows.withColumn(system, for_provider(F.col(system), F.lit(provider), F.lit(model), named))
+    out = out.withColumn("settings", F.to_json(F.struct(*[told[k].alias(k) for k in sorted(told)])) if told else F.lit("{}"))
+    return out.withColumn("request_id", F.sha2(F.concat_ws("\n", F.lit(provider), F.lit(model), "settings", F.col(system), F.col(user)), 256))
 
 
-def respond(todo: DataFrame, provider: str = "offline", call: Call = offline, settings: dict | None = None, system: str = "system_prompt", user: str = "user_prompt", per_row: tuple[str, ...] = ()) -> DataFrame:
-    """request_id, response for each request; null where the call fails. Write the result before using it: every evaluation calls.
+def respond(todo: DataFrame, provider: str = "offline", call: Call = offline, system: str = "system_prompt", user: str = "user_prompt", connect: Callable[[], Call] | None = None, tasks: int | None = None) -> DataFrame:
+    """request_id, response for each distinct request; null where the call fails. Write the result before using it: every evaluation calls.
 
-    Settings that the provider does not honour are left out; columns named in ``per_row`` are settings of their row.
+    ``connect`` is called once in each of the ``tasks`` partitions (as many as the cluster has cores, if not given) and returns what calls; without it ``call`` does.
     """
-    known = PROVIDERS.get(provider)
-    fixed = {k: v for k, v in (settings or {}).items() if known is None or k in known.knobs} | dict(known.fixed if known else ())
 
     def run(batches):
+        asking = connect() if connect else call
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 try:
-                    out.append(call(provider, row[system], row[user], fixed | {k: row[k] for k in per_row}))
+                    out.append(asking(provider, row[system], row[user], json.loads(row["settings"])))
                 except Exception:  # noqa: BLE001  whatever a client raises, the row has no answer
                     out.append(None)
             yield pa.RecordBatch.from_arrays([batch.column("request_id"), pa.array(out, pa.string())], ["request_id", "response"])
 
-    asked = todo.select("request_id", system, user, *per_row).dropDuplicates(["request_id"])
-    return asked.mapInArrow(run, "request_id string, response string")
+    asked = todo.select("request_id", system, user, "settings").dropDuplicates(["request_id"])
+    # a given number of partitions, as adaptive execution would put short requests into one task and make all calls wait for each other
+    return asked.repartition(tasks or todo.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "request_id string, response string")
+
+
+def answers(todo: DataFrame, path: str, **options) -> DataFrame:
+    """request_id, response of all requests that have one in the table at ``path``, to which those of new requests are added first.
+
+    A request that the table has is not sent again, in this run or a later one; failed ones are.
+    """
+    known = table_or_empty(todo.sparkSession, path, "request_id string, response string")
+    fresh = respond(todo.join(known.select("request_id"), "request_id", "left_anti"), **options)
+    fresh.where("response IS NOT NULL").write.mode("append").parquet(path)
+    got = todo.sparkSession.read.schema("request_id string, response string").parquet(path)
+    return got.join(todo.select("request_id").distinct(), "request_id", "left_semi").dropDuplicates(["request_id"])
 
 
 def hash_vector(text: str, size: int = 16) -> list[float]:
@@ -90,27 +110,29 @@ def hash_vector(text: str, size: int = 16) -> list[float]:
     return [x / norm for x in v]
 
 
-def embed(rows: DataFrame, key: str, document: str, vector: Callable[[str], list[float]] = hash_vector) -> DataFrame:
-    """key, embedding (array<float>); null documents have none."""
+def embed(rows: DataFrame, key: str, document: str, vector: Callable[[str], list[float]] = hash_vector, connect: Callable[[], Callable[[str], list[float]]] | None = None) -> DataFrame:
+    """key, embedding (array<float>); null documents have none. ``connect`` is called once a partition and returns what makes vectors."""
 
     def run(batches):
+        make = connect() if connect else vector
         for batch in batches:
-            out = [None if t is None else vector(t) for t in batch.column(1).to_pylist()]
+            out = [None if t is None else make(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float32()))], [key, "embedding"])
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, document).mapInArrow(run, f"`{key}` {kind}, embedding array<float>")
 
 
-def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str], bytes | None]) -> DataFrame:
-    """key, content (PNG bytes or null) for each prompt; molecules are drawn by the same form, from SMILES or a name."""
+def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str], bytes | None] | None = None, connect: Callable[[], Callable[[str], bytes | None]] | None = None) -> DataFrame:
+    """key, content (PNG bytes or null) for each prompt; molecules are drawn by the same form, from SMILES or a name. ``connect`` is called once a partition and returns what draws."""
 
     def run(batches):
+        make = connect() if connect else draw
         for batch in batches:
             out = []
             for p in batch.column(1).to_pylist():
                 try:
-                    out.append(draw(p))
+                    out.append(make(p))
                 except Exception:  # noqa: BLE001
                     out.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [key, "content"])
@@ -119,14 +141,16 @@ def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str], bytes |
     return rows.select(key, prompt).mapInArrow(run, f"`{key}` {kind}, content binary")
 
 
-def draw_molecule(name_or_smiles: str) -> bytes | None:
-    """PNG of a structure; needs the optional chemistry package."""
+def draw_molecule(name_or_smiles: str, lookup: Callable[[str], str | None] | None = None) -> bytes | None:
+    """PNG of a structure from SMILES, else from the SMILES that ``lookup`` has for a name, else none; needs the optional chemistry package."""
     import io
 
     from rdkit import Chem
     from rdkit.Chem import Draw
 
     mol = Chem.MolFromSmiles(name_or_smiles)
+    if mol is None and lookup and (found := lookup(name_or_smiles)):
+        mol = Chem.MolFromSmiles(found)
     if mol is None:
         return None
     out = io.BytesIO()

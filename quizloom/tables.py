@@ -11,8 +11,10 @@ DEFAULT_FOLDER = "/tmp/checkpoints"
 
 class Tables:
     def __init__(self, spark: SparkSession, name: str):
-        root = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_FOLDER
-        self.spark, self.path = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        self.spark, self.path = spark, f"{(root or DEFAULT_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, tag: str) -> DataFrame:
         df.write.parquet(f"{self.path}/{tag}")

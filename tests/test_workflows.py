@@ -101,10 +101,103 @@ def test_providers(spark):
             raise RuntimeError("down")
         return json.dumps(settings)
 
-    got = {r.response for r in providers.respond(asked, "grok", call, {"seed": 1, "presence_penalty": 2}).collect()}
+    asked = providers.requests(rows, "grok", settings={"seed": 1, "presence_penalty": 2})
+    got = {r.response for r in providers.respond(asked, "grok", call).collect()}
     assert got == {None, '{"seed": 1}'}
 
 
+def test_requests_differ_by_settings(spark):
+    rows = spark.createDataFrame([("s", "u", 3), ("s", "u", 9), ("s", "u", 3)], "system_prompt string, user_prompt string, num_questions int")
+    asked = providers.requests(rows, per_row=("num_questions",))
+    assert asked.select("request_id").distinct().count() == 2
+    sizes = {json.loads(r.response.strip("`json\n"))["questions"].__len__() for r in providers.respond(asked).collect()}
+    assert sizes == {3, 9}
+    known = providers.requests(rows, "deepseek", per_row=("num_questions",))  # not one of its settings
+    assert {r.settings for r in known.collect()} == {'{"max_tokens":1000,"timeout":30}'}
+
+
+def test_calls_are_spread_and_not_repeated(spark, tmp_path):
+    calls, opened = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def connect():
+        opened.add(1)
+
+        def call(provider, system, user, settings):
+            calls.add(1)
+            return None if user == "u7" else user.upper()
+
+        return call
+
+    rows = spark.range(500).selectExpr("'s' AS system_prompt", "concat('u', id) AS user_prompt")
+    asked, path = providers.requests(rows), f"{tmp_path}/responses"
+    assert providers.respond(asked).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert providers.answers(asked, path, connect=connect, tasks=5).count() == 499 and (calls.value, opened.value) == (500, 5)
+    got = providers.answers(asked, path, connect=connect, tasks=5).collect()
+    assert len(got) == 499 and calls.value == 501 and {r.response for r in got} == {f"U{i}" for i in range(500) if i != 7}
+    drawn = providers.images(rows.limit(3), "user_prompt", "system_prompt", connect=lambda: lambda p: p.encode())
+    assert {bytes(r.content) for r in drawn.collect()} == {b"s"} and providers.embed(rows.limit(2), "user_prompt", "user_prompt", connect=lambda: lambda t: [1.0]).count() == 2
+
+
+def test_failed_steps_ask_no_model(spark, tmp_path):
+    topics = spark.createDataFrame([("s", "t1", ["a"]), ("s", "t2", [])], "subject string, topic string, objectives array<string>")
+    calls = spark.sparkContext.accumulator(0)
+
+    def call(provider, system, user, settings):
+        calls.add(1)
+        return '```json\n{"cheat_sheet": {"title": "x"}}\n```'
+
+    sheets, _ = workflows.cheat_sheets(spark, topics, call=call, model="m", created_at="2024-01-02 03:04:05", out=f"{tmp_path}/sheets")
+    got = {r.topic: (r.error, r.cheat_sheet, r.file_body) for r in sheets.collect()}
+    assert calls.value == 1 and got == {"t1": (None, '{"title":"x"}', '{"cheat_sheet":{"title":"x"}}'), "t2": ("framework", None, None)}
+    doc = spark.read.parquet(f"{tmp_path}/sheets").collect()
+    assert [(d.content_type, d.model, d.metadata.topic, d.metadata.objectives_count) for d in doc] == [("cheat_sheet", "m", "t1", 1)]
+
+
+def test_level_templates_and_sinks(spark, tmp_path):
+    skills = spark.createDataFrame([(1, "Limits", ["a"])], "skill_id int, skill string, objectives array<string>")
+    asked = []
+    templates = {k: (f"sys {k}", f"user {k} {{skill}} {{level_num}}") for k in text.LEVELS}
+    call = lambda p, s, u, k: json.dumps([{"question": f"{s}/{u}/{k['num_questions']}"}])
+    made = workflows.skill_levels(spark, skills, text.LEVELS, 2, call=call, templates=templates, created_at="2024-01-02 03:04:05", out=f"{tmp_path}/q")
+    assert {r.question for r in made.collect()} == {f"sys {k}/user {k} Limits {v}/2" for k, v in text.LEVELS.items()}
+    assert spark.read.parquet(f"{tmp_path}/q").where("created_at = '2024-01-02 03:04:05'").count() == 5
+    with pytest.raises(ValueError, match="Applying"):
+        workflows.skill_levels(spark, skills, text.LEVELS, 2, templates={k: v for k, v in templates.items() if k != "Applying"})
+    rows = spark.createDataFrame([(1, "q?", None, ["A. x"], "A", "Applying", 3)], "skill_id int, question string, subject string, multiple_choices array<string>, correct_answer string, level string, level_num int")
+    user = "|".join(f"{{{k}}}" for k in workflows.ENHANCE_DEFAULTS)
+    got = workflows.enhance(spark, rows, skills.withColumn("subject_area", F.lit("area")), call=lambda p, s, u, k: json.dumps({"u": u}), user=user).collect()
+    assert json.loads(got[0].enhanced)["u"] == '|None|area|None|q?|Limits||1|["A. x"]|A|Applying|3|False|[]||[]' and not asked
+    like = workflows.similar(spark, spark.createDataFrame([("f", " What? ", "T")], "doc string, text string, topic string"), 2, model="m", system="{model} {topic}", user="{num_questions}: {sample_question}", call=lambda p, s, u, k: json.dumps([s, u])).collect()
+    assert json.loads(like[0].questions) == ["m T", "2: What?"]
+
+
+def test_upsert_and_last_read(spark, tmp_path):
+    a, b = spark.createDataFrame([("1", [1.0]), ("2", [2.0])], "id string, v array<float>"), spark.createDataFrame([("2", [3.0]), ("4", [4.0]), (None, [5.0])], "id string, v array<float>")
+    bank.upsert(a, f"{tmp_path}/v", "id", 1)
+    out = bank.upsert(b, f"{tmp_path}/v", "id", 2)
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("1", [1.0]), ("2", [3.0]), ("4", [4.0])]
+    source = spark.createDataFrame([(1, "z", 0), (1, "a", 1), (2, "b", 0)], "k int, v string, n int")
+    target = spark.createDataFrame([(1, "a", 5), (2, "c", 0), (2, "b", -1)], "k int, v string, n int")
+    assert tuple(workflows.sync(source, target, "k", order="n")[1].collect()[0]) == (0, 0, 1)
+
+
+def test_broken_files_are_rows(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name, body in (("a.pdf", b"one"), ("b.pdf", b"bad"), ("c.txt", b"text"), ("d.txt", b"\xff")):
+        (tmp_path / "d" / name).write_bytes(body)
+
+    def reader(content):
+        if content == b"bad":
+            raise KeyError("broken")
+        return [content.decode()]
+
+    path = f"{tmp_path}/d"
+    assert {r.text for r in files.question_files(spark, path, pages=reader).collect()} == {"one", "text"}
+    assert {r.doc[-5:]: r.error.split(":")[0] for r in files.question_files(spark, path, pages=reader, broken=True).collect()} == {"b.pdf": "KeyError", "d.txt": "UnicodeDecodeError"}
+    assert [r.error for r in files.binary_pages(spark, f"{path}/b.pdf", reader, broken=True).collect()] == ["KeyError: 'broken'"]
+    assert files.binary_tables(spark, f"{path}/b.pdf", reader, broken=True).count() == 1
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "exam.txt").write_text(" Hi {x} \n")
