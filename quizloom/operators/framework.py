@@ -22,6 +22,18 @@ def unit_objectives(frameworks: DataFrame, subject: str, unit: str) -> DataFrame
     return text.agg(listed.alias("objectives"))
 
 
+def objectives_for(skills: DataFrame, frameworks: DataFrame, subject: str = "subject", unit: str = "unit") -> DataFrame:
+    """The rows of ``skills`` with topic_pos, objective_pos and objective, one for each objective of their unit in order of framework, unit and topic; a skill without any keeps one row with nulls.
+
+    One join for all skills; positions of topics count over all units of the name.
+    """
+    units = frameworks.select(F.col("subject").alias("__subject"), "ord", F.posexplode("units").alias("u", "x")).select("__subject", F.col("x.unit").alias("__unit"), "ord", "u", F.posexplode("x.topics").alias("t", "topic"))
+    found = units.select("__subject", "__unit", "ord", "u", F.col("t").alias("topic_pos"), F.posexplode("topic.objectives").alias("objective_pos", "o"))
+    found = found.withColumn("objective", objective_text(F.col("o"))).where("objective IS NOT NULL")
+    out = skills.join(found, (F.col(subject) == F.col("__subject")) & (F.col(unit) == F.col("__unit")), "left")
+    return out.select(*skills.columns, F.col("ord").alias("framework_ord"), "topic_pos", "objective_pos", "objective")
+
+
 def flat_objectives(topics: Column) -> Column:
     """All objective texts of a unit's topics in order, as an array expression."""
     texts = F.flatten(F.transform(topics, lambda t: F.transform(F.coalesce(t["objectives"], F.array().cast("array<variant>")), objective_text)))

@@ -132,6 +132,22 @@ def polymorphic_objectives(spark, d):
     return units.select("u.unit", F.array_join(framework.flat_objectives(F.col("u.topics")), "|").alias("objectives"))
 
 
+@query("""
+WITH o AS (SELECT o_custkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) - 1 AS topic_pos, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) - 1 AS objective_pos, 'order ' || o_orderkey AS objective
+           FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT c_custkey, CAST(topic_pos AS INT) AS topic_pos, CAST(objective_pos AS INT) AS objective_pos, objective FROM customer LEFT JOIN o ON o_custkey = c_custkey""")
+def objectives_of_skills(spark, d):
+    """A framework a customer: priorities are units, states topics, orders objectives; every customer asks for one unit."""
+    topic = read(spark, d, "orders").groupBy("o_custkey", "o_orderpriority", "o_orderstatus").agg(F.array_sort(F.collect_list("o_orderkey")).alias("os"))
+    objectives = F.transform("os", lambda o: F.parse_json(F.to_json(F.struct(F.concat(F.lit("order "), o.cast("string")).alias("description")))))
+    topic = topic.select("o_custkey", "o_orderpriority", F.col("o_orderstatus").alias("s"), objectives.alias("objectives"))
+    by_name = lambda a, b: F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)
+    unit = topic.groupBy("o_custkey", "o_orderpriority").agg(F.array_sort(F.collect_list(F.struct(F.col("s").alias("topic"), "objectives")), by_name).alias("topics"))
+    frames = unit.groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_orderpriority").alias("unit"), "topics")).alias("units")).select(F.col("o_custkey").alias("subject"), F.lit(0).alias("ord"), "units")
+    asked = read(spark, d, "customer").select("c_custkey", F.lit("1-URGENT").alias("skill"))
+    return framework.objectives_for(asked, frames, "c_custkey", "skill").select("c_custkey", "topic_pos", "objective_pos", "objective")
+
+
 @query("""
 WITH w AS (SELECT c_nationkey, count(*) AS weight FROM customer GROUP BY 1)
 SELECT c_nationkey AS unit, weight, CAST(ceil(weight * 44 / 100.0) AS BIGINT) AS n_questions FROM w WHERE weight > 0""")
@@ -547,6 +563,16 @@ for _status in ("added", "deleted", "changed"):
     ORACLE_SQL[f"delta_{_status}"] = f"SELECT doc_id FROM {CLASSES_SQL} WHERE status = '{_status}'"
 
 
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'added' WHEN doc_id % 4 = 0 AND doc_id % 8 <> 0 THEN 'changed' ELSE 'same' END AS status FROM documents""")
+def delta_last_read(spark, d):
+    """Each fourth document is in the source twice, the second time with another language; the target has that one of each eighth."""
+    docs = read(spark, d, "documents").select("doc_id", "lang")
+    source = docs.withColumn("read", F.lit(0)).unionByName(docs.where("doc_id % 4 = 0").select("doc_id", F.lit("aa").alias("lang"), F.lit(1).alias("read")))
+    target = docs.where("doc_id % 5 <> 0").select("doc_id", F.when(F.col("doc_id") % 8 == 0, "aa").otherwise(F.col("lang")).alias("lang"), F.lit(0).alias("read"))
+    sides = [rows.select("doc_id", "read", text.document_hash(["doc_id", "lang"]).alias("hash")) for rows in (source, target)]
+    return delta.classify(*sides, "doc_id", "hash", "read")
+
+
 @query(f"SELECT count_if(status = 'added') AS added_count, count_if(status = 'deleted') AS deleted_count, count_if(status = 'changed') AS changed_count FROM {CLASSES_SQL}")
 def delta_stats(spark, d):
     return delta.stats(bank_classes(spark, d))
@@ -697,7 +723,15 @@ def contract_objectives_covered(spark, d):
 # --- workflows with the offline provider -------------------------------------------------------------------------
 
 
-@query()
+OWN_SQL = """'Which value has code ' || substr(own, 1, 8) || '?' AS question, substr('ABCD', CAST(1 + CAST('0x' || substr(own, 64, 1) AS BIGINT) % 4 AS INT), 1) AS correct_answer"""
+
+
+@query(f"""
+WITH u AS (SELECT n_nationkey AS unit_id, n_name, CAST(ceil(count(*) * 44 / 100.0) AS BIGINT) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY ALL),
+p AS (SELECT *, sha256('offline|You write exam questions for Science.|Write ' || n || ' questions on the unit ' || n_name || ' of Science.' || chr(10) || '- ' || n_name || chr(10) || chr(10) || 'Constraints:' || chr(10)
+      || '- Ask nothing twice, not in other words either.' || chr(10) || '- Spread over topics, skills and difficulty.' || chr(10) || '- Take another angle for run_seed=2024-01-02 03:04:05_0.' || chr(10)) AS h FROM u),
+q AS (SELECT unit_id, i, sha256(h || '|' || i) AS own FROM p, LATERAL (SELECT unnest(range(0, n)) AS i))
+SELECT unit_id, question, correct_answer, sha256(question) AS hash, question_index, unit_id AS set_index, 'batch_20240102_030405' AS batch_id FROM (SELECT unit_id, CAST(i + 1 AS INT) AS question_index, {OWN_SQL} FROM q)""")
 def exam_workflow(spark, d):
     from quizloom.plans.workflows import exam
 
@@ -706,15 +740,37 @@ def exam_workflow(spark, d):
     return exam(spark, units, "Science", 44, BATCH_TIME).select("unit_id", "question", "correct_answer", "hash", "question_index", "set_index", "batch_id")
 
 
-@query()
+@query(f"""
+WITH q AS (SELECT p_partkey, i, sha256(sha256('offline|Be brief.|On ' || p_name || ' ' || p_partkey) || '|' || i) AS own FROM part, LATERAL (SELECT unnest(range(0, 2)) AS i))
+SELECT p_partkey, CAST(i AS INT) AS pos, {OWN_SQL} FROM q""")
 def llm_stub_roundtrip(spark, d):
-    rows = read(spark, d, "nation").select("n_nationkey", F.lit("Be brief.").alias("system_prompt"), F.concat(F.lit("On "), "n_name").alias("user_prompt"))
+    prompt = F.concat(F.lit("On "), "p_name", F.lit(" "), F.col("p_partkey").cast("string"))
+    rows = read(spark, d, "part").select("p_partkey", F.lit("Be brief.").alias("system_prompt"), prompt.alias("user_prompt"))
     asked = providers.requests(rows, "offline")
     answers = providers.respond(asked)
-    found = bank.questions_of(asked.join(answers, "request_id").select("n_nationkey", "response"), "response", jsonfix.sanitize_bank)
-    return found.select("n_nationkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"))
+    found = bank.questions_of(asked.join(answers, "request_id").select("p_partkey", "response"), "response", jsonfix.sanitize_bank)
+    return found.select("p_partkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"), jsonfix.field(F.col("q"), "correct_answer").alias("correct_answer"))
 
 
-@query()
+@query("""
+WITH h AS (SELECT doc_id, sha256('0|' || text) || sha256('1|' || text) AS h FROM documents),
+x AS (SELECT doc_id, list_transform(range(0, 16), lambda k: CAST('0x' || h[k*8+7:k*8+8] || h[k*8+5:k*8+6] || h[k*8+3:k*8+4] || h[k*8+1:k*8+2] AS BIGINT) / 2147483648.0::DOUBLE - 1) AS v FROM h)
+SELECT doc_id, CAST(list_transform(v, lambda c: c / sqrt(list_reduce(list_transform(v, lambda y: y * y), lambda p, q: p + q))) AS FLOAT[]) AS embedding FROM x""")
 def embed_stub(spark, d):
     return providers.embed(read(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 6 <> 0 THEN upper(sha256(replace(p_name, ' ', '_'))) END AS content FROM part")
+def image_stub(spark, d):
+    """Drawn by a stand-in that fails for each sixth part; a failure leaves the others alone."""
+
+    def draw(name: str) -> bytes:
+        import hashlib
+
+        if name.startswith("-"):
+            raise ValueError(name)
+        return hashlib.sha256(name.encode()).digest()
+
+    name = text.molecule_file(F.col("p_name"))
+    rows = read(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 6 == 0, F.concat(F.lit("-"), name)).otherwise(name).alias("name"))
+    return providers.images(rows, "p_partkey", "name", draw).select("p_partkey", F.hex("content").alias("content"))
