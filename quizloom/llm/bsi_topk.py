@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch, shuffle_partitions
+from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thrifty
 
-#: Rows of an index block and queries of a chunk, on average.
-BLOCK, CHUNK = 32_768, 512
+#: Rows of an index block on average, and queries of a chunk at most: every block is sent once for each chunk, every chunk once for each block.
+BLOCK, CHUNK = 32_768, 8192
+#: Integer types that queries are sent as, the narrowest that holds them.
+KINDS = (np.int8, np.int16, np.int32, np.int64)
 
 
 def quantised(rows: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
@@ -45,7 +47,8 @@ def pack_rows(key, group):
 def pack_queries(key, group):
     ids = group["id"].to_numpy()
     values = np.array(group["q"].combine_chunks().flatten().to_numpy())
-    row = {"chunk": [key[0].as_py()], "dim": [key[1].as_py()], "query_ids": [ids.tobytes()], "queries": [values.tobytes()]}
+    kind = next(k for k in KINDS if np.iinfo(k).min <= values.min() and values.max() <= np.iinfo(k).max)
+    row = {"chunk": [key[0].as_py()], "dim": [key[1].as_py()], "query_ids": [ids.tobytes()], "width": [np.dtype(kind).itemsize], "queries": [values.astype(kind).tobytes()]}
     return pa.table({k: pa.array(v, pa.binary() if k in ("query_ids", "queries") else pa.int64()) for k, v in row.items()})
 
 
@@ -124,29 +127,33 @@ def search_block(ids: np.ndarray, low: np.ndarray, slices: np.ndarray, query_ids
         yield n, ids[best], total
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector: str = "embedding", block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector: str = "embedding", block: int = BLOCK, chunk: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query with all rows but those of its own id.
 
     Components become floor(scale * x). Vectors that are null, empty or hold a null or non-finite component, and rows
     without id, take no part; a query meets the rows of its own dimension only. Ties go to the smaller id. Repeated rows are candidates as often
-    as they occur, repeated queries count once. If there are fewer than k candidates, all are returned. Integers and scores must fit 63 bits.
+    as they occur, repeated queries count once. If there are fewer than k candidates, all are returned; empty tables give none. Integers and scores must fit 63 bits.
+    Without ``chunk`` the chunks are as large as CHUNK, or smaller so that all cores have blocks and chunks that meet.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "bsi")
     dim = F.size("q").cast("long")
     base = scratch.save(quantised(rows, id_col, vector, scale), "rows")
     asked = scratch.save(quantised(queries, id_col, vector, scale).dropDuplicates(), "queries")
-    blocks, chunks = max(1, -(-base.count() // block)), max(1, -(-asked.count() // chunk))
+    blocks, n_asked = max(1, -(-base.count() // block)), asked.count()
+    chunk = chunk or min(CHUNK, max(64, -(-n_asked * blocks // (2 * spark.sparkContext.defaultParallelism))))
+    chunks = max(1, -(-n_asked // chunk))
     index = base.groupBy(F.pmod(F.xxhash64("id", "q"), F.lit(blocks)).alias("block"), dim.alias("dim")).applyInArrow(pack_rows, "block long, dim long, ids binary, low binary, bits long, slices binary")
     index = scratch.save(index, "index")
-    packed = asked.groupBy(F.pmod(F.xxhash64("id", "q"), F.lit(chunks)).alias("chunk"), dim.alias("dim")).applyInArrow(pack_queries, "chunk long, dim long, query_ids binary, queries binary")
+    packed = asked.groupBy(F.pmod(F.xxhash64("id", "q"), F.lit(chunks)).alias("chunk"), dim.alias("dim")).applyInArrow(pack_queries, "chunk long, dim long, query_ids binary, width long, queries binary")
 
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 ids, low = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["low"], np.int64)
                 slices = np.frombuffer(r["slices"], np.uint64).reshape(r["dim"], r["bits"], -1)
-                asking, queries = np.frombuffer(r["query_ids"], np.int64), np.frombuffer(r["queries"], np.int64).reshape(-1, r["dim"])
+                asking, queries = np.frombuffer(r["query_ids"], np.int64), np.frombuffer(r["queries"], f"<i{r['width']}").astype(np.int64).reshape(-1, r["dim"])
                 found = list(search_block(ids, low, slices, asking, queries, k))
                 n = np.concatenate([np.full(len(i), n) for n, i, _ in found])
                 cols = [r["chunk"] * np.ones(len(n), np.int64), n, asking[n], np.concatenate([i for _, i, _ in found]), np.concatenate([s for _, _, s in found])]
@@ -157,6 +164,6 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_
     # an explicit number of partitions, as adaptive execution would put the few rows into one task
     tasks = min(blocks * chunks, 64 * shuffle_partitions(spark))
     left, right = (side.repartition(tasks, "block", "chunk", "dim") for side in (left, right))
-    found = left.join(right, ["block", "chunk", "dim"]).mapInArrow(run, "chunk long, n long, query_id long, vec_id long, score long")
+    found = left.join(right, ["block", "chunk", "dim"]).mapInArrow(thrifty(run), "chunk long, n long, query_id long, vec_id long, score long")
     best = Window.partitionBy("chunk", "query_id", "n").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -53,6 +53,35 @@ def test_stages_on_nothing(spark, name):
     assert out.collect() == []
 
 
+def test_run_against_brute_force(spark, docs, tmp_path):
+    """Every stage's rows, each from those of the stage before: all that run() returns, no more and no less."""
+    import duckdb
+    import pyarrow as pa
+
+    from quizloom.llm import lang_id, mixing
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    model = lang_id.train(docs.select("doc_id", "text", "lang"))
+    floor = min(1.0, 1.2 / len(model.langs))
+    rows = [(r.doc_id, r.text, r.lang or r.lang_pred, r.source, r.n_chars) for r in lang_id.predict(docs, model).collect() if r.lang_pred != "und" and r.score >= floor]
+    assert len(rows) > 10
+    gone = {i for i, _, _, kept in near([r[:2] for r in rows], 5) if not kept and i is not None}
+    rows = [r for r in rows if r[0] not in gone]
+    cut = list(repeats([r[:2] for r in rows], 25))
+    short = [(i, w, lang, source) for (i, _, lang, source, _), (_, _, _, _, w) in zip(rows, cut, strict=True)]
+    stages = dict(pipeline.STAGES)
+    after = spark.createDataFrame(rows, DOCS)
+    after = stages["substring_dedup"](spark, after, "")
+    assert sorted(str((r.doc_id, expected_words(r.text), r.lang, r.source)) for r in after.collect()) == sorted(map(str, short))
+    con = duckdb.connect()
+    con.register("documents", after.toArrow())
+    mixed = con.execute(f"SELECT doc_id, text, lang, source FROM ({mixing.MIX_SQL})").fetchall()
+    library = Tokenizer.from_file(vocabulary_path())
+    want = sorted(str((i, lang, source, library.encode(t or "", add_special_tokens=False).ids)) for i, t, lang, source in mixed)
+    got = pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str((r.doc_id, r.lang, r.source, r.ids)) for r in got) == want and len(want) > 5
+
+
 @here
 def test_run(spark):
     out = pipeline.run(spark, DATA).collect()

@@ -110,6 +110,73 @@ def test_grams_do_not_depend_on_chunks(monkeypatch):
         assert (grams(text) == whole).all()
 
 
+def plain_grams(text: str, bits: int) -> dict[int, int]:
+    """Counts of hashed n-grams, character by character."""
+    codes, m = [32], (1 << 64) - 1
+    for c in text.lower():
+        if c.isalpha():
+            codes.append(ord(c))
+        elif codes[-1] != 32:
+            codes.append(32)
+    codes += [32] * (codes[-1] != 32)
+    out: dict[int, int] = {}
+    for n in lang_id.ORDERS:
+        for at in range(len(codes) - n + 1):
+            h = codes[at] * lang_id.PLACES[0] & m
+            for k in range(1, n):
+                h = ((h ^ h >> 29) * lang_id.MIX + codes[at + k] * lang_id.PLACES[k]) & m
+            b = ((h ^ h >> 32) * lang_id.MIX & m) >> 64 - bits
+            out[b] = out.get(b, 0) + 1
+    return out
+
+
+def test_language_model_by_hand():
+    """One pass of FTRL with an elastic net and the calibrated score, each step written out with plain numbers."""
+    texts = [("der Hund und die Katze", 0), ("the dog and the cat", 1), ("über den Berg", 0), ("over the hill", 1)]
+    bits, alpha, beta, l1, l2 = 6, 0.5, 1.0, 0.02, 0.1
+    counts = [plain_grams(t, bits) for t, _ in texts]
+    grams = lang_id.Grams(bits)
+    for (t, _), c in zip(texts, counts, strict=True):
+        assert {int(b): int(grams(t)[b]) for b in np.flatnonzero(grams(t))} == c
+    idf = [math.log((1 + len(texts)) / (1 + sum(b in c for c in counts))) + 1 for b in range(1 << bits)]
+
+    def vector(c):
+        x = {b: (1 + math.log(n)) * idf[b] for b, n in c.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        return {b: v / norm for b, v in x.items()}
+
+    size = 1 << bits
+    z, n = ([[0.0, 0.0] for _ in range(size + 1)] for _ in range(2))
+
+    def weight(i, k):
+        shrink = 0 if i == size else l1
+        if abs(z[i][k]) <= shrink:
+            return 0.0
+        return -(z[i][k] - math.copysign(shrink, z[i][k])) / ((beta + math.sqrt(n[i][k])) / alpha + (0 if i == size else l2))
+
+    def scores(x):
+        return [sum(v * weight(b, k) for b, v in x.items()) for k in (0, 1)]
+
+    for at in np.random.default_rng(7).permutation(len(texts)):
+        x = vector(counts[at]) | {size: 1.0}
+        s = scores(x)
+        p = [math.exp(v) / sum(map(math.exp, s)) for v in s]
+        for b, v in x.items():
+            for k in (0, 1):
+                w, g = weight(b, k), v * (p[k] - (texts[at][1] == k))
+                z[b][k] += g - (math.sqrt(n[b][k] + g * g) - math.sqrt(n[b][k])) / alpha * w
+                n[b][k] += g * g
+    rows = [(np.array(sorted(c)), np.array([vector(c)[b] for b in sorted(c)]), y) for c, (_, y) in zip(counts, texts, strict=True)]
+    weights, bias = lang_id.ftrl(rows, size, 2, epochs=1)
+    assert np.allclose(weights, [[weight(b, k) for k in (0, 1)] for b in range(size)]) and np.allclose(bias, [weight(size, k) for k in (0, 1)])
+    model = lang_id.LangModel(["de", "en"], np.array(idf), weights, bias, 0.7)
+    for c, (t, _) in zip(counts, texts, strict=True):
+        s = [v / 0.7 for v in scores(vector(c) | {size: 1.0})]
+        p = [math.exp(v) / sum(map(math.exp, s)) for v in s]
+        name, score = model.predict(grams(t))
+        assert name == ["de", "en"][int(p[1] > p[0])] and abs(score - max(p)) < 1e-9
+
+
 def test_temperature():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 3, 4000)
