@@ -9,17 +9,13 @@ from quizloom.functions.jsonfix import objective_text
 
 
 def unit_objectives(frameworks: DataFrame, subject: str, unit: str) -> DataFrame:
-    """One row: the ordered objective texts of a unit over all frameworks of the subject; an empty array if there are none.
+    """framework_ord, topic_pos, objective_pos, objective: a row for each objective text of a unit, over all frameworks of the subject.
 
-    ``frameworks``: ord, subject, units array<struct<unit, topics array<struct<topic, objectives array<variant>>>>>.
+    ``frameworks``: ord, subject, units array<struct<unit, topics array<struct<topic, objectives array<variant>>>>>. Units are filtered in the array, before any explode.
     """
-    # units are filtered in the array, before any explode
-    docs = frameworks.where(F.col("subject") == subject).select("ord", F.filter("units", lambda u: u["unit"] == unit).alias("units"))
-    units = docs.select("ord", F.posexplode("units").alias("u", "unit")).select("ord", "u", F.posexplode("unit.topics").alias("t", "topic"))
-    found = units.select("ord", "u", "t", F.posexplode("topic.objectives").alias("o", "objective"))
-    text = found.select(F.struct("ord", "u", "t", "o").alias("at"), objective_text(F.col("objective")).alias("text")).where("text IS NOT NULL")
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda s: s["text"])
-    return text.agg(listed.alias("objectives"))
+    own = frameworks.where(F.col("subject") == subject).withColumn("units", F.filter("units", lambda u: u["unit"] == unit))
+    asked = frameworks.sparkSession.range(1).select(F.lit(subject).alias("s"), F.lit(unit).alias("n"))
+    return objectives_for(asked, own, "s", "n").drop("s", "n").where("objective IS NOT NULL")
 
 
 def objectives_for(skills: DataFrame, frameworks: DataFrame, subject: str = "subject", unit: str = "unit") -> DataFrame:

@@ -100,26 +100,25 @@ def fetch_many(spark, d):
 
 
 def course_frameworks(spark, d, objectives=None):
-    """Region, nation, segment, customer as subject, unit, topic, objective."""
+    """Region, nation, segment, customer as subject, unit, topic, objective; a framework for each nation."""
     customer = read(spark, d, "customer").select("c_nationkey", "c_mktsegment", "c_custkey", (F.to_json(F.struct(F.col("c_name").alias("description"))) if objectives is None else objectives).alias("o"))
     topic = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "o"))).alias("os"))
     topic = topic.select("c_nationkey", F.struct(F.col("c_mktsegment").alias("topic"), F.transform("os", lambda s: F.parse_json(s["o"])).alias("objectives")).alias("t"))
     unit = topic.groupBy("c_nationkey").agg(F.collect_list("t").alias("ts"))
     order = lambda a, b: F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)
     unit = unit.withColumn("ts", F.array_sort("ts", order)).join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    unit = unit.select("n_regionkey", F.struct(F.col("n_name").alias("unit"), F.col("ts").alias("topics")).alias("u"))
-    frame = unit.groupBy("n_regionkey").agg(F.collect_list("u").alias("units")).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return frame.select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("subject"), "units")
+    unit = unit.select("n_regionkey", "n_name", F.array(F.struct(F.col("n_name").alias("unit"), F.col("ts").alias("topics"))).alias("units"))
+    frame = unit.join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return frame.select(F.struct("r_regionkey", "n_name").alias("ord"), F.col("r_name").alias("subject"), "units")
 
 
 @query("""
-SELECT coalesce(string_agg(c_name, '|' ORDER BY c_mktsegment, c_custkey), '') AS objectives
-FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
-WHERE n_name = (SELECT min(n_name) FROM nation)""")
+SELECT CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INT) AS topic_pos, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS INT) AS objective_pos, c_name AS objective
+FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_name = (SELECT min(n_name) FROM nation)""")
 def unwind_unit_objectives(spark, d):
     nation = read(spark, d, "nation")
     unit = nation.orderBy("n_name").limit(1).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).first()
-    return framework.unit_objectives(course_frameworks(spark, d), unit.r_name, unit.n_name).select(F.array_join("objectives", "|").alias("objectives"))
+    return framework.unit_objectives(course_frameworks(spark, d), unit.r_name, unit.n_name).drop("framework_ord")
 
 
 @query("""
@@ -176,9 +175,7 @@ def topics_non_empty(spark, d):
 SELECT r_name AS subject, n_name AS unit, c_mktsegment AS topic, c_name AS objective FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
 WHERE r_regionkey = (SELECT min(r_regionkey) FROM region) ORDER BY n_name, c_mktsegment, c_custkey LIMIT 1""")
 def sample_document(spark, d):
-    frames = course_frameworks(spark, d)
-    order = lambda a, b: F.when(a["unit"] < b["unit"], -1).when(a["unit"] > b["unit"], 1).otherwise(0)
-    return framework.sample_path(frames.withColumn("units", F.array_sort("units", order)))
+    return framework.sample_path(course_frameworks(spark, d))
 
 
 # --- de-duplication ----------------------------------------------------------------------------------------------

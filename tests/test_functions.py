@@ -103,8 +103,10 @@ def test_unit_objectives(spark):
         named_struct('topic', 't1', 'objectives', array(parse_json('"a"'), parse_json('{"description":"b"}'), parse_json('{"description":""}'), parse_json('{"x":1}'), parse_json('null'))),
         named_struct('topic', 't2', 'objectives', cast(array() AS array<variant>)), named_struct('topic', 't3', 'objectives', cast(NULL AS array<variant>))))) AS units""")
     frames = spark.table("raw_frames")
-    assert framework.unit_objectives(frames, "S", "U").collect()[0].objectives == ["a", "b"]
-    assert framework.unit_objectives(frames, "S", "none").collect()[0].objectives == []
+    found = framework.unit_objectives(frames, "S", "U").orderBy("framework_ord", "topic_pos", "objective_pos").collect()
+    assert [r.objective for r in found] == ["a", "b"] and framework.unit_objectives(frames, "S", "none").collect() == []
+    skills = spark.createDataFrame([(1, "S", "U"), (2, "S", "none"), (3, "S", "U")], "skill_id int, subject string, unit string")
+    assert sorted((r.skill_id, r.objective or "") for r in framework.objectives_for(skills, frames).collect()) == [(1, "a"), (1, "b"), (2, ""), (3, "a"), (3, "b")]
     assert frames.select(framework.flat_objectives(F.col("units")[0]["topics"]).alias("o")).collect()[0].o == ["a", "b"]
 
 
