@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.functions.once import with_once
 from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
+from quizloom.sources import bank as bank_tables
 from quizloom.sources import providers
+from quizloom.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -771,3 +773,97 @@ def image_stub(spark, d):
     name = text.molecule_file(F.col("p_name"))
     rows = read(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 6 == 0, F.concat(F.lit("-"), name)).otherwise(name).alias("name"))
     return providers.images(rows, "p_partkey", "name", draw).select("p_partkey", F.hex("content").alias("content"))
+
+
+@query("""
+WITH q AS (SELECT p_partkey, n_name, sha256(sha256('offline|You review questions.|Check and improve this question on ' || n_name || ', level Applying:' || chr(10) || p_name || chr(10) || 'Options: ["A. ' || p_brand || '"]' || chr(10) || 'Answer: A') || '|0') AS own
+           FROM part JOIN nation ON n_nationkey = p_size)
+SELECT p_partkey, n_name AS skill, 'Which value has code ' || substr(own, 1, 8) || '?' AS question FROM q""")
+def enhance_workflow(spark, d):
+    """Questions of known skills only are reviewed."""
+    from quizloom.plans.workflows import enhance
+
+    options = F.array(F.concat(F.lit("A. "), "p_brand"))
+    rows = read(spark, d, "part").select("p_partkey", F.col("p_size").alias("skill_id"), F.col("p_name").alias("question"), options.alias("multiple_choices"), F.lit("A").alias("correct_answer"), F.lit("Applying").alias("level"))
+    skills = read(spark, d, "nation").select(F.col("n_nationkey").alias("skill_id"), F.col("n_name").alias("skill"))
+    return enhance(spark, rows, skills).select("p_partkey", "skill", F.get_json_object("enhanced", "$.questions[0].question").alias("question"))
+
+
+@query(f"""
+WITH l AS (SELECT * FROM (VALUES ('Remembering', 1), ('Understanding', 2), ('Applying', 3), ('Analyzing', 4), ('Evaluating', 5)) t(level, k)),
+q AS (SELECT c_custkey, level, sha256(sha256('offline|Level ' || level || '.|' || k || ': ask on ' || c_name) || '|0') AS own FROM customer, l)
+SELECT c_custkey AS skill_id, asked_level, pos, question, correct_answer FROM (SELECT c_custkey, level AS asked_level, CAST(0 AS INT) AS pos, {OWN_SQL} FROM q)""")
+def skill_level_workflow(spark, d):
+    """Each skill at each level, with the level's own pair of templates."""
+    from quizloom.plans.workflows import skill_levels
+
+    skills = read(spark, d, "customer").select(F.col("c_custkey").alias("skill_id"), F.col("c_name").alias("skill"), F.array().cast("array<string>").alias("objectives"))
+    pairs = {level: (f"Level {level}.", "{level_num}: ask on {skill}") for level in text.LEVELS}
+    return skill_levels(spark, skills, text.LEVELS, 1, templates=pairs).select("skill_id", "asked_level", "pos", "question", "correct_answer")
+
+
+@query("""
+SELECT n_name AS topic, CAST(CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE 1 END AS INT) AS objectives_count, n_nationkey % 5 <> 0 AND n_nationkey % 4 <> 0 AS success,
+ CASE WHEN n_nationkey % 5 = 0 THEN 'framework' WHEN n_nationkey % 4 = 0 THEN 'model' END AS error, CASE WHEN n_nationkey % 5 <> 0 AND n_nationkey % 4 <> 0 THEN '{"title":"x"}' END AS cheat_sheet FROM nation""")
+def cheat_sheet_workflow(spark, d):
+    """A model that fails for each fourth topic; each fifth has no objective and is not asked for."""
+    from quizloom.plans.workflows import cheat_sheets
+
+    def call(provider: str, system: str, user: str, settings: dict) -> str:
+        if "no. 4" in system:
+            raise RuntimeError("down")
+        return '```json\n{"cheat_sheet": {"title": "x"}}\n```'
+
+    key = F.col("n_nationkey")
+    objective = F.concat(F.lit("no. "), F.when(key % 4 == 0, "4").otherwise("1"))
+    topics = read(spark, d, "nation").select(F.lit("s").alias("subject"), F.col("n_name").alias("topic"), F.when(key % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(objective)).alias("objectives"))
+    return cheat_sheets(spark, topics, call=call)[0].select("topic", "objectives_count", "success", "error", "cheat_sheet")
+
+
+# --- sinks -------------------------------------------------------------------------------------------------------
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for a query that writes, which goes when the session ends."""
+    tables = Tables(spark, name)
+    tables.save(spark.range(1), "made")
+    return tables.path
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' ELSE 'second' END AS run FROM documents")
+def append_new_rows(spark, d):
+    """Half of the documents, then all of them twice: each is in the bank once, as it came first."""
+    path, docs = folder(spark, "bank"), read(spark, d, "documents").select("doc_id")
+    bank_tables.append_new(docs.where("doc_id % 2 = 0").withColumn("run", F.lit("first")), f"{path}/bank", "doc_id")
+    for run in ("second", "third"):
+        bank_tables.append_new(docs.union(docs).withColumn("run", F.lit(run)), f"{path}/bank", "doc_id")
+    return spark.read.parquet(f"{path}/bank")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'aa' END AS lang FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+def vector_upsert(spark, d):
+    path, docs = folder(spark, "vectors"), read(spark, d, "documents").select("doc_id", "lang")
+    bank_tables.upsert(docs.where("doc_id % 2 = 0").withColumn("lang", F.lit("aa")), path, "doc_id", 1)
+    return spark.read.parquet(bank_tables.upsert(docs.where("doc_id % 3 = 0"), path, "doc_id", 2))
+
+
+@query("SELECT mode, p_partkey, p_name FROM part, (VALUES ('file'), ('table')) m(mode) UNION ALL SELECT 'table', p_partkey, p_name FROM part WHERE p_partkey % 2 = 0")
+def output_modes(spark, d):
+    """Rows written as JSON lines and as a table, to which some are appended."""
+    path, part = folder(spark, "outputs"), read(spark, d, "part").select("p_partkey", "p_name")
+    for mode in ("file", "table"):
+        bank_tables.write_output(part, mode, f"{path}/{mode}")
+    bank_tables.write_output(part.where("p_partkey % 2 = 0"), "table", f"{path}/table")
+    files = spark.read.schema(part.schema).json(f"{path}/file").select(F.lit("file").alias("mode"), "*")
+    return files.union(spark.read.parquet(f"{path}/table").select(F.lit("table").alias("mode"), "*"))
+
+
+@query("SELECT o_custkey AS key, count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 3 <> 2)")
+def state_versions(spark, d):
+    """Seen keys of two runs, each a version of the state; a version that is not there is empty."""
+    path, keys = folder(spark, "state"), read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    for run in (0, 1):
+        seen = bank_tables.table_or_empty(spark, f"{path}/version={run:06d}", "key bigint")
+        out = bank_tables.save_state(dedup.seen_after(seen, keys.where(f"o_orderkey % 3 = {run}").select("key"), "key"), path, run + 1)
+    state = spark.read.parquet(out)
+    return state.select("key", F.lit(state.count()).cast("bigint").alias("n"))
