@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import small_batches, thrifty
 
-#: Pre-tokens a worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+#: Pre-tokens a worker remembers during a task, and their characters; the memory is emptied when either is reached.
+REMEMBERED, REMEMBERED_LETTERS = 200_000, 4_000_000
 #: Characters of one text that are taken at a time.
 CHUNK = 1 << 20
 NEVER = np.int64(1) << 40
@@ -70,7 +70,11 @@ class WordBpe:
         digits, space = "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
         self.quick = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{space}{letters}{digits}]+")
         self.odd = re.compile("[^\x00-įı-ſ]")  # U+0130 lower-cases to two characters
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = dict(self.special)
+        self.letters_known = 0
 
     def _merges(self, merges: list) -> None:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
@@ -174,9 +178,12 @@ class WordBpe:
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            keep = [w for w in words if w in self.known]
-            self.known = {w: self.known[w] for w in keep} | self.special
+        self.letters_known += sum(map(len, new))
+        if len(self.known) + len(new) > REMEMBERED or self.letters_known > REMEMBERED_LETTERS:
+            keep = {w: self.known[w] for w in words if w in self.known}
+            self.forget()
+            self.known |= keep
+            self.letters_known = sum(map(len, words))
         if new:
             ids = self.pieces_many(new)
             self.known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, ids, strict=True))
@@ -242,6 +249,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
             got |= {"decoded": [r[1].decode() for r in rows]} if decoded else {}
             cols = [batch.column(c) for c in kept] + [pa.array(got[n], kind) for n, _, kind in added]
             yield pa.RecordBatch.from_arrays(cols, [*kept, *(n for n, _, _ in added)])
+        bpe.forget()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{n} {kind}" for n, kind, _ in added]
     return source.mapInArrow(thrifty(run), ", ".join(fields))
