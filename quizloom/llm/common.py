@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -85,11 +84,6 @@ class Scratch:
             path, system = self._at(f"{self.path}/{tag}")
             system.delete(path, True)
 
-    def release(self) -> None:
-        """Let Spark delete the shuffle files of the steps that are written: its cleaner acts on what the driver's JVM has collected."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def _at(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -6,7 +6,7 @@ words gives a hit. Windows around hits are then compared in full, on both sides
 maximal exact repeats; of each window, all documents but the smallest lose its words. Windows are equal if 96 bits of two
 hashes are: among 10 ** 13 of them less than 0.001 false pairs are to be expected.
 
-Documents travel in packs of some MB. A pack sends each distinct hash once to the part of the hash range it lies in,
+Documents travel once, in packs of some MB. A pack sends each distinct hash once to the part of the hash range it lies in,
 compressed, and gets back which of them matter; texts are never sent for a hash. A passage that a third of all documents share is
 one hash a pack.
 """
@@ -19,6 +19,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from quizloom.llm.words import OTHER, WordHashes, window_hashes
 #: UTF-8 bytes of a pack, about, and words whose hashes a part of the hash range gets on average.
 PACK_BYTES, PART_WORDS = 3_000_000, 2_000_000
 NO_DOC = np.int64(2**63 - 1)
+#: Packs of the last call, which its result reads.
+KEPT: list[DataFrame] = []
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -220,7 +223,11 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     docs = docs.drop("n_words", "n_removed", "kept_sha256")
     docs = docs.withColumn(key, F.col(key).cast("long"))
     size = (window + 1) // 2
-    packs = scratch.save(make_packs(docs, text), "packs")
+    # dealt once and kept on the executors' disks, so that later only what is found is sent to the packs, not the packs to what is found
+    packs = make_packs(docs, text).repartition(shuffle_partitions(spark), "pack").persist(StorageLevel.DISK_ONLY)
+    while KEPT:
+        KEPT.pop().unpersist()  # if a result of an earlier call is still to be read, its packs are dealt again
+    KEPT.append(packs)
     total = packs.agg(F.sum("bytes")).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-total // 6 // PART_WORDS), 1)
 
@@ -252,7 +259,6 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     sent = packs.select("pack", "blob").mapInArrow(thrifty(probe), "part long, pack long, max_doc long, probes binary, blocks binary, docs binary")
     hits = sent.groupBy("part").applyInArrow(match, "pack long, part long, mask binary")
     hits = scratch.save(hits.groupBy("pack").agg(F.collect_list(F.struct("part", "mask")).alias("hits")), "hits")
-    scratch.release()
 
     def candidates(batches):
         known = WordHashes()
@@ -299,11 +305,10 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(c[lost]), squeeze(least[lost])))
         return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("checks", pa.binary()), ("to", pa.binary())))})
 
-    asked = packs.select("pack", "blob").join(hits, "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, checks binary, docs binary, several binary")
+    asked = packs.select("pack", "blob").join(hits.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, checks binary, docs binary, several binary")
     lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, checks binary, to binary")
     lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "checks", "to")).alias("lost")), "lost")
     scratch.drop("hits")
-    scratch.release()
 
     kept = [c for c in docs.columns if rewrite or c != text]
 
@@ -339,7 +344,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays(cols, [*kept, "n_words", "n_removed", "kept_sha256"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)
-    return packs.select("pack", "blob").join(lost, "pack", "left").mapInArrow(thrifty(clean), f"{fields}, n_words long, n_removed long, kept_sha256 string")
+    return packs.select("pack", "blob").join(lost.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(clean), f"{fields}, n_words long, n_removed long, kept_sha256 string")
 
 
 PIECE = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
