@@ -232,7 +232,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
     """Add n_tokens, ids_sha256, decoded_sha256 (and on demand ids, array<int>, and decoded, string) to each row of ``docs``; its text column goes.
 
     There is no shuffle: each task encodes its rows. A null text counts as empty: no tokens, the digests of nothing.
-    Repeated rows stay repeated. Columns of ``docs`` with the names of added ones are replaced.
+    Repeated rows stay repeated, and an empty table gives none. Equal ranks merge from left to right. Columns of ``docs`` with the names of added ones are replaced.
     """
     small_batches(docs.sparkSession)
     added = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]

@@ -189,7 +189,8 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
 def predict(docs: DataFrame, model: LangModel | None, bits: int = 15, text: str = "text") -> DataFrame:
     """Add lang_pred and score (the calibrated probability) to each row.
 
-    Null texts and texts without a letter, and all texts if there is no model, get ``und`` with score 0. Texts are read whole.
+    Null texts and texts without a letter, and all texts if there is no model, get ``und`` with score 0. Texts are read whole. Of equally likely languages the first
+    in alphabetical order is taken; repeated rows stay, each with the same answer; an empty table gives none.
     Columns of ``docs`` named lang_pred or score are replaced.
     """
     spark = docs.sparkSession

@@ -50,7 +50,7 @@ def repetition_rates(docs: DataFrame, weights: Mapping[str, float] | None, epoch
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: str = "mix-1", key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as drawn, with copy_no (from 1) and shuffle_key, in ascending order of shuffle_key.
 
-    Rows with equal keys draw equally; a null key counts as empty, a null text has no characters. A rate of 0 gives no copies. Columns of ``docs`` named copy_no or
+    Rows with equal keys draw equally, repeated ones too, and share their shuffle keys; an empty table gives none; a null key counts as empty, a null text has no characters. A rate of 0 gives no copies. Columns of ``docs`` named copy_no or
     shuffle_key are replaced, all others are kept.
     """
     spark = docs.sparkSession

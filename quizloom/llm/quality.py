@@ -90,7 +90,7 @@ def resample(docs: DataFrame, labels: DataFrame, keep: float | None = None, buck
 
     ``labels`` has the key and quality (1: good). Without ``keep`` it is the share of good rows among the labelled ones (all rows, if there are no labels).
     Null and empty texts weigh 0 in logarithm. Rows with equal keys get equal noise; ties in the sample go by the row's place in a
-    written table. Without good rows, the target is the raw text and the sample is uniform.
+    written table. Without good rows, the target is the raw text and the sample is uniform. An empty table gives none; other columns of ``docs``, of whatever name, are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")

@@ -177,6 +177,11 @@ def test_language_model_by_hand():
         assert name == ["de", "en"][int(p[1] > p[0])] and abs(score - max(p)) < 1e-9
 
 
+def test_equally_likely_languages():
+    model = lang_id.LangModel(["de", "en", "fr"], np.ones(64), np.zeros((64, 3)), np.array([0.0, 1.0, 1.0]), 1.0)
+    assert model.predict(lang_id.Grams(6)("abc"))[0] == "en"
+
+
 def test_temperature():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 3, 4000)
