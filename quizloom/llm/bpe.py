@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import small_batches, thrifty
 
-#: Pre-tokens a worker remembers during a task, and their characters; the memory is emptied when either is reached.
-REMEMBERED, REMEMBERED_LETTERS = 200_000, 4_000_000
+#: Pre-tokens a worker remembers, and their characters; the memory is emptied when either is reached.
+REMEMBERED, REMEMBERED_LETTERS = 300_000, 4_000_000
 #: Characters of one text that are taken at a time.
 CHUNK = 1 << 20
 NEVER = np.int64(1) << 40
@@ -249,7 +249,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
             got |= {"decoded": [r[1].decode() for r in rows]} if decoded else {}
             cols = [batch.column(c) for c in kept] + [pa.array(got[n], kind) for n, _, kind in added]
             yield pa.RecordBatch.from_arrays(cols, [*kept, *(n for n, _, _ in added)])
-        bpe.forget()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{n} {kind}" for n, kind, _ in added]
     return source.mapInArrow(thrifty(run), ", ".join(fields))
