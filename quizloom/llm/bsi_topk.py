@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thrifty
@@ -22,11 +22,11 @@ BLOCK, CHUNK = 32_768, 8192
 KINDS = (np.int8, np.int16, np.int32, np.int64)
 
 
-def quantised(rows: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
-    """id, q (array<long> floor(scale * x)); rows with a null id, or a vector that is null, empty or holds a null or non-finite component, go."""
+def quantised(rows: DataFrame, id_col: str, vector: str, scale: int, *more: Column) -> DataFrame:
+    """id, ``more`` columns, q (array<long> floor(scale * x)); rows with a null id, or a vector that is null, empty or holds a null or non-finite component, go."""
     x = F.col(f"`{vector}`")
     good = F.col(f"`{id_col}`").isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
-    return rows.where(good).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.transform(x, lambda v: F.floor(scale * v.cast("double")).cast("long")).alias("q"))
+    return rows.where(good).select(F.col(f"`{id_col}`").cast("long").alias("id"), *more, F.transform(x, lambda v: F.floor(scale * v.cast("double")).cast("long")).alias("q"))
 
 
 def pack_rows(key, group):

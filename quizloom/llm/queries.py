@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import bpe, bsi_topk, fingerprint, lang_id, minhash, mixing, quality, quotes, substring_dedup, token_counts
+from quizloom.llm import bpe, bsi_topk, fingerprint, hard_negatives, lang_id, licenses, minhash, mixing, periodic, quality, quotes, substring_dedup, token_counts
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -65,6 +66,43 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.transform(F.filter("spans", lambda s: s["base"]), lambda s: s["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        licenses.labels(F.col("spans"), base=True).alias("base_labels"), licenses.labels(F.col("spans")).alias("labels"), licenses.score(F.col("spans")).alias("score"),
+    )
+
+
+def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """A tenth of the documents, by a hash of their id, with a tail that repeats its beginning; without id a text stays as it is."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=repeated_tail)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    found = found.withColumn("longest", longest)
+    length, start, period = F.col("longest.length"), -F.col("longest.col2"), -F.col("longest.col3")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label"))
+    return hard_negatives.mine(vectors, lambda i: i % 50 == 0)
+
+
 TOPK_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -74,6 +112,17 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 REPEATS_SQL = r"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
 win AS (SELECT r, doc_id, i, md5(array_to_string(words[i:i+12], ' ')) AS h
@@ -99,7 +148,7 @@ SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op9_substrings, op10_near_duplicates)
+    f.__name__: f for f in (op1_language_id, op2_bpe, op3_fingerprints, op4_quality, op5_exact_topk, op6_token_counts, op7_mixing, op8_quotes, op9_substrings, op10_near_duplicates, op11_licenses, op12_periodic_runs, op13_hard_negatives)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": TOPK_SQL,
@@ -107,4 +156,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_quotes": quotes.QUOTES_SQL,
     "op9_substrings": REPEATS_SQL,
     "op10_near_duplicates": NEAR_SQL,
+    "op11_licenses": licenses.license_sql(),
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
