@@ -78,6 +78,17 @@ class Scratch:
         system.deleteOnExit(folder)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_dealt(self, df: DataFrame, tag: str, key: str, n: int) -> DataFrame:
+        """The rows dealt to n buckets by a key, so that later joins on it leave them where they are."""
+        name = f"{tag}_{uuid.uuid4().hex}"
+        writer = df.repartition(n, key).write.format("parquet").option("compression", "zstd")
+        writer.bucketBy(n, key).option("path", f"{self.path}/{tag}").saveAsTable(name)
+        folder, system = self._at(self.path)
+        system.deleteOnExit(folder)
+        out = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the name only: the files are outside the warehouse, and the frame knows them
+        return out
+
     def drop(self, *tags: str) -> None:
         """Delete tables that nothing lazy still reads."""
         for tag in tags:

@@ -19,7 +19,6 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +28,6 @@ from quizloom.llm.words import OTHER, WordHashes, window_hashes
 #: UTF-8 bytes of a pack, about, and words whose hashes a part of the hash range gets on average.
 PACK_BYTES, PART_WORDS = 3_000_000, 2_000_000
 NO_DOC = np.int64(2**63 - 1)
-#: Packs of the last call, which its result reads.
-KEPT: list[DataFrame] = []
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -223,11 +220,8 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     docs = docs.drop("n_words", "n_removed", "kept_sha256")
     docs = docs.withColumn(key, F.col(key).cast("long"))
     size = (window + 1) // 2
-    # dealt once and kept on the executors' disks, so that later only what is found is sent to the packs, not the packs to what is found
-    packs = make_packs(docs, text).repartition(shuffle_partitions(spark), "pack").persist(StorageLevel.DISK_ONLY)
-    while KEPT:
-        KEPT.pop().unpersist()  # if a result of an earlier call is still to be read, its packs are dealt again
-    KEPT.append(packs)
+    # dealt once and written, so that later only what is found is sent to the packs, and all steps see the same packs whatever order the input comes in
+    packs = scratch.save_dealt(make_packs(docs, text), "packs", "pack", shuffle_partitions(spark))
     total = packs.agg(F.sum("bytes")).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-total // 6 // PART_WORDS), 1)
 

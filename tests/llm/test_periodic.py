@@ -1,0 +1,90 @@
+"""Periodic runs against a comparison of all words at all distances."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quizloom.llm import periodic
+from quizloom.llm.queries import op12_periodic_runs
+
+TEXTS = [
+    (1, "a " * 500), (2, "a b " * 40 + "a"), (3, None), (4, ""), (5, " \n\t"), (6, "a a a a a"), (7, "a a a a a a"), (8, "x y z " * 4 + "x y z w " * 7), (9, " ".join(f"w{i}" for i in range(400)) + " end"),
+    (None, "a " * 9), (1, "a " * 500), (10, ("p q r s t u v " * 5 + "other ") * 5), (11, " ".join(f"w{i % 97}" for i in range(900))), (12, "A a A a A a A a"), (13, "é é é é é é é"), (14, ("aa bb " * 8 + "aa aa ") * 9), (15, "x" * 50_000),
+    *[(100 + i, " ".join(f"w{i}x{k}" for k in range(i * 7 % 83))) for i in range(60)],
+]
+
+
+def plain_runs(words):
+    out: dict = {}
+    for q in range(1, len(words) // 4 + 1):
+        same = [x == y for x, y in zip(words, words[q:], strict=False)] + [False]
+        i = 0
+        while i < len(same):
+            j = i
+            while same[j]:
+                j += 1
+            if j > i and j - i + q >= max(6, 4 * q):
+                out.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted(((i, n, q) for (i, n), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def plain_row(i, text):
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(i).encode()), len(words)
+    if i is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+    runs = plain_runs(words)
+    left = [w for k, w in enumerate(words) if not any(s + q <= k < s + m for s, m, q in runs)]
+    s, m, q = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    lines = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+    return i, len(runs), s, m, q, 1000 * m // q if runs else None, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(b" ".join(left)).hexdigest()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from([b"a", b"b", b"c"]), min_size=1, max_size=9), st.integers(1, 9)), max_size=6))
+def test_runs(parts):
+    words = [w for p, n in parts for w in p * n]
+    assert periodic.runs_of(words) == plain_runs(words)
+
+
+def test_runs_of_runs():
+    """Runs within runs, long ones, and texts without any."""
+    fibonacci = [b"a", b"b"]
+    for _ in range(5):
+        fibonacci = fibonacci + fibonacci[: len(fibonacci) * 5 // 8]
+    for words in (fibonacci, [b"a"] * 3000, ([b"a"] * 10 + [b"b"]) * 30, [b"x", b"y"] * 7 + [b"x", b"y", b"z"] * 60 + [b"z"] * 20, [b"%d" % (i * i % 101) for i in range(1500)]):
+        assert periodic.runs_of(words) == plain_runs(words)
+
+
+def test_query(spark, tmp_path):
+    spark.createDataFrame([(i, t, "x", 1) for i, t in TEXTS], "doc_id long, text string, runs string, length int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in op12_periodic_runs(spark, str(tmp_path)).collect()]
+    want = [plain_row(i, t) for i, t in TEXTS]
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(bool(r[1]) for r in want) > 12
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_documents(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    short = spark.read.parquet(f"{folder}/documents.parquet").where("text IS NULL OR length(text) < 9000")  # the plain form takes the square of the words
+    docs = [(r.doc_id, r.text) for r in short.collect()]
+    short.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in op12_periodic_runs(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted((plain_row(i, t) for i, t in docs), key=str) and len(docs) > 150
+
+
+def test_outputs_and_empty_table(spark):
+    rows = spark.createDataFrame([(1, "x y x y x y x y end", "k")], "doc_id long, text string, extra string")
+    r = periodic.periodic_runs(rows).first()
+    assert (r.extra, r.n_words, r.collapsed) == ("k", 9, "x y end") and [tuple(x) for x in r.runs] == [(0, 8, 2)]
+    assert periodic.periodic_runs(rows.limit(0)).collect() == []
