@@ -43,7 +43,7 @@ def test_lazy_results_of_substring_dedup(spark, monkeypatch):
     """Two results read late, over an input that comes in another order each time it is computed."""
     monkeypatch.setattr(substring_dedup, "PACK_BYTES", 2_000)
     passage = " ".join(f"p{i}" for i in range(40))
-    docs = spark.createDataFrame([(i, f"start {i} " + " ".join(f"w{i}x{k}" for k in range(i % 17)) + f" {passage} end {i}") for i in range(300)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, f"start {i} " + " ".join(f"w{i}x{k}" for k in range(i % 17)) + f" {passage} {i} end") for i in range(300)], "doc_id long, text string")
     results = [substring_dedup.drop_repeats(docs.repartition(5).orderBy(F.rand()), rewrite=False) for _ in range(2)]
     for found in results:
         assert {r.doc_id: r.n_removed for r in found.collect()} == {i: 40 * (i > 0) for i in range(300)}
