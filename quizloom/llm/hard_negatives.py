@@ -25,7 +25,7 @@ from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thri
 #: Rows of an index block on average, and anchors of a chunk at most; anchors scored at a time.
 BLOCK, CHUNK, AT_ONCE = 4096, 4096, 64
 #: Dimensions of a sub-vector, centroids of one, rows they are fitted on, and rounds of fitting.
-WIDTH, CENTROIDS, SAMPLE, ROUNDS = 4, 256, 8192, 6
+WIDTH, CENTROIDS, SAMPLE, ROUNDS = 2, 256, 8192, 6
 
 
 def parts(dim: int) -> list[slice]:
