@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from quizloom.functions import text
 from quizloom.operators import dedup
 from quizloom.plans import workflows
-from quizloom.sources.bank import save_state, table_or_empty
-from quizloom.tables import Tables
+from quizloom.sources.bank import counted
+from quizloom.sources.seen import SeenState
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -32,7 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     unique.add_argument("--bank", required=True)
     unique.add_argument("--out", required=True)
     unique.add_argument("--seen", required=True)
-    unique.add_argument("--version", type=int, required=True)
+    unique.add_argument("--version", type=int, help="for calls of old; the newest version of the state is found without it")
     unique.add_argument("--text-field", default="question")
     unique.add_argument("--id-field", default="_id")
     return parser.parse_args(argv)
@@ -44,21 +44,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         counts = workflows.sync(source, target, args.id_field)[1].first().asDict()
         if args.dry_run:
             return counts | {"synced_count": 0}
-        # every source row of an added id, repeats too; written first, as the target is read for it
+        # every source row of an added id, repeats too
         added = source.where(F.col(args.id_field).isNotNull()).join(target.select(args.id_field), args.id_field, "left_anti")
-        fresh = Tables(spark, "sync").save(added.select(target.columns), "added")
-        fresh.write.mode("append").parquet(args.target)
-        return counts | {"synced_count": fresh.count()}
+        return counts | {"synced_count": counted(added.select(target.columns), lambda out: out.write.mode("append").parquet(args.target))["n"]}
     if args.job == "shuffle":
-        workflows.shuffle_bank(spark.read.parquet(args.bank), args.id_field, args.seed).write.parquet(args.out)
-        return {"rows": spark.read.parquet(args.out).count()}
+        return {"rows": counted(workflows.shuffle_bank(spark.read.parquet(args.bank), args.id_field, args.seed), lambda out: out.write.parquet(args.out))["n"]}
     rows = spark.read.parquet(args.bank).withColumn("hash", text.dedup_hash(text.canonical_text(F.col(args.text_field))))
-    seen = table_or_empty(spark, f"{args.seen}/version={args.version - 1:06d}", "hash string")
-    dedup.unseen(dedup.first_seen(rows, "hash", args.id_field), seen, "hash").write.parquet(args.out)
-    fresh = spark.read.parquet(args.out)
-    n = fresh.count()
-    if n:  # a run without a new question leaves the state as it is
-        save_state(dedup.seen_after(seen, fresh, "hash"), args.seen, args.version)
+    state = SeenState(spark, args.seen)
+    n = counted(state.unseen(dedup.first_seen(rows, "hash", args.id_field)), lambda out: out.write.parquet(args.out))["n"]
+    state.add(spark.read.schema(rows.schema).parquet(args.out))  # nothing new leaves the state as it is
     return {"rows": n}
 
 

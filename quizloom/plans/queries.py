@@ -12,6 +12,8 @@ from quizloom.functions.once import with_once
 from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import bank as bank_tables
 from quizloom.sources import providers
+from quizloom.sources.seen import SeenState
+from quizloom.sources.store import Store
 from quizloom.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,8 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 BATCH_TIME = "2024-01-02 03:04:05"
 SHUFFLE_SEED = "choices-1"
+#: Buckets of the tables that queries make.
+BUCKETS = 8
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -35,6 +39,13 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for a query that writes, which goes when the session ends."""
+    tables = Tables(spark, name)
+    tables.save(spark.range(1), "made")
+    return tables.path
+
+
 # --- lookups -----------------------------------------------------------------------------------------------------
 
 ASKED = [7, 3, 3, 10**9, 11, 1]
@@ -205,14 +216,21 @@ def dedup_in_batch(spark, d):
 WITH new AS (SELECT hash, min(doc_id) AS doc_id FROM {HASHED} WHERE doc_id % 2 = 1 GROUP BY hash)
 SELECT doc_id, hash FROM new WHERE hash NOT IN (SELECT hash FROM {HASHED} WHERE doc_id % 2 = 0)""")
 def dedup_cross_run(spark, d):
+    """The even documents are the state of an earlier run; the odd ones pass its filter, then its exact anti join."""
     rows = hashed_documents(spark, d).select("doc_id", "hash")
-    return dedup.unseen(dedup.first_seen(rows.where("doc_id % 2 = 1"), "hash", "doc_id"), rows.where("doc_id % 2 = 0"), "hash").select("doc_id", "hash")
+    state = SeenState(spark, f"{folder(spark, 'seen')}/state", buckets=BUCKETS)
+    state.add(rows.where("doc_id % 2 = 0"))
+    return state.unseen(dedup.first_seen(rows.where("doc_id % 2 = 1"), "hash", "doc_id")).select("doc_id", "hash")
 
 
 @query(f"SELECT DISTINCT hash FROM {HASHED}")
 def seen_state(spark, d):
+    """What two runs have left in the state."""
     rows = hashed_documents(spark, d)
-    return dedup.seen_after(rows.where("doc_id % 2 = 0").select("hash"), rows.where("doc_id % 2 = 1"), "hash")
+    state = SeenState(spark, f"{folder(spark, 'seen')}/state", buckets=BUCKETS)
+    for odd in (0, 1):
+        state.add(rows.where(f"doc_id % 2 = {odd}"))
+    return state.read()
 
 
 @query(f"""
@@ -473,9 +491,12 @@ def choices_quarantine(spark, d):
 
 @query(f"SELECT o.o_orderkey, coalesce(s.answer, chr(65 + CAST(o.o_orderkey % 4 AS INT))) AS answer FROM orders o LEFT JOIN {SHUFFLE_SQL} s ON s.o_orderkey = o.o_orderkey AND s.answer <> s.old")
 def conditional_update(spark, d):
-    moved = shuffled_rows(spark, d)
+    """Only rows whose answer has moved are changed, in the buckets of the bank that they lie in."""
     rows = choice_rows(spark, d).select("o_orderkey", "answer")
-    return delta.merge_changes(rows, moved.where("answer <> old"), "o_orderkey", ["answer"])
+    store = Store.open(spark, f"{folder(spark, 'bank')}/bank", rows.schema, "o_orderkey", BUCKETS)
+    store.upsert(rows)
+    store.update(shuffled_rows(spark, d).where("answer <> old").select("o_orderkey", "answer"), ["answer"])
+    return store.read()
 
 
 # --- diagrams ----------------------------------------------------------------------------------------------------
@@ -823,13 +844,6 @@ def cheat_sheet_workflow(spark, d):
 # --- sinks -------------------------------------------------------------------------------------------------------
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for a query that writes, which goes when the session ends."""
-    tables = Tables(spark, name)
-    tables.save(spark.range(1), "made")
-    return tables.path
-
-
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' ELSE 'second' END AS run FROM documents")
 def append_new_rows(spark, d):
     """Half of the documents, then all of them twice: each is in the bank once, as it came first."""
@@ -842,9 +856,12 @@ def append_new_rows(spark, d):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'aa' END AS lang FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
 def vector_upsert(spark, d):
-    path, docs = folder(spark, "vectors"), read(spark, d, "documents").select("doc_id", "lang")
-    bank_tables.upsert(docs.where("doc_id % 2 = 0").withColumn("lang", F.lit("aa")), path, "doc_id", 1)
-    return spark.read.parquet(bank_tables.upsert(docs.where("doc_id % 3 = 0"), path, "doc_id", 2))
+    """Three runs over one table, one of them without rows; each finds the newest version by itself."""
+    path, docs = f"{folder(spark, 'vectors')}/table", read(spark, d, "documents").select("doc_id", "lang")
+    Store.open(spark, path, docs.schema, "doc_id", BUCKETS)
+    for rows in (docs.where("doc_id % 2 = 0").withColumn("lang", F.lit("aa")), docs.limit(0), docs.where("doc_id % 3 = 0")):
+        store = bank_tables.upsert(rows, path, "doc_id")
+    return store.read()
 
 
 @query("SELECT mode, p_partkey, p_name FROM part, (VALUES ('file'), ('table')) m(mode) UNION ALL SELECT 'table', p_partkey, p_name FROM part WHERE p_partkey % 2 = 0")
@@ -860,10 +877,22 @@ def output_modes(spark, d):
 
 @query("SELECT o_custkey AS key, count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 3 <> 2)")
 def state_versions(spark, d):
-    """Seen keys of two runs, each a version of the state; a version that is not there is empty."""
-    path, keys = folder(spark, "state"), read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    """Seen keys of three runs, the second of which has nothing new and makes no version."""
+    path, keys = f"{folder(spark, 'state')}/state", read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    for run in (0, 0, 1):
+        state = SeenState(spark, path, "key", "bigint", BUCKETS)
+        state.add(keys.where(f"o_orderkey % 3 = {run}"))
+    return state.read().select("key", F.lit(state.keys.manifest().rows).cast("bigint").alias("n"))
+
+
+@query("""
+WITH k AS (SELECT DISTINCT o_custkey AS key, o_orderkey % 2 AS run FROM orders), s AS (SELECT key, min(run) AS run FROM k GROUP BY key)
+SELECT key, row_number() OVER (PARTITION BY v ORDER BY key) - 1 AS place, v AS version FROM s, (VALUES (1::BIGINT), (2)) t(v) WHERE run < v""")
+def state_in_order(spark, d):
+    """Both versions of a state of two runs, each in key order: the older one stays readable."""
+    keys = read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    state = SeenState(spark, f"{folder(spark, 'state')}/state", "key", "bigint", BUCKETS)
     for run in (0, 1):
-        seen = bank_tables.table_or_empty(spark, f"{path}/version={run:06d}", "key bigint")
-        out = bank_tables.save_state(dedup.seen_after(seen, keys.where(f"o_orderkey % 3 = {run}").select("key"), "key"), path, run + 1)
-    state = spark.read.parquet(out)
-    return state.select("key", F.lit(state.count()).cast("bigint").alias("n"))
+        state.add(keys.where(f"o_orderkey % 2 = {run}"))
+    first, second = state.in_order(1), state.in_order(2)
+    return first.withColumn("version", F.lit(1).cast("bigint")).union(second.withColumn("version", F.lit(2).cast("bigint")))

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from quizloom.tables import Tables
+from quizloom.operators.lookup import first_by
+from quizloom.sources.store import Store
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -28,25 +31,32 @@ def jdbc(spark: SparkSession, url: str, table: str, user_variable: str, password
     return reader.option("user", os.environ[user_variable]).option("password", os.environ[password_variable]).load()
 
 
-def append_new(rows: DataFrame, path: str, key: str) -> int:
-    """Append the rows whose key the table lacks; how many. A rerun writes nothing twice."""
-    spark = rows.sparkSession
-    known = table_or_empty(spark, path, rows.schema).select(key)
-    fresh = Tables(spark, "append").save(rows.join(known, key, "left_anti").dropDuplicates([key]).select(rows.columns), "fresh")
-    fresh.write.mode("append").parquet(path)
-    return fresh.count()
+def append_new(rows: DataFrame, path: str, key: str, *order: str) -> int:
+    """Append the rows whose key the table lacks; how many. A rerun writes nothing twice.
 
+    Of repeated keys the first row by ``order`` stays (among equals, and without an order, the smallest); rows without key are left out.
+    """
+    known = table_or_empty(rows.sparkSession, path, rows.schema).select(key)
+    first = first_by(rows.where(F.col(key).isNotNull()), [key], *order)
+    return counted(first.join(known, key, "left_anti").select(rows.columns), lambda out: out.write.mode("append").parquet(path))["n"]
 
-def upsert(rows: DataFrame, path: str, key: str, version: int) -> str:
-    """A new version of the table in which ``rows`` take the place of those with their keys; the one before stays until its readers end.
 
-    Of repeated keys one row stays; rows without key are left out.
-    """
-    new = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
-    old = table_or_empty(rows.sparkSession, f"{path}/version={version - 1:06d}", rows.schema)
-    out = f"{path}/version={version:06d}"
-    old.join(new.select(key), key, "left_anti").select(rows.columns).unionByName(new).write.mode("overwrite").parquet(out)
-    return out
+def counted(rows: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict[str, int]:
+    """Write the rows; ``n``, and sums of conditions, as the tasks that write have counted them. The rows are computed once."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in metrics.items()]]
+    write(rows.observe(seen, *counts))
+    try:
+        return {k: v or 0 for k, v in seen.get.items()}
+    except Py4JJavaError:  # a plan found empty while it runs has nothing to observe
+        return dict.fromkeys(("n", *metrics), 0)
+
+
+def upsert(rows: DataFrame, path: str, key: str, order: str | None = None) -> Store:
+    """The keyed table at the path, made if it is not there, in which ``rows`` take the place of those with their keys (see ``Store.upsert``)."""
+    store = Store.open(rows.sparkSession, path, rows.schema, key)
+    store.upsert(rows, order)
+    return store
 
 
 def write_output(rows: DataFrame, mode: str, path: str) -> None:
@@ -64,13 +74,6 @@ def write_texts(rows: DataFrame, name: Column, text: Column, path: str) -> None:
     rows.select(F.translate(name, " /", "__").alias("name"), text.alias("value")).write.mode("append").partitionBy("name").text(path)
 
 
-def save_state(seen: DataFrame, path: str, version: int) -> str:
-    """A new version of the seen keys in key order; the one before stays until its readers end."""
-    out = f"{path}/version={version:06d}"
-    seen.orderBy(seen.columns[0]).write.mode("overwrite").parquet(out)
-    return out
-
-
 def image_rows(rows: DataFrame, key: str, payload: Column) -> DataFrame:
     """id, file name ending in .png, bytes from base64; null payloads go."""
     named = F.concat(F.lit("diagram_"), F.regexp_replace(F.col(key).cast("string"), r"\.png$", ""), F.lit(".png"))
