@@ -772,6 +772,48 @@ def llm_stub_roundtrip(spark, d):
     return found.select("p_partkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"), jsonfix.field(F.col("q"), "correct_answer").alias("correct_answer"))
 
 
+@query(f"""
+WITH q AS (SELECT p_partkey, i, sha256(sha256(CASE WHEN p_partkey % 2 = 0 THEN 'first' ELSE 'second' END || '|Be brief.|On ' || p_name || ' ' || p_partkey) || '|' || i) AS own
+           FROM part, LATERAL (SELECT unnest(range(0, 2)) AS i) WHERE p_partkey % 5 <> 0 OR p_partkey % 2 = 0)
+SELECT p_partkey, CAST(i AS INT) AS pos, {OWN_SQL} FROM q""")
+def journalled_calls(spark, d):
+    """Two runs over one journal: what the first has an answer to is not asked in the second; each fifth of the others fails."""
+
+    def first(provider: str, system: str, user: str, settings: dict) -> str:
+        return providers.offline("first", system, user, settings)
+
+    def second(provider: str, system: str, user: str, settings: dict) -> str:
+        if user.endswith(("0", "5")):
+            raise RuntimeError("down")
+        return providers.offline("second", system, user, settings)
+
+    prompt = F.concat(F.lit("On "), "p_name", F.lit(" "), F.col("p_partkey").cast("string"))
+    rows = read(spark, d, "part").select("p_partkey", F.lit("Be brief.").alias("system_prompt"), prompt.alias("user_prompt"))
+    asked, path = providers.requests(rows), f"{folder(spark, 'journal')}/calls"
+    providers.answers(asked.where("p_partkey % 2 = 0"), path, call=first)
+    answers = providers.answers(asked, path, call=second)
+    found = bank.questions_of(asked.join(answers, "request_id").select("p_partkey", "response"), "response", jsonfix.sanitize_bank)
+    return found.select("p_partkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"), jsonfix.field(F.col("q"), "correct_answer").alias("correct_answer"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 6 <> 0 THEN 'What does image ' || substr(sha256(p_type), 1, 8) || ' show?' END AS question,
+ CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 6 <> 0 THEN strlen(p_type) || ' bytes' END AS details FROM part""")
+def image_questions(spark, d):
+    """Bytes in, a question and details out; each sixth image is empty, a model fails for each seventh."""
+    from quizloom.plans.workflows import image_questions as flow
+
+    def read_one(provider: str, prompt: str, content: bytes) -> str:
+        if content.startswith(b"-"):
+            raise ValueError(content)
+        return providers.offline_reading(provider, prompt, content)
+
+    key = F.col("p_partkey")
+    content = F.when(key % 6 != 0, F.encode(F.when(key % 7 == 0, F.concat(F.lit("-"), "p_type")).otherwise(F.col("p_type")), "UTF-8"))
+    images = read(spark, d, "part").select("p_partkey", content.alias("content"))
+    return flow(spark, images, "p_partkey", "content", call=read_one, responses=f"{folder(spark, 'readings')}/journal", per_batch=1000)
+
+
 @query("""
 WITH h AS (SELECT doc_id, sha256('0|' || text) || sha256('1|' || text) AS h FROM documents),
 x AS (SELECT doc_id, list_transform(range(0, 16), lambda k: CAST('0x' || h[k*8+7:k*8+8] || h[k*8+5:k*8+6] || h[k*8+3:k*8+4] || h[k*8+1:k*8+2] AS BIGINT) / 2147483648.0::DOUBLE - 1) AS v FROM h)

@@ -11,6 +11,7 @@ from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.functions.once import with_once
 from quizloom.operators import bank, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import providers
+from quizloom.sources.journal import Journal
 from quizloom.tables import Tables
 
 EXAM_SYSTEM = "You write exam questions for {subject}."
@@ -19,13 +20,14 @@ SKILL_USER = "Write {n_questions} questions at level {level} on the skill {skill
 ENHANCE_USER = "Check and improve this question on {skill}, level {level}:\n{question}\nOptions: {multiple_choices}\nAnswer: {correct_answer}"
 SHEET_USER = "Summarise the topic {topic} of {subject} on one page.\n{objectives}"
 PAGE_USER = "Extract the questions of this page on {topic} (diagram: {diagram}):\n{page}"
+READ_IMAGE = "Write down the question that this image asks, then, after a line of dashes, what else it shows."
 SIMILAR_USER = "Write {num_questions} questions like this one:\n{sample_question}"
 
 
 def answered(tables: Tables, rows: DataFrame, tag: str, provider: str, call: providers.Call, settings: dict | None = None, per_row: tuple[str, ...] = (), model: str = "offline", responses: str | None = None, **options) -> DataFrame:
     """The rows with their response; requests and responses are written tables.
 
-    ``responses`` is the path of a table of responses that outlives the run; ``options`` (connect, tasks) are those of ``providers.respond``.
+    ``responses`` is the path of a journal that outlives the run; ``options`` (connect, tasks) are those of ``providers.respond``.
     """
     asked = tables.save(providers.requests(rows, provider, model=model, settings=settings, per_row=per_row), f"{tag}-requests")
     options |= {"provider": provider, "call": call}
@@ -175,6 +177,23 @@ def similar(spark: SparkSession, samples: DataFrame, n: int, provider: str = "of
     return got.select("doc", F.to_json(v).alias("questions"), F.when(v.isNull(), F.col("response")).alias("raw_output"))
 
 
+def image_questions(spark: SparkSession, images: DataFrame, key: str, content: str, prompt: str = READ_IMAGE, provider: str = "offline", call=providers.offline_reading, model: str = "offline", responses: str | None = None, per_batch: int = 100, **options) -> DataFrame:
+    """key, question, details of each image: what a model reads from its bytes, parted at a line of dashes. Equal images are read once; those without content or answer have nulls.
+
+    ``responses`` is the path of a journal that outlives the run, ``options`` (connect, tasks) are those of ``providers.read_images``.
+    """
+    tables = Tables(spark, "readings")
+    asked = tables.save(providers.image_requests(images.select(key, content), content, prompt, provider, model), "requests")
+    options |= {"content": content, "prompt": prompt, "provider": provider, "call": call}
+    if responses:
+        got = Journal(spark, responses, "request_id string, response string").run(asked.select("request_id", content), lambda rows: providers.read_images(rows, **options), per_batch)
+    else:
+        got = tables.save(providers.read_images(asked, **options), "responses")
+    read = asked.select(key, "request_id").join(got, "request_id").select(key, jsonfix.image_text(F.col("response")).alias("r"), F.col("response").isNotNull().alias("ok"))
+    read = read.where("ok").select(key, "r.question", "r.details").dropDuplicates([key])
+    return images.select(key).join(read, key, "left")
+
+
 def diagrams(questions: DataFrame, done: DataFrame, key: str, draw, **filters: str | None) -> DataFrame:
     """PNG for each question that needs a diagram and has none yet."""
     found = lookup.pending(lookup.diagram_candidates(questions, F.col("requires_diagram"), **filters), done, key)

@@ -35,8 +35,8 @@ def output_ids(spark: SparkSession, path: str, prefix: str = "diagram_") -> Data
     return names.select(F.regexp_extract("path", rf"{prefix}([^/]*)\.png$", 1).alias("id"))
 
 
-#: Bytes of file contents that a Python worker gets at a time, but for a single longer file.
-BATCH_BYTES = "64m"
+#: Bytes of file contents that a Python worker gets at a time, but for a single longer file: the bound that all of the library sets.
+BATCH_BYTES = "2m"
 
 
 def contents(spark: SparkSession, path: str) -> DataFrame:

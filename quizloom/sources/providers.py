@@ -1,7 +1,7 @@
 """Calls to models of text, vectors and images, as Arrow batches between two written tables.
 
-Requests are written with an id of their content before any call, responses after; with a table of responses that outlives
-the session, a request that has one is not sent again. The default provider answers from a hash, offline. Real ones are given as callables; their keys come
+Requests are written with an id of their content before any call, responses after; with a journal that outlives
+the session, a request that has a response is not sent again. The default provider answers from a hash, offline. Real ones are given as callables; their keys come
 from the executors' own environment.
 """
 
@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.functions.jsonfix import DETAILS_MARK, QUESTION_MARK
 from quizloom.functions.prompts import for_provider
-from quizloom.sources.bank import table_or_empty
+from quizloom.sources.journal import Journal
 
 
 @dataclass(frozen=True)
@@ -90,16 +91,41 @@ def respond(todo: DataFrame, provider: str = "offline", call: Call = offline, sy
     return asked.repartition(tasks or todo.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "request_id string, response string")
 
 
-def answers(todo: DataFrame, path: str, **options) -> DataFrame:
-    """request_id, response of all requests that have one in the table at ``path``, to which those of new requests are added first.
+def answers(todo: DataFrame, path: str, per_batch: int = 1000, system: str = "system_prompt", user: str = "user_prompt", **options) -> DataFrame:
+    """request_id, response of all requests that have one in the journal at ``path``, through which those of new requests go first, ``per_batch`` at a time.
 
-    A request that the table has is not sent again, in this run or a later one; failed ones are.
+    A request that has a response is not sent again, in this run or a later one; failed ones are, and after a run that broke off those of its last batch.
     """
-    known = table_or_empty(todo.sparkSession, path, "request_id string, response string")
-    fresh = respond(todo.join(known.select("request_id"), "request_id", "left_anti"), **options)
-    fresh.where("response IS NOT NULL").write.mode("append").parquet(path)
-    got = todo.sparkSession.read.schema("request_id string, response string").parquet(path)
-    return got.join(todo.select("request_id").distinct(), "request_id", "left_semi").dropDuplicates(["request_id"])
+    asked = todo.select("request_id", system, user, "settings")
+    return Journal(todo.sparkSession, path, "request_id string, response string").run(asked, lambda rows: respond(rows, system=system, user=user, **options), per_batch)
+
+
+def offline_reading(provider: str, prompt: str, content: bytes) -> str:
+    """What a model might say of an image, by the bytes only."""
+    return f"{QUESTION_MARK} What does image {hashlib.sha256(content).hexdigest()[:8]} show?\n---\n{DETAILS_MARK} {len(content)} bytes"
+
+
+def image_requests(images: DataFrame, content: str, prompt: str, provider: str = "offline", model: str = "offline") -> DataFrame:
+    """Adds request_id, a hash of the image's digest and of all else that the answer may depend on; images without content go."""
+    return images.where(F.col(content).isNotNull()).withColumn("request_id", F.sha2(F.concat_ws("\n", F.lit(provider), F.lit(model), F.lit(prompt), F.sha2(F.col(content), 256)), 256))
+
+
+def read_images(todo: DataFrame, content: str, prompt: str, provider: str = "offline", call: Callable[[str, str, bytes], str | None] = offline_reading, connect: Callable[[], Callable[[str, str, bytes], str | None]] | None = None, tasks: int | None = None) -> DataFrame:
+    """request_id, response: text for each distinct image; null where the call fails. Written before use, as ``respond``; ``connect`` and ``tasks`` are as there."""
+
+    def run(batches):
+        asking = connect() if connect else call
+        for batch in batches:
+            out = []
+            for image in batch.column(1).to_pylist():
+                try:
+                    out.append(asking(provider, prompt, image))
+                except Exception:  # noqa: BLE001  whatever a client raises, the row has no answer
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column("request_id"), pa.array(out, pa.string())], ["request_id", "response"])
+
+    asked = todo.select("request_id", content).dropDuplicates(["request_id"])
+    return asked.repartition(tasks or todo.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "request_id string, response string")
 
 
 def hash_vector(text: str, size: int = 16) -> list[float]:
