@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quizloom.functions.once import let
+
 # Headings and prefixes of prompts
 OBJECTIVES_HEADING = "### Learning Objectives:\n"
 SAMPLES_HEADING = "### Sample Questions:\n"
@@ -34,6 +36,28 @@ def render(template: str, params: Mapping[str, Column]) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+#: The parts of a template: doubled braces, a field, other text, a brace that stands alone.
+PART = r"\{\{|\}\}|\{[^{}]*\}|[^{}]+|[{}]"
+
+
+def render_rows(template: Column, params: Column) -> Column:
+    """``render`` for templates that are data: each row's template is cut into literal and name parts, which a map of strings fills.
+
+    A name that the map lacks, a field that is no plain name, and a single brace fail the query; a null template or value makes the row's prompt null.
+    """
+
+    def fill(part: Column) -> Column:
+        name = F.substring(part, F.lit(2), F.length(part) - 2)
+        bad = F.when(name.rlike(r"^[A-Za-z_]\w*$"), F.lit("no value for the field ")).otherwise(F.lit("only plain names are templates' fields: "))
+        known = F.coalesce(F.map_contains_key(params, name), F.lit(False))
+        value = F.when(known, F.try_element_at(params, name)).otherwise(F.raise_error(F.concat(bad, part)).cast("string"))
+        text = F.when(part == "{{", "{").when(part == "}}", "}").when(part.isin("{", "}"), F.raise_error(F.concat(F.lit("a single brace in the template: "), template)).cast("string"))
+        return text.when(part.startswith("{"), value).otherwise(part)
+
+    filled = F.transform(F.regexp_extract_all(template, F.lit(PART), F.lit(0)), fill)
+    return let(filled, lambda parts: F.when(F.forall(parts, lambda p: p.isNotNull()), F.array_join(parts, "")))
+
+
 def numbered(values: Column) -> Column:
     return F.array_join(F.transform(values, lambda v, i: F.concat((i + 1).cast("string"), F.lit(". "), v)), "\n")
 

@@ -118,7 +118,7 @@ def with_levels(rows: DataFrame, levels: Mapping[str, int]) -> DataFrame:
 def with_template(rows: DataFrame, templates: DataFrame, key: str = "level") -> DataFrame:
     """Adds the templates of the key; a key without any fails the query."""
     known = templates.withColumn("__known", F.lit(True))
-    joined = rows.join(F.broadcast(known), key, "left")  # one row for each template file
+    joined = rows.join(known, key, "left")
     return joined.where(F.when(F.col("__known").isNotNull(), True).otherwise(F.raise_error(F.concat(F.lit("no template for "), F.col(key))).cast("boolean"))).drop("__known")
 
 

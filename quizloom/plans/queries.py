@@ -13,6 +13,7 @@ from quizloom.operators import bank, contracts, dedup, delta, framework, lookup,
 from quizloom.sources import bank as bank_tables
 from quizloom.sources import providers
 from quizloom.sources.seen import SeenState
+from quizloom.sources.sinks import Delivery, Sink
 from quizloom.sources.store import Store
 from quizloom.tables import Tables
 
@@ -428,11 +429,16 @@ def render_prompt(spark, d):
     return rows.select("n_nationkey", prompts.with_constraints(body, F.lit("seed_1")).alias("prompt"), prompts.for_provider(F.lit("Be brief."), provider, F.lit("m1")).alias("system_prompt"))
 
 
-@query("""SELECT n_nationkey, level, level_num, 'system-' || level_num AS template FROM nation, (VALUES ('Remembering', 1), ('Understanding', 2), ('Applying', 3), ('Analyzing', 4), ('Evaluating', 5)) l(level, level_num)""")
+@query("""
+SELECT c_custkey, level, level_num, CASE WHEN level_num % 2 = 0 THEN 'Ask ' || c_name || ' {' || level || '}' ELSE level || ' (' || level_num || '): ' || c_name || ', ' || c_mktsegment END AS prompt
+FROM customer, (VALUES ('Remembering', 1), ('Understanding', 2), ('Applying', 3), ('Analyzing', 4), ('Evaluating', 5)) l(level, level_num)""")
 def skill_bloom_cross(spark, d):
-    rows = lookup.with_levels(read(spark, d, "nation").select("n_nationkey"), text.LEVELS)
-    templates = spark.createDataFrame([(k, f"system-{v}") for k, v in text.LEVELS.items()], "level string, template string")
-    return lookup.with_template(rows, templates).select("n_nationkey", "level", "level_num", "template")
+    """Templates are rows, joined by level and rendered with each skill's values."""
+    skills = read(spark, d, "customer").select("c_custkey", F.col("c_name").alias("skill"), F.col("c_mktsegment").alias("subject"))
+    bodies = [(k, "Ask {skill} {{{level}}}" if v % 2 == 0 else "{level} ({level_num}): {skill}, {subject}") for k, v in text.LEVELS.items()]
+    rows = lookup.with_template(lookup.with_levels(skills, text.LEVELS), spark.createDataFrame(bodies, "level string, template string"))
+    params = F.create_map(*[x for k in ("skill", "subject", "level", "level_num") for x in (F.lit(k), F.col(k).cast("string"))])
+    return rows.select("c_custkey", "level", "level_num", prompts.render_rows(F.col("template"), params).alias("prompt"))
 
 
 @query(f"""
@@ -917,6 +923,34 @@ def output_modes(spark, d):
     return files.union(spark.read.parquet(f"{path}/table").select(F.lit("table").alias("mode"), "*"))
 
 
+@query("""
+SELECT sink, grp, status, n, kept, status = 'saved' OR bool_or(status = 'saved') OVER (PARTITION BY grp) AS success FROM (
+ SELECT sink, coalesce(grp, '') AS grp, CASE WHEN sink = 'file' AND bad > 0 OR sink = 'table' AND bad > 0 AND grp = 'en' THEN 'failed' ELSE 'saved' END AS status, n,
+  CASE WHEN sink = 'file' AND bad > 0 OR sink = 'table' AND bad > 0 AND grp = 'en' THEN 0 ELSE n END AS kept
+ FROM (SELECT lang AS grp, count(*) AS n, count(CASE WHEN lang IN ('de', 'en') AND doc_id % 10 = 3 THEN 1 END) AS bad FROM documents GROUP BY lang), (VALUES ('file'), ('table')) s(sink))""")
+def sinks_partial(spark, d):
+    """Documents by language to two sinks: the first cannot take some German and English rows, the second not those that are English; what a sink has is what was published there."""
+
+    def line(row: dict) -> str:
+        if row["lang"] in ("de", "en") and row["doc_id"] % 10 == 3:
+            raise ValueError(row["doc_id"])
+        return str(row["doc_id"])
+
+    def record(row: dict) -> str:
+        if row["lang"] == "en" and row["doc_id"] % 10 == 3:
+            raise ValueError(row["doc_id"])
+        return f'{{"doc_id": {row["doc_id"]}}}'
+
+    path = folder(spark, "sinks")
+    sinks = [Sink("file", f"{path}/file", line), Sink("table", f"{path}/table", record)]
+    delivery = Delivery(spark, f"{path}/status", sinks)
+    status = delivery.run("r1", read(spark, d, "documents").select("doc_id", "lang"), "lang")
+    kept = [spark.read.schema("value string, grp string").option("basePath", f"{s.path}/run=r1").text(f"{s.path}/run=r1").groupBy("grp").agg(F.count("*").alias("kept")).withColumn("sink", F.lit(s.name)) for s in sinks]
+    kept = kept[0].union(kept[1]).withColumn("grp", F.when(F.col("grp").isNull(), "").otherwise(F.col("grp")))
+    rows = status.join(kept, ["sink", "grp"], "left").join(delivery.outcome("r1"), "grp")
+    return rows.select("sink", "grp", "status", "n", F.coalesce("kept", F.lit(0)).cast("bigint").alias("kept"), "success")
+
+
 @query("SELECT o_custkey AS key, count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 3 <> 2)")
 def state_versions(spark, d):
     """Seen keys of three runs, the second of which has nothing new and makes no version."""

@@ -63,21 +63,22 @@ def exam(spark: SparkSession, units: DataFrame, subject: str, total: int, create
     return bank.enrich(rows.withColumn("place", order), "place", "unit_id", F.lit(created_at).cast("timestamp"))
 
 
-def skill_levels(spark: SparkSession, skills: DataFrame, levels: dict[str, int], n_questions: int, samples: Column | None = None, provider: str = "offline", call: providers.Call = providers.offline, templates: Mapping[str, tuple[str, str]] | None = None, created_at: str | None = None, out: str | None = None, **options) -> DataFrame:
+def skill_levels(spark: SparkSession, skills: DataFrame, levels: dict[str, int], n_questions: int, samples: Column | None = None, provider: str = "offline", call: providers.Call = providers.offline, templates: Mapping[str, tuple[str, str]] | DataFrame | None = None, created_at: str | None = None, out: str | None = None, **options) -> DataFrame:
     """Questions for each skill (skill_id, skill, objectives) at each level.
 
-    ``templates`` has the system and user template of each level; a level without is an error before anything runs. With ``out``, the questions, with created_at, are also
-    appended to the table there.
+    ``templates`` has the system and user template of each level: a mapping, where a level without is an error before anything runs, or rows (level, system, user), where
+    it is one as the query runs. With ``out``, the questions, with created_at, are also appended to the table there.
     """
     tables = Tables(spark, "skills")
-    lacking = set(levels) - set(templates or levels)
-    if lacking:
-        raise ValueError(f"no template for {sorted(lacking)}")
-    rows = lookup.with_levels(skills, levels)
+    if not isinstance(templates, DataFrame):
+        pairs = templates or dict.fromkeys(levels, ("You write questions at a given level.", SKILL_USER))
+        if lacking := set(levels) - set(pairs):
+            raise ValueError(f"no template for {sorted(lacking)}")
+        templates = spark.createDataFrame([(k, *pairs[k]) for k in levels], "level string, system string, user string")
+    rows = lookup.with_template(lookup.with_levels(skills, levels), templates.select("level", "system", "user"))
     params = {"n_questions": F.lit(n_questions), "level": F.col("level"), "level_num": F.col("level_num"), "skill": F.col("skill"), "objectives": prompts.objectives_section(F.col("objectives")), "samples": F.lit("") if samples is None else prompts.sample_section(samples)}
-    pairs = templates or dict.fromkeys(levels, ("You write questions at a given level.", SKILL_USER))
-    for k, name in enumerate(("system_prompt", "user_prompt")):
-        rows = rows.withColumn(name, F.coalesce(*[F.when(F.col("level") == level, prompts.render(pairs[level][k], params)) for level in levels]))
+    filled = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), v.cast("string"))])
+    rows = rows.withColumns({"system_prompt": prompts.render_rows(F.col("system"), filled), "user_prompt": prompts.render_rows(F.col("user"), filled)})
     got = answered(tables, rows.select("skill_id", "skill", "level", "level_num", "system_prompt", "user_prompt"), "call", provider, call, {"num_questions": n_questions}, **options)
     found = bank.questions_of(got.select("skill_id", "skill", F.col("level").alias("asked_level"), "response"), "response", jsonfix.sanitize_bank)
     made = found.select("skill_id", "skill", "asked_level", "pos", *question_columns(F.col("q")))

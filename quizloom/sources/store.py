@@ -81,20 +81,26 @@ class Files:
 
     def publish(self, name: str, body: str) -> bool:
         """Write a file whole; false if there is one of the name."""
-        part = self.at(f"{name}.{uuid.uuid4().hex}.part")
-        stream = self.system.create(part, False)
+        part = f"{name}.{uuid.uuid4().hex}.part"
+        stream = self.system.create(self.at(part), False)
         stream.write(bytearray(body.encode()))
         stream.close()
+        if self.move(part, name):
+            return True
+        self.delete(part)
+        return False
+
+    def move(self, name: str, to: str) -> bool:
+        """Rename a file or folder; false if there is one of the new name."""
         options = self.jvm.org.apache.hadoop.fs.Options.Rename
         none = self.jvm.java.lang.reflect.Array.newInstance(options.NONE.getClass(), 1)
         none[0] = options.NONE
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.system.getUri(), self.conf)
         try:
-            context.rename(part, self.at(name), none)
+            context.rename(self.at(name), self.at(to), none)
         except Py4JJavaError as e:
             if "FileAlreadyExistsException" not in str(e.java_exception.toString()):
                 raise
-            self.system.delete(part, False)
             return False
         return True
 

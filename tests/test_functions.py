@@ -175,3 +175,22 @@ def test_vector_record(spark):
     df = spark.createDataFrame([(1, "t", ["a", "b"], None)], "id int, topic string, k array<string>, d string")
     got = bank.vector_record(df, F.col("id").cast("string"), F.col("topic"), {"keywords": F.col("k")}, {"difficulty": (F.col("d"), "Medium"), "semantic_context": (text.semantic_context(F.col("topic"), F.col("d"), F.col("k"), F.lit(None).cast("array<string>")), "")}).collect()[0]
     assert tuple(got) == ("1", "t", "a,b", "Medium", "t  a,b ")
+
+
+def test_templates_as_rows(spark):
+    import string
+
+    bodies = ["Hi {name}, {{x}} {{{name}}}", "", "{name}{name}", "no field", "{}", "{0}", "{a.b}", "a } b", "{ a", "{missing}", "{{missing}}", "{name!r}", None, "{none}"]
+    params = F.create_map(F.lit("name"), F.lit("N{x}"), F.lit("none"), F.lit(None).cast("string"))
+    for body in bodies:
+        made = lambda body=body: values(spark, [(body,)], "t string", prompts.render_rows(F.col("t"), params))[0][0]
+        try:
+            fields = [(n, s, c) for _, n, s, c in string.Formatter().parse(body or "") if n is not None]
+            good = all(n in ("name", "none") and not s and not c for n, s, c in fields)
+        except ValueError:
+            good = False
+        if not good:
+            with pytest.raises(Exception, match="plain names|no value|single brace"):
+                made()
+        else:
+            assert made() == (None if body in (None, "{none}") else body.format(name="N{x}"))
