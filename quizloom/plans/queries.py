@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.functions.once import with_once
 from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import bank as bank_tables
-from quizloom.sources import providers
+from quizloom.sources import paged, providers
 from quizloom.sources.seen import SeenState
 from quizloom.sources.sinks import Delivery, Sink
 from quizloom.sources.store import Store
@@ -892,6 +892,71 @@ def cheat_sheet_workflow(spark, d):
 # --- sinks -------------------------------------------------------------------------------------------------------
 
 
+PAGED_SQL = """(SELECT page_id // 10 AS doc, CAST(row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) AS INT) AS page_number,
+ CASE WHEN page_id % 17 = 3 THEN NULL ELSE page_id || ' ' || url END AS text, CASE WHEN page_id % 17 = 3 THEN 'ValueError: page' END AS error FROM pages)"""
+
+
+class TextPages:
+    """A text file whose pages are parted by form feeds; stands in for a reader of PDF files."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            self.pages = f.read().split("\f")
+
+    def __len__(self) -> int:
+        return len(self.pages)
+
+    def page(self, number: int) -> str:
+        if self.pages[number] == "bad":
+            raise ValueError("page")
+        return self.pages[number]
+
+    def close(self) -> None:
+        self.pages = []
+
+
+def paged_documents(spark, d):
+    """Ten pages of the table a file, written by the tasks; some pages cannot be read."""
+    own = F.struct("page_id", F.when(F.col("page_id") % 17 == 3, "bad").otherwise(F.concat(F.col("page_id").cast("string"), F.lit(" "), "url")).alias("text"))
+    files = read(spark, d, "pages").groupBy(F.floor(F.col("page_id") / 10).alias("doc")).agg(F.array_sort(F.collect_list(own)).alias("pages"))  # ten a group
+    texts = F.array_join(F.transform("pages", lambda p: p["text"]), "\f")
+    target = f"{folder(spark, 'paged').removeprefix('file:')}/files"
+    bank_tables.write_images(files.select(F.format_string("%d.txt", "doc").alias("file"), F.encode(texts, "UTF-8").alias("content")), target)
+    return paged.pages(spark, target, TextPages, "*.txt", task_bytes=20_000)
+
+
+def doc_number() -> Column:
+    return F.regexp_extract("doc", r"(\d+)\.txt$", 1).cast("bigint").alias("doc")
+
+
+@query(f"SELECT doc, page_number, text, error FROM {PAGED_SQL}")
+def paged_files(spark, d):
+    """Files of several pages, read page by page in ranges; a page that fails is a row, and leaves the others of its file alone."""
+    return paged_documents(spark, d).select(doc_number(), "page_number", "text", "error")
+
+
+@query(f"""
+SELECT 'good' AS outcome, count(*) AS n, (SELECT count(*) FROM {PAGED_SQL} WHERE error IS NULL) AS kept FROM {PAGED_SQL} WHERE error IS NULL
+UNION ALL SELECT 'rejected', count(*), (SELECT count(*) FROM {PAGED_SQL} WHERE error IS NOT NULL) FROM {PAGED_SQL} WHERE error IS NOT NULL""")
+def outcome_counts(spark, d):
+    """Good and rejected pages in one write, counted by it: the files are parsed once."""
+    good, rejected, counts = paged.write_outcomes(paged_documents(spark, d), F.col("error"), f"{folder(spark, 'outcomes')}/pages")
+    n = {"good": counts["n"] - counts["rejected"], "rejected": counts["rejected"]}
+    sides = [side.agg(F.lit(name).alias("outcome"), F.lit(n[name]).cast("bigint").alias("n"), F.count("*").alias("kept")) for name, side in (("good", good), ("rejected", rejected))]
+    return sides[0].union(sides[1])
+
+
+@query(f"SELECT count(*) AS processed, count(CASE WHEN s.answer <> s.old THEN 1 END) AS updated, count(CASE WHEN s.o_orderkey IS NULL THEN 1 END) AS unlabelled, count(*) AS written FROM orders o LEFT JOIN {SHUFFLE_SQL} s USING (o_orderkey)")
+def counted_write(spark, d):
+    """A bank is shuffled, written and counted in one pass."""
+    moved = choices.shuffled(F.col("choices"), F.col("answer"), F.col("o_orderkey"), SHUFFLE_SEED)
+    rows = with_once(choice_rows(spark, d), "m", moved)
+    path = f"{folder(spark, 'bank')}/bank"
+    counts = bank_tables.counted(rows, lambda out: out.write.parquet(path), updated=F.col("m.answer") != F.col("answer"), unlabelled=F.col("m").isNull())
+    told = [F.lit(counts[k]).cast("bigint").alias(name) for k, name in (("n", "processed"), ("updated", "updated"), ("unlabelled", "unlabelled"))]
+    return spark.read.parquet(path).agg(*told, F.count("*").alias("written"))
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' ELSE 'second' END AS run FROM documents")
 def append_new_rows(spark, d):
     """Half of the documents, then all of them twice: each is in the bank once, as it came first."""
