@@ -74,6 +74,12 @@ def field(v: Column, name: str, kind: str = "string") -> Column:
     return F.try_variant_get(v, f"$.{name}", kind)
 
 
+def presence(v: Column, name: str) -> Column:
+    """``missing`` if the object has no such field, ``null`` if it has it with a null, else ``value``."""
+    found = F.try_variant_get(v, f"$.{name}", "variant")
+    return F.when(found.isNull(), "missing").when(F.is_variant_null(found), "null").otherwise("value")
+
+
 def objective_text(v: Column) -> Column:
     """A string as it is, an object's non-empty description, else null."""
     text = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))

@@ -21,6 +21,25 @@ def classify(source: DataFrame, target: DataFrame, key: str, content: str, order
     return both.select(key, status.alias("status"))
 
 
+def field_changes(source: DataFrame, target: DataFrame, key: str, doc: str) -> DataFrame:
+    """key, field, status of every top-level field that differs between the objects (VARIANT) of a key on both sides.
+
+    added: the target has no such field; removed: the source has none; to_null and from_null: the source's, the target's is an explicit null; else changed. Values are compared as canonical
+    JSON. Rows without key, and documents that are no objects, have no fields. Keys are told apart by one row each.
+    """
+    def fields(rows: DataFrame, name: str) -> DataFrame:
+        one = F.lit(name)
+        parts = rows.where(F.col(key).isNotNull()).lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(doc).outer()).alias("f"))
+        return parts.where(F.col("f.key").isNotNull()).select(key, F.col("f.key").alias("field"), F.to_json("f.value").alias("value"), one.alias("side"))
+
+    both = source.where(F.col(key).isNotNull()).select(key).join(target.select(key), key, "left_semi").distinct()
+    every = fields(source, "s").unionByName(fields(target, "t")).join(both, key, "left_semi")
+    s, t = (F.max(F.when(F.col("side") == side, F.col("value"))).alias(side) for side in "st")
+    null = F.lit("null")
+    status = F.when(F.col("t").isNull(), "added").when(F.col("s").isNull(), "removed").when(F.col("s") == null, "to_null").when(F.col("t") == null, "from_null").otherwise("changed")
+    return every.groupBy(key, "field").agg(s, t).where(~F.col("s").eqNullSafe(F.col("t"))).select(key, "field", status.alias("status"))
+
+
 def stats(classes: DataFrame) -> DataFrame:
     return classes.agg(*[F.count_if(F.col("status") == s).alias(f"{s}_count") for s in ("added", "deleted", "changed")])
 

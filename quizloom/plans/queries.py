@@ -113,36 +113,41 @@ def fetch_many(spark, d):
 # --- frameworks --------------------------------------------------------------------------------------------------
 
 
+#: Customers of a framework at most: a framework is a document of bounded size.
+BLOCK = 1000
+
+
 def course_frameworks(spark, d, objectives=None):
-    """Region, nation, segment, customer as subject, unit, topic, objective; a framework for each nation."""
-    customer = read(spark, d, "customer").select("c_nationkey", "c_mktsegment", "c_custkey", (F.to_json(F.struct(F.col("c_name").alias("description"))) if objectives is None else objectives).alias("o"))
-    topic = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "o"))).alias("os"))
-    topic = topic.select("c_nationkey", F.struct(F.col("c_mktsegment").alias("topic"), F.transform("os", lambda s: F.parse_json(s["o"])).alias("objectives")).alias("t"))
-    unit = topic.groupBy("c_nationkey").agg(F.collect_list("t").alias("ts"))
+    """Region, nation, segment, customer as subject, unit, topic, objective; a framework for each nation and BLOCK customer keys."""
+    block = F.floor(F.col("c_custkey") / BLOCK).alias("block")
+    customer = read(spark, d, "customer").select("c_nationkey", block, "c_mktsegment", "c_custkey", (F.to_json(F.struct(F.col("c_name").alias("description"))) if objectives is None else objectives).alias("o"))
+    topic = customer.groupBy("c_nationkey", "block", "c_mktsegment").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "o"))).alias("os"))
+    topic = topic.select("c_nationkey", "block", F.struct(F.col("c_mktsegment").alias("topic"), F.transform("os", lambda s: F.parse_json(s["o"])).alias("objectives")).alias("t"))
+    unit = topic.groupBy("c_nationkey", "block").agg(F.collect_list("t").alias("ts"))
     order = lambda a, b: F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)
     unit = unit.withColumn("ts", F.array_sort("ts", order)).join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    unit = unit.select("n_regionkey", "n_name", F.array(F.struct(F.col("n_name").alias("unit"), F.col("ts").alias("topics"))).alias("units"))
+    unit = unit.select("n_regionkey", "n_name", "block", F.array(F.struct(F.col("n_name").alias("unit"), F.col("ts").alias("topics"))).alias("units"))
     frame = unit.join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return frame.select(F.struct("r_regionkey", "n_name").alias("ord"), F.col("r_name").alias("subject"), "units")
+    return frame.select(F.struct("r_regionkey", "n_name", "block").alias("ord"), F.col("r_name").alias("subject"), "units")
 
 
-@query("""
-SELECT CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INT) AS topic_pos, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS INT) AS objective_pos, c_name AS objective
-FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_name = (SELECT min(n_name) FROM nation)""")
+@query(f"""
+WITH c AS (SELECT c_custkey // {BLOCK} AS block, * FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_name = (SELECT min(n_name) FROM nation))
+SELECT block, CAST(dense_rank() OVER (PARTITION BY block ORDER BY c_mktsegment) - 1 AS INT) AS topic_pos, CAST(row_number() OVER (PARTITION BY block, c_mktsegment ORDER BY c_custkey) - 1 AS INT) AS objective_pos, c_name AS objective FROM c""")
 def unwind_unit_objectives(spark, d):
     nation = read(spark, d, "nation")
     unit = nation.orderBy("n_name").limit(1).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).first()
-    return framework.unit_objectives(course_frameworks(spark, d), unit.r_name, unit.n_name).drop("framework_ord")
+    return framework.unit_objectives(course_frameworks(spark, d), unit.r_name, unit.n_name).select(F.col("framework_ord.block").alias("block"), "topic_pos", "objective_pos", "objective")
 
 
-@query("""
-SELECT n_name AS unit, coalesce(string_agg(CASE WHEN c_custkey % 3 <> 2 THEN c_name END, '|' ORDER BY c_mktsegment, c_custkey), '') AS objectives
-FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name""")
+@query(f"""
+SELECT c_custkey // {BLOCK} AS block, n_name AS unit, coalesce(string_agg(CASE WHEN c_custkey % 3 <> 2 THEN c_name END, '|' ORDER BY c_mktsegment, c_custkey), '') AS objectives
+FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
 def polymorphic_objectives(spark, d):
     kind = F.col("c_custkey") % 3
     objective = F.when(kind == 0, F.to_json(F.struct(F.col("c_name").alias("description")))).when(kind == 1, F.concat(F.lit('"'), "c_name", F.lit('"'))).otherwise(F.lit('{"description":""}'))
-    units = course_frameworks(spark, d, objective).select(F.explode("units").alias("u"))
-    return units.select("u.unit", F.array_join(framework.flat_objectives(F.col("u.topics")), "|").alias("objectives"))
+    units = course_frameworks(spark, d, objective).select("ord.block", F.explode("units").alias("u"))
+    return units.select("block", "u.unit", F.array_join(framework.flat_objectives(F.col("u.topics")), "|").alias("objectives"))
 
 
 @query("""
@@ -185,9 +190,9 @@ def topics_non_empty(spark, d):
     return rows.where("n_name IS NOT NULL AND n_name <> ''")
 
 
-@query("""
+@query(f"""
 SELECT r_name AS subject, n_name AS unit, c_mktsegment AS topic, c_name AS objective FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
-WHERE r_regionkey = (SELECT min(r_regionkey) FROM region) ORDER BY n_name, c_mktsegment, c_custkey LIMIT 1""")
+WHERE r_regionkey = (SELECT min(r_regionkey) FROM region) ORDER BY n_name, c_custkey // {BLOCK}, c_mktsegment, c_custkey LIMIT 1""")
 def sample_document(spark, d):
     return framework.sample_path(course_frameworks(spark, d))
 
@@ -505,6 +510,32 @@ def conditional_update(spark, d):
     return store.read()
 
 
+def field_json(k: Column) -> Column:
+    """A field that is absent, null, or has one of two values."""
+    return F.when(k % 4 == 0, "{}").when(k % 4 == 1, '{"v":null}').when(k % 4 == 2, '{"v":{"b":1,"a":2}}').otherwise('{"v":[3]}')
+
+
+@query("""
+WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) % 4 AS s, event_id % 4 AS t, event_id % 11 <> 0 AS in_source, event_id % 13 <> 0 AS in_target FROM events)
+SELECT event_id, 'v' AS field, CASE WHEN t = 0 THEN 'added' WHEN s = 0 THEN 'removed' WHEN s = 1 THEN 'to_null' WHEN t = 1 THEN 'from_null' ELSE 'changed' END AS status
+FROM e WHERE in_source AND in_target AND s <> t""")
+def field_changes(spark, d):
+    """Fields of documents on both sides, where an absent field is not a null one."""
+    rows = read(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    source = rows.where("event_id % 11 <> 0").select("event_id", F.parse_json(field_json(F.col("k"))).alias("doc"))
+    target = rows.where("event_id % 13 <> 0").select("event_id", F.parse_json(F.replace(field_json(F.col("event_id")), F.lit('{"b":1,"a":2}'), F.lit('{"a":2, "b":1}'))).alias("doc"))
+    return delta.field_changes(source, target, "event_id", "doc")
+
+
+@query("""
+WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) % 4 AS k FROM events)
+SELECT event_id, CASE k WHEN 0 THEN 'missing' WHEN 1 THEN 'null' ELSE 'value' END AS presence, k <> 0 AS present FROM e""")
+def field_presence(spark, d):
+    rows = read(spark, d, "events").select("event_id", F.parse_json(field_json(F.get_json_object("props", "$.k").cast("int"))).alias("doc"))
+    found = jsonfix.presence(F.col("doc"), "v")
+    return rows.select("event_id", found.alias("presence"), (found != "missing").alias("present"))
+
+
 # --- diagrams ----------------------------------------------------------------------------------------------------
 
 
@@ -648,31 +679,33 @@ def sinks_outcome(spark, d):
     return read(spark, d, "orders").select("o_orderkey", summary.sinks_outcome([(key % 2 == 0, key % 3 == 0), (key % 5 == 0, key % 7 == 0)]).alias("success"))
 
 
-CONFIG = """[database]
-name = bank
-size = 5
-[task]
-skill_ids = 272, 273,x,
-levels = Applying , Evaluating
-size = 7
-path = ${database:name}/out
-"""
-
-
-@query("SELECT * FROM (VALUES ('name', 'bank'), ('size', '7'), ('skill_ids', '272, 273,x,'), ('levels', 'Applying , Evaluating'), ('path', 'bank/out')) t(key, value)")
+@query("""
+SELECT 'user_' || user_id || '.' || event_type AS key, arg_max(json_extract_string(props, '$.k'), event_id) AS value FROM events GROUP BY 1""")
 def config_flatten(spark, d):
-    from quizloom.sources.config import properties
+    """Settings that users have made one after the other, in sections by kind: the last of each key counts, whatever section it is in."""
+    key = F.concat(F.lit("user_"), F.col("user_id").cast("string"), F.lit("."), "event_type")
+    kv = read(spark, d, "events").select(F.col("event_id").alias("ord"), F.col("event_type").alias("section"), key.alias("key"), F.get_json_object("props", "$.k").alias("value"))
+    return summary.flatten_config(kv)
 
-    return summary.flatten_config(properties(spark, CONFIG))
 
+LEVEL_NAMES = list(text.LEVELS)
 
-@query("SELECT '272|273' AS ids, 'Applying|Evaluating' AS levels, 3 AS first_level, 'none' AS missing")
-def skill_ids_parse(spark, d):
-    from quizloom.sources.config import properties
 
-    kv = summary.flatten_config(properties(spark, CONFIG)).groupBy().agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
-    levels = text.string_list(F.col("m.levels"))
-    return kv.select(F.array_join(text.int_list(F.col("m.skill_ids")).cast("array<string>"), "|").alias("ids"), F.array_join(levels, "|").alias("levels"), text.level_number(F.get(levels, F.lit(0))).alias("first_level"), summary.with_default(F.try_element_at("m", F.lit("nothing")), "none").alias("missing"))
+@query(f"""
+WITH e AS (SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)
+SELECT event_id, CASE WHEN k % 4 = 0 THEN '' WHEN k % 4 = 1 THEN k || '' ELSE k || '|' || user_id END AS ids, {LEVEL_NAMES}[1 + k % 5] || '|other' AS levels, CAST(1 + k % 5 AS INT) AS first_level, CASE WHEN k % 3 = 0 THEN k || '' ELSE 'none' END AS setting FROM e""")
+def skill_ids_parse(spark, d):
+    """Lists of ids and levels as settings have them, with spaces, words between the numbers, and settings that are not there."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = read(spark, d, "events").select("event_id", "user_id", k.alias("k"))
+    listed = F.when(F.col("k") % 4 == 0, "x, 1_0,-3").when(F.col("k") % 4 == 1, F.format_string("%d,,4.5", "k")).otherwise(F.format_string(" %d, x ,%d", "k", "user_id"))
+    named = F.concat(F.lit(" "), F.element_at(F.array(*[F.lit(x) for x in LEVEL_NAMES]), F.col("k") % 5 + 1), F.lit(" , other"))
+    settings = F.when(F.col("k") % 3 == 0, F.create_map(F.lit("setting"), F.col("k").cast("string"))).otherwise(F.create_map(F.lit("else"), F.lit("x")))
+    levels = text.string_list(named)
+    return rows.select(
+        "event_id", F.array_join(text.int_list(listed).cast("array<string>"), "|").alias("ids"), F.array_join(levels, "|").alias("levels"), text.level_number(F.get(levels, F.lit(0))).alias("first_level"),
+        summary.with_default(F.try_element_at(settings, F.lit("setting")), "none").alias("setting"),
+    )
 
 
 @query("""
