@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import small_batches, thrifty
 
-#: Pre-tokens a worker remembers, and their characters; the memory is emptied when either is reached.
+#: Pre-tokens a worker remembers, and their characters, in two halves: when either number is reached, the half not used of late is forgotten.
 REMEMBERED, REMEMBERED_LETTERS = 300_000, 4_000_000
+#: Symbols of the longest pre-tokens that are merged together in numpy; longer ones are merged one by one.
+TOGETHER = 64
 #: Characters of one text that are taken at a time.
 CHUNK = 1 << 20
 NEVER = np.int64(1) << 40
@@ -74,6 +76,7 @@ class WordBpe:
 
     def forget(self) -> None:
         self.known: dict[str, bytes] = dict(self.special)
+        self.older: dict[str, bytes] = {}
         self.letters_known = 0
 
     def _merges(self, merges: list) -> None:
@@ -89,7 +92,8 @@ class WordBpe:
         keys = np.array([x * self.size + y for x, y in self.rank], np.int64)
         ranks = np.array([r for r, _ in self.rank.values()], np.int64)
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], ranks[order]
+        self.keys, self.ranks, self.merged = keys[order], ranks[order], np.array([z for _, z in self.rank.values()], np.int64)[order]
+        self.inner, self.last = (np.array([self.vocab.get(c + end, -1) for c in self.letters], np.int64) for end in ("", self.suffix))
         # a token is proposed only if merging its own symbols gives it back
         made = np.flatnonzero(self.made >= 0)
         sound = np.ones(self.size, bool)
@@ -161,10 +165,48 @@ class WordBpe:
                 heapq.heappush(heap, (found[0], j, found[1]))
         return [i for i in ids if i >= 0]
 
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` for many words at once: in each round every word's pair of lowest rank, the first of them, becomes one symbol. Words of more than TOGETHER bytes, or with bytes outside the vocabulary, go one by one."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(sizes)
+        symbols = self.inner[flat]
+        symbols[ends - 1] = self.last[flat[ends - 1]]
+        unknown = np.add.reduceat(symbols < 0, ends - sizes) > 0
+        out: list[list[int]] = [[]] * len(words)
+        alone = unknown | (sizes > TOGETHER)
+        for k in np.flatnonzero(alone):
+            out[k] = self.merge(words[k].decode("latin-1").translate(self.letters))
+        bounds = (0, 8, 12, 16, 32, TOGETHER)
+        for least, most in zip(bounds, bounds[1:], strict=False):
+            at = np.flatnonzero(~alone & (sizes > least) & (sizes <= most))
+            if not len(at):
+                continue
+            column = np.arange(most)
+            place = (ends - sizes)[at, None] + column
+            rows = np.where(column < sizes[at, None], symbols[np.minimum(place, len(symbols) - 1)], -1)
+            left = np.arange(len(at))
+            while len(left):
+                m = rows[left]
+                key = m[:, :-1] * self.size + m[:, 1:]
+                i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                rank = np.where((self.keys[i] == key) & (m[:, 1:] >= 0), self.ranks[i], NEVER)
+                best = rank.argmin(1)
+                each = np.arange(len(left))
+                go = rank[each, best] < NEVER
+                left, m, best, i = left[go], m[go], best[go], i[go]
+                each = np.arange(len(left))
+                m = np.take_along_axis(np.pad(m, ((0, 0), (0, 1)), constant_values=-1), column + (column > best[:, None]), 1)
+                m[each, best] = self.merged[i[each, best]]
+                rows[left] = m
+            for k, row in zip(at, rows.tolist(), strict=True):
+                out[k] = row[: row.index(-1)] if row[-1] < 0 else row
+        return out
+
     def pieces_many(self, words: list[str]) -> list[list[int]]:
         """The ids of pre-tokens: proposals, a check of all adjacent pairs, exact merging where it fails."""
-        spelled = [w.encode().decode("latin-1").translate(self.letters) for w in words]
-        found = [self.propose(s) for s in spelled]
+        raw = [w.encode() for w in words]
+        found = [self.propose(r.decode("latin-1").translate(self.letters)) for r in raw]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
         owner = np.repeat(np.arange(len(found)), sizes)
@@ -172,21 +214,31 @@ class WordBpe:
         bad = np.zeros(len(found), bool)
         bad[owner[pair[~self.compatible(flat[pair], flat[pair + 1])]]] = True
         bad[owner[flat < 0]] = True
-        for k in np.flatnonzero(bad):
-            found[k] = self.merge(spelled[k])
+        failed = np.flatnonzero(bad)
+        if len(failed):
+            for k, ids in zip(failed, self.merge_many([raw[k] for k in failed]), strict=True):
+                found[k] = ids
         return found
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        self.letters_known += sum(map(len, new))
-        if len(self.known) + len(new) > REMEMBERED or self.letters_known > REMEMBERED_LETTERS:
-            keep = {w: self.known[w] for w in words if w in self.known}
+        if not new:
+            return
+        letters = sum(map(len, new))
+        if 2 * (len(self.known) + len(new)) > REMEMBERED or 2 * (self.letters_known + letters) > REMEMBERED_LETTERS:
+            older = self.known
             self.forget()
-            self.known |= keep
-            self.letters_known = sum(map(len, words))
-        if new:
-            ids = self.pieces_many(new)
-            self.known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, ids, strict=True))
+            self.older = older
+            new = [w for w in words if w not in self.known]
+            letters = sum(map(len, new))
+        self.letters_known += letters
+        older = self.older
+        self.known.update((w, older[w]) for w in new if w in older)
+        if fresh := [w for w in new if w not in older]:
+            ids = self.pieces_many(fresh)
+            packed = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+            ends = np.cumsum([4 * len(i) for i in ids]).tolist()
+            self.known.update((w, packed[a:b]) for w, a, b in zip(fresh, [0, *ends], ends, strict=False))
 
     def words(self, text: str) -> list[str]:
         """The pre-tokens of a text; special strings are pre-tokens of their own."""
@@ -243,7 +295,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
     def run(batches):
         bpe = vocabulary(path)
         for batch in batches:
-            rows = [round_trip(bpe, t or "") for t in batch.column("__text").to_pylist()]
+            rows = round_trips(bpe, [t or "" for t in batch.column("__text").to_pylist()])
             got = {"n_tokens": [len(r[0]) // 4 for r in rows], "ids_sha256": [hashlib.sha256(r[0]).hexdigest() for r in rows], "decoded_sha256": [hashlib.sha256(r[1]).hexdigest() for r in rows]}
             got |= {"ids": [np.frombuffer(r[0], "<i4") for r in rows]} if ids else {}
             got |= {"decoded": [r[1].decode() for r in rows]} if decoded else {}
@@ -254,15 +306,32 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = False, de
     return source.mapInArrow(thrifty(run), ", ".join(fields))
 
 
+def round_trips(bpe: WordBpe, texts: list[str]) -> list[tuple[bytes, bytes]]:
+    """The packed ids of each text and, decoded from them, the text they stand for (UTF-8). What is new in some CHUNK characters of texts is learnt together."""
+    out: list[tuple[list[bytes], list[bytes]]] = [([], []) for _ in texts]
+    held: list[tuple[int, list[str]]] = []
+    size = 0
+
+    def encode_held() -> None:
+        bpe.learn(set(chain.from_iterable(words for _, words in held)))
+        for row, words in held:
+            ids = b"".join(map(bpe.known.__getitem__, words))
+            out[row][0].append(ids)
+            out[row][1].append(bpe.decode_spaced(ids))
+
+    for row, text in enumerate(texts):
+        for part in bpe.chunks(text):
+            held.append((row, bpe.words(part)))
+            size += len(part)
+            if size >= CHUNK:
+                encode_held()
+                held, size = [], 0
+    encode_held()
+    return [(b"".join(ids), b"".join(shown)[1:]) for ids, shown in out]  # no space before the first token
+
+
 def round_trip(bpe: WordBpe, text: str) -> tuple[bytes, bytes]:
-    """The packed ids of a text and, decoded from them, the text they stand for (UTF-8)."""
-    ids, shown = [], []
-    for part in bpe.chunks(text):
-        words = bpe.words(part)
-        bpe.learn(set(words))
-        ids.append(b"".join(map(bpe.known.__getitem__, words)))
-        shown.append(bpe.decode_spaced(ids[-1]))
-    return b"".join(ids), b"".join(shown)[1:]  # no space before the first token
+    return round_trips(bpe, [text])[0]
 
 
 def piece_counts(bpe: WordBpe, words: list[str]) -> list[int]:
