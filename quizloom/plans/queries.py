@@ -858,7 +858,7 @@ WITH h AS (SELECT doc_id, sha256('0|' || text) || sha256('1|' || text) AS h FROM
 x AS (SELECT doc_id, list_transform(range(0, 16), lambda k: CAST('0x' || h[k*8+7:k*8+8] || h[k*8+5:k*8+6] || h[k*8+3:k*8+4] || h[k*8+1:k*8+2] AS BIGINT) / 2147483648.0::DOUBLE - 1) AS v FROM h)
 SELECT doc_id, CAST(list_transform(v, lambda c: c / sqrt(list_reduce(list_transform(v, lambda y: y * y), lambda p, q: p + q))) AS FLOAT[]) AS embedding FROM x""")
 def embed_stub(spark, d):
-    return providers.embed(read(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+    return providers.embed(read(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", vectors=lambda texts: [providers.hash_vector(t) for t in texts])
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 6 <> 0 THEN upper(sha256(replace(p_name, ' ', '_'))) END AS content FROM part")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,10 +25,29 @@ def table_or_empty(spark: SparkSession, path: str, schema: str | StructType) ->
         return spark.createDataFrame([], schema)
 
 
-def jdbc(spark: SparkSession, url: str, table: str, user_variable: str, password_variable: str) -> DataFrame:
-    """A relational table; credentials come from the driver's environment."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    return reader.option("user", os.environ[user_variable]).option("password", os.environ[password_variable]).load()
+#: Ids that one request to a database asks for.
+IDS_A_REQUEST = 1000
+
+
+def jdbc(spark: SparkSession, url: str, table: str, user_variable: str | None = None, password_variable: str | None = None, column: str | None = None, parts: int = 8, ids: Iterable[int | str] | None = None, **options: str) -> DataFrame:
+    """A relational table; credentials come from the driver's environment.
+
+    With an integer ``column`` it is read in ``parts`` ranges between the column's least and greatest value. With ``ids``, an argument list, only rows with these values of
+    the column are asked for, IDS_A_REQUEST in a request; no ids, no rows. Filters and columns go to the database as with any such table.
+    """
+    login = {k: os.environ[v] for k, v in (("user", user_variable), ("password", password_variable)) if v}
+    options = {k: str(v) for k, v in (login | options).items()}
+    if ids is not None:
+        wanted = sorted(set(ids), key=str)
+        texts = [str(int(i)) if isinstance(i, int) else "'" + i.replace("'", "''") + "'" for i in wanted]
+        asked = [f"{column} IN ({', '.join(texts[k : k + IDS_A_REQUEST])})" for k in range(0, len(texts), IDS_A_REQUEST)]
+        return spark.read.jdbc(url, table, predicates=asked or ["1 = 0"], properties=options)
+    reader = spark.read.format("jdbc").options(**options).option("url", url)
+    if column:
+        low, high = reader.option("dbtable", f"(SELECT min({column}) AS low, max({column}) AS high FROM {table}) bounds").load().first()
+        if low is not None and low < high:
+            reader = reader.options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(min(parts, high - low + 1)))
+    return reader.option("dbtable", table).load()
 
 
 def append_new(rows: DataFrame, path: str, key: str, *order: str) -> int:

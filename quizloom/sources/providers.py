@@ -136,19 +136,52 @@ def hash_vector(text: str, size: int = 16) -> list[float]:
     return [x / norm for x in v]
 
 
-def embed(rows: DataFrame, key: str, document: str, vector: Callable[[str], list[float]] = hash_vector, connect: Callable[[], Callable[[str], list[float]]] | None = None) -> DataFrame:
-    """key, embedding (array<float>); null documents have none. ``connect`` is called once a partition and returns what makes vectors."""
+def embed(rows: DataFrame, key: str, document: str, vector: Callable[[str], list[float]] = hash_vector, connect: Callable[[], Callable] | None = None, vectors: Callable[[list[str]], list[list[float]]] | None = None, batched: bool = False, batch_rows: int = 64, batch_letters: int = 65_536) -> DataFrame:
+    """key, embedding (array<float>); null documents have none, and neither have those for which the model fails.
+
+    ``vector`` makes one vector a call; ``vectors`` gets a list of texts, of like length, at most ``batch_rows`` of them, and no more than ``batch_letters`` if each were as long as the longest. A list that
+    fails is asked text by text. ``connect`` is called once a partition and returns what makes vectors, of lists if ``batched``.
+    """
+    whole = vectors is not None or batched
 
     def run(batches):
-        make = connect() if connect else vector
+        make = connect() if connect else vectors or vector
+        ask = make if whole else lambda texts: [make(t) for t in texts]
+
+        def alone(text):
+            try:
+                return ask([text])[0]
+            except Exception:  # noqa: BLE001  whatever a model raises, the row has no vector
+                return None
+
         for batch in batches:
-            out = [None if t is None else make(t) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            out = [None] * len(texts)
+            for some in by_length(texts, batch_rows, batch_letters):
+                try:
+                    made = list(ask([texts[k] for k in some]))
+                    if len(made) != len(some):
+                        raise ValueError(f"{len(made)} vectors for {len(some)} texts")
+                except Exception:  # noqa: BLE001
+                    made = [alone(texts[k]) for k in some]
+                for k, v in zip(some, made, strict=True):
+                    out[k] = v
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float32()))], [key, "embedding"])
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, document).mapInArrow(run, f"`{key}` {kind}, embedding array<float>")
 
 
+def by_length(texts: list[str | None], most_rows: int, most_letters: int) -> list[list[int]]:
+    """Places of the texts in lists for one call each, longest first; a text over the bound is alone, nulls are in none."""
+    out: list[list[int]] = []
+    for k in sorted((k for k, t in enumerate(texts) if t is not None), key=lambda k: -len(texts[k])):
+        if not out or len(out[-1]) == most_rows or (len(out[-1]) + 1) * len(texts[out[-1][0]]) > most_letters:
+            out.append([])
+        out[-1].append(k)
+    return out
+
+
 def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str], bytes | None] | None = None, connect: Callable[[], Callable[[str], bytes | None]] | None = None) -> DataFrame:
     """key, content (PNG bytes or null) for each prompt; molecules are drawn by the same form, from SMILES or a name. ``connect`` is called once a partition and returns what draws."""
 
