@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.functions.once import with_once
 from quizloom.operators import bank, contracts, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import bank as bank_tables
-from quizloom.sources import paged, providers
+from quizloom.sources import files, paged, providers
 from quizloom.sources.seen import SeenState
 from quizloom.sources.sinks import Delivery, Sink
 from quizloom.sources.store import Store
@@ -951,10 +952,10 @@ class TextPages:
 def paged_documents(spark, d):
     """Ten pages of the table a file, written by the tasks; some pages cannot be read."""
     own = F.struct("page_id", F.when(F.col("page_id") % 17 == 3, "bad").otherwise(F.concat(F.col("page_id").cast("string"), F.lit(" "), "url")).alias("text"))
-    files = read(spark, d, "pages").groupBy(F.floor(F.col("page_id") / 10).alias("doc")).agg(F.array_sort(F.collect_list(own)).alias("pages"))  # ten a group
+    groups = read(spark, d, "pages").groupBy(F.floor(F.col("page_id") / 10).alias("doc")).agg(F.array_sort(F.collect_list(own)).alias("pages"))  # ten a group
     texts = F.array_join(F.transform("pages", lambda p: p["text"]), "\f")
     target = f"{folder(spark, 'paged').removeprefix('file:')}/files"
-    bank_tables.write_images(files.select(F.format_string("%d.txt", "doc").alias("file"), F.encode(texts, "UTF-8").alias("content")), target)
+    bank_tables.write_images(groups.select(F.format_string("%d.txt", "doc").alias("file"), F.encode(texts, "UTF-8").alias("content")), target)
     return paged.pages(spark, target, TextPages, "*.txt", task_bytes=20_000)
 
 
@@ -1017,8 +1018,8 @@ def output_modes(spark, d):
     for mode in ("file", "table"):
         bank_tables.write_output(part, mode, f"{path}/{mode}")
     bank_tables.write_output(part.where("p_partkey % 2 = 0"), "table", f"{path}/table")
-    files = spark.read.schema(part.schema).json(f"{path}/file").select(F.lit("file").alias("mode"), "*")
-    return files.union(spark.read.parquet(f"{path}/table").select(F.lit("table").alias("mode"), "*"))
+    lines = spark.read.schema(part.schema).json(f"{path}/file").select(F.lit("file").alias("mode"), "*")
+    return lines.union(spark.read.parquet(f"{path}/table").select(F.lit("table").alias("mode"), "*"))
 
 
 @query("""
@@ -1070,3 +1071,147 @@ def state_in_order(spark, d):
         state.add(keys.where(f"o_orderkey % 2 = {run}"))
     first, second = state.in_order(1), state.in_order(2)
     return first.withColumn("version", F.lit(1).cast("bigint")).union(second.withColumn("version", F.lit(2).cast("bigint")))
+
+
+# --- files and settings ----------------------------------------------------------------------------------------------
+
+
+@query("SELECT replace(p_brand || ' ' || (p_size % 3) || '_x', ' ', '_') AS name, p_partkey || ' ' || p_name AS value FROM part")
+def text_files(spark, d):
+    """Raw texts in a folder for each brand and size, read back by the folder's name."""
+    path, part = f"{folder(spark, 'texts')}/texts", read(spark, d, "part")
+    bank_tables.write_texts(part, F.concat("p_brand", F.lit(" "), (F.col("p_size") % 3).cast("string"), F.lit("/x")), F.concat(F.col("p_partkey").cast("string"), F.lit(" "), "p_name"), path)
+    return spark.read.schema("value string, name string").text(path).select("name", "value")
+
+
+@query("SELECT s_suppkey || '' AS id, upper(sha256(s_name || 'é')) AS digest FROM supplier WHERE s_suppkey % 3 <> 0")
+def image_files(spark, d):
+    """Payloads in base64, some missing, as a file each; the files tell which outputs are there."""
+    path = f"{folder(spark, 'images').removeprefix('file:')}/images"
+    payload = F.when(F.col("s_suppkey") % 3 != 0, F.base64(F.encode(F.concat("s_name", F.lit("é")), "UTF-8")))
+    bank_tables.write_images(bank_tables.image_rows(read(spark, d, "supplier"), "s_suppkey", payload), path)
+    found = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"diagram_([^/]*)\.png$", 1).alias("id"), F.upper(F.sha2("content", 256)).alias("digest"))
+    return files.output_ids(spark, path).join(found, "id")
+
+
+@query("""
+SELECT name AS provider, s_suppkey, CASE name WHEN 'gemini' THEN '{}' WHEN 'anthropic' THEN '{"max_tokens":8000,"temperature":0.5}' WHEN 'deepseek' THEN '{"max_tokens":1000,"temperature":0.5,"timeout":30,"top_p":0.9}'
+ WHEN 'grok' THEN '{"seed":' || s_suppkey || ',"temperature":0.5,"top_p":0.9}' ELSE '{"frequency_penalty":0.1,"presence_penalty":0.2,"temperature":0.5,"top_p":0.9}' END AS settings,
+ CASE WHEN name IN ('gemini', 'anthropic') THEN 'You are m. ' ELSE '' END || 'Be brief.' AS system_prompt
+FROM supplier, (VALUES ('openai'), ('gemini'), ('deepseek'), ('anthropic'), ('grok')) p(name)""")
+def provider_requests(spark, d):
+    """What each provider is asked with: the settings that it honours, and its own fixed ones."""
+    rows = read(spark, d, "supplier").select("s_suppkey", F.lit("Be brief.").alias("system_prompt"), F.col("s_name").alias("user_prompt"), F.col("s_suppkey").alias("seed"))
+    settings = {"temperature": 0.5, "top_p": 0.9, "presence_penalty": 0.2, "frequency_penalty": 0.1}
+    asked = [providers.requests(rows, name, model="m", settings=settings, per_row=("seed",)).withColumn("provider", F.lit(name)) for name in providers.PROVIDERS]
+    return functools.reduce(DataFrame.unionByName, asked).select("provider", "s_suppkey", "settings", "system_prompt")
+
+
+@query(f"""
+SELECT 'ids' AS found_by, c_custkey, c_name FROM customer WHERE c_custkey IN ({', '.join(map(str, ASKED))}) AND c_custkey IN (SELECT o_custkey FROM orders UNION ALL SELECT c_custkey FROM customer)
+UNION ALL SELECT 'ids', c_custkey, c_name FROM customer WHERE c_custkey = 3
+UNION ALL SELECT 'task', c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def skill_resolution(spark, d):
+    """By ids, if there are any, in spite of a task; by the task's name else."""
+    customer = read(spark, d, "customer")
+    skills, tasks = customer.select("c_custkey", "c_name"), customer.select("c_custkey", F.col("c_mktsegment").alias("task_name"))
+    found = {"ids": lookup.resolve_skills(spark, skills, tasks, ASKED, "BUILDING", "c_custkey"), "task": lookup.resolve_skills(spark, skills, tasks, [], "BUILDING", "c_custkey")}
+    sides = [rows.select(F.lit(by).alias("found_by"), "c_custkey", "c_name") for by, rows in found.items()]
+    return sides[0].union(sides[1])
+
+
+@query("""SELECT page_id, 'Extract the questions of this page on T{' || (page_id % 3) || '} (diagram: ' || (page_id % 2 = 0) || '):' || chr(10) || coalesce(url, '') AS prompt FROM pages""")
+def page_prompts(spark, d):
+    from quizloom.plans.workflows import PAGE_USER
+
+    topic = F.concat(F.lit("T{"), (F.col("page_id") % 3).cast("string"), F.lit("}"))
+    params = {"topic": topic, "diagram": F.col("page_id") % 2 == 0, "page": F.coalesce("url", F.lit(""))}
+    return read(spark, d, "pages").select("page_id", prompts.render(PAGE_USER, params).alias("prompt"))
+
+
+@query("""
+WITH q AS (SELECT p_partkey, sha256(sha256('offline|You vary questions.|Write 2 questions like this one:' || chr(10) || p_name) || '|1') AS own FROM part)
+SELECT p_partkey AS doc, CASE WHEN p_partkey % 4 <> 0 THEN 'Which value has code ' || substr(own, 1, 8) || '?' END AS second, CASE WHEN p_partkey % 4 = 0 THEN 'no json' END AS raw_output FROM q""")
+def similar_workflow(spark, d):
+    """Questions like a sample; an answer that is no JSON is kept as it came."""
+    from quizloom.plans.workflows import similar
+
+    def call(provider: str, system: str, user: str, settings: dict) -> str:
+        return "no json" if user.endswith(" ") else providers.offline(provider, system, user, settings)
+
+    rows = read(spark, d, "part").select(F.col("p_partkey").alias("doc"), F.concat(F.lit(" "), "p_name").alias("text"), F.when(F.col("p_partkey") % 4 == 0, " ").otherwise("").alias("end"))
+    made = similar(spark, rows, 2, call=call, user="Write {num_questions} questions like this one:\n{sample_question}{end}")
+    return made.select("doc", F.get_json_object("questions", "$.questions[1].question").alias("second"), "raw_output")
+
+
+@query("""
+SELECT p_partkey, concat_ws('|', '', 'None', p_type, 'None', p_name, n_name, '', p_size || '', '["A. ' || p_brand || '","B. x"]', 'A', CASE WHEN p_partkey % 2 = 0 THEN 'Applying' ELSE '' END, CASE WHEN p_partkey % 2 = 0 THEN '3' ELSE '0' END, 'False', '[]', '', '[]') AS prompt
+FROM part JOIN nation ON n_nationkey = p_size""")
+def enhance_parameters(spark, d):
+    """All that an enhancement prompt may name, with what stands for missing values."""
+    from quizloom.plans.workflows import ENHANCE_DEFAULTS, enhance
+
+    def call(provider: str, system: str, user: str, settings: dict) -> str:
+        import json
+
+        return json.dumps({"asked": user})
+
+    even = F.col("p_partkey") % 2 == 0
+    own = {"skill_id": F.col("p_size"), "question": F.col("p_name"), "multiple_choices": F.array(F.concat(F.lit("A. "), "p_brand"), F.lit("B. x")), "correct_answer": F.lit("A"), "level": F.when(even, "Applying"), "level_num": F.when(even, 3), "subject_area": F.col("p_type")}
+    rows = read(spark, d, "part").select("p_partkey", *[c.alias(k) for k, c in own.items()])
+    skills = read(spark, d, "nation").select(F.col("n_nationkey").alias("skill_id"), F.col("n_name").alias("skill"))
+    made = enhance(spark, rows, skills, call=call, user="|".join(f"{{{name}}}" for name in ENHANCE_DEFAULTS))
+    return made.select("p_partkey", F.get_json_object("enhanced", "$.asked").alias("prompt"))
+
+
+@query(ORACLE_SQL["exam_workflow"])
+def exam_file(spark, d):
+    """The exam as a JSON file, read back."""
+    path, made = f"{folder(spark, 'exam')}/exam", exam_workflow(spark, d)
+    bank_tables.write_output(made, "file", path)
+    return spark.read.schema(made.schema).json(path)
+
+
+@query("""
+WITH a AS (SELECT count(*) AS n FROM documents WHERE doc_id % 9 <> 0 AND doc_id % 7 = 0), g AS (SELECT count(*) AS n FROM documents WHERE doc_id % 9 = 0 AND doc_id % 7 <> 0),
+c AS (SELECT count(*) AS n FROM documents WHERE doc_id % 9 <> 0 AND doc_id % 7 <> 0 AND doc_id % 5 = 0)
+SELECT run, CASE WHEN run = 'third' THEN 0 ELSE a.n END AS added_count, g.n AS deleted_count, c.n AS changed_count, CASE WHEN run = 'second' THEN a.n ELSE 0 END AS synced_count FROM a, g, c, (VALUES ('dry'), ('second'), ('third')) r(run)""")
+def sync_job(spark, d):
+    """The maintenance job from its arguments: a dry run, a run, and a run with nothing left to add."""
+    from quizloom.__main__ import arguments, run
+
+    path, docs = folder(spark, "jobs"), read(spark, d, "documents").select("doc_id", "lang")
+    docs.where("doc_id % 9 <> 0").write.parquet(f"{path}/source")
+    docs.where("doc_id % 7 <> 0").withColumn("lang", F.when(F.col("doc_id") % 5 == 0, "xx").otherwise(F.col("lang"))).write.parquet(f"{path}/target")
+    call = ["sync", "--source", f"{path}/source", "--target", f"{path}/target", "--id-field", "doc_id"]
+    told = [(name, run(spark, arguments([*call, *more]))) for name, more in (("dry", ["--dry-run"]), ("second", []), ("third", []))]
+    counts = ["added_count", "deleted_count", "changed_count", "synced_count"]
+    return spark.createDataFrame([(name, *[c[k] for k in counts]) for name, c in told], "run string, " + ", ".join(f"{k} bigint" for k in counts))
+
+
+@query("SELECT n_nationkey AS doc, 'pdf' AS kind, n_name || ' first' AS text FROM nation WHERE n_nationkey % 5 <> 0 UNION ALL SELECT s_suppkey + 1000, 'text', s_name FROM supplier")
+def first_pages(spark, d):
+    """The first page of each paged file and the whole of each text file; files that cannot be read are left out, and told apart."""
+
+    def pages(content: bytes) -> list[str]:
+        if content == b"broken":
+            raise ValueError(content)
+        return content.decode().split("\f")
+
+    paged_files = read(spark, d, "nation").select(F.format_string("%d.pdf", "n_nationkey").alias("file"), F.when(F.col("n_nationkey") % 5 == 0, "broken").otherwise(F.concat("n_name", F.lit(" first\fsecond"))).alias("body"))
+    texts = read(spark, d, "supplier").select(F.format_string("%d.txt", F.col("s_suppkey") + 1000).alias("file"), F.col("s_name").alias("body"))
+    path = f"{folder(spark, 'questions').removeprefix('file:')}/files"
+    bank_tables.write_images(paged_files.union(texts).select("file", F.encode("body", "UTF-8").alias("content")), path)
+    return files.question_files(spark, path, pages=pages).select(F.regexp_extract("doc", r"(\d+)\.\w+$", 1).cast("bigint").alias("doc"), "kind", "text")
+
+
+@query("SELECT lower(split_part(s_name, '#', 1)) || (s_suppkey % 3) AS subject, count(*) AS n FROM supplier GROUP BY 1")
+def task_subjects(spark, d):
+    """A configuration file for each supplier; the subject is the second word of the task's name."""
+    from quizloom.sources.config import task_config
+
+    name = F.concat(F.lit("AP  "), F.split_part("s_name", F.lit("#"), F.lit(1)), (F.col("s_suppkey") % 3).cast("string"), F.lit(" Exam"))
+    body = F.concat(F.lit('{"database": {}, "prompts": {}, "pdf": {"pages": [1]}, "task": '), F.to_json(F.struct(name.alias("name"))), F.lit("}"))
+    path = f"{folder(spark, 'tasks').removeprefix('file:')}/tasks"
+    bank_tables.write_images(read(spark, d, "supplier").select(F.format_string("%d.json", "s_suppkey").alias("file"), F.encode(body, "UTF-8").alias("content")), path)
+    return task_config(spark, path).groupBy("subject").agg(F.count("*").alias("n"))
