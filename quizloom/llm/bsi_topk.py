@@ -4,7 +4,7 @@ A block of rows keeps each quantised attribute as bitmaps, one for each binary d
 block is the sum of attribute slices, shifted by the digits of the query and added by carry-save bitmap arithmetic; a
 negative factor takes complemented slices. The top rows are then selected from the most significant score slice
 downward, and rows tied at the boundary are resolved by their ids. Blocks and query chunks meet by an
-equi-join on their numbers, and the k best of each block are merged by query.
+equi-join on the cells of a grid, and the k best of each block are merged by query.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thrifty
+from quizloom.llm.common import Scratch, on_a_grid, small_batches, thrifty
 
-#: Rows of an index block on average, and queries of a chunk at most: every block is sent once for each chunk, every chunk once for each block.
+#: Rows of an index block on average, and queries of a chunk at most.
 BLOCK, CHUNK = 32_768, 8192
 #: Integer types that queries are sent as, the narrowest that holds them.
 KINDS = (np.int8, np.int16, np.int32, np.int64)
@@ -141,10 +141,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_
     dim = F.size("q").cast("long")
     base = scratch.save(quantised(rows, id_col, vector, scale), "rows")
     asked = scratch.save(quantised(queries, id_col, vector, scale).dropDuplicates(), "queries")
-    blocks, n_asked = max(1, -(-base.count() // block)), asked.count()
+    n_rows, n_asked = base.count(), asked.count()
+    blocks = max(1, -(-n_rows // block))
     chunk = chunk or min(CHUNK, max(64, -(-n_asked * blocks // (2 * spark.sparkContext.defaultParallelism))))
     chunks = max(1, -(-n_asked // chunk))
-    index = base.groupBy(F.pmod(F.xxhash64("id", "q"), F.lit(blocks)).alias("block"), dim.alias("dim")).applyInArrow(pack_rows, "block long, dim long, ids binary, low binary, bits long, slices binary")
+    # dealt by number, as rows that are alike would all fall into one block
+    index = base.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).alias("block"), dim.alias("dim")).applyInArrow(pack_rows, "block long, dim long, ids binary, low binary, bits long, slices binary")
     index = scratch.save(index, "index")
     packed = asked.groupBy(F.pmod(F.xxhash64("id", "q"), F.lit(chunks)).alias("chunk"), dim.alias("dim")).applyInArrow(pack_queries, "chunk long, dim long, query_ids binary, width long, queries binary")
 
@@ -159,11 +161,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_
                 cols = [r["chunk"] * np.ones(len(n), np.int64), n, asking[n], np.concatenate([i for _, i, _ in found]), np.concatenate([s for _, _, s in found])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["chunk", "n", "query_id", "vec_id", "score"])
 
-    left = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>")))
-    right = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    # an explicit number of partitions, as adaptive execution would put the few rows into one task
-    tasks = min(blocks * chunks, 64 * shuffle_partitions(spark))
-    left, right = (side.repartition(tasks, "block", "chunk", "dim") for side in (left, right))
-    found = left.join(right, ["block", "chunk", "dim"]).mapInArrow(thrifty(run), "chunk long, n long, query_id long, vec_id long, score long")
+    met = on_a_grid(index, packed, blocks, chunks, n_rows / max(1, n_asked), ("dim",))
+    found = met.mapInArrow(thrifty(run), "chunk long, n long, query_id long, vec_id long, score long")
     best = Window.partitionBy("chunk", "query_id", "n").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

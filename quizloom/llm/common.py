@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import math
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: White space of the word-based contracts: space, tab, LF, VT, FF, CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,6 +58,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def on_a_grid(blocks: DataFrame, chunks: DataFrame, n_blocks: int, n_chunks: int, ratio: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """Every row of ``blocks`` (numbered in ``block``) beside every one of ``chunks`` (in ``chunk``) with equal ``on`` columns, as joined rows.
+
+    They meet in the cells of a grid with about eight cells a core: a block is sent once for each column, a chunk once for each row of the grid, so what is sent does not grow with the square of
+    the table. ``ratio`` is how much larger all blocks are than all chunks.
+    """
+    spark = blocks.sparkSession
+    tasks = min(n_blocks * n_chunks, 8 * max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism))
+    rows = min(n_blocks, tasks, max(math.isqrt(int(tasks * max(1, ratio))), -(-tasks // n_chunks)))
+    columns = min(n_chunks, -(-tasks // rows))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    left = blocks.withColumn("__r", F.pmod("block", F.lit(rows))).withColumn("__c", each(columns))
+    right = chunks.withColumn("__c", F.pmod("chunk", F.lit(columns))).withColumn("__r", each(rows))
+    # an explicit number of partitions, as adaptive execution would put the few rows into one task
+    left, right = (side.repartition(tasks, "__r", "__c", *on) for side in (left, right))
+    return left.join(right, ["__r", "__c", *on])
+
+
 class Scratch:
     """Tables written to the folder that all executors share, to cut lineage.
 
@@ -65,7 +86,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root and spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:")):
+        if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = root or DEFAULT_SCRATCH
         self.spark = spark

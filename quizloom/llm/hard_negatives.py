@@ -11,7 +11,6 @@ its window of scores. The best of each block are merged by anchor.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizloom.llm.bsi_topk import KINDS, quantised
-from quizloom.llm.common import Scratch, shuffle_partitions, small_batches, thrifty
+from quizloom.llm.common import Scratch, on_a_grid, small_batches, thrifty
 
 #: Rows of an index block on average, and anchors of a chunk at most; anchors scored at a time.
 BLOCK, CHUNK, AT_ONCE = 4096, 4096, 64
@@ -198,20 +197,11 @@ def mine(rows: DataFrame, anchors: Callable[[Column], Column], positives: int =
 
     index = base.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), dim).applyInArrow(pack_rows, "block long, dim long, ids binary, labels binary, width long, vectors binary, codes binary, norms binary")
     index = scratch.save(index, "index")
-    # cells of a grid: a block is sent once for each column, a chunk once for each row of it, whatever the number of rows
-    tasks = min(blocks * chunks, 8 * max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism))
-    grid_rows = min(blocks, tasks, max(math.isqrt(tasks * max(1, n_rows // max(1, n_anchors))), -(-tasks // chunks)))
-    grid_columns = min(chunks, -(-tasks // grid_rows))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
-
     def meet(chosen: DataFrame, run, schema: str) -> DataFrame:
         """``run`` over every block beside every chunk of its dimension."""
         pack = chosen.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).alias("chunk"), dim)
         pack = pack.applyInArrow(pack_anchors, "chunk long, dim long, anchor_ids binary, anchor_labels binary, anchor_width long, anchors binary, positives array<array<struct<id:long,score:long>>>")
-        left = index.withColumn("r", F.pmod("block", F.lit(grid_rows))).withColumn("c", each(grid_columns))
-        right = pack.withColumn("c", F.pmod("chunk", F.lit(grid_columns))).withColumn("r", each(grid_rows))
-        # an explicit number of partitions, as adaptive execution would put the few rows into one task
-        left, right = (side.repartition(tasks, "r", "c", "dim") for side in (left, right))
+        met = on_a_grid(index, pack, blocks, chunks, n_rows / max(1, n_anchors), ("dim",))
 
         def pairs(batches):
             for batch in batches:
@@ -221,7 +211,7 @@ def mine(rows: DataFrame, anchors: Callable[[Column], Column], positives: int =
                     vectors = np.frombuffer(r["anchors"], f"<i{r['anchor_width']}").astype(np.int64).reshape(-1, b.dim)
                     yield from run(b, ids, labels, vectors, r["positives"])
 
-        return left.join(right, ["r", "c", "dim"]).mapInArrow(thrifty(pairs), schema)
+        return met.mapInArrow(thrifty(pairs), schema)
 
     def batch_of(names: list[str], cols: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if cols[0]:

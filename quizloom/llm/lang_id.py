@@ -20,8 +20,8 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 #: Starts of n-grams that are hashed at a time; the counts add up.
 CHUNK = 1 << 18
-#: Languages that a model may have; their names and sizes are held by the driver.
-MOST_LANGS = 10_000
+#: Bytes of a model's weights: with very many languages it gets fewer buckets, FEWEST_BITS of a hash at least.
+MODEL_BYTES, FEWEST_BITS = 256 << 20, 6
 #: Odd multipliers of the n-gram hash, one for each place and one that mixes.
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 MIX = 0xD6E8FEB86659FD93
@@ -133,11 +133,18 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
 
     ``sample_rows`` bounds the rows that the weights are fitted on to about so many, in equal parts for each language as
     far as it has them, drawn by a hash of the whole row, which may hold an id for that; document frequencies take every row.
-    A tenth of the sample goes to the calibration alone.
+    A tenth of the sample goes to the calibration alone. The weights take MODEL_BYTES at most: beyond a thousand languages, n-grams are hashed to fewer than ``bits`` bits.
     """
     small_batches(learning.sparkSession)
     rows = learning.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*learning.columns, F.lit(seed)).alias("draw"))
 
+    most = MODEL_BYTES >> (FEWEST_BITS + 3)
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(most + 1).collect()}
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} languages do not fit a model of {MODEL_BYTES} bytes")
+    while sizes and (len(sizes) << (bits + 3)) > MODEL_BYTES:
+        bits -= 1
+
     def frequencies(batches):
         grams, total, n = Grams(bits), np.zeros(1 << bits, np.int64), 0
         for batch in batches:
@@ -157,9 +164,6 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
     df[list(found)] = list(found.values())
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGS + 1).collect()}
-    if len(sizes) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
     share = {k: min(1.0, sample_rows / len(sizes) / v) for k, v in sizes.items()}
     langs = sorted(share)
     draw = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
@@ -186,7 +190,7 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
     return LangModel(langs, idf, weights, bias, warm)
 
 
-def predict(docs: DataFrame, model: LangModel | None, bits: int = 15, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: LangModel | None, text: str = "text") -> DataFrame:
     """Add lang_pred and score (the calibrated probability) to each row.
 
     Null texts and texts without a letter, and all texts if there is no model, get ``und`` with score 0. Texts are read whole. Of equally likely languages the first
@@ -200,7 +204,8 @@ def predict(docs: DataFrame, model: LangModel | None, bits: int = 15, text: str
     names = source.columns
 
     def run(batches):
-        grams, known = Grams(bits), shared.value
+        known = shared.value
+        grams = Grams(len(known.idf).bit_length() - 1) if known else None
         for batch in batches:
             got = [known.predict(c) if known and (c := grams(t)) is not None else (UNKNOWN, 0.0) for t in batch.column(names.index(text)).to_pylist()]
             cols = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]

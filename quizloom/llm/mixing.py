@@ -50,7 +50,7 @@ def repetition_rates(docs: DataFrame, weights: Mapping[str, float] | None, epoch
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: str = "mix-1", key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as drawn, with copy_no (from 1) and shuffle_key, in ascending order of shuffle_key.
 
-    Rows with equal keys draw equally, repeated ones too, and share their shuffle keys; an empty table gives none; a null key counts as empty, a null text has no characters. A rate of 0 gives no copies. Columns of ``docs`` named copy_no or
+    Rows with equal keys draw equally, repeated ones too, and share their shuffle keys; a row without key draws by the digest of its text. An empty table gives none, a null text has no characters. A rate of 0 gives no copies. Columns of ``docs`` named copy_no or
     shuffle_key are replaced, all others are kept.
     """
     spark = docs.sparkSession
@@ -68,10 +68,11 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: flo
         salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         docs = docs.withColumn("__own", F.pmod(F.xxhash64(key, text), F.lit(SALTS)).cast("int"))
         joined = docs.join(salted, docs[source].eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt"))).drop("__own", "__salt")
-    drawn = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda j: uniform(seed, F.col(key), j))  # one hash for each draw
+    own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text:"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
+    drawn = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda j: uniform(seed, own, j))  # one hash for each draw
     copies = F.aggregate(drawn, F.lit(0), lambda n, u: n + F.size(F.filter("__cdf", lambda c: c <= u)))
     out = joined.withColumn("copy_no", F.explode(F.sequence(F.lit(0), copies))).where("copy_no > 0").drop("__source", "__parts", "__cdf")
-    order = F.substring(F.sha2(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy_no").cast("string")), 256), 1, 16)
+    order = F.substring(F.sha2(F.concat_ws("|", F.lit(f"{seed}-order"), own, F.col("copy_no").cast("string")), 256), 1, 16)
     return out.withColumn("shuffle_key", order).orderBy("shuffle_key")
 
 
@@ -87,10 +88,10 @@ rate AS (SELECT source, 1.0::DOUBLE * (sqrt(mass) / weights) * total / mass AS r
 part AS (SELECT *, greatest(CAST(ceil(rate / 16) AS INT), 1) AS parts, rate / greatest(CAST(ceil(rate / 16) AS INT), 1) AS mean FROM rate),
 cdf AS (SELECT source, parts, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
         FROM part, (SELECT unnest(range(0, 81)) AS k)),
-draw AS (SELECT rowid_, j, (CAST('0x' || substr(sha256('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || j), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE) AS u, d.source
+draw AS (SELECT rowid_, j, (CAST('0x' || substr(sha256('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || sha256(coalesce(text, ''))) || '|' || j), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE) AS u, d.source
          FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d JOIN part p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(range(1, parts + 1)) AS j)),
 copies AS (SELECT rowid_, count(*) AS n FROM draw JOIN cdf ON draw.source IS NOT DISTINCT FROM cdf.source AND cdf.cdf <= draw.u GROUP BY rowid_)
 SELECT doc_id, text, lang, d.source, n_chars, CAST(copy_no AS INT) AS copy_no,
-       substr(sha256('mix-1-order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy_no), 1, 16) AS shuffle_key
+       substr(sha256('mix-1-order|' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || sha256(coalesce(text, ''))) || '|' || copy_no), 1, 16) AS shuffle_key
 FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d JOIN copies USING (rowid_), LATERAL (SELECT unnest(range(1, n + 1)) AS copy_no)
 """

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from quizloom.llm.bpe import piece_counts, vocabulary, word_counts
 from quizloom.llm.common import Scratch, small_batches, thrifty
 
-#: Pre-tokens that are broadcast, whatever the size of the corpus: some MB.
-HEAD = 250_000
+#: Pre-tokens that are broadcast, whatever the size of the corpus, and the characters of one at most: some 15 MB at worst.
+HEAD, HEAD_LETTERS = 250_000, 48
 #: Pre-tokens a task holds before it passes them on.
 HELD = 200_000
 
@@ -53,11 +53,12 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, head: int = HEAD
     # the largest frequencies down to a step of a quarter octave, as many as ``head`` has room for
     step = F.floor(F.log2("n") * 4)
     room, least = head, None
-    for r in sorted(distinct.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
+    short = distinct.where(F.length("word") <= HEAD_LETTERS)
+    for r in sorted(short.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
         if (room := room - r["count"]) < 0:
             break
         least = r.step
-    top = distinct.where(step >= least if least is not None else F.lit(False)).select("word", "pieces").toArrow()
+    top = short.where(step >= least if least is not None else F.lit(False)).select("word", "pieces").toArrow()
     common = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     def sums(batches):

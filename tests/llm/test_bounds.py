@@ -1,0 +1,63 @@
+"""Bounds that hold whatever the data: languages, broadcast pre-tokens, blocks of equal rows, rows without key."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from quizloom.llm import bsi_topk, lang_id, mixing, token_counts
+from quizloom.llm.queries import vocabulary_path
+
+
+def test_many_languages_get_fewer_buckets(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"lang{i % 40}", f"text of the language {chr(97 + i % 26) * 4} {i % 40}") for i in range(400)], "doc_id long, lang string, text string")
+    full = lang_id.train(rows)
+    monkeypatch.setattr(lang_id, "MODEL_BYTES", 40 * 8 * (1 << 10))
+    small = lang_id.train(rows)
+    assert len(full.idf) == 1 << 15 and len(small.idf) == 1 << 10 and small.weights.nbytes <= lang_id.MODEL_BYTES and small.langs == full.langs
+    assert {r.lang_pred for r in lang_id.predict(rows, small).collect()} <= set(small.langs)
+    monkeypatch.setattr(lang_id, "MODEL_BYTES", 39 * 8 * (1 << lang_id.FEWEST_BITS))
+    with pytest.raises(ValueError, match="do not fit"):
+        lang_id.train(rows)
+
+
+def test_training_as_a_whole(spark):
+    """Held-out texts of four vocabularies are told apart."""
+    words = {"aa": "ber kal mos tiv", "bb": "zun wyk plo gra", "cc": "öst äng blå hår", "dd": "que lle oui pas"}
+    rows = [(i, lang, " ".join(vocabulary.split()[(i * k) % 4] for k in range(1, 9))) for i in range(300) for lang, vocabulary in words.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = lang_id.train(docs.where("doc_id % 3 <> 1"))
+    held = lang_id.predict(docs.where("doc_id % 3 = 1"), model)
+    assert held.where("lang_pred = lang").count() == held.count() == 400 and held.agg(F.min("score")).first()[0] > 0.5
+
+
+def test_long_pretokens_are_not_broadcast(spark):
+    library = Tokenizer.from_file(vocabulary_path())
+    texts = ["short words " * 3 + "x" * n for n in (10, 47, 48, 49, 5000)] + ["y" * 60] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, vocabulary_path()).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_equal_rows_are_dealt_to_all_blocks(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    pack = bsi_topk.pack_rows
+
+    def counted(key, group):
+        sizes.add(1)
+        assert group.num_rows <= 200
+        return pack(key, group)
+
+    monkeypatch.setattr(bsi_topk, "pack_rows", counted)
+    rows = spark.createDataFrame([(7, [0.5, 0.25])] * 9_990 + [(i, [i / 20, 0.1]) for i in range(10)], "vec_id long, embedding array<double>")
+    got = bsi_topk.top_k(rows, rows.where("vec_id = 0"), k=12, block=100, chunk=1).collect()
+    assert len(got) == 12 and {r.vec_id for r in got if r["rank"] > 3} <= {7, 1, 2, 3, 4, 5, 6, 8, 9} and sizes.value >= 100
+
+
+def test_rows_without_key_draw_by_their_text(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    out = mixing.mix(rows, epochs=3.0)
+    assert out.select("shuffle_key").distinct().count() == out.count() and abs(out.count() / 6000 - 1) < 0.05
+    copies = {r["count"] for r in out.groupBy("text").count().collect()}
+    assert len(copies) > 5
