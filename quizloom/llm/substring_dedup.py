@@ -2,8 +2,8 @@
 
 Any window of 2b - 1 words holds a whole block of an arrangement in non-overlapping blocks of b words. So the blocks of
 every document are the index, every rolling window of b words is a probe, and a repeated passage of at least 2b - 1
-words gives a hit. Windows around hits are then compared in full, on both sides of a hit, which extends it to the
-maximal exact repeats; of each window, all documents but the smallest lose its words. Windows are equal if 96 bits of two
+words gives a hit. The windows around a hit, to both sides, are then looked up with the place where the smallest document has them, and a hit is extended
+as long as neighbouring windows stand at neighbouring places of the same document: that is the maximal exact repeat, and its words are what the later document loses. Windows are equal if 96 bits of two
 hashes are: among 10 ** 13 of them less than 0.001 false pairs are to be expected.
 
 Documents travel once, in packs of some MB. A pack sends each distinct hash once to the part of the hash range it lies in,
@@ -107,12 +107,22 @@ def smallest(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[order[first]], low, np.maximum.reduceat(d, first) > low
 
 
-def smallest_of_windows(values: np.ndarray, checks: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order that sorts windows by both hashes, where each distinct one begins in it, and the smallest document of each."""
-    order = np.lexsort((checks, values))
+def smallest_of_windows(values: np.ndarray, checks: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts windows by both hashes, then document and place, and where each distinct one begins in it: there it has its smallest document and first place."""
+    order = np.lexsort((places, docs))
+    order = order[np.argsort(values[order], kind="stable")]
     v, c = values[order], checks[order]
-    first = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (c[1:] != c[:-1]))) if len(v) else np.zeros(0, np.int64)
-    return order, first, np.minimum.reduceat(docs[order], first) if len(v) else docs
+    if ((v[1:] == v[:-1]) & (c[1:] != c[:-1])).any():  # windows that share the first hash only
+        order = np.lexsort((places, docs, checks, values))
+        v, c = values[order], checks[order]
+    return order, np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (c[1:] != c[:-1]))) if len(v) else np.zeros(0, np.int64)
+
+
+def extended(starts: np.ndarray, sources: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the first window, words) of each maximal repeat: neighbouring windows, in ascending order, that the same document has at neighbouring places."""
+    joined = (np.diff(starts) == 1) & (np.diff(sources) == 0) & (np.diff(places) == 1)
+    first = np.flatnonzero(np.append(True, ~joined)) if len(starts) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(starts))) + window - 1
 
 
 def find_windows(values: np.ndarray, checks: np.ndarray, wanted: np.ndarray, wanted_checks) -> tuple[np.ndarray, np.ndarray]:
@@ -204,12 +214,13 @@ def make_packs(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(thrifty(run), "pack long, bytes long, blob binary")
 
 
-def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", rewrite: bool = True, bits: int = 64) -> DataFrame:
+def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", rewrite: bool = True, bits: int = 64, repeats: bool = False) -> DataFrame:
     """Add n_words, n_removed and kept_sha256 (of the kept words joined by one space) to each row of ``docs``.
 
     Words are runs of anything but ASCII white space. A word goes if a window of ``window`` words (an odd number, 3 at least) that covers it also starts in a row with a smaller key;
     windows are judged on the input. With ``rewrite`` the text column keeps what is left with its white space, else it
-    goes. Null texts have no words and stay null, texts without a removed word stay as they are. Rows without key neither lose words nor
+    goes. With ``repeats`` there is also an array of the maximal repeats: start and length in words, the document with the smallest key that has all its windows, and where the repeat starts there; they may
+    overlap. Null texts have no words and stay null, texts without a removed word stay as they are. Rows without key neither lose words nor
     make others lose any; rows with equal keys do not count against each other. An empty table gives none. Columns of ``docs`` with the names of added ones are replaced.
     ``bits`` of the first window hash are used; fewer than 64 are for tests, as the second one has to tell windows apart then.
     """
@@ -217,7 +228,8 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "substrings")
-    docs = docs.drop("n_words", "n_removed", "kept_sha256")
+    added = ["n_words", "n_removed", "kept_sha256", *["repeats"] * repeats]
+    docs = docs.drop(*added)
     docs = docs.withColumn(key, F.col(key).cast("long"))
     size = (window + 1) // 2
     # dealt once and written, so that later only what is found is sent to the packs, and all steps see the same packs whatever order the input comes in
@@ -273,35 +285,36 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 so_far = np.cumsum(at)
                 wide, g = p.windows(window, window)
                 near = so_far[wide + size] > so_far[wide]  # a hit begins among the first ``size`` words
-                gv, gc, gd = g[near] >> dropped << dropped, p.checks(window, wide[near]), p.doc[wide[near]]
-                order, first, low = smallest_of_windows(gv, gc, gd)
-                several = np.maximum.reduceat(gd[order], first) > low if len(first) else np.zeros(0, bool)
-                gv, gc, gd = gv[order[first]], gc[order[first]], low
+                gv, gc, gd, gp = g[near] >> dropped << dropped, p.checks(window, wide[near]), p.doc[wide[near]], p.at[wide[near]].astype(np.uint32)
+                order, first = smallest_of_windows(gv, gc, gd, gp)
+                several = np.maximum.reduceat(gd[order], first) > gd[order[first]] if len(first) else np.zeros(0, bool)
+                gv, gc, gd, gp = (x[order[first]] for x in (gv, gc, gd, gp))
                 bounds, rows = part_bounds(gv, parts), []
                 for k in np.flatnonzero(np.diff(bounds)):
                     a, b = bounds[k], bounds[k + 1]
-                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gc[a:b]), squeeze(gd[a:b]), np.packbits(several[a:b]).tobytes()))
+                    rows.append((int(k), number, squeeze_sorted(gv[a:b]), squeeze(gc[a:b]), squeeze(gd[a:b]), squeeze(gp[a:b]), np.packbits(several[a:b]).tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 4, strict=True)], ["part", "pack", "windows", "checks", "docs", "several"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 5, strict=True)], ["part", "pack", "windows", "checks", "docs", "places", "several"])
 
     def judge(key_, group):
         rows = group.to_pylist()
         values = [unsqueeze_sorted(r["windows"], np.uint64) for r in rows]
         checks = [unsqueeze(r["checks"], np.uint32) for r in rows]
         docs_of = [unsqueeze(r["docs"], np.int64) for r in rows]
-        order, first, low = smallest_of_windows(np.concatenate(values), np.concatenate(checks), np.concatenate(docs_of))
-        keeper = np.empty(len(order), np.int64)
-        keeper[order] = np.repeat(low, np.diff(np.append(first, len(order))))
+        docs_in, places = np.concatenate(docs_of), np.concatenate([unsqueeze(r["places"], np.uint32) for r in rows])
+        order, first = smallest_of_windows(np.concatenate(values), np.concatenate(checks), docs_in, places)
+        best = np.empty(len(order), np.int64)  # for each window, the one that keeps it
+        best[order] = np.repeat(order[first], np.diff(np.append(first, len(order))))
         out = []
-        for r, v, c, own, least in zip(rows, values, checks, docs_of, np.split(keeper, np.cumsum([len(v) for v in values])[:-1]), strict=True):
-            lost = (least < own) | np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).view(bool)
+        for r, v, c, own, keeper in zip(rows, values, checks, docs_of, np.split(best, np.cumsum([len(v) for v in values])[:-1]), strict=True):
+            lost = (docs_in[keeper] < own) | np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).view(bool)
             if lost.any():
-                out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(c[lost]), squeeze(least[lost])))
-        return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("checks", pa.binary()), ("to", pa.binary())))})
+                out.append((r["pack"], squeeze_sorted(v[lost]), squeeze(c[lost]), squeeze(docs_in[keeper[lost]]), squeeze(places[keeper[lost]])))
+        return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate((("pack", pa.int64()), ("lost", pa.binary()), ("checks", pa.binary()), ("to", pa.binary()), ("at", pa.binary())))})
 
-    asked = packs.select("pack", "blob").join(hits.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, checks binary, docs binary, several binary")
-    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, checks binary, to binary")
-    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "checks", "to")).alias("lost")), "lost")
+    asked = packs.select("pack", "blob").join(hits.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(candidates), "part long, pack long, windows binary, checks binary, docs binary, places binary, several binary")
+    lost = asked.groupBy("part").applyInArrow(judge, "pack long, lost binary, checks binary, to binary, at binary")
+    lost = scratch.save(lost.groupBy("pack").agg(F.collect_list(F.struct("lost", "checks", "to", "at")).alias("lost")), "lost")
     scratch.drop("hits")
 
     kept = [c for c in docs.columns if rewrite or c != text]
@@ -316,13 +329,17 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                 gone = np.concatenate([np.zeros(0, np.uint64), *(unsqueeze_sorted(x["lost"], np.uint64) for x in found or ())])
                 checks = np.concatenate([np.zeros(0, np.uint32), *(unsqueeze(x["checks"], np.uint32) for x in found or ())])
                 keeper = np.concatenate([np.zeros(0, np.int64), *(unsqueeze(x["to"], np.int64) for x in found or ())])
+                places = np.concatenate([np.zeros(0, np.uint32), *(unsqueeze(x["at"], np.uint32) for x in found or ())]).astype(np.int64)
                 order = np.lexsort((checks, gone))
-                bad = np.zeros(len(g), bool)
                 which, at = find_windows(gone[order], checks[order], g >> dropped << dropped, lambda k, p=p, starts=starts: p.checks(window, starts[k]))
-                bad[which] = keeper[order][at] < p.doc[starts[which]]
+                at = order[at]
+                bad = keeper[at] < p.doc[starts[which]]
+                which, at = which[bad], at[bad]
+                first, length = extended(starts[which], keeper[at], places[at], window)
+                begin = starts[which[first]]
                 edge = np.zeros(len(p.doc) + 1, np.int64)
-                np.add.at(edge, starts[bad], 1)
-                np.add.at(edge, starts[bad] + window, -1)
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + length, -1)
                 keep = np.cumsum(edge[:-1]) == 0
                 removed, shas, texts = [], [], []
                 for k, (words, end) in enumerate(zip(p.words, p.ends, strict=True)):
@@ -335,10 +352,14 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
                         texts.append(cut(p.texts[k], own) if n else p.texts[k])
                 cols = [pa.array(texts, pa.string()) if c == text else p.batch.column(p.batch.schema.get_field_index(c)) for c in kept]
                 cols += [pa.array(p.sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas)]
-                yield pa.RecordBatch.from_arrays(cols, [*kept, "n_words", "n_removed", "kept_sha256"])
+                if repeats:
+                    row = np.searchsorted(p.ends, begin, "right")  # the document of each repeat
+                    spans = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (p.at[begin], length, keeper[at[first]], places[at[first]])], ["start", "length", "source", "source_start"])
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(p.sizes) + 1)), pa.int32()), spans))
+                yield pa.RecordBatch.from_arrays(cols, [*kept, *added])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)
-    return packs.select("pack", "blob").join(lost.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(clean), f"{fields}, n_words long, n_removed long, kept_sha256 string")
+    return packs.select("pack", "blob").join(lost.hint("shuffle_hash"), "pack", "left").mapInArrow(thrifty(clean), f"{fields}, n_words long, n_removed long, kept_sha256 string" + ", repeats array<struct<start:long,length:long,source:long,source_start:long>>" * repeats)
 
 
 PIECE = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")

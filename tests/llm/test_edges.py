@@ -222,6 +222,40 @@ def test_substrings(docs, none, window, monkeypatch):
     assert substring_dedup.drop_repeats(none).collect() == []
 
 
+def maximal_repeats(texts, window):
+    """For each text the stretches whose windows the same smallest document has at neighbouring places."""
+    first: dict = {}
+    for i, t in texts:
+        w = expected_words(t)
+        for k in range(len(w) - window + 1) if i is not None else ():
+            s = tuple(w[k : k + window])
+            first[s] = min(first.get(s, (i, k)), (i, k))
+    for i, t in texts:
+        w, out = expected_words(t), []
+        for k in range(len(w) - window + 1) if i is not None else ():
+            source, at = first[tuple(w[k : k + window])]
+            if source < i:
+                if out and out[-1][0] + out[-1][1] == k + window - 1 and out[-1][2] == source and out[-1][3] + k - out[-1][0] == at:
+                    out[-1][1] += 1
+                else:
+                    out.append([k, window, source, at])
+        yield i, [tuple(x) for x in out]
+
+
+@pytest.mark.parametrize("pack", [300, 20_000, 10**7])
+def test_maximal_repeats(spark, docs, monkeypatch, pack):
+    monkeypatch.setattr(substring_dedup, "PACK_BYTES", pack)
+    rng = np.random.default_rng(8)
+    pool = [f"v{i}" for i in range(400)]
+    cut = lambda a, n: " ".join(pool[a : a + n])
+    made = [(int(i), " ".join(cut(int(rng.integers(0, 380)), int(rng.integers(5, 60))) for _ in range(int(rng.integers(1, 6))))) for i in rng.permutation(120)]
+    for texts, rows in ((TEXTS, docs), (made, spark.createDataFrame(made, "doc_id long, text string").repartition(4))):
+        got = substring_dedup.drop_repeats(rows, window=13, rewrite=False, repeats=True).collect()
+        found = sorted(((r.doc_id, [tuple(x) for x in r.repeats]) for r in got), key=str)
+        assert found == sorted(maximal_repeats(texts, 13), key=str)
+    assert max(len(x) for _, x in found) > 5
+
+
 def test_substrings_that_share_a_hash(docs):
     """With 6 bits of the first hash nearly all windows share theirs with others."""
     want = sorted([w[:4] for w in repeats(TEXTS, 13)], key=str)
