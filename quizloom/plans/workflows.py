@@ -11,7 +11,9 @@ from quizloom.functions import choices, jsonfix, prompts, text
 from quizloom.functions.once import with_once
 from quizloom.operators import bank, dedup, delta, framework, lookup, pages, summary
 from quizloom.sources import providers
+from quizloom.sources.bank import upsert
 from quizloom.sources.journal import Journal
+from quizloom.sources.seen import SeenState
 from quizloom.tables import Tables
 
 EXAM_SYSTEM = "You write exam questions for {subject}."
@@ -44,8 +46,11 @@ def question_columns(q: Column) -> list[Column]:
     return [*[jsonfix.field(q, n, k).alias(n) for n, k in QUESTION_FIELDS.items()], steps.alias("diagram_gen_steps"), text.dedup_hash(text.canonical_text(*parts)).alias("hash")]
 
 
-def exam(spark: SparkSession, units: DataFrame, subject: str, total: int, created_at: str, seen: DataFrame | None = None, provider: str = "offline", call: providers.Call = providers.offline, compat: bool = False, **options) -> DataFrame:
-    """Questions for each unit (unit_id, unit, weight, objectives) by its weight, unique by hash within the run and against ``seen``."""
+def exam(spark: SparkSession, units: DataFrame, subject: str, total: int, created_at: str, seen: DataFrame | SeenState | None = None, provider: str = "offline", call: providers.Call = providers.offline, compat: bool = False, **options) -> DataFrame:
+    """Questions for each unit (unit_id, unit, weight, objectives) by its weight, unique by hash within the run and against ``seen``.
+
+    Where ``seen`` is the state of earlier runs, the hashes of this one are added to it.
+    """
     tables = Tables(spark, "exam")
     planned = tables.save(framework.allocate(units, total), "units")
     params = {"subject": F.lit(subject), "unit": F.col("unit"), "n_questions": F.col("num_questions"), "objectives": prompts.user_objectives(F.col("objectives"))}
@@ -55,10 +60,15 @@ def exam(spark: SparkSession, units: DataFrame, subject: str, total: int, create
         rows = rows.withColumn("system_prompt", prompts.render(EXAM_SYSTEM, params)).withColumn("user_prompt", prompts.with_constraints(prompts.render(EXAM_USER, params), F.lit(f"{created_at}_{attempt}")))
         got = answered(tables, rows.select("unit_id", "num_questions", "system_prompt", "user_prompt"), f"call-{attempt}", provider, call, per_row=("num_questions",), **options)
         found = bank.questions_of(got.select("unit_id", "response"), "response").select("unit_id", "pos", *question_columns(F.col("q")))
+        if isinstance(seen, SeenState):
+            return seen.unseen(tables.save(found, f"found-{attempt}"))
         return found if seen is None else dedup.unseen(found, seen, "hash")
 
     wanted = planned.select("unit_id", F.col("n_questions").alias("want"))
     rows = dedup.fill(wanted, produce, "unit_id", "hash", "pos", tables.save, compat=compat)
+    if isinstance(seen, SeenState):
+        rows = tables.save(rows, "rows")
+        seen.add(rows)
     order = F.row_number().over(dedup.Window.partitionBy("unit_id").orderBy("attempt", "pos")) - 1
     return bank.enrich(rows.withColumn("place", order), "place", "unit_id", F.lit(created_at).cast("timestamp"))
 
@@ -150,8 +160,11 @@ def sheet_documents(sheets: DataFrame, provider: str, model: str, created_at: Co
     return sheets.select(F.lit("cheat_sheet").alias("content_type"), "cheat_sheet", F.lit(provider).alias("provider"), F.lit(model).alias("model"), created_at.alias("created_at"), meta.alias("metadata"))
 
 
-def extract(spark: SparkSession, page_rows: DataFrame, key_rows: DataFrame, topic: str, provider: str = "offline", call: providers.Call = providers.offline, **options) -> DataFrame:
-    """Questions with metadata and vectors from pages (doc, page_number, text) and answer-key rows."""
+def extract(spark: SparkSession, page_rows: DataFrame, key_rows: DataFrame, topic: str, provider: str = "offline", call: providers.Call = providers.offline, out: str | None = None, **options) -> DataFrame:
+    """Questions with metadata and vectors from pages (doc, page_number, text) and answer-key rows.
+
+    With ``out``, they also take the place of those with their ids in the keyed table there; a page read again replaces its questions.
+    """
     tables = Tables(spark, "extract")
     flagged = pages.page_flags(page_rows)
     aligned = pages.align(flagged, pages.answer_key(key_rows))
@@ -162,7 +175,8 @@ def extract(spark: SparkSession, page_rows: DataFrame, key_rows: DataFrame, topi
     keep = [c for c in filled.columns if c != "text"]
     found = bank.questions_of(got.select(*keep, "response"), "response").select(*keep, "pos", jsonfix.field(F.col("q"), "question").alias("question"))
     found = tables.save(found.withColumn("question_id", F.sha2(F.concat_ws("|", "doc", F.col("page_number").cast("string"), F.col("pos").cast("string")), 256)), "questions")
-    return found.join(providers.embed(found, "question_id", "question"), "question_id")
+    made = found.join(providers.embed(found, "question_id", "question"), "question_id")
+    return made if out is None else upsert(made, out, "question_id").read().join(found.select("question_id"), "question_id", "left_semi")
 
 
 def similar(spark: SparkSession, samples: DataFrame, n: int, provider: str = "offline", call: providers.Call = providers.offline, model: str = "offline", system: str = "You vary questions.", user: str = SIMILAR_USER, **options) -> DataFrame:

@@ -29,3 +29,31 @@ def sync_batches(path: str, key: str) -> Callable[[DataFrame, int], None]:
         append_new(batch, path, key)
 
     return write
+
+
+def store_batches(path: str, key: str, name: str = "stream", order: str | None = None, add_only: bool = False) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: rows take the place of those with their keys in the keyed table at ``path``, or are added if their keys are new; each batch of ``name`` makes one version and counts once."""
+    from quizloom.sources.store import Store
+
+    def write(batch: DataFrame, number: int) -> None:
+        store = Store.open(batch.sparkSession, path, batch.schema, key)
+        change = store.insert if add_only else store.upsert
+        change(batch, order, batch=(name, number))
+
+    return write
+
+
+def unseen_batches(path: str, out: str, key: str = "hash", kind: str = "string") -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: the rows whose key neither an earlier run nor an earlier batch has go to the keyed table ``out``, and their keys to the state at ``path``.
+
+    The table is written first: a batch that is played again finds its own rows there, and adds what the state lacks.
+    """
+    from quizloom.sources.seen import SeenState
+    from quizloom.sources.store import Store
+
+    def write(batch: DataFrame, number: int) -> None:
+        state = SeenState(batch.sparkSession, path, key, kind)
+        Store.open(batch.sparkSession, out, batch.schema, key).insert(state.unseen(batch), batch=(out, number))
+        state.add(batch, batch=(out, number))
+
+    return write

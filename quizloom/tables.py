@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ DEFAULT_FOLDER = "/tmp/checkpoints"
 class Tables:
     def __init__(self, spark: SparkSession, name: str):
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root and spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:")):
+        if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         self.spark, self.path = spark, f"{(root or DEFAULT_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

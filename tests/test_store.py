@@ -173,3 +173,48 @@ def test_filter_before_state(spark, tmp_path, monkeypatch):
         state.add(keys(spark, 5, 20))
     monkeypatch.undo()
     assert state.unseen(keys(spark, 0, 20)).count() == 10 and state.add(keys(spark, 5, 20)) == 10
+
+
+def test_streams_into_tables(spark, tmp_path):
+    """Batches of a stream go to a keyed table and to a state of seen keys; batches that are played again count once."""
+    from quizloom.streaming import store_batches, unseen_batches
+
+    source, schema = f"{tmp_path}/in", "id bigint, hash string, n int"
+    for k in range(3):
+        spark.range(10 * k, 10 * k + 15).selectExpr("id", "concat('h', id % 20) AS hash", f"{k} AS n").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    for name, write in (("table", store_batches(f"{tmp_path}/table", "id", order="n")), ("unseen", unseen_batches(f"{tmp_path}/seen", f"{tmp_path}/unseen"))):
+        for again in range(2):
+            if again:  # the last batch has no commit, as after a failure
+                for f in ("2", ".2.crc"):
+                    (tmp_path / f"cp-{name}" / "commits" / f).unlink()
+            stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/cp-{name}").trigger(availableNow=True).start().awaitTermination(120)
+    table = Store(spark, f"{tmp_path}/table")
+    assert {r.id: r.n for r in table.read().collect()} == {i: min(i // 10, 2) for i in range(35)} and table.versions() == [0, 1, 2, 3]
+    unseen = Store(spark, f"{tmp_path}/unseen").read().collect()
+    assert sorted(r.hash for r in unseen) == sorted(f"h{i}" for i in range(20)) and SeenState(spark, f"{tmp_path}/seen").read().count() == 20
+
+
+def test_extracted_questions_replace_their_like(spark, tmp_path):
+    from quizloom.plans import workflows
+
+    pages = spark.createDataFrame([("d", 1, "Question 7 see Figure 1"), ("d", 2, "Question 8")], "doc string, page_number int, text string")
+    key = spark.createDataFrame([("d", 1, ["7", "B", "s", "lo", "2"])], "doc string, row_ord int, cells array<string>")
+    out = f"{tmp_path}/vectors"
+    first = workflows.extract(spark, pages, key, "T", out=out).collect()
+    again = workflows.extract(spark, pages.where("page_number = 1").withColumn("text", F.lit("Question 7 anew")), key, "T", out=out).collect()
+    stored = {r.question_id: r for r in Store(spark, out).read().collect()}
+    assert len(stored) == len(first) and all(stored[r.question_id].question == r.question and len(r.embedding) == 16 for r in again)
+    assert {r.question for r in again} != {r.question for r in first if r.page_number == 1} and Store(spark, out).versions() == [0, 1, 2]
+
+
+def test_exams_over_one_state(spark, tmp_path):
+    import json
+
+    from quizloom.plans import workflows
+
+    units = spark.createDataFrame([(1, "Limits", 50.0, ["a"]), (2, "Series", 50.0, ["b"])], "unit_id int, unit string, weight double, objectives array<string>")
+    call = lambda p, s, u, k: json.dumps({"questions": [{"question": f"{u.split()[6]} {i}"} for i in range(int(k["num_questions"]))]})
+    state = SeenState(spark, f"{tmp_path}/state", buckets=4)
+    sizes = [workflows.exam(spark, units, "Maths", total, "2024-01-02 03:04:05", seen=state, call=call).count() for total in (4, 10, 10)]
+    assert sizes == [4, 6, 0] and state.read().count() == 10
