@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from quizloom.llm import bpe, lang_id, minhash, mixing, substring_dedup
 from quizloom.llm.common import Scratch
@@ -30,13 +31,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group (five-word shingles, similarity 0.8 or more) the document with the smallest id.
+    """Keeps of each group (five-word shingles, similarity 0.8 or more) one row: that with the smallest id, where there is one; of equal ids any.
 
-    Documents without id stay; rows with equal ids share their fate.
+    Rows are told apart by a number of their own, so rows without id and rows that share one are judged each by their text. Rows without words are in no group.
     """
-    found = minhash.near_duplicates(docs, size=5, percent=80)
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    numbered = Scratch(spark, "near").save(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(numbered, size=5, percent=80, key="__row").select("__row", F.col("component_id").alias("__group"))
+    ranked = found.join(numbered.select("__row", "doc_id"), "__row").select("__group", F.struct(F.col("doc_id").isNull(), "doc_id", "__row").alias("__rank"))
+    first = ranked.groupBy("__group").agg(F.min("__rank").alias("__first"), F.count("*").alias("n")).where("n > 1").select("__group", F.col("__first.__row").alias("__kept"))
+    gone = found.join(first, "__group").where("__row <> __kept").select("__row")
+    return numbered.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +55,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256, ids of each row."""
-    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), ids=True)
-    return out.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    """doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256, ids of each row, and part and place: in their order the rows stand as in the files that ``docs`` is read from,
+    which is the random order of mixing. Both are null where ``docs`` is not read from files."""
+    placed = [F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("place")]
+    columns = ["doc_id", "lang", "source", "text"]
+    try:
+        rows = docs.select(*columns, *placed)
+    except AnalysisException:  # no files
+        rows = docs.select(*columns, F.lit(None).cast("string").alias("part"), F.lit(None).cast("long").alias("place"))
+    out = bpe.encode(rows, vocabulary_path(), ids=True)
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "part", "place")
 
 
 STAGES = [
