@@ -27,14 +27,30 @@ def docs(spark):
     return spark.createDataFrame(rows, DOCS)
 
 
+def firsts(texts):
+    """Numbers of the rows that stay when each group of near-duplicates keeps the one with the smallest id, rows without id last."""
+    groups: dict = {}
+    for k, (_, _, group, _) in enumerate(near([(k, t) for k, (_, t) in enumerate(texts)], 5)):
+        groups.setdefault(group, []).append(k)
+    return sorted(min(g, key=lambda k: (texts[k][0] is None, texts[k][0] or 0, k)) for g in groups.values())
+
+
+def test_rows_without_or_with_equal_ids(spark):
+    """Near copies go whatever their ids; other texts of the same id stay."""
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(60))
+    rows = [(None, words("a")), (None, words("a") + " end"), (5, words("b")), (5, words("c")), (7, words("b") + " end"), (9, words("a")), (None, words("d")), (None, None), (None, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = [(r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(9, words("a")), (5, words("b")), (5, words("c")), (None, words("d")), (None, None), (None, ""), (8, None)], key=str)
+
+
 def test_stages_on_edges(spark, docs):
     first = pipeline.identify_language(spark, docs, "")
     assert first.columns == docs.columns
     kept = {(r.doc_id, r.text) for r in first.collect()}
     assert kept <= {(i, t) for i, t in TEXTS if any(c.isalpha() for c in t or "")}
     near_kept = sorted(map(str, ((r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs, "").collect())))
-    gone = {i for i, _, _, kept in near(TEXTS, 5) if not kept and i is not None}
-    assert near_kept == sorted(map(str, ((i, t) for i, t in TEXTS if i not in gone)))
+    assert near_kept == sorted(str(TEXTS[k]) for k in firsts(TEXTS)) and len(near_kept) < len(TEXTS) - 2
     cut = pipeline.drop_repeated_passages(spark, docs, "")
     assert cut.columns == docs.columns
     assert sorted(expected_words(r.text) for r in cut.collect()) == sorted(w[4] for w in repeats(TEXTS, 25))
@@ -65,8 +81,7 @@ def test_run_against_brute_force(spark, docs, tmp_path):
     floor = min(1.0, 1.2 / len(model.langs))
     rows = [(r.doc_id, r.text, r.lang or r.lang_pred, r.source, r.n_chars) for r in lang_id.predict(docs, model).collect() if r.lang_pred != "und" and r.score >= floor]
     assert len(rows) > 10
-    gone = {i for i, _, _, kept in near([r[:2] for r in rows], 5) if not kept and i is not None}
-    rows = [r for r in rows if r[0] not in gone]
+    rows = [rows[k] for k in firsts([r[:2] for r in rows])]
     cut = list(repeats([r[:2] for r in rows], 25))
     short = [(i, w, lang, source) for (i, _, lang, source, _), (_, _, _, _, w) in zip(rows, cut, strict=True)]
     stages = dict(pipeline.STAGES)
@@ -128,3 +143,21 @@ def test_fingerprints_and_passages_of_the_table(spark):
     assert sorted(map(tuple, got)) == sorted(want)
     got = queries.op9_substrings(spark, DATA).collect()
     assert sorted(map(tuple, got)) == sorted(w[:4] for w in repeats(rows, 13))
+
+
+def test_the_order_of_mixing_is_kept(spark, docs, tmp_path, monkeypatch):
+    """Ordered by part and place, the last stage's rows are those of mixing by their shuffle key, however the files are read."""
+    from quizloom.llm import mixing
+
+    rows = docs.sparkSession.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "concat('s', id % 3) AS source", "CAST(7 AS BIGINT) AS n_chars")
+    mixed = mixing.mix(rows.repartition(8))
+    want = [r.doc_id for r in mixed.collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed.select(docs.columns).write.parquet(f"{tmp_path}/mixed")
+        out = pipeline.encode(spark, spark.read.parquet(f"{tmp_path}/mixed"), "")
+        assert out.select("part").distinct().count() > 1
+        assert [r.doc_id for r in out.orderBy("part", "place").collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert pipeline.encode(spark, docs, "").where("part IS NOT NULL OR place IS NOT NULL").count() == 0
