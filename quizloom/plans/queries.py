@@ -853,8 +853,8 @@ def journalled_calls(spark, d):
     prompt = F.concat(F.lit("On "), "p_name", F.lit(" "), F.col("p_partkey").cast("string"))
     rows = read(spark, d, "part").select("p_partkey", F.lit("Be brief.").alias("system_prompt"), prompt.alias("user_prompt"))
     asked, path = providers.requests(rows), f"{folder(spark, 'journal')}/calls"
-    providers.answers(asked.where("p_partkey % 2 = 0"), path, call=first)
-    answers = providers.answers(asked, path, call=second)
+    providers.answers(asked.where("p_partkey % 2 = 0"), path, per_batch=5000, call=first)
+    answers = providers.answers(asked, path, per_batch=5000, call=second)
     found = bank.questions_of(asked.join(answers, "request_id").select("p_partkey", "response"), "response", jsonfix.sanitize_bank)
     return found.select("p_partkey", "pos", jsonfix.field(F.col("q"), "question").alias("question"), jsonfix.field(F.col("q"), "correct_answer").alias("correct_answer"))
 
