@@ -992,6 +992,21 @@ def paged_files(spark, d):
     return paged_documents(spark, d).select(doc_number(), "page_number", "text", "error")
 
 
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 AND s_suppkey % 3 <> 0 THEN upper(sha256('drawn anew: ' || s_name)) END AS digest FROM supplier")
+def image_to_image(spark, d):
+    """Images drawn anew from their bytes; each fourth has none, and a model fails for each third."""
+
+    def draw(content: bytes) -> bytes:
+        if content is None or content.startswith(b"-"):
+            raise ValueError(content)
+        return b"drawn anew: " + content
+
+    key = F.col("s_suppkey")
+    content = F.when(key % 4 != 0, F.encode(F.when(key % 3 == 0, F.concat(F.lit("-"), "s_name")).otherwise(F.col("s_name")), "UTF-8"))
+    made = providers.images(read(spark, d, "supplier").select("s_suppkey", content.alias("content")), "s_suppkey", "content", draw)
+    return made.select("s_suppkey", F.upper(F.sha2("content", 256)).alias("digest"))
+
+
 @query(f"""
 SELECT 'good' AS outcome, count(*) AS n, (SELECT count(*) FROM {PAGED_SQL} WHERE error IS NULL) AS kept FROM {PAGED_SQL} WHERE error IS NULL
 UNION ALL SELECT 'rejected', count(*), (SELECT count(*) FROM {PAGED_SQL} WHERE error IS NOT NULL) FROM {PAGED_SQL} WHERE error IS NOT NULL""")

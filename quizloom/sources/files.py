@@ -45,12 +45,12 @@ def contents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc"), "content")
 
 
-def binary_pages(spark: SparkSession, path: str, reader: Callable[[bytes], list[str]] | None = None, broken: bool = False) -> DataFrame:
+def binary_pages(spark: SparkSession, path: str, reader: Callable[[bytes], list[str]] | None = None, broken: bool | None = False) -> DataFrame:
     """doc, page_number (from 1), text of each page of the PDF files at ``path``; with ``broken`` doc and error of the files that cannot be read."""
     return read_files(contents(spark, path), lambda content: [(i + 1, t) for i, t in enumerate((reader or pdf_pages)(content))], "page_number int, text string", broken)
 
 
-def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list[tuple[str, list[list[str | None]]]]] | None = None, broken: bool = False) -> DataFrame:
+def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list[tuple[str, list[list[str | None]]]]] | None = None, broken: bool | None = False) -> DataFrame:
     """doc, row_ord, cells of the tables on answer-key pages of the PDF files at ``path``, each table without its first row; with ``broken`` doc and error of the others.
 
     ``reader`` gives the text and the table rows of each page.
@@ -63,8 +63,11 @@ def binary_tables(spark: SparkSession, path: str, reader: Callable[[bytes], list
     return read_files(contents(spark, path), rows, "row_ord int, cells array<string>", broken)
 
 
-def read_files(files: DataFrame, rows: Callable[[bytes], list[tuple]], schema: str, broken: bool) -> DataFrame:
-    """doc and what ``rows`` gives for each file; with ``broken`` doc and error of the files for which it fails instead. One file that fails leaves the others alone."""
+def read_files(files: DataFrame, rows: Callable[[bytes], list[tuple]], schema: str, broken: bool | None) -> DataFrame:
+    """doc and what ``rows`` gives for each file; with ``broken`` doc and error of the files for which it fails instead, and if that is None all rows of both kinds, with the error, in one pass.
+
+    One file that fails leaves the others alone.
+    """
     kinds = to_arrow_schema(StructType.fromDDL(f"doc string, {schema}, error string"))
 
     def run(batches):
@@ -79,6 +82,8 @@ def read_files(files: DataFrame, rows: Callable[[bytes], list[tuple]], schema: s
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds, strict=True)], kinds.names)
 
     found = files.mapInArrow(run, f"doc string, {schema}, error string")
+    if broken is None:
+        return found
     return found.where("error IS NOT NULL").select("doc", "error") if broken else found.where("error IS NULL").drop("error")
 
 
@@ -103,7 +108,7 @@ def image_text(content: bytes) -> str:
     return pytesseract.image_to_string(Image.open(io.BytesIO(content)))
 
 
-def question_files(spark: SparkSession, path: str, ocr: Callable[[bytes], str] | None = None, pages: Callable[[bytes], list[str]] | None = None, broken: bool = False) -> DataFrame:
+def question_files(spark: SparkSession, path: str, ocr: Callable[[bytes], str] | None = None, pages: Callable[[bytes], list[str]] | None = None, broken: bool | None = False) -> DataFrame:
     """doc, kind, text: the first page of a PDF, the words of an image, or a text file; another suffix fails the query. With ``broken`` doc and error of the files that cannot be read."""
     files = contents(spark, path).withColumn("kind", file_kind(F.col("doc")))
     kind = F.coalesce("kind", F.raise_error(F.concat(F.lit("no reader for "), F.col("doc"))).cast("string"))

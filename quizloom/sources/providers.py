@@ -182,8 +182,8 @@ def by_length(texts: list[str | None], most_rows: int, most_letters: int) -> lis
     return out
 
 
-def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str], bytes | None] | None = None, connect: Callable[[], Callable[[str], bytes | None]] | None = None) -> DataFrame:
-    """key, content (PNG bytes or null) for each prompt; molecules are drawn by the same form, from SMILES or a name. ``connect`` is called once a partition and returns what draws."""
+def images(rows: DataFrame, key: str, prompt: str, draw: Callable[[str | bytes], bytes | None] | None = None, connect: Callable[[], Callable[[str | bytes], bytes | None]] | None = None) -> DataFrame:
+    """key, content (PNG bytes or null) for each prompt, which may be the bytes of an image to be drawn anew; molecules are drawn by the same form, from SMILES or a name. ``connect`` is called once a partition and returns what draws."""
 
     def run(batches):
         make = connect() if connect else draw

@@ -197,6 +197,36 @@ def test_broken_files_are_rows(spark, tmp_path):
     assert {r.doc[-5:]: r.error.split(":")[0] for r in files.question_files(spark, path, pages=reader, broken=True).collect()} == {"b.pdf": "KeyError", "d.txt": "UnicodeDecodeError"}
     assert [r.error for r in files.binary_pages(spark, f"{path}/b.pdf", reader, broken=True).collect()] == ["KeyError: 'broken'"]
     assert files.binary_tables(spark, f"{path}/b.pdf", reader, broken=True).count() == 1
+    both = files.question_files(spark, path, pages=reader, broken=None).collect()  # one pass for good and broken
+    assert {(r.doc[-5:], r.text, (r.error or "").split(":")[0]) for r in both} == {("a.pdf", "one", ""), ("b.pdf", None, "KeyError"), ("c.txt", "text", ""), ("d.txt", None, "UnicodeDecodeError")}
+
+
+def test_molecules(monkeypatch):
+    """SMILES as they are, names by the given lookup, else nothing; the optional package is stood in for."""
+    import sys
+    import types
+
+    drawn = []
+    chem, draw = types.ModuleType("rdkit.Chem"), types.ModuleType("rdkit.Chem.Draw")
+    chem.MolFromSmiles = lambda s: f"mol {s}" if set(s) <= set("CO=1c") else None
+
+    class Picture:
+        def __init__(self, mol, size):
+            drawn.append((mol, size))
+
+        def save(self, out, kind):
+            out.write(kind.encode())
+
+    draw.MolToImage = Picture
+    chem.Draw = draw
+    package = types.ModuleType("rdkit")
+    package.Chem = chem
+    for name, module in (("rdkit", package), ("rdkit.Chem", chem), ("rdkit.Chem.Draw", draw)):
+        monkeypatch.setitem(sys.modules, name, module)
+    known = {"ethanol": "CCO", "nonsense": "???"}.get
+    assert providers.draw_molecule("C=O") == providers.draw_molecule("ethanol", known) == b"PNG"
+    assert providers.draw_molecule("nonsense", known) is None and providers.draw_molecule("unknown", known) is None and providers.draw_molecule("ethanol") is None
+    assert drawn == [("mol C=O", (300, 300)), ("mol CCO", (300, 300))]
 
 
 def test_files(spark, tmp_path):
