@@ -59,7 +59,7 @@ class SeenState:
         fresh = Tables(self.spark, "seen").save(self.unseen(rows.select(self.key)).where(F.col(self.key).isNotNull()).distinct(), "fresh")
         before = self.keys.manifest().rows
         self.filter.combine(self._bits(fresh, self.filter.manifest().properties[WORDS]), {"bits": F.bit_or})
-        after = self.keys.insert(fresh, batch=batch).rows
+        after = self.keys.insert(fresh, batch=batch, single=True).rows
         if after > self.filter.manifest().properties[WORDS] * KEYS_A_WORD:
             self._make_filter(4 * after)
         return after - before

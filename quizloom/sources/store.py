@@ -165,15 +165,18 @@ class Store:
         key = self.manifest().key
         return self._commit(self._dealt(combined(rows.where(F.col(key).isNotNull()), key)), change, batch)
 
-    def insert(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> Manifest:
-        """Rows whose key the table lacks are added, in files beside those of their buckets. Of repeated keys the first by ``order`` counts (among equals, and without an order, the smallest row)."""
+    def insert(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None, single: bool = False) -> Manifest:
+        """Rows whose key the table lacks are added, in files beside those of their buckets. Of repeated keys the first by ``order`` counts (among equals, and without an order, the smallest row).
+
+        ``single`` tells that the rows are a written table with one row a key.
+        """
 
         def change(m: Manifest, new: DataFrame) -> Change | None:
             read = self._buckets_of(new)
             commit, counts = self._write(new.select(self._names(m)).join(self._rows(m, read).select(m.key), m.key, "left_anti"), m) if read else ("", {})
             return Change(read, commit, counts) if counts else None
 
-        return self._commit(self._single(rows, order, first=True), change, batch)
+        return self._commit(rows.withColumn(BUCKET, self.bucket(self.manifest())) if single else self._single(rows, order, first=True), change, batch)
 
     def update(self, changes: DataFrame, fields: Sequence[str], batch: tuple[str, int] | None = None) -> Manifest:
         """Sets the fields of rows that the table has; changes of other keys are left out."""
