@@ -22,7 +22,7 @@ class SeenState:
     """The state at ``path``. ``expected`` keys size its filter at first; when there are more it is made anew, four times as large."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = "hash", kind: str = "string", buckets: int = 64, expected: int = 1 << 20):
-        self.spark, self.key = spark, key
+        self.spark, self.key, self.kind = spark, key, kind
         self.keys = Store.open(spark, f"{path}/keys", f"`{key}` {kind}", key, buckets)
         self.filter = Store.open(spark, f"{path}/filter", "word bigint, bits bigint", "word", buckets, {WORDS: self._words_for(expected)})
 
@@ -38,7 +38,7 @@ class SeenState:
     def possible(self, rows: DataFrame) -> DataFrame:
         """The distinct keys of ``rows`` that pass the filter."""
         words = self.filter.manifest().properties[WORDS]
-        own = rows.where(F.col(self.key).isNotNull()).select(self.key).distinct().withColumn("word", self._word(words)).withColumn("mask", self._mask())
+        own = rows.where(F.col(self.key).isNotNull()).select(F.col(self.key).cast(self.kind).alias(self.key)).distinct().withColumn("word", self._word(words)).withColumn("mask", self._mask())
         return own.join(self.filter.read(), "word").where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select(self.key)
 
     def known(self, rows: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ class SeenState:
 
     def add(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> int:
         """Adds the keys of the rows; how many were new. Nothing new leaves the state, and its version, as they are."""
-        fresh = Tables(self.spark, "seen").save(self.unseen(rows.select(self.key)).where(F.col(self.key).isNotNull()).distinct(), "fresh")
+        fresh = Tables(self.spark, "seen").save(self.unseen(rows.select(F.col(self.key).cast(self.kind).alias(self.key))).where(F.col(self.key).isNotNull()).distinct(), "fresh")
         before = self.keys.manifest().rows
         self.filter.combine(self._bits(fresh, self.filter.manifest().properties[WORDS]), {"bits": F.bit_or})
         after = self.keys.insert(fresh, batch=batch, single=True).rows

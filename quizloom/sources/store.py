@@ -109,7 +109,10 @@ class Files:
 
 
 class Store:
-    """A table at ``path``. ``buckets`` is set once: as many as the table has parts that a task can rewrite, when it is full."""
+    """A table at ``path``. ``buckets`` is set once: as many as the table has parts that a task can rewrite, when it is full.
+
+    Rows are taken in the table's types; columns that it has not are left out. The column that orders repeated keys is one of the table's.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path.rstrip("/"))
@@ -163,7 +166,7 @@ class Store:
             return Change(read, *self._write(combined(self.rows_in(read, m).unionByName(new.select(self._names(m))), m.key), m), read) if read else None
 
         key = self.manifest().key
-        return self._commit(self._dealt(combined(rows.where(F.col(key).isNotNull()), key)), change, batch)
+        return self._commit(self._dealt(combined(self._typed(rows).where(F.col(key).isNotNull()), key)), change, batch)
 
     def insert(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None, single: bool = False) -> Manifest:
         """Rows whose key the table lacks are added, in files beside those of their buckets. Of repeated keys the first by ``order`` counts (among equals, and without an order, the smallest row).
@@ -176,7 +179,7 @@ class Store:
             commit, counts = self._write(new.select(self._names(m)).join(self._rows(m, read).select(m.key), m.key, "left_anti"), m) if read else ("", {})
             return Change(read, commit, counts) if counts else None
 
-        return self._commit(rows.withColumn(BUCKET, self.bucket(self.manifest())) if single else self._single(rows, order, first=True), change, batch)
+        return self._commit(self._typed(rows).withColumn(BUCKET, self.bucket(self.manifest())) if single else self._single(rows, order, first=True), change, batch)
 
     def update(self, changes: DataFrame, fields: Sequence[str], batch: tuple[str, int] | None = None) -> Manifest:
         """Sets the fields of rows that the table has; changes of other keys are left out."""
@@ -223,6 +226,11 @@ class Store:
     def _names(m: Manifest) -> list[str]:
         return StructType.fromDDL(m.schema).names
 
+    def _typed(self, rows: DataFrame) -> DataFrame:
+        """The table's columns that the rows have, in its types: a key of another type would have another bucket."""
+        kinds = {f.name: f.dataType for f in StructType.fromDDL(self.manifest().schema).fields}
+        return rows.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in rows.columns if c in kinds])
+
     def bucket(self, m: Manifest):
         return F.pmod(F.xxhash64(m.key), F.lit(m.buckets)).cast("int")
 
@@ -244,8 +252,8 @@ class Store:
     def _single(self, rows: DataFrame, order: str | None, first: bool = False) -> DataFrame:
         """A row for each key, with its bucket."""
         m = self.manifest()
-        have = rows.where(F.col(m.key).isNotNull())
-        rest = [c for c in rows.columns if c != m.key]
+        have = self._typed(rows).where(F.col(m.key).isNotNull())
+        rest = [c for c in have.columns if c != m.key]
         if rest:
             whole = F.struct(*([F.col(order).alias("__order")] if order else []), *rest)
             one = F.min(whole) if first else F.max(whole)

@@ -218,3 +218,14 @@ def test_exams_over_one_state(spark, tmp_path):
     state = SeenState(spark, f"{tmp_path}/state", buckets=4)
     sizes = [workflows.exam(spark, units, "Maths", total, "2024-01-02 03:04:05", seen=state, call=call).count() for total in (4, 10, 10)]
     assert sizes == [4, 6, 0] and state.read().count() == 10
+
+
+def test_keys_of_another_type(spark, store, tmp_path):
+    """A key is the same in a narrower type, and columns that the table has not are left out."""
+    store.upsert(rows(spark, *[(i, "a", 0) for i in range(40)]))
+    narrow = spark.range(30, 50).selectExpr("CAST(id AS SMALLINT) AS id", "'b' AS v", "CAST(1 AS TINYINT) AS n", "'more' AS more")
+    store.upsert(narrow)
+    assert content(store) == {i: ("a", 0) if i < 30 else ("b", 1) for i in range(50)} and store.manifest().rows == 50
+    assert store.insert(narrow).version == 2 and store.delete(narrow).rows == 30
+    state = SeenState(spark, f"{tmp_path}/seen", "id", "bigint", 4)
+    assert state.add(spark.range(20)) == 20 and state.add(narrow.selectExpr("CAST(id - 20 AS INT) AS id")) == 10 and state.unseen(narrow.selectExpr("CAST(id - 25 AS INT) AS id")).count() == 0
