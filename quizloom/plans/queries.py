@@ -968,6 +968,10 @@ class TextPages:
             raise ValueError("page")
         return self.pages[number]
 
+    def tables(self, number: int) -> list[list[list[str | None]]]:
+        """One table of the lines with commas."""
+        return [[line.split(",") for line in self.pages[number].split("\n") if "," in line]]
+
     def close(self) -> None:
         self.pages = []
 
@@ -992,6 +996,20 @@ def paged_files(spark, d):
     return paged_documents(spark, d).select(doc_number(), "page_number", "text", "error")
 
 
+@query(f"SELECT doc, question_num, m.a AS answer, m.s AS skill, 'lo' AS learning_objective, m.u AS unit FROM {KEY_SQL} WHERE doc % 3 = 0")
+def paged_answer_keys(spark, d):
+    """Answer keys of every third document as files, six lines a page, each page with a head; pages without the mark are passed over."""
+    rows = key_rows(spark, d).where("doc % 3 = 0").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("row_ord", F.array_join("cells", ",").alias("line")))).alias("r"))  # the orders of a customer
+    lines = F.transform("r", lambda r: r["line"])
+    starts = F.sequence(F.lit(1), F.size("r"), F.lit(6))
+    pages_of = F.transform(starts, lambda at: F.concat(F.lit("Answer Key\nno,answer,skill,objective,unit\n"), F.array_join(F.slice(lines, at, F.lit(6)), "\n")))
+    body = F.concat(F.lit("First page\n1,A,x,y,2\n3,B,x,y,4\f"), F.array_join(pages_of, "\f"))
+    target = f"{folder(spark, 'keys').removeprefix('file:')}/files"
+    bank_tables.write_images(rows.select(F.format_string("%d.txt", "doc").alias("file"), F.encode(body, "UTF-8").alias("content")), target)
+    found = paged.answer_tables(spark, target, TextPages, "*.txt", task_bytes=100_000)
+    return pages.answer_key(found.where("error IS NULL")).select(doc_number(), "question_num", "answer", "skill", "learning_objective", "unit")
+
+
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 AND s_suppkey % 3 <> 0 THEN upper(sha256('drawn anew: ' || s_name)) END AS digest FROM supplier")
 def image_to_image(spark, d):
     """Images drawn anew from their bytes; each fourth has none, and a model fails for each third."""

@@ -16,7 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from quizloom.functions.text import ANSWER_KEY_MARKS
 from quizloom.sources.bank import counted
 
 #: Bytes of files that a task reads, about, and pages of a batch that it passes on.
@@ -24,13 +27,20 @@ TASK_BYTES, BATCH_PAGES = 64_000_000, 64
 SCHEMA = "doc string, page_number int, text string, error string"
 
 
+#: Rows of one page's tables that are numbered apart from those of the next.
+PAGE_ROWS = 1 << 20
+TABLES = "doc string, page_number int, row_ord bigint, cells array<string>, error string"
+
+
 class Document(Protocol):
-    """An opened file: how many pages it has, and the text of one (from 0)."""
+    """An opened file: how many pages it has, the text of one (from 0), and the rows of each table on it."""
 
     def __len__(self) -> int: ...
 
     def page(self, number: int) -> str: ...
 
+    def tables(self, number: int) -> list[list[list[str | None]]]: ...
+
     def close(self) -> None: ...
 
 
@@ -52,6 +62,13 @@ class PdfDocument:
         finally:
             page.close()
 
+    def tables(self, number: int) -> list[list[list[str | None]]]:
+        page = self.pdf.pages[number]
+        try:
+            return page.extract_tables()
+        finally:
+            page.close()
+
     def close(self) -> None:
         self.pdf.close()
 
@@ -81,26 +98,39 @@ def plan(files: list[tuple[str, int]], task_bytes: int, count: Callable[[str], i
     return [*out, Pages(held)] if held else out
 
 
-def read_range(open_document: Callable[[str], Document], path: str, start: int, stop: int | None) -> Iterator[tuple[str, int | None, str | None, str | None]]:
-    """A row for each page; a page that fails has an error, a file that cannot be opened is one row without page."""
+def page_text(document: Document, number: int) -> list[tuple]:
+    return [(document.page(number),)]
+
+
+def key_tables(document: Document, number: int) -> list[tuple]:
+    """row_ord, cells of the tables on a page of an answer key, each table without its first row; none on another page."""
+    if not any(m in document.page(number) for m in ANSWER_KEY_MARKS):
+        return []
+    found = [row for table in document.tables(number) for row in table[1:]]
+    return [((number + 1) * PAGE_ROWS + k, row) for k, row in enumerate(found)]
+
+
+def read_range(open_document: Callable[[str], Document], rows: Callable[[Document, int], list[tuple]], width: int, path: str, start: int, stop: int | None) -> Iterator[tuple]:
+    """What ``rows`` (of ``width`` values) gives for each page; a page that fails has one row with an error, a file that cannot be opened one without page."""
     try:
         document = open_document(path)
     except Exception as e:  # noqa: BLE001  readers of binary formats raise errors of their own
-        yield path, None, None, f"{type(e).__name__}: {e}"
+        yield path, None, *[None] * width, f"{type(e).__name__}: {e}"
         return
     try:
         for k in range(start, len(document) if stop is None else stop):
             try:
-                text, error = document.page(k), None
+                made = [(path, k + 1, *row, None) for row in rows(document, k)]
             except Exception as e:  # noqa: BLE001
-                text, error = None, f"{type(e).__name__}: {e}"
-            yield path, k + 1, text, error
+                made = [(path, k + 1, *[None] * width, f"{type(e).__name__}: {e}")]
+            yield from made
     finally:
         document.close()
 
 
-def source(open_document: Callable[[str], Document], name: str = "paged_files") -> type[DataSource]:
-    """A data source of files that ``open_document`` opens; options ``path``, ``pattern`` (of file names) and ``task_bytes``."""
+def source(open_document: Callable[[str], Document], rows: Callable[[Document, int], list[tuple]] = page_text, ddl: str = SCHEMA, name: str = "paged_files") -> type[DataSource]:
+    """A data source of what ``rows`` gives for the pages of files that ``open_document`` opens; options ``path``, ``pattern`` (of file names) and ``task_bytes``."""
+    kinds = to_arrow_schema(StructType.fromDDL(ddl))
 
     class Reader(DataSourceReader):
         def __init__(self, options):
@@ -124,16 +154,15 @@ def source(open_document: Callable[[str], Document], name: str = "paged_files")
         def read(self, partition):
             held = []
             for path, start, stop in partition.ranges:
-                for row in read_range(open_document, path, start, stop):
+                for row in read_range(open_document, rows, len(kinds) - 3, path, start, stop):
                     held.append(row)
                     if len(held) == BATCH_PAGES:
                         yield batch(held)
                         held = []
             yield batch(held)
 
-    def batch(rows):
-        kinds = (("doc", pa.string()), ("page_number", pa.int32()), ("text", pa.string()), ("error", pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
+    def batch(held):
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(kinds)], kinds.names)
 
     class PagedFiles(DataSource):
         @classmethod
@@ -141,7 +170,7 @@ def source(open_document: Callable[[str], Document], name: str = "paged_files")
             return name
 
         def schema(self):
-            return SCHEMA
+            return ddl
 
         def reader(self, schema):
             return Reader(self.options)
@@ -151,7 +180,15 @@ def source(open_document: Callable[[str], Document], name: str = "paged_files")
 
 def pages(spark: SparkSession, path: str, open_document: Callable[[str], Document] = PdfDocument, pattern: str = "*", task_bytes: int = TASK_BYTES) -> DataFrame:
     """doc (the path), page_number (from 1), text, error of each page of the files in a folder, in one pass; an empty folder gives no rows."""
-    kind = source(open_document)
+    return load(spark, source(open_document), path, pattern, task_bytes)
+
+
+def answer_tables(spark: SparkSession, path: str, open_document: Callable[[str], Document] = PdfDocument, pattern: str = "*", task_bytes: int = TASK_BYTES) -> DataFrame:
+    """doc, page_number, row_ord, cells, error of the table rows on answer-key pages of the files in a folder; row_ord is in the order of pages and rows."""
+    return load(spark, source(open_document, key_tables, TABLES, "paged_tables"), path, pattern, task_bytes)
+
+
+def load(spark: SparkSession, kind: type[DataSource], path: str, pattern: str, task_bytes: int) -> DataFrame:
     spark.dataSource.register(kind)
     return spark.read.format(kind.name()).option("path", path).option("pattern", pattern).option("task_bytes", task_bytes).load()
 

@@ -31,6 +31,9 @@ class Text:
             raise ValueError(number)
         return self.pages[number]
 
+    def tables(self, number):
+        return [[line.split(",") for line in part.split("\n") if "," in line] for part in self.pages[number].split("--")]
+
     def close(self):
         self.pages = []
 
@@ -75,3 +78,16 @@ def test_outcomes_in_one_pass(spark, folder, tmp_path):
     assert "outcome=good" in good._jdf.queryExecution().toString() or "PartitionFilters" in good._jdf.queryExecution().toString()
     nothing = paged.write_outcomes(pages.where("false"), F.col("error"), f"{tmp_path}/none")
     assert nothing[2] == {"n": 0, "rejected": 0} and nothing[0].count() == 0
+
+
+def test_tables_of_answer_keys(spark, tmp_path):
+    """Rows of all tables on marked pages without their heads, in the order of pages; a page that fails is a row."""
+    (tmp_path / "keys").mkdir()
+    page = "Answer Key\nh,h\n1,A\n2,B\n--\nh,h\n3,C"
+    (tmp_path / "keys" / "a.txt").write_text(f"other\n9,Z\n8,Y\f{page}\fbad\fQuestion Alignment\nh\n4,D\n5,E")
+    (tmp_path / "keys" / "b.txt").write_text("!")
+    for task_bytes in (20, 10**6):
+        rows = paged.answer_tables(spark, f"{tmp_path}/keys", Text, task_bytes=task_bytes).collect()
+        got = [(r.page_number, r.cells) for r in sorted((r for r in rows if r.error is None), key=lambda r: r.row_ord)]
+        assert got == [(2, ["1", "A"]), (2, ["2", "B"]), (2, ["3", "C"]), (4, ["5", "E"])]
+        assert sorted((r.page_number or 0, r.error, r.cells) for r in rows if r.error) == [(0, "KeyError: 'broken'", None), (3, "ValueError: 2", None)]
