@@ -807,7 +807,7 @@ q AS (SELECT run, unit_id, n_name, unnest(range(0, n)) AS i FROM n)
 SELECT run, q.unit_id, count(*) AS questions, min(sha256('What is ' || n_name || ' no. ' || i || '?')) AS first_hash
 FROM q LEFT JOIN (SELECT unit_id, n AS before FROM n WHERE run = 0) b ON b.unit_id = q.unit_id AND q.run = 1 WHERE i >= coalesce(before, 0) GROUP BY ALL""")
 def exam_runs(spark, d):
-    """Three exams over one state: the second is larger and asks only what the first has not, the third is the second again and finds nothing new."""
+    """Two exams over one state: the second is larger and asks only what the first has not."""
     from quizloom.plans.workflows import exam
 
     def call(provider: str, system: str, user: str, settings: dict) -> str:
@@ -819,7 +819,7 @@ def exam_runs(spark, d):
     state = SeenState(spark, f"{folder(spark, 'exams')}/state", buckets=BUCKETS)
     units = read(spark, d, "nation").join(read(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey")).groupBy("n_nationkey", "n_name").agg(F.count("*").alias("weight"))
     units = units.select(F.col("n_nationkey").alias("unit_id"), F.col("n_name").alias("unit"), F.col("weight").cast("double").alias("weight"), F.array("n_name").alias("objectives"))
-    made = [exam(spark, units, "Science", total, BATCH_TIME, seen=state, call=call).select(F.lit(run).alias("run"), "unit_id", "hash") for run, total in enumerate((44, 84, 84))]
+    made = [exam(spark, units, "Science", total, BATCH_TIME, seen=state, call=call).select(F.lit(run).alias("run"), "unit_id", "hash") for run, total in enumerate((44, 84))]
     return functools.reduce(DataFrame.union, made).groupBy("run", "unit_id").agg(F.count("*").alias("questions"), F.min("hash").alias("first_hash"))
 
 
