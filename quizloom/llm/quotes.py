@@ -60,9 +60,11 @@ def own_keys(passage: Column) -> Column:
     return F.array_union(keys(plain(F.array_join(passage["bodies"], " "))), F.transform(short, whole_key))
 
 
-def thread(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", role: str = "role") -> DataFrame:
+def thread(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", role: str = "role", paths: bool = True) -> DataFrame:
     """The rows of ``messages`` with reply_to (turn of the answered message), quote_levels, root_turn, reply_path, body (the text without quotes) and chat (role and body).
 
+    Without ``paths`` there is reply_depth, the number of messages above, instead of reply_path: in a chain of n replies the paths hold n * n / 2 turns.
+
     reply_path holds the turns from the thread's first message to this one. Read in the order of conversation and reply_path, a conversation has each message behind what it
     replies to, and its answers next to it. Of the passages whose origin is earlier in the conversation (half of their windows at least), a message replies to
     the one of the lowest level, then with the most windows, then with the latest origin. Messages without such a passage are roots. Null texts give a null body and chat and no
@@ -70,7 +72,7 @@ def thread(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     turn share their links. An empty table gives none. Columns of ``messages`` with the names of added ones are replaced.
     """
     scratch = Scratch(messages.sparkSession, "quotes")
-    messages = messages.drop("reply_to", "quote_levels", "root_turn", "reply_path", "body", "chat")
+    messages = messages.drop("reply_to", "quote_levels", "root_turn", "reply_path" if paths else "reply_depth", "body", "chat")
     known = messages.where(F.col(conv).isNotNull() & F.col(turn).isNotNull() & F.col(text).isNotNull()).select(F.col(conv).alias("c"), F.col(turn).alias("t"), F.col(text).alias("text"))
     quoting = known.where(F.col("text").rlike(r"(?m)^\s*>")).select("c", "t", F.explode(passages(lines(F.col("text")))).alias("p")).where("p.level > 0")
     quoting = quoting.select("c", "t", "p.level", plain(F.array_join("p.bodies", " ")).alias("plain")).distinct()
@@ -83,22 +85,23 @@ def thread(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     votes = salted_join(quoted, origin, ["c", "h"], "t", "inner").where("o < t").groupBy("c", "t", "level", "passage", "n", "o").agg(F.count("*").alias("v")).where("2 * v >= n")
     links = votes.groupBy("c", "t").agg(F.max(F.struct(-F.col("level"), "v", "o")).alias("m")).select("c", "t", F.col("m.o").alias("p"))
     links = scratch.save(links, "links")
-    roots = scratch.save(links.select("c", "t", F.col("p").alias("r"), F.array("t").alias("path")), "roots-0")
+    roots = scratch.save(links.select("c", "t", F.col("p").alias("r"), (F.array("t") if paths else F.lit(1)).alias("path")), "roots-0")
     step, open_ends = 0, links.limit(1).count()
+    joined = F.concat("before", "path") if paths else F.col("before") + F.col("path")
     while open_ends:  # pointer jumping: a chain of n replies takes log2(n) rounds
         up = roots.select("c", F.col("t").alias("r"), F.col("r").alias("up"), F.col("path").alias("before"))
         moved = salted_join(roots, up, ["c", "r"], "t", "left")
-        moved = moved.select("c", "t", F.coalesce("up", "r").alias("r"), F.when(F.col("up").isNotNull(), F.concat("before", "path")).otherwise(F.col("path")).alias("path"), F.col("up").isNotNull().alias("moved"))
+        moved = moved.select("c", "t", F.coalesce("up", "r").alias("r"), F.when(F.col("up").isNotNull(), joined).otherwise(F.col("path")).alias("path"), F.col("up").isNotNull().alias("moved"))
         moved = scratch.save(moved, f"roots-{step + 1}")
         open_ends = moved.where("moved").limit(1).count()
         scratch.drop(f"roots-{step}")
         roots, step = moved.select("c", "t", "r", "path"), step + 1
-    found = links.join(roots, ["c", "t"]).select(F.col("c").alias("__c"), F.col("t").alias("__t"), F.col("p").alias("reply_to"), F.col("r").alias("__root"), F.concat(F.array("r"), "path").alias("__path"))
+    found = links.join(roots, ["c", "t"]).select(F.col("c").alias("__c"), F.col("t").alias("__t"), F.col("p").alias("reply_to"), F.col("r").alias("__root"), (F.concat(F.array("r"), "path") if paths else F.col("path")).alias("__path"))
     out = messages.join(found, (F.col(conv) == F.col("__c")) & (F.col(turn) == F.col("__t")), "left")
     split = lines(F.col(text))
     own_text = F.array_join(F.transform(F.filter(split, lambda s: s["level"] == 0), lambda s: s["body"]), "\n")
     out = out.withColumn("quote_levels", F.coalesce(F.array_max(F.transform(split, lambda s: s["level"])), F.lit(0)))
-    out = out.withColumn("root_turn", F.coalesce("__root", F.col(turn))).withColumn("reply_path", F.coalesce("__path", F.array(turn))).withColumn("body", F.when(F.col(text).isNotNull(), F.trim(own_text)))
+    out = out.withColumn("root_turn", F.coalesce("__root", F.col(turn))).withColumn("reply_path" if paths else "reply_depth", F.coalesce("__path", F.array(turn) if paths else F.lit(0))).withColumn("body", F.when(F.col(text).isNotNull(), F.trim(own_text)))
     return out.withColumn("chat", F.when(F.col("body").isNotNull(), F.concat_ws(": ", F.col(role), "body"))).drop("__c", "__t", "__root", "__path")
 
 

@@ -397,6 +397,8 @@ def test_quotes_of_conversations(spark):
     assert [of[1, t].reply_to for t in range(5)] == [None, None, 1, 2, 1] and of[1, 3].reply_path == [1, 2, 3] and of[1, 3].chat == "a: Fine then."
     assert [of[2, t].reply_to for t in range(4)] == [None, 0, 0, None] and of[3, 1].reply_to == 0
     assert all(of[4, t].reply_to == 0 and of[4, t + 200].reply_path == [0, t, t + 200] for t in range(1, 200))
+    short = {(r.conv_id, r.turn, r.text): (r.reply_to, r.root_turn, r.reply_depth) for r in quotes.thread(df, paths=False).collect()}
+    assert short == {(r.conv_id, r.turn, r.text): (r.reply_to, r.root_turn, len(r.reply_path) - 1) for r in out.collect()}
     order = sorted((t for c, t in of if c == 4), key=lambda t: of[4, t].reply_path)
     assert order[:5] == [0, 1, 201, 2, 202]
 
