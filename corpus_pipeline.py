@@ -15,6 +15,8 @@ from quizloom.llm.common import Scratch
 from quizloom.llm.queries import vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Tasks that the rows of one group of near-duplicates are dealt to.
+SALTS = 64
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = minhash.near_duplicates(numbered, size=5, percent=80, key="__row").select("__row", F.col("component_id").alias("__group"))
     ranked = found.join(numbered.select("__row", "doc_id"), "__row").select("__group", F.struct(F.col("doc_id").isNull(), "doc_id", "__row").alias("__rank"))
     first = ranked.groupBy("__group").agg(F.min("__rank").alias("__first"), F.count("*").alias("n")).where("n > 1").select("__group", F.col("__first.__row").alias("__kept"))
-    gone = found.join(first, "__group").where("__row <> __kept").select("__row")
+    # a group may hold a third of all rows: its rows are dealt to SALTS tasks
+    salted = first.withColumn("__salt", F.explode(F.lit(list(range(SALTS))).cast("array<long>")))
+    gone = found.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS))).join(salted, ["__group", "__salt"]).where("__row <> __kept").select("__row")
     return numbered.join(gone, "__row", "left_anti").select(docs.columns)
 
 
