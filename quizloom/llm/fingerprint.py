@@ -225,7 +225,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", recov
     The edited text has its last third (whole code points, rounded down) replaced by as much of the beginning of the next row's text, or all of it. Likeness
     is the share of common pieces in all pieces of both texts; a null text counts as empty, and texts without pieces are like each other. Removed and
     added are the recovered digests that only the text and only its edit have. Repeated rows are each other's next. One row alone is its own next. An empty
-    table gives none. Other columns of ``docs`` are not read.
+    table gives none. Other columns of ``docs`` are not read. Keys are integers; a text that is none is an error.
     """
     rows = neighbours(docs, key, text).withColumn("n_chars", F.length("t").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")

@@ -284,6 +284,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, miss: flo
     Texts with intersection / union >= percent / 100 of their distinct ``size``-word shingles are linked; component_id is the smallest key
     that links reach, kept whether it is the row's own. A text with fewer words is one shingle; null texts and texts without words have none, and are linked with nothing. Null keys are
     no component's smallest, unless it has no other. Rows with equal keys share the answer as far as their texts are linked. An empty table gives none. Other columns are not read.
+    Keys are integers; a text that is none is an error.
     """
     spark = docs.sparkSession
     small_batches(spark)

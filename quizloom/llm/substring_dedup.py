@@ -233,7 +233,7 @@ def drop_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: s
     goes. With ``repeats`` there is also an array of the maximal repeats: start and length in words, the document with the smallest key that has all its windows, and where the repeat starts there; they may
     overlap. Null texts have no words and stay null, texts without a removed word stay as they are. Rows without key neither lose words nor
     make others lose any; rows with equal keys do not count against each other. An empty table gives none. Columns of ``docs`` with the names of added ones are replaced.
-    ``bits`` of the first window hash are used; fewer than 64 are for tests, as the second one has to tell windows apart then.
+    Keys are integers; a text that is none is an error. ``bits`` of the first window hash are used; fewer than 64 are for tests, as the second one has to tell windows apart then.
     """
     dropped = np.uint64(64 - bits)
     spark = docs.sparkSession
