@@ -201,7 +201,7 @@ def image_questions(spark: SparkSession, images: DataFrame, key: str, content: s
     asked = tables.save(providers.image_requests(images.select(key, content), content, prompt, provider, model), "requests")
     options |= {"content": content, "prompt": prompt, "provider": provider, "call": call}
     if responses:
-        got = Journal(spark, responses, "request_id string, response string").run(asked.select("request_id", content), lambda rows: providers.read_images(rows, **options), per_batch)
+        got = Journal(spark, responses, "request_id string, response string").run(asked.select("request_id", content), lambda rows, parts: providers.read_images(rows, **options | {"tasks": parts}), per_batch, options.get("tasks"))
     else:
         got = tables.save(providers.read_images(asked, **options), "responses")
     read = asked.select(key, "request_id").join(got, "request_id").select(key, jsonfix.image_text(F.col("response")).alias("r"), F.col("response").isNotNull().alias("ok"))

@@ -91,13 +91,13 @@ def respond(todo: DataFrame, provider: str = "offline", call: Call = offline, sy
     return asked.repartition(tasks or todo.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "request_id string, response string")
 
 
-def answers(todo: DataFrame, path: str, per_batch: int = 1000, system: str = "system_prompt", user: str = "user_prompt", **options) -> DataFrame:
-    """request_id, response of all requests that have one in the journal at ``path``, through which those of new requests go first, ``per_batch`` at a time.
+def answers(todo: DataFrame, path: str, per_batch: int = 1000, system: str = "system_prompt", user: str = "user_prompt", tasks: int | None = None, **options) -> DataFrame:
+    """request_id, response of all requests that have one in the journal at ``path``, through which those of new requests go first, some ``per_batch`` at stake at a time.
 
-    A request that has a response is not sent again, in this run or a later one; failed ones are, and after a run that broke off those of its last batch.
+    A request that has a response is not sent again, in this run or a later one; failed ones are, and after a run that broke off those its tasks were at.
     """
     asked = todo.select("request_id", system, user, "settings")
-    return Journal(todo.sparkSession, path, "request_id string, response string").run(asked, lambda rows: respond(rows, system=system, user=user, **options), per_batch)
+    return Journal(todo.sparkSession, path, "request_id string, response string").run(asked, lambda rows, parts: respond(rows, system=system, user=user, tasks=parts, **options), per_batch, tasks)
 
 
 def offline_reading(provider: str, prompt: str, content: bytes) -> str:

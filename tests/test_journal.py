@@ -43,6 +43,30 @@ def test_a_killed_run_sends_one_batch_again(spark, tmp_path):
     assert providers.answers(requests(spark, 63), path, per_batch=10, call=call).count() == 63 and len(os.listdir(calls)) == n + 3
 
 
+def test_batches_do_not_grow_with_the_requests(spark, tmp_path):
+    """A long run has a bounded number of batches, and its tasks keep what they have when another one dies."""
+    (tmp_path / "calls").mkdir()
+    calls, alive = str(tmp_path / "calls"), str(tmp_path / "alive")
+
+    def call(provider, system, user, settings):
+        if not os.path.exists(alive) and len(os.listdir(calls)) >= 190:
+            os._exit(1)
+        open(os.path.join(calls, f"{user}-{uuid.uuid4().hex}"), "w").close()
+        return user.upper()
+
+    asked, path = requests(spark, 800), f"{tmp_path}/journal"
+    with pytest.raises(Exception):  # noqa: B017, PT011  the stream's error names the dead worker
+        providers.answers(asked, path, per_batch=20, call=call)
+    n = len(os.listdir(calls))
+    assert n >= 190
+    open(alive, "w").close()
+    got = providers.answers(asked, path, per_batch=20, call=call)
+    assert {r.response for r in got.collect()} == {f"U{i}" for i in range(800)}
+    assert len(os.listdir(calls)) <= 800 + 2 * 20  # batches have 100 requests
+    assert len(Journal(spark, path, "request_id string, response string").done.versions()) <= 8 + 1
+    assert os.listdir(f"{path}/log") == []
+
+
 def test_failed_requests_are_asked_again(spark, tmp_path):
     path = f"{tmp_path}/journal"
     fails = lambda p, s, u, k: None if u == "u3" else "a"
