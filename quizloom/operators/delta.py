@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,19 +25,22 @@ def field_changes(source: DataFrame, target: DataFrame, key: str, doc: str) -> D
     """key, field, status of every top-level field that differs between the objects (VARIANT) of a key on both sides.
 
     added: the target has no such field; removed: the source has none; to_null and from_null: the source's, the target's is an explicit null; else changed. Values are compared as canonical
-    JSON. Rows without key, and documents that are no objects, have no fields. Keys are told apart by one row each.
+    JSON. Rows without key, and documents that are no objects, have no fields. The rows of a key meet once, in one of a fixed number of parts: sides are neither broadcast nor joined.
     """
-    def fields(rows: DataFrame, name: str) -> DataFrame:
-        one = F.lit(name)
-        parts = rows.where(F.col(key).isNotNull()).lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(doc).outer()).alias("f"))
-        return parts.where(F.col("f.key").isNotNull()).select(key, F.col("f.key").alias("field"), F.to_json("f.value").alias("value"), one.alias("side"))
-
-    both = source.where(F.col(key).isNotNull()).select(key).join(target.select(key), key, "left_semi").distinct()
-    every = fields(source, "s").unionByName(fields(target, "t")).join(both, key, "left_semi")
-    s, t = (F.max(F.when(F.col("side") == side, F.col("value"))).alias(side) for side in "st")
+    def fields(rows: DataFrame, source: bool) -> DataFrame:
+        parts = rows.where(F.col(key).isNotNull()).lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col(doc).outer()).alias("f"))
+        value, none = F.to_json("f.value"), F.lit(None).cast("string")
+        return parts.select(key, F.col("f.key").alias("field"), (value if source else none).alias("s"), (none if source else value).alias("t"), F.lit(source).alias("__source"))
+
+    # a number given, as adaptive execution would join parts that are small only while packed
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = fields(source, True).unionByName(fields(target, False)).repartition(parts, key)
+    one = every.groupBy(key, "field").agg(F.max("s").alias("s"), F.max("t").alias("t"), F.max("__source").alias("__in_s"), F.min("__source").alias("__all_s"))
+    own = Window.partitionBy(key)
+    both = one.withColumns({"__in_s": F.max("__in_s").over(own), "__all_s": F.min("__all_s").over(own)}).where(F.col("__in_s") & ~F.col("__all_s") & F.col("field").isNotNull())
     null = F.lit("null")
     status = F.when(F.col("t").isNull(), "added").when(F.col("s").isNull(), "removed").when(F.col("s") == null, "to_null").when(F.col("t") == null, "from_null").otherwise("changed")
-    return every.groupBy(key, "field").agg(s, t).where(~F.col("s").eqNullSafe(F.col("t"))).select(key, "field", status.alias("status"))
+    return both.where(~F.col("s").eqNullSafe(F.col("t"))).select(key, "field", status.alias("status"))
 
 
 def stats(classes: DataFrame) -> DataFrame:

@@ -194,3 +194,14 @@ def test_templates_as_rows(spark):
                 made()
         else:
             assert made() == (None if body in (None, "{none}") else body.format(name="N{x}"))
+
+
+def test_field_changes_neither_join_nor_broadcast(spark):
+    """Repeated keys count by their greatest value, empty documents have a key but no field, rows without key are on neither side."""
+    src = [(1, '{"a":1}'), (2, "{}"), (3, '{"a":null,"b":2}'), (3, '{"a":7}'), (4, '{"a":1}'), (None, '{"a":1}'), (6, None), (7, "5")]
+    tgt = [(1, '{"a":2}'), (2, '{"x":null}'), (3, '{"b":2}'), (5, '{"a":1}'), (None, '{"a":2}'), (6, '{"a":1}'), (7, '{"a":1}')]
+    sides = [spark.createDataFrame(rows, "id int, d string").selectExpr("id", "parse_json(d) AS doc") for rows in (src, tgt)]
+    out = delta.field_changes(*sides, "id", "doc")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "changed"), (2, "x", "removed"), (3, "a", "added"), (6, "a", "removed"), (7, "a", "removed")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
