@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quizloom.functions.once import let
+
 # Patterns, in Java's dialect
 FENCES = r"\A```json|```\z"
 LONE_BACKSLASH_EXAM = r'(?<!\\)\\(?![\\/"bfnrtu])'
@@ -25,16 +27,14 @@ def strip_fences(text: Column) -> Column:
 
 def sanitize_exam(text: Column) -> Column:
     """Ticks and a ``json`` tag in any case go, then lone backslashes double, but those of JSON escapes."""
-    bare = F.regexp_replace(strip_space(text), TICKS, "")
-    bare = F.when(bare.rlike(r"(?i)\Ajson"), strip_space(F.substring(bare, 5, 1 << 30))).otherwise(bare)
+    bare = let(F.regexp_replace(strip_space(text), TICKS, ""), lambda t: F.when(t.rlike(r"(?i)\Ajson"), strip_space(F.substring(t, 5, 1 << 30))).otherwise(t))
     return F.regexp_replace(F.regexp_replace(bare, TICKS, ""), LONE_BACKSLASH_EXAM, TWO_BACKSLASHES)
 
 
 def sanitize_bank(text: Column) -> Column:
     """Lone backslashes double first (escapes of b, f and u too), then ticks and a lower-case ``json`` tag go."""
     doubled = F.regexp_replace(strip_space(text), LONE_BACKSLASH_BANK, TWO_BACKSLASHES)
-    bare = F.regexp_replace(doubled, TICKS, "")
-    return F.when(bare.startswith("json"), strip_space(F.substring(bare, 5, 1 << 30))).otherwise(bare)
+    return let(F.regexp_replace(doubled, TICKS, ""), lambda t: F.when(t.startswith("json"), strip_space(F.substring(t, 5, 1 << 30))).otherwise(t))
 
 
 def parse(text: Column) -> Column:
@@ -43,18 +43,18 @@ def parse(text: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def is_list(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
 def items(v: Column) -> Column:
     """array<variant>: a list's items, the items of ``questions``, or the object alone; objects only. Null for unparsed text and scalars."""
-    listed = F.try_variant_get(v, "$", "array<variant>")
+    listed = F.try_variant_get(v, "$", "array<variant>")  # null for all else, and so are the questions of what is no object
     questions = F.try_variant_get(v, "$.questions", "array<variant>")
-    found = F.when(is_list(v), listed).when(is_object(v), F.coalesce(questions, F.array(v)))
+    found = F.coalesce(listed, questions, F.when(is_object(v), F.array(v)))
     return F.filter(found, is_object)
 
 

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions import jsonfix, text
+from quizloom.functions.once import let
 
 
 def questions_of(responses: DataFrame, raw: str, sanitize=jsonfix.sanitize_exam) -> DataFrame:
     """One row for each question object of a response, with pos (from 0) and q (variant); unreadable responses give none."""
-    v = jsonfix.parse(sanitize(F.col(raw)))
-    return responses.select(*[c for c in responses.columns if c != raw], F.posexplode(jsonfix.items(v)).alias("pos", "q"))
+    # generators repeat what their argument repeats, so each step is computed once
+    found = let(F.col(raw), lambda r: let(jsonfix.parse(sanitize(r)), jsonfix.items))
+    return responses.select(*[c for c in responses.columns if c != raw], F.posexplode(found).alias("pos", "q"))
 
 
 def quarantine(responses: DataFrame, raw: str, sanitize=jsonfix.sanitize_exam) -> DataFrame:

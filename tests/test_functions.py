@@ -205,3 +205,13 @@ def test_field_changes_neither_join_nor_broadcast(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "changed"), (2, "x", "removed"), (3, "a", "added"), (6, "a", "removed"), (7, "a", "removed")]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_responses_are_parsed_once(spark):
+    """Generators compute what they are given as often as it is written, so it is written once."""
+    rows = spark.createDataFrame([(1, '```json\n{"questions":[{"a":1},2]}\n```'), (2, '[{"b":2}, [1]]'), (3, '{"questions":null,"c":3}'), (4, '"[]"'), (5, None)], "id int, r string")
+    for sanitize in (jsonfix.sanitize_exam, jsonfix.sanitize_bank):
+        out = bank.questions_of(rows, "r", sanitize).select("id", "pos", F.to_json("q").alias("q"))
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert plan.count("parse_json(") == 1
+        assert {(r.id, r.pos, r.q) for r in out.collect()} == {(1, 0, '{"a":1}'), (2, 0, '{"b":2}'), (3, 0, '{"c":3,"questions":null}')}
