@@ -59,7 +59,8 @@ def exam(spark: SparkSession, units: DataFrame, subject: str, total: int, create
         rows = short.select("unit_id", F.col("deficit").alias("num_questions")).join(planned, "unit_id")
         rows = rows.withColumn("system_prompt", prompts.render(EXAM_SYSTEM, params)).withColumn("user_prompt", prompts.with_constraints(prompts.render(EXAM_USER, params), F.lit(f"{created_at}_{attempt}")))
         got = answered(tables, rows.select("unit_id", "num_questions", "system_prompt", "user_prompt"), f"call-{attempt}", provider, call, per_row=("num_questions",), **options)
-        found = bank.questions_of(got.select("unit_id", "response"), "response").select("unit_id", "pos", *question_columns(F.col("q")))
+        answers = got.select("unit_id", "response").repartition(spark.sparkContext.defaultParallelism)  # few and long: by size, one task would read them all
+        found = bank.questions_of(answers, "response").select("unit_id", "pos", *question_columns(F.col("q")))
         if isinstance(seen, SeenState):
             return seen.unseen(tables.save(found, f"found-{attempt}"))
         return found if seen is None else dedup.unseen(found, seen, "hash")

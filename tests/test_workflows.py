@@ -329,3 +329,11 @@ def test_skill_resolution(spark):
     assert resolve_skills(spark, skills, tasks, [], "T1").count() == 2
     with pytest.raises(ValueError):
         resolve_skills(spark, skills, tasks)
+
+
+def test_long_responses_are_spread(spark, units, monkeypatch):
+    """The few responses of an exam, as long as it has questions, are read by all tasks."""
+    parts, read = [], workflows.bank.questions_of
+    monkeypatch.setattr(workflows.bank, "questions_of", lambda rows, *rest: parts.append(rows.rdd.getNumPartitions()) or read(rows, *rest))
+    assert workflows.exam(spark, units, "Maths", 10, "2024-01-02 03:04:05").count() == 9
+    assert set(parts) == {spark.sparkContext.defaultParallelism}
