@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import small_batches, thrifty
+from quizloom.llm.common import give_back, small_batches, thrifty
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -176,7 +176,16 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
             got = [(k, np.flatnonzero(c), c[np.flatnonzero(c)]) for t, k in zip(texts, names, strict=True) if (c := grams(t)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in got], pa.string()), pa.array([a.astype("<i4").tobytes() for _, a, _ in got], pa.binary()), pa.array([c.astype("<i4").tobytes() for _, _, c in got], pa.binary())], ["lang", "at", "n"])
 
-    got = rows.where(draw < part).mapInArrow(thrifty(features), "lang string, at binary, n binary").toArrow()
+    sample = rows.where(draw < part).mapInArrow(thrifty(features), "lang string, at binary, n binary")
+    try:
+        return fitted(sample, idf, langs, seed)
+    finally:
+        give_back()  # the driver has much to do yet
+
+
+def fitted(sample: DataFrame, idf: np.ndarray, langs: list[str], seed: int) -> LangModel:
+    """The model whose weights fit the n-grams (lang, at, n) of ``sample``."""
+    got = sample.toArrow()
     data = sorted(zip(got["lang"].to_pylist(), got["at"].to_pylist(), got["n"].to_pylist(), strict=True))
     vectors = []
     for name, at, c in data:
@@ -184,7 +193,7 @@ def train(learning: DataFrame, text: str = "text", lang: str = "lang", bits: int
         vectors.append((at, tf_idf(c, idf[at]), langs.index(name)))
     order = np.random.default_rng(seed).permutation(len(vectors))
     held = set(order[: len(order) // 10].tolist())
-    weights, bias = ftrl([v for k, v in enumerate(vectors) if k not in held], 1 << bits, len(langs))
+    weights, bias = ftrl([v for k, v in enumerate(vectors) if k not in held], len(idf), len(langs))
     kept = [vectors[k] for k in sorted(held)]
     warm = best_temperature(np.array([x @ weights[at] + bias for at, x, _ in kept]), np.array([y for _, _, y in kept])) if len(kept) >= 10 else 1.0
     return LangModel(langs, idf, weights, bias, warm)

@@ -321,10 +321,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, miss: flo
     mixed_ = still_mixed("mixed-1")
     # first each class in its largest bucket only, which joins most of a group of near copies, then what is left everywhere
     largest = mixed_.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("m")).select("cls", F.col("m.bucket").alias("bucket"))
-    links = links.union(verifier.links_in_blocks(mixed_.join(largest, ["cls", "bucket"]), limit, "1"))
-    roots = components(links, scratch, "cc-1")
-    links = links.union(verifier.links_in_blocks(still_mixed("mixed-2"), limit, "2"))
-    roots = components(links, scratch, "cc-2")
+    joined = components(verifier.links_in_blocks(mixed_.join(largest, ["cls", "bucket"]), limit, "1"), scratch, "cc-1", roots)
+    if joined is not roots:
+        roots = joined
+        mixed_ = still_mixed("mixed-2")
+    roots = components(verifier.links_in_blocks(mixed_, limit, "2"), scratch, "cc-2", roots)
     found = classes.select("cls", "id", "digest").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     found = scratch.save(found.select("id", "digest", "root"), "found")
     least = found.groupBy("root").agg(F.min("id").alias("component_id"))

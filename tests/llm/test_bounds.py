@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quizloom.llm import bsi_topk, lang_id, mixing, token_counts
+from quizloom.llm import bsi_topk, lang_id, minhash, mixing, token_counts
+from quizloom.llm.common import Scratch
 from quizloom.llm.queries import vocabulary_path
 
 
@@ -32,6 +33,20 @@ def test_training_as_a_whole(spark):
     assert held.where("lang_pred = lang").count() == held.count() == 400 and held.agg(F.min("score")).first()[0] > 0.5
 
 
+def test_driver_of_many_steps(spark, monkeypatch):
+    """Training gives back what the driver held; components that no link of blocks joins are not looked for again, nor their buckets."""
+    given, saved = [], []
+    monkeypatch.setattr(lang_id, "give_back", lambda: given.append(1))
+    rows = spark.createDataFrame([(i, "ab"[i % 2], "xy"[i % 2] * 3 + f" {i}") for i in range(60)], "doc_id long, lang string, text string")
+    assert lang_id.train(rows).langs == ["a", "b"] and given == [1]
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, tag: saved.append(tag) or save(self, df, tag))
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words), (2, f"{words} end"), (3, words), (4, "other words than these are")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert "cc-0-near-0" in saved and not {"cc-1-near-0", "mixed-2", "cc-2-near-0"} & set(saved)
+
+
 def test_long_pretokens_are_not_broadcast(spark):
     library = Tokenizer.from_file(vocabulary_path())
     texts = ["short words " * 3 + "x" * n for n in (10, 47, 48, 49, 5000)] + ["y" * 60] * 5

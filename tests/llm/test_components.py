@@ -28,3 +28,16 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"), "cc").collect()
     assert sorted(map(tuple, got)) == sorted((n, find(n)) for n in root)
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test"), "none").collect() == []
+
+
+def test_components_of_more_links(spark):
+    """New links to known components give what all links give at once; without any that join something, the known ones are the result."""
+    rng = np.random.default_rng(8)
+    parts = [spark.createDataFrame([tuple(map(int, rng.integers(0, 300, 2))) for _ in range(n)], "a long, b long") for n in (90, 40, 60)]
+    scratch, known = Scratch(spark, "test"), None
+    for k, part in enumerate(parts):
+        known = components(part, scratch, f"more-{k}", known)
+    every = parts[0].union(parts[1]).union(parts[2])
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, components(every, scratch, "all").collect()))
+    assert components(parts[1], scratch, "again", known) is known
+    assert components(parts[0].limit(0), scratch, "nothing", known) is known
